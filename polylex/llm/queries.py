@@ -8,11 +8,13 @@ from pyspark.sql import DataFrame, SparkSession
 
 from .op1_quality_rules import op1_quality_rules
 from .op2_substring_dedup import op2_substring_dedup
+from .op5_simhash_dedup import op5_simhash_dedup
+from .op10_embedding_dedup import op10_embedding_dedup
 from .sql import OP1_SQL, OP2_SQL
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_quality_rules, op2_substring_dedup)}
+    return {f.__name__: f for f in (op1_quality_rules, op2_substring_dedup, op5_simhash_dedup, op10_embedding_dedup)}
 
 
 def oracle_sql() -> dict[str, str]:

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from .op1_quality_rules import op1_quality_rules
 from .op2_substring_dedup import op2_substring_dedup
+from .op3_quality_classifier import op3_quality_classifier
 from .op4_bpe_codec import op4_bpe_codec
 from .op5_simhash_dedup import op5_simhash_dedup
 from .op9_sharding import op9_sharding
@@ -16,7 +17,7 @@ from .sql import OP1_SQL, OP2_SQL
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_quality_rules, op2_substring_dedup, op4_bpe_codec, op5_simhash_dedup, op9_sharding, op10_embedding_dedup)}
+    return {f.__name__: f for f in (op1_quality_rules, op2_substring_dedup, op3_quality_classifier, op4_bpe_codec, op5_simhash_dedup, op9_sharding, op10_embedding_dedup)}
 
 
 def oracle_sql() -> dict[str, str]:

@@ -12,13 +12,15 @@ from .op3_quality_classifier import op3_quality_classifier
 from .op4_bpe_codec import op4_bpe_codec
 from .op5_simhash_dedup import op5_simhash_dedup
 from .op6_ppm_scoring import op6_ppm_scoring
+from .op7_token_store import op7_token_store
+from .op8_best_fit_packing import op8_best_fit_packing
 from .op9_sharding import op9_sharding
 from .op10_embedding_dedup import op10_embedding_dedup
 from .sql import OP1_SQL, OP2_SQL
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_quality_rules, op2_substring_dedup, op3_quality_classifier, op4_bpe_codec, op5_simhash_dedup, op6_ppm_scoring, op9_sharding, op10_embedding_dedup)}
+    return {f.__name__: f for f in (op1_quality_rules, op2_substring_dedup, op3_quality_classifier, op4_bpe_codec, op5_simhash_dedup, op6_ppm_scoring, op7_token_store, op8_best_fit_packing, op9_sharding, op10_embedding_dedup)}
 
 
 def oracle_sql() -> dict[str, str]:

@@ -150,12 +150,16 @@ def apply_rules(metrics: DataFrame, limits: DataFrame) -> DataFrame:
     return j.withColumn("__kept", ~F.col("__base_failed") & F.coalesce(inside, F.lit(False))).select(*m.columns[:-2], "__kept")
 
 
+def learn(metrics: DataFrame, scratch: Scratch) -> DataFrame:
+    """Fences of a table of metrics, settled, so that the join knows their size."""
+    return scratch.settle(fences(scratch.settle(bucket_sketch(metrics), "sketch")), "fences")
+
+
 def quality_rules(df: DataFrame, text: str = "text", carry: tuple[str, ...] = ("doc_id", "lang", "source"), scratch: Scratch | None = None) -> DataFrame:
     """Metrics and verdict of every row; the texts are read once and the metrics settled."""
     scratch = scratch or Scratch(df.sparkSession, "op1")
     metrics = scratch.settle(rule_metrics(df, text, carry), "metrics")
-    sketch = scratch.settle(bucket_sketch(metrics), "sketch")
-    return apply_rules(metrics, fences(sketch))
+    return apply_rules(metrics, learn(metrics, scratch))
 
 
 def op1_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -61,18 +61,21 @@ def single_spaced(w: Words) -> tuple[bytes, np.ndarray]:
     return flat.tobytes(), pos
 
 
-def _fingerprint(data: np.ndarray, off: np.ndarray, shingle: int) -> np.ndarray:
-    w = Words(_LOWER[data], off)
+def shingle_hashes(w: Words, shingle: int) -> tuple[np.ndarray, np.ndarray]:
+    """XXH64 of each shingle of lower-cased words, and its document."""
     flat, pos = single_spaced(w)
     lo, hi = shingle_spans(w, shingle)
     take = xxhash.xxh64_digest
     raw = b"".join([take(flat[x:y], SEED) for x, y in zip(pos[lo].tolist(), (pos[hi] - 1).tolist(), strict=True)])
-    h = np.frombuffer(raw, ">u8").astype("<u8")
-    out = np.zeros(len(off) - 1, U64)
+    return np.frombuffer(raw, ">u8").astype("<u8"), w.doc[lo]
+
+
+def majority(h: np.ndarray, doc: np.ndarray, docs: int) -> np.ndarray:
+    """Each document's bits that over half of its hashes have; zero without hashes."""
+    out = np.zeros(docs, U64)
     if not len(h):
         return out
     spread = _SPREAD[h.view(np.uint8).reshape(-1, 8)]
-    doc = w.doc[lo]
     first = np.flatnonzero(np.append(True, doc[1:] != doc[:-1]))
     n = np.diff(np.append(first, len(doc)))
     per = -(-n // 255)  # a byte counts to 255
@@ -83,6 +86,10 @@ def _fingerprint(data: np.ndarray, off: np.ndarray, shingle: int) -> np.ndarray:
     return out
 
 
+def _fingerprint(data: np.ndarray, off: np.ndarray, shingle: int) -> np.ndarray:
+    return majority(*shingle_hashes(Words(_LOWER[data], off), shingle), len(off) - 1)
+
+
 def fingerprints(docs: DataFrame, shingle: int = SHINGLE) -> DataFrame:
     """(doc, fp) of docs (doc, text): one pass."""
 
@@ -96,7 +103,7 @@ def fingerprints(docs: DataFrame, shingle: int = SHINGLE) -> DataFrame:
 
 
 class Planes:
-    """Bit planes of sorted cells: a cell takes whole 64-lane words."""
+    """Bit planes of sorted cells: a cell takes whole 64-lane words. fp: a row of 64-bit integers for each fingerprint."""
 
     def __init__(self, fp: np.ndarray, edge: np.ndarray):
         size = np.diff(edge)
@@ -107,19 +114,18 @@ class Planes:
         self.cell, self.fp, total = cell, fp, int(self.first[-1])
         self.row = np.full(total * 64, -1)
         self.row[self.slot] = np.arange(len(fp))
-        flat = np.zeros(total * 64, U64)
-        flat[self.slot] = fp
-        self.plane = [np.packbits(((flat >> U64(k)) & U64(1)).astype(np.uint8), bitorder="little").view(U64) for k in range(BITS)]
+        flat = np.zeros((fp.shape[1], total * 64), U64)
+        flat[:, self.slot] = fp.T
+        self.plane = [np.packbits(((x >> U64(k)) & U64(1)).astype(np.uint8), bitorder="little").view(U64) for x in flat for k in range(BITS)]
         self.valid = np.packbits(self.row >= 0, bitorder="little").view(U64)
 
     def near(self, q: np.ndarray, w: np.ndarray, levels: int) -> tuple[np.ndarray, np.ndarray]:
         """Pairs (row, row) of q with the lanes of word w, of fewer than 2 ** levels differing bits."""
-        mine = self.fp[q]
-        idx = np.arange(len(q))
+        mine, idx = self.fp[q], np.arange(len(q))
         count = [np.zeros(len(q), U64) for _ in range(levels)]
         over = ~self.valid[w]
-        for k in range(BITS):
-            carry = self.plane[k][w] ^ (U64(0) - ((mine >> U64(k)) & U64(1)))
+        for k, plane in enumerate(self.plane):
+            carry = plane[w] ^ (U64(0) - ((mine[:, k // BITS] >> U64(k % BITS)) & U64(1)))
             for c in count:
                 c ^= carry
                 carry &= ~c  # it was set and is now clear
@@ -176,7 +182,7 @@ def _links(nodes: DataFrame, keys: list, levels: int, cell: int) -> DataFrame:
             one, two, part, own = one[many], two[many], part[many], own[many]
             edge = edges_of(key[many], one, two)
             found = [np.zeros((2, 0), np.int64)]
-            for i, j in near_pairs(fp[many].view(U64), edge, levels):
+            for i, j in near_pairs(fp[many].view(U64)[:, None], edge, levels):
                 meant = (one[i] == two[i]) | (part[i] != part[j])
                 i, j = i[meant], j[meant]
                 root = roots(len(own), i, j)

@@ -1,15 +1,329 @@
-"""Every registered query with its SQL twin."""
+"""Every registered query of the engine's own operators, with its SQL twin."""
 
 from __future__ import annotations
 
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from . import fixtures as fx
+from . import oracles
+from .functions import text as tx
+from .operators import instances, linking, ontology, providers, variants
+from .schema import Config
 
-def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {}
+Query = Callable[[SparkSession, str], DataFrame]
+_CFG = Config()
+_QUERIES: dict[str, Query] = {}
+
+
+def _query(f: Query) -> Query:
+    _QUERIES[f.__name__] = f
+    return f
+
+
+def _join(c: str, name: str | None = None) -> F.Column:
+    return F.array_join(c, ",").alias(name or c)
+
+
+@_query
+def corpus_fields(spark: SparkSession, sf: str) -> DataFrame:
+    rows = fx.corpus(spark, sf)
+    return rows.withColumn("text", tx.corpus_text()).select("id", "publication_number", "language", F.md5("title").alias("title_md5"), F.md5("text").alias("text_md5"), F.length("text").alias("n"))
+
+
+@_query
+def field_spans(spark: SparkSession, sf: str) -> DataFrame:
+    s = tx.field_spans()
+    pick = {"title_start": s["title"]["start"], "title_end": s["title"]["end"], "abstract_start": s["abstract"]["start"], "abstract_end": s["abstract"]["end"], "description_start": s["description"]["start"], "context_end": s["context"]["end"]}
+    return fx.corpus(spark, sf).select("id", *(c.alias(k) for k, c in pick.items()))
+
+
+@_query
+def l_avail(spark: SparkSession, sf: str) -> DataFrame:
+    return variants.available_languages(fx.corpus(spark, sf)).select("publication_number", _join("l_avail", "langs"))
+
+
+@_query
+def compounds_parsed(spark: SparkSession, sf: str) -> DataFrame:
+    return fx.Graph(spark).compounds
+
+
+@_query
+def names_parsed(spark: SparkSession, sf: str) -> DataFrame:
+    return fx.Graph(spark).aliases
+
+
+@_query
+def structures_default(spark: SparkSession, sf: str) -> DataFrame:
+    return fx.Graph(spark).structures
+
+
+@_query
+def formulas_parsed(spark: SparkSession, sf: str) -> DataFrame:
+    return fx.Graph(spark).formulas
+
+
+@_query
+def relations_parsed(spark: SparkSession, sf: str) -> DataFrame:
+    return fx.Graph(spark).relations
+
+
+@_query
+def ontology_terms(spark: SparkSession, sf: str) -> DataFrame:
+    return fx.terms(spark).select("id", "name", _join("parents"))
+
+
+@_query
+def merged_nodes(spark: SparkSession, sf: str) -> DataFrame:
+    return fx.Graph(spark).nodes.drop("parent_id")
+
+
+@_query
+def alias_union(spark: SparkSession, sf: str) -> DataFrame:
+    return fx.Graph(spark).combined.drop("pos")
+
+
+@_query
+def alias_inversion(spark: SparkSession, sf: str) -> DataFrame:
+    return fx.Graph(spark).dictionary
+
+
+@_query
+def link_mentions(spark: SparkSession, sf: str) -> DataFrame:
+    return linking.flat(fx.Linked.of(spark, sf).linked).select("id", "surface", "start", "end", "chebi_id")
+
+
+@_query
+def link_mentions_native(spark: SparkSession, sf: str) -> DataFrame:
+    docs = fx.documents(fx.corpus(spark, sf))
+    return linking.link_native(docs, fx.Graph(spark).dictionary, F.lower("text"))
+
+
+@_query
+def primary_concept(spark: SparkSession, sf: str) -> DataFrame:
+    return linking.linked_documents(fx.Linked.of(spark, sf).linked).select("id", "primary_chebi_id")
+
+
+@_query
+def mentioned_ids(spark: SparkSession, sf: str) -> DataFrame:
+    return linking.mentioned_ids(fx.Linked.of(spark, sf).linked)
+
+
+@_query
+def link_counts(spark: SparkSession, sf: str) -> DataFrame:
+    return linking.link_counts(fx.Linked.of(spark, sf).linked)
+
+
+@_query
+def corpus_freq(spark: SparkSession, sf: str) -> DataFrame:
+    return instances.corpus_frequency(fx.Linked.of(spark, sf).linked)
+
+
+@_query
+def concept_langs(spark: SparkSession, sf: str) -> DataFrame:
+    return instances.concept_languages(instances.corpus_index(fx.Linked.of(spark, sf).linked))
+
+
+@_query
+def corpus_index(spark: SparkSession, sf: str) -> DataFrame:
+    return instances.corpus_index(fx.Linked.of(spark, sf).linked)
+
+
+def _near(name: str, make: Callable[[fx.Graph], DataFrame]) -> None:
+    _QUERIES[name] = lambda spark, sf: make(fx.Graph(spark)).select("chebi_id", "neighbor")
+
+
+_near("siblings_isa", lambda g: ontology.siblings_isa(g.edges))
+_near("siblings_role", lambda g: ontology.siblings_role(g.edges))
+_near("conjugate_pair", lambda g: ontology.conjugate_pair(g.edges))
+_near("tautomers", lambda g: ontology.tautomers(g.edges))
+_near("inchikey_block", lambda g: ontology.inchikey_block(g.nodes))
+_near("hydride_family", lambda g: ontology.parent_hydride_family(g.edges))
+_near("all_neighbors", lambda g: ontology.all_neighbors(ontology.neighbors(g.nodes, g.edges)))
+
+
+@_query
+def kg_slice(spark: SparkSession, sf: str) -> DataFrame:
+    c = fx.Linked.of(spark, sf).concepts
+    links = sum((F.size(r) for r in ontology.RELATIONS), F.lit(0)).cast("long").alias("n_links")
+    return c.select("chebi_id", "chebi_name_en", "inchikey", "formula", "chebi_star", _join("parents_isa"), _join("roles"), _join("aliases_combined.en", "aliases_en"), _join("siblings_isa"), links)
+
+
+@_query
+def coarse_types(spark: SparkSession, sf: str) -> DataFrame:
+    return fx.Linked.of(spark, sf).concepts.select("chebi_id", tx.coarse_type(F.col("roles"), F.col("formula")).alias("coarse"))
+
+
+class _Bench1:
+    def __init__(self, spark: SparkSession, sf: str):
+        self.x = fx.Linked.of(spark, sf)
+        self.index = instances.corpus_index(self.x.linked)
+        self.candidates = instances.qualifying_concepts(self.x.concepts, self.index)
+        self.gold = instances.gold_documents(self.index)
+        self.pool = instances.negative_pool(self.gold, ontology.neighbors_of_slice(self.x.concepts), self.index)
+
+
+@_query
+def qualifying_concepts(spark: SparkSession, sf: str) -> DataFrame:
+    return _Bench1(spark, sf).candidates
+
+
+@_query
+def balanced_sample(spark: SparkSession, sf: str) -> DataFrame:
+    return instances.balanced_sample(_Bench1(spark, sf).candidates).select("chebi_id", "star", "coarse")
+
+
+@_query
+def gold_pick(spark: SparkSession, sf: str) -> DataFrame:
+    return _Bench1(spark, sf).gold
+
+
+@_query
+def gold_all(spark: SparkSession, sf: str) -> DataFrame:
+    return instances.gold_all(_Bench1(spark, sf).index)
+
+
+@_query
+def hard_negative_pool(spark: SparkSession, sf: str) -> DataFrame:
+    return _Bench1(spark, sf).pool
+
+
+@_query
+def hard_negatives(spark: SparkSession, sf: str) -> DataFrame:
+    return instances.hard_negatives(_Bench1(spark, sf).pool)
+
+
+@_query
+def neighbor_concepts(spark: SparkSession, sf: str) -> DataFrame:
+    b = _Bench1(spark, sf)
+    return instances.neighbor_concepts(instances.hard_negatives(b.pool), b.x.concepts).select("chebi_id", "neighbor", "relation", "chebi_name_en")
+
+
+def _instances(spark: SparkSession, sf: str) -> tuple[_Bench1, DataFrame, DataFrame]:
+    b = _Bench1(spark, sf)
+    sample = instances.balanced_sample(b.candidates)
+    return b, sample, instances.instances(sample, b.x.concepts, b.x.linked)
+
+
+@_query
+def bench1_instances(spark: SparkSession, sf: str) -> DataFrame:
+    found = _instances(spark, sf)[2]
+    return found.select("chebi_id", "gold_language", "gold_document.id", F.to_json("hard_negative_documents.id").alias("negatives"), F.to_json("neighbor_concepts.chebi_id").alias("neighbors"))
+
+
+@_query
+def bench1_summary(spark: SparkSession, sf: str) -> DataFrame:
+    b, sample, found = _instances(spark, sf)
+    parts = [d.select(*(F.to_json(c).alias(c) if t.startswith("map") else F.col(c) for c, t in d.dtypes)) for d in instances.summary(found, b.candidates, sample)]
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.join(p)
+    return out
+
+
+class _Bench2:
+    def __init__(self, spark: SparkSession, sf: str):
+        self.x = fx.Linked.of(spark, sf)
+        langs = variants.available_languages(self.x.corpus)
+        self.rows = variants.qualifying_rows(self.x.linked, langs)
+        self.fields = self.x.corpus.select("id", *tx.TEXT_FIELDS)
+        self.sample = variants.sample_rows(self.rows).join(self.fields, "id")
+        self.freq = instances.corpus_frequency(self.x.linked)
+
+    def grid(self) -> DataFrame:
+        return variants.cells(variants.with_positions(self.sample))
+
+    def checked(self) -> DataFrame:
+        g = self.x.graph
+        return variants.checked_cells(self.sample, self.x.linked, self.freq, g.combined, fx.lexicon(self.x.docs))
+
+
+@_query
+def source_rows(spark: SparkSession, sf: str) -> DataFrame:
+    return _Bench2(spark, sf).rows.select("id", "publication_number", _join("l_avail", "langs"), tx.token_count(F.col("text"), F.col("language")).alias("tokens"))
+
+
+@_query
+def source_sample(spark: SparkSession, sf: str) -> DataFrame:
+    return _Bench2(spark, sf).sample.select("id", "publication_number", "language")
+
+
+@_query
+def positions(spark: SparkSession, sf: str) -> DataFrame:
+    x = variants.with_positions(fx.corpus(spark, sf))
+    b = F.get("ranges.body", F.lit(0))
+    return x.select("id", F.col("ranges.title.start").alias("title_start"), F.col("ranges.title.end").alias("title_end"), F.col("ranges.first_sentence.start").alias("first_start"), F.col("ranges.first_sentence.end").alias("first_end"), b["start"].alias("body_start"), b["end"].alias("body_end"))
+
+
+@_query
+def mention_positions(spark: SparkSession, sf: str) -> DataFrame:
+    x = fx.Linked.of(spark, sf)
+    m = variants.with_positions(x.corpus).select("id", "ranges").join(linking.flat(x.linked), "id")
+    return m.select("id", "start", "chebi_id", variants.position_of(F.col("start"), F.col("ranges")).alias("position"))
+
+
+@_query
+def variant_cells(spark: SparkSession, sf: str) -> DataFrame:
+    return _Bench2(spark, sf).grid().select("id", "variant", "position", "swap_lang", "control_style")
+
+
+@_query
+def picked_mentions(spark: SparkSession, sf: str) -> DataFrame:
+    b = _Bench2(spark, sf)
+    return variants.pick_mentions(b.grid(), b.freq, variants.parallel_rows(b.x.linked)).select("id", "variant", "position", "swap_lang", "original_term", "swap_start", "chebi_id", "fallback_flag")
+
+
+def _record(records: DataFrame) -> DataFrame:
+    return records.select("instance_id", "source_row_id", _join("available_languages"), "swap_lang", "original_term", "swap_term", "swap_char_offset", "chebi_id", "round_trip_flag", "fallback_flag", F.md5("text").alias("text_md5"))
+
+
+@_query
+def variant_a(spark: SparkSession, sf: str) -> DataFrame:
+    return _record(variants.clean_records(_Bench2(spark, sf).sample)).select("instance_id", "source_row_id", "available_languages", "text_md5")
+
+
+def _variant(name: str, tag: str) -> None:
+    _QUERIES[name] = lambda spark, sf: _record(variants.swap_records(_Bench2(spark, sf).checked().where(F.col("variant") == tag)))
+
+
+_variant("variant_b", "B_in_set")
+_variant("variant_c", "C_out_of_set")
+_variant("variant_d", "D_noisy")
+_variant("variant_e", "E_control_nonchem")
+
+
+@_query
+def variants_all(spark: SparkSession, sf: str) -> DataFrame:
+    b = _Bench2(spark, sf)
+    return _record(variants.variants(b.sample, b.checked()))
+
+
+@_query
+def verify_status(spark: SparkSession, sf: str) -> DataFrame:
+    return variants.outcome_counts(_Bench2(spark, sf).checked())
+
+@_query
+def cache_lookup(spark: SparkSession, sf: str) -> DataFrame:
+    asked = spark.read.parquet(f"{sf}/benchmark.parquet").select(F.sha2(F.concat_ws("|", F.lit(str(_CFG.seed)), F.col("item_id").cast("string")), 256).alias("key"))
+    known = fx.raw(spark, fx.CACHED).withColumn("key", F.sha2(F.concat_ws("|", F.lit(str(_CFG.seed)), F.replace("key", F.lit("k"), F.lit(""))), 256))
+    return providers.lookup(asked, known.groupBy("key").agg(F.max_by("response", "pos").alias("response")))
+
+
+@_query
+def token_counts(spark: SparkSession, sf: str) -> DataFrame:
+    return fx.documents(fx.corpus(spark, sf)).select("id", tx.token_count(F.col("text"), F.col("language")).alias("tokens"))
+
+
+@_query
+def url_titles(spark: SparkSession, sf: str) -> DataFrame:
+    return spark.read.parquet(f"{sf}/pages.parquet").select("page_id", tx.title_from_url(F.col("url")).alias("title"))
+
+
+def queries() -> dict[str, Query]:
+    return dict(_QUERIES)
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {k: v for k, v in oracles.oracle_sql().items() if k in _QUERIES}

@@ -51,7 +51,7 @@ def complete(missing: DataFrame, provider: Provider, model: str, batch: int = 50
 
 def clean_reply(reply: F.Column) -> F.Column:
     """The first line that is not blank, without quotes around it."""
-    lines = F.filter(F.transform(F.split(reply, "\n"), F.trim), lambda x: x != "")
+    lines = F.filter(F.transform(F.split(reply, "\n"), lambda x: F.trim(x)), lambda x: x != "")
     return F.regexp_replace(F.get(lines, F.lit(0)), r"^[\"'`]+|[\"'`]+$", "")
 
 

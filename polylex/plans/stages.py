@@ -77,7 +77,7 @@ def build_instances(spark: SparkSession, p: Paths, cfg: Config = Config()) -> in
     sample = instances.balanced_sample(candidates, cfg)
     found = instances.instances(sample, concepts, linked, cfg)
     n = sinks.write_jsonl(found, p.instances)
-    sinks.write_summary(instances.summary(readers.read_jsonl(spark, p.instances, found.schema.simpleString()[7:-1]), candidates, sample, cfg), f"{p.out}/idea1/run_summary.json")
+    sinks.write_summary(instances.summary(readers.read_jsonl(spark, p.instances, found.schema), candidates, sample, cfg), f"{p.out}/idea1/run_summary.json")
     return n
 
 

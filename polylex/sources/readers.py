@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from ..functions.text import normalize_id
 from ..schema import CACHE, CONCEPTS, LINKED, TEXT_FIELDS, VARIANT
@@ -57,7 +58,7 @@ def read_linked(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(LINKED).parquet(path)
 
 
-def read_jsonl(spark: SparkSession, path: str, schema: str) -> DataFrame:
+def read_jsonl(spark: SparkSession, path: str, schema: str | StructType) -> DataFrame:
     return spark.read.schema(schema).json(path)
 
 

@@ -12,7 +12,7 @@ number of documents.
 3. What is left over of the large pieces, and then the small ones, longest first, go each
    where the least room that suffices is left (best fit), or into a new bin.
 
-Several numbers of groups are tried and the plan of fewest bins is kept. Bins of one kind are
+Several bounds and numbers of groups (``TRIALS``) are tried and the plan of fewest bins is kept. Bins of one kind are
 a run in the plan, so its size follows the number of lengths and configurations. Every piece
 has a rank among those of its length (counted in partitions, then shifted) and the plan says
 which bin and offset the rank has.
@@ -39,9 +39,9 @@ from .units import library_codec, text_slices
 VOCABULARY = "word_bpe_49k.json"
 CAPACITY = 2048
 END_ID = 0
-#: Pieces above this part of CAPACITY are large.
-LARGE = 1 / 5
-GROUPS = tuple(range(5, 25))
+#: Tried in turn: the part of CAPACITY above which a piece is large, and the number of groups. More groups round
+#: up less; with a higher bound a bin has few large pieces, so that there can be many groups.
+TRIALS = (*((1 / 5, g) for g in range(5, 25)), *((1 / 3, g) for g in (32, 64, 128)), (1 / 2, 16), (1 / 2, 64))
 
 
 def pieces(docs: DataFrame, vocabulary: str, capacity: int = CAPACITY, ids: bool = False) -> DataFrame:
@@ -103,7 +103,7 @@ def _maximal(sizes: list[int], capacity: int) -> list[list[int]]:
 class Plan:
     """Runs of equal bins: (number of bins, contents as (length, times) in order)."""
 
-    def __init__(self, counts: dict[int, int], capacity: int, groups: int, large: float = LARGE):
+    def __init__(self, counts: dict[int, int], capacity: int, groups: int, large: float):
         self.capacity, self.left = capacity, dict(counts)
         self.open: dict[int, list[tuple[int, tuple]]] = {}  # by room left
         if capacity in self.left:
@@ -199,7 +199,7 @@ class Plan:
 
 
 def best_plan(counts: dict[int, int], capacity: int = CAPACITY) -> Plan:
-    return min((Plan(counts, capacity, g) for g in GROUPS), key=lambda p: p.bins)
+    return min((Plan(counts, capacity, g, large) for large, g in TRIALS), key=lambda p: p.bins)
 
 
 def place(found: DataFrame, plan: Plan) -> DataFrame:

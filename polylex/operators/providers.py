@@ -9,12 +9,15 @@ from __future__ import annotations
 from collections.abc import Callable, Iterator
 
 import pandas as pd
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.text import cache_key
 from ..schema import CACHE
 from ..shipping import ship
+from ..sources.readers import read_cache
+from ..sources.sinks import append_jsonl
 
 Provider = Callable[[list[dict]], list[str]]
 
@@ -49,6 +52,20 @@ def complete(missing: DataFrame, provider: Provider, model: str, batch: int = 50
     return missing.select("key", "system", "user").dropDuplicates(["key"]).mapInPandas(run, CACHE)
 
 
+def provide_by_model(picked: DataFrame, provider: Provider, cache_path: str, model: str) -> DataFrame:
+    """picked with swap_term from a provider. What the cache at cache_path lacks is asked and appended first."""
+    spark = picked.sparkSession
+    asked = requests(prompts(picked), model)
+    try:
+        known = read_cache(spark, cache_path)
+    except AnalysisException:  # no cache yet
+        known = spark.createDataFrame([], "key string, response string")
+    missing = lookup(asked.where("original_term is not null").select("key", "system", "user").distinct(), known).where("response is null")
+    append_jsonl(complete(missing, provider, model), cache_path)
+    found = lookup(asked, read_cache(spark, cache_path))
+    return found.withColumn("swap_term", F.when(F.col("original_term").isNotNull(), clean_reply(F.col("response")))).drop("system", "user", "key", "response")
+
+
 def clean_reply(reply: F.Column) -> F.Column:
     """The first line that is not blank, without quotes around it."""
     lines = F.filter(F.transform(F.split(reply, "\n"), lambda x: F.trim(x)), lambda x: x != "")

@@ -9,6 +9,8 @@ Tags: A_clean, B_in_set, C_out_of_set, D_noisy, E_control_nonchem.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -180,12 +182,16 @@ def verify(filled: DataFrame, aliases: DataFrame) -> DataFrame:
     return x.withColumns({"reject_reason": reason, "round_trip_flag": flag}).drop("__back")
 
 
-def checked_cells(rows: DataFrame, linked: DataFrame, freq: DataFrame, aliases: DataFrame, lexicon: DataFrame, cfg: Config = Config()) -> DataFrame:
-    """All cells of the source rows (with fields and l_avail), provided and verified."""
+def checked_cells(rows: DataFrame, linked: DataFrame, freq: DataFrame, aliases: DataFrame, lexicon: DataFrame, cfg: Config = Config(), provide: Callable[[DataFrame], DataFrame] | None = None) -> DataFrame:
+    """All cells of the source rows (with fields and l_avail), provided and verified.
+
+    provide fills ``swap_term`` of the picked cells; without it, provide_terms does.
+    """
     grid = cells(with_positions(rows), cfg)
     picked = pick_mentions(grid, freq, parallel_rows(linked), cfg)
     words = pick_words(grid, cfg).withColumns({"parallel": F.lit(None).cast(picked.schema["parallel"].dataType), "parallel_text": F.lit(None).cast("string")})
-    return verify(provide_terms(picked.unionByName(words), aliases, lexicon, cfg), aliases)
+    both = picked.unionByName(words)
+    return verify(provide(both) if provide else provide_terms(both, aliases, lexicon, cfg), aliases)
 
 
 def clean_records(rows: DataFrame) -> DataFrame:

@@ -163,6 +163,19 @@ def test_cache(spark, tmp_path):
     assert reply.select(providers.clean_reply(F.col("r"))).first()[0] == "zinc"
 
 
+def test_a_provider_is_asked_once_for_each_request(spark, tmp_path):
+    cells = [("B_in_set", "lead", "a lead pipe", 2, "fr", "en"), ("D_noisy", "lead", "a lead pipe", 2, "en", "en"), ("B_in_set", None, "none", None, "fr", "en")]
+    picked = spark.createDataFrame(cells, "variant string, original_term string, text string, swap_start int, swap_lang string, language string")
+    cache = str(tmp_path / "cache")
+    reply = lambda asked: [f'"{r["system"].split()[0]} {len(r["user"])}"' for r in asked]
+    got = {(r.variant, r.original_term): r.swap_term for r in providers.provide_by_model(picked, reply, cache, "m").collect()}
+    assert got == {("B_in_set", "lead"): "Give 31", ("D_noisy", "lead"): "Misspell 31", ("B_in_set", None): None}
+    refuse = lambda asked: [1 / 0 for _ in asked]
+    assert {r.swap_term for r in providers.provide_by_model(picked, refuse, cache, "m").collect()} == set(got.values())
+    noise = providers.RULES["D_noisy"]
+    assert all(x in noise for x in ("hyphen", "case", "same language", "{source}"))
+
+
 def gz_tsv(path, header, rows):
     import gzip
 

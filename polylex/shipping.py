@@ -9,14 +9,17 @@ import zipfile
 from pyspark.sql import SparkSession
 
 _SHIPPED: set[str] = set()
+_BATCH = "spark.sql.execution.arrow.maxRecordsPerBatch"
 
 
 def ship(spark: SparkSession) -> None:
-    """Add the package to the application's Python files, once for each application.
+    """Add the package to the application's Python files, once for each application, and keep Arrow batches small.
 
     Spark serves the archive from the driver to every executor, also to those that
     start later, so no folder has to be shared for it.
     """
+    if spark.conf.get(_BATCH) == "10000":  # as it comes; rows hold whole texts
+        spark.conf.set(_BATCH, "1024")
     sc = spark.sparkContext
     if sc.applicationId in _SHIPPED:
         return

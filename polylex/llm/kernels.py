@@ -15,7 +15,7 @@ _BASE = 0x9E3779B97F4A7C15 | 1
 _INV = pow(_BASE, -1, 1 << 64)
 _POW = [np.ones(1, U64), np.ones(1, U64)]
 #: Bytes of text worked on at a time; a longer document is worked on alone.
-SLICE = 2 << 20
+SLICE = 1 << 20
 
 
 def powers(n: int) -> tuple[np.ndarray, np.ndarray]:

@@ -41,6 +41,8 @@ TRAIN_ROWS = 4000
 TRAIN_BYTES = 16384
 EPOCHS = 60
 FOLDS, HELD = 3, 1
+#: Bytes of text whose vectors are held at a time, on the driver and in workers.
+PART = 1 << 18
 
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
@@ -85,7 +87,7 @@ def word_vectors(texts: pa.Array) -> np.ndarray:
     """The table of word vectors, from what stands around each word in the texts."""
     table = np.zeros((ROWS, DIM), np.float32)
     data, off = text_buffer(texts)
-    for a, z in slices(off, 1 << 20):
+    for a, z in slices(off, PART):
         w, word, shape, mark = _tokens(data[off[a] : off[z]], off[a : z + 1] - off[a])
         own = _index(shape) + _index(mark)
         side = _index(word) + own
@@ -103,7 +105,7 @@ def pooled(texts: pa.Array, table: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Features of each text, and its number of words."""
     data, off = text_buffer(texts)
     out, count = [np.zeros((0, 2 * DIM + 1), np.float32)], [np.zeros(0, np.int64)]
-    for a, z in slices(off, 1 << 20):
+    for a, z in slices(off, PART):
         w, word, shape, mark = _tokens(data[off[a] : off[z]], off[a : z + 1] - off[a])
         f = np.zeros((z - a, 2 * DIM + 1), np.float32)
         full = np.flatnonzero(w.n)

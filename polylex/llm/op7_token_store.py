@@ -14,7 +14,8 @@ model work on vectors. Block layout, little-endian: ``PLX1``, ids, documents, la
 vocabulary, crc32 of what follows (five unsigned 32-bit integers), then 64-bit document ids
 (null as the least one), 32-bit token counts, 32-bit lengths of the lanes' streams, and the
 streams as 16-bit units. Files are Parquet with a row for each block, written and read by
-Spark only, in the shared folder; (part, block) is their order.
+Spark only, in the shared folder; (part, block) is their order, and a row says how many ids
+of its part come before it.
 
 Defined cases: null and empty texts have the end id alone; a null id sorts first and reads
 back as null; rows of one id follow each other in the order of their texts; an empty table
@@ -70,10 +71,9 @@ class Mixer:
 
     def interval(self, kind: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Start and width of what each lane's choice of prediction has of 2 ** 16."""
-        cuts = np.stack([np.zeros_like(self.f1), self.f2, self.f2 + self.f1, np.full_like(self.f1, 65536)])
-        lane = np.arange(len(kind))
-        start = cuts[kind, lane]
-        return start, cuts[kind + 1, lane] - start
+        both = self.f2 + self.f1
+        start = np.where(kind == 0, 0, np.where(kind == 1, self.f2, both))
+        return start, np.where(kind == 0, self.f2, np.where(kind == 1, self.f1, 65536 - both))
 
     def start_ids(self) -> tuple[np.ndarray, int]:
         cum = np.empty(self.ids + 1, np.int64)
@@ -101,19 +101,20 @@ class Encoder:
         self.low, self.range = np.zeros(lanes, np.uint64), np.full(lanes, _MASK)
         self.out, self.n = np.zeros((lanes, 5 * steps + 16), np.uint16), np.zeros(lanes, np.int64)
 
-    def put(self, lane: np.ndarray, start: np.ndarray, freq: np.ndarray, total: int) -> None:
-        low, rng = self.low[lane], self.range[lane] // np.uint64(total)
-        low = low + start.astype(np.uint64) * rng
-        rng = rng * freq.astype(np.uint64)
-        at = np.arange(len(lane))
+    def put(self, lane: np.ndarray | slice, start: np.ndarray, freq: np.ndarray, total: int) -> None:
+        """Codes an interval in each of the lanes; a slice means the first ones."""
+        rng = self.range[lane] // np.uint64(total)
+        low = self.low[lane] + start.astype(np.uint64) * rng
+        rng *= freq.astype(np.uint64)
+        a, r, at = low, rng, np.arange(len(low))
         while len(at):
-            a, r = low[at], rng[at]
             done = (a ^ (a + r)) < _TOP
             tight = ~done & (r < _LOW)
             move = done | tight
             at, a, r = at[move], a[move], np.where(tight, (np.uint64(0) - a) & (_LOW - np.uint64(1)), r)[move]
-            self._emit(lane[at], a)
-            low[at], rng[at] = (a << _UNIT) & _MASK, r << _UNIT
+            self._emit(at if isinstance(lane, slice) else lane[at], a)
+            a, r = (a << _UNIT) & _MASK, r << _UNIT
+            low[at], rng[at] = a, r
         self.low[lane], self.range[lane] = low, rng
 
     def _emit(self, lane: np.ndarray, low: np.ndarray) -> None:
@@ -138,23 +139,24 @@ class Decoder:
             self.code = (self.code << _UNIT) | self.units[self.at]
             self.at += 1
 
-    def peek(self, lane: np.ndarray, total: int) -> np.ndarray:
+    def peek(self, lane: np.ndarray | slice, total: int) -> np.ndarray:
         self.part = self.range[lane] // np.uint64(total)
         return np.minimum((self.code[lane] - self.low[lane]) // self.part, np.uint64(total - 1)).astype(np.int64)
 
-    def take(self, lane: np.ndarray, start: np.ndarray, freq: np.ndarray) -> None:
+    def take(self, lane: np.ndarray | slice, start: np.ndarray, freq: np.ndarray) -> None:
         low, rng, code = self.low[lane] + start.astype(np.uint64) * self.part, self.part * freq.astype(np.uint64), self.code[lane]
-        at = np.arange(len(lane))
+        a, r, at = low, rng, np.arange(len(low))
         while len(at):
-            a, r = low[at], rng[at]
             done = (a ^ (a + r)) < _TOP
             tight = ~done & (r < _LOW)
             move = done | tight
             at, a, r = at[move], a[move], np.where(tight, (np.uint64(0) - a) & (_LOW - np.uint64(1)), r)[move]
-            who = lane[at]
-            code[at] = ((code[at] << _UNIT) & _MASK) | self.units[self.at[who]]
-            self.at[who] += 1
-            low[at], rng[at] = (a << _UNIT) & _MASK, r << _UNIT
+            who = at if isinstance(lane, slice) else lane[at]
+            place = self.at[who]
+            code[at] = ((code[at] << _UNIT) & _MASK) | self.units[place]
+            self.at[who] = place + 1
+            a, r = (a << _UNIT) & _MASK, r << _UNIT
+            low[at], rng[at] = a, r
         self.low[lane], self.range[lane], self.code[lane] = low, rng, code
 
 
@@ -173,7 +175,7 @@ def encode_block(ids: np.ndarray, docs: np.ndarray, counts: np.ndarray, vocabula
     none = np.full(lanes, vocabulary)
     for t in range(steps):
         n = -(-(len(ids) - t) // steps)
-        live, x = np.arange(n), grid[t, :n]
+        live, x = slice(0, n), grid[t, :n]
         mixer.predict((grid[t - 1] if t else none)[:n], (grid[t - 2] if t > 1 else none)[:n])
         kind = np.where(x == mixer.p2, 0, 2 - (x == mixer.p1))
         coder.put(live, *mixer.interval(kind), 65536)
@@ -199,8 +201,8 @@ def decode_block(block: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     steps = _shape(n)[1]
     mixer, grid, none = Mixer(vocabulary), np.full((steps, lanes), vocabulary), np.full(lanes, vocabulary)
     for t in range(steps):
-        live = np.arange(-(-(n - t) // steps))
-        mixer.predict((grid[t - 1] if t else none)[: len(live)], (grid[t - 2] if t > 1 else none)[: len(live)])
+        live = slice(0, -(-(n - t) // steps))
+        mixer.predict((grid[t - 1] if t else none)[live], (grid[t - 2] if t > 1 else none)[live])
         v = coder.peek(live, 65536)
         kind = (v >= mixer.f2).astype(np.int64) + (v >= mixer.f2 + mixer.f1)
         coder.take(live, *mixer.interval(kind))
@@ -210,7 +212,7 @@ def decode_block(block: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
             cum, total = mixer.start_ids()
             x[new] = np.searchsorted(cum, coder.peek(new, total), "right") - 1
             coder.take(new, cum[x[new]], mixer.count[x[new]])
-        grid[t, : len(live)] = x
+        grid[t, live] = x
         mixer.learn(x, kind)
     return grid.T.ravel()[:n], docs, counts
 
@@ -231,47 +233,44 @@ def write_tokens(docs: DataFrame, path: str, vocabulary: str, parts: int | None
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[tuple[int, np.ndarray]] = []
-        size = number = 0
+        size = number = before = 0
 
         def out() -> pa.RecordBatch:
             data = encode_block(np.concatenate([x for _, x in held]).astype(np.int64), np.array([d for d, _ in held]), np.array([len(x) for _, x in held]))
-            return pa.RecordBatch.from_arrays([pa.array([number], pa.int32()), pa.array([size], pa.int64()), pa.array([data], pa.binary())], names=["block", "n_ids", "data"])
+            return pa.RecordBatch.from_arrays([pa.array([number], pa.int32()), pa.array([before], pa.int64()), pa.array([size], pa.int64()), pa.array([data], pa.binary())], names=["block", "before", "n_ids", "data"])
 
         for row in _encoded(batches, vocabulary):
             held.append(row)
             size += len(row[1])
             if size >= block:
                 yield out()
-                held, size, number = [], 0, number + 1
+                held, size, number, before = [], 0, number + 1, before + size
         if held:
             yield out()
 
     ordered = docs.repartitionByRange(parts, "doc").sortWithinPartitions("doc", "text")
-    blocks = ordered.mapInArrow(run, "block int, n_ids long, data binary").withColumn("part", F.spark_partition_id())
+    blocks = ordered.mapInArrow(run, "block int, before long, n_ids long, data binary").withColumn("part", F.spark_partition_id())
     blocks.write.mode("overwrite").option("compression", "uncompressed").parquet(path)
 
 
 def read_tokens(spark: SparkSession, path: str) -> DataFrame:
     """(doc, start, n_tokens, ids) of the files in the folder path; ids are little-endian unsigned 32-bit integers."""
-    files = spark.read.schema("block int, n_ids long, data binary, part int").parquet(path)
+    files = spark.read.schema("block int, before long, n_ids long, data binary, part int").parquet(path)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            for part, block, data in zip(*(b.column(k).to_pylist() for k in range(3)), strict=True):
+            for part, before, data in zip(*(b.column(k).to_pylist() for k in range(3)), strict=True):
                 ids, docs, counts = decode_block(data)
                 ends = np.cumsum(counts.astype(np.int64))
                 raw = pa.Array.from_buffers(pa.binary(), len(docs), [None, pa.py_buffer(np.append(0, 4 * ends).astype(np.int32)), pa.py_buffer(ids.astype("<u4"))])
                 doc = pa.array(docs, mask=docs == -(1 << 63))
-                cols = [pa.array(np.full(len(docs), v, np.int32)) for v in (part, block)]
-                yield pa.RecordBatch.from_arrays([*cols, doc, pa.array(ends - counts), pa.array(counts.astype(np.int64)), raw], names=["part", "block", "doc", "inner", "n_tokens", "ids"])
+                yield pa.RecordBatch.from_arrays([pa.array(np.full(len(docs), part, np.int32)), doc, pa.array(before + ends - counts), pa.array(counts.astype(np.int64)), raw], names=["part", "doc", "inner", "n_tokens", "ids"])
 
-    rows = files.select("part", "block", "data").mapInArrow(run, "part int, block int, doc long, inner long, n_tokens long, ids binary")
-    size = files.groupBy("part", "block").agg(F.sum("n_ids").alias("n"))
-    in_part = size.withColumn("before", F.sum("n").over(Window.partitionBy("part").orderBy("block")) - F.col("n"))
-    whole = size.groupBy("part").agg(F.sum("n").alias("n"))  # a row for each part file
+    rows = files.select("part", "before", "data").mapInArrow(run, "part int, doc long, inner long, n_tokens long, ids binary")
+    whole = files.groupBy("part").agg(F.sum("n_ids").alias("n"))
     shift = whole.withColumn("shift", F.sum("n").over(Window.orderBy("part")) - F.col("n")).select("part", "shift")
-    at = in_part.join(shift, "part").select("part", "block", (F.col("before") + F.col("shift")).alias("before"))
-    return rows.join(at, ["part", "block"]).select("doc", (F.col("before") + F.col("inner")).alias("start"), "n_tokens", "ids")
+    at = F.broadcast(shift)  # a row for each of write_tokens' parts, a number that is set there
+    return rows.join(at, "part").select("doc", (F.col("inner") + F.col("shift")).alias("start"), "n_tokens", "ids")
 
 
 def op7_token_store(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -16,13 +16,13 @@ from collections.abc import Callable, Iterator
 import numpy as np
 import pyarrow as pa
 
-from .kernels import SLICE
-
 _SPACED = re.compile(r"[\x20\x09-\x0D]*[^\x20\x09-\x0D]+|[\x20\x09-\x0D]+")
 _BARE = re.compile(r"[^\x20\x09-\x0D]+")
-_OTHER_SPACE = re.compile("[\x1c-\x1f\x85\xa0  -     　]")
+_OTHER_SPACE = re.compile(r"[\x1c-\x1f\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]")
+#: Bytes of texts encoded at a time.
+SLICE = 2 << 20
 #: Units kept by a worker; those that come later are encoded once for each slice of texts.
-KEPT = 300_000
+KEPT = 600_000
 
 
 class Codec:

@@ -111,23 +111,41 @@ class BytePairs:
             i = j
         return out
 
-    def exact(self, word: str) -> list[int]:
-        """Merging in rank order, leftmost first."""
-        ids = [self.vocab[c] for c in word[:-1]] + [self.vocab[word[-1] + self.end]]
-        while len(ids) > 1:
-            best = min((self.merge.get(p, _NONE) for p in zip(ids, ids[1:], strict=False)), default=_NONE)
-            if best == _NONE:
-                break
-            out, k = [], 0
-            while k < len(ids):
-                if k + 1 < len(ids) and self.merge.get((ids[k], ids[k + 1])) == best:
-                    out.append(int(best))
-                    k += 2
-                else:
-                    out.append(ids[k])
-                    k += 1
-            ids = out
-        return ids
+    def _ranks(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+        """Ids that pairs merge into, or _NONE."""
+        key = a * self.size + b
+        k = np.searchsorted(self.keys, key)
+        return np.where(self.keys[k] == key, self.made[k], _NONE)
+
+    def exact(self, words: list[str]) -> list[list[int]]:
+        """Merging in rank order, leftmost first: a merge in every word at a time. Words of one call are of like length."""
+        n, wide = len(words), max(map(len, words)) + 1
+        ids = np.full((n, wide), -1)
+        for k, w in enumerate(words):
+            ids[k, : len(w)] = [*(self.vocab[c] for c in w[:-1]), self.vocab[w[-1] + self.end]]
+        after = np.tile(np.arange(1, wide + 1), (n, 1))
+        before = np.tile(np.arange(-1, wide - 1), (n, 1))
+        rank = np.full((n, wide), _NONE)
+        i, j = np.nonzero(ids[:, 1:] >= 0)
+        rank[i, j] = self._ranks(ids[i, j], ids[i, j + 1])
+        row = np.arange(n)
+        while len(row):
+            p = rank[row].argmin(axis=1)
+            made = rank[row, p]
+            go = made < _NONE
+            row, p, made = row[go], p[go], made[go]
+            q = after[row, p]
+            s = after[row, q]
+            ids[row, p], ids[row, q], rank[row, q] = made, -1, _NONE
+            after[row, p] = s
+            inner = s < wide
+            before[row[inner], s[inner]] = p[inner]
+            right = np.where(inner, ids[row, np.minimum(s, wide - 1)], -1)
+            rank[row, p] = np.where(right >= 0, self._ranks(made, np.maximum(right, 0)), _NONE)
+            o = before[row, p]
+            left = o >= 0
+            rank[row[left], o[left]] = self._ranks(ids[row[left], o[left]], made[left])
+        return [x[x >= 0].tolist() for x in ids]
 
     def words(self, words: list[str]) -> list[list[int]]:
         """Ids of words in byte letters: proposed, all pairs checked at once, failing words merged."""
@@ -138,8 +156,16 @@ class BytePairs:
         pair = np.flatnonzero(word[1:] == word[:-1])
         kinds, where = np.unique(flat[pair] * self.size + flat[pair + 1], return_inverse=True)
         bad = ~self.compatible(kinds // self.size, kinds % self.size)[where]
-        for k in np.unique(word[pair[bad]]).tolist():
-            got[k] = self.exact(words[k])
+        failed = sorted(np.unique(word[pair[bad]]).tolist(), key=lambda k: len(words[k]))
+        a = 0
+        while a < len(failed):
+            most = 2 * len(words[failed[a]]) + 8  # letters of the longest word in the part
+            z = a + 1
+            while z < len(failed) and z - a < 4096 and len(words[failed[z]]) <= most:
+                z += 1
+            for k, ids in zip(failed[a:z], self.exact([words[k] for k in failed[a:z]]), strict=True):
+                got[k] = ids
+            a = z
         return got
 
     def cut(self, unit: str) -> list[str | int]:

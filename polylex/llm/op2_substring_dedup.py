@@ -28,6 +28,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from .kernels import U64, Words, range_hash, rolling, signed, slices, text_buffer
 from .scratch import Scratch
@@ -115,7 +116,11 @@ def _windows(docs: DataFrame) -> DataFrame:
 
 
 def _cut(docs: DataFrame) -> DataFrame:
-    """(doc, n_words, n_removed, kept): docs (doc, text, whole, single); the two lists hold (h, x) of dead stretches and windows."""
+    """(doc, n_words, n_removed, kept): docs (doc, text, whole, single); the two lists hold (h, x) of dead stretches and windows.
+
+    With a column row in docs, each row's text and row follow."""
+    extra = ["text", "row"] if "row" in docs.columns else []
+    schema = T.StructType([*T.StructType.fromDDL("doc long, n_words long, n_removed long, kept string").fields, *(docs.schema[c] for c in extra)])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -139,9 +144,9 @@ def _cut(docs: DataFrame) -> DataFrame:
                     else:
                         kept.append(w.flat[w.pos[a] : max(w.pos[a], w.pos[z] - 1)])
                 removed = np.bincount(w.doc[dead], minlength=j - i) if len(dead) else np.zeros(j - i, np.int64)
-                yield pa.RecordBatch.from_arrays([b.column(0).slice(i, j - i), pa.array(w.n.astype(np.int64)), pa.array(removed.astype(np.int64)), pa.array(kept, pa.binary()).cast(pa.string())], names=["doc", "n_words", "n_removed", "kept"])
+                yield pa.RecordBatch.from_arrays([b.column(0).slice(i, j - i), pa.array(w.n.astype(np.int64)), pa.array(removed.astype(np.int64)), pa.array(kept, pa.binary()).cast(pa.string()), *(b.column(c).slice(i, j - i) for c in extra)], names=schema.names)
 
-    return docs.mapInArrow(run, "doc long, n_words long, n_removed long, kept string")
+    return docs.mapInArrow(run, schema)
 
 
 def _pairs(cell: pa.Scalar) -> dict[int, set[int]]:
@@ -208,7 +213,7 @@ def dedup_batch(batch: DataFrame, log: FingerprintLog, corpus: DataFrame, tag: s
     """(doc, n_words, n_removed, kept) of a batch (doc, text) whose ids are above those of the log.
 
     corpus (doc, text) holds the texts of the batch and of what the log has; only the
-    documents that a verification needs are read from it.
+    documents that a verification needs are read from it. A column row of the batch is carried.
     """
     scratch = log.scratch
     rows = scratch.settle(fingerprints(batch), f"{tag}-rows")
@@ -240,14 +245,16 @@ def dedup_batch(batch: DataFrame, log: FingerprintLog, corpus: DataFrame, tag: s
         log.append(rep.select("h", "x", "own"))
     for name in ("rows", "rep", "mixed", "windows"):
         scratch.drop(f"{tag}-{name}")
-    return _cut(batch.join(lists, "doc", "left").select("doc", "text", "whole", "single"))
+    return _cut(batch.join(lists, "doc", "left").select("doc", "text", "whole", "single", *batch.columns[2:]))
+
 
+def substring_dedup(df: DataFrame, doc: str = "doc_id", text: str = "text", batches: int = BATCHES, scratch: Scratch | None = None, carry: bool = False) -> DataFrame:
+    """One table as successive batches by ascending id: (doc, n_words, n_removed, kept), a row for each row.
 
-def substring_dedup(df: DataFrame, doc: str = "doc_id", text: str = "text", batches: int = BATCHES, scratch: Scratch | None = None) -> DataFrame:
-    """One table as successive batches by ascending id: (doc, n_words, n_removed, kept), a row for each row."""
+    With carry, also each row's text and, as a struct named row, its other columns: an id does not tell rows apart."""
     scratch = scratch or Scratch(df.sparkSession, "op2")
     log = FingerprintLog(scratch)
-    docs = df.select(F.col(doc).cast("long").alias("doc"), F.col(text).cast("string").alias("text"))
+    docs = df.select(F.col(doc).cast("long").alias("doc"), F.col(text).cast("string").alias("text"), *[F.struct(*(F.col(f"`{c}`") for c in df.columns if c != text)).alias("row")] * carry)
     cuts = sorted(set(docs.approxQuantile("doc", [k / batches for k in range(1, batches)], 0.01))) if batches > 1 else []
     edges, out = [None, *(int(c) for c in cuts), None], None
     for k in range(len(edges) - 1):
@@ -256,7 +263,8 @@ def substring_dedup(df: DataFrame, doc: str = "doc_id", text: str = "text", batc
         batch = docs.where(here if lo is None else here & (F.col("doc") > lo))
         done = dedup_batch(batch, log, docs.where(here), f"b{k}", append=hi is not None)
         out = done if out is None else out.unionByName(done)
-    return out.unionByName(_cut(docs.where("doc is null").withColumns({c: F.lit(None).cast("array<struct<h:bigint,x:bigint>>") for c in ("whole", "single")})))
+    none = [F.lit(None).cast("array<struct<h:bigint,x:bigint>>").alias(c) for c in ("whole", "single")]
+    return out.unionByName(_cut(docs.where("doc is null").select("doc", "text", *none, *docs.columns[2:])))
 
 
 def op2_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -102,3 +102,27 @@ def test_near_texts_are_verified(spark):
     rows = [(1, " ".join(base)), (2, " ".join(base[:150] + ["new"] + base[151:])), (3, " ".join(base[:150] + [f"v{k}" for k in range(150)])), (4, " ".join(f"z{k}" for k in range(300))), (5, " ".join(base).upper()), (None, " ".join(base)), (6, None), (7, "")]
     got = {r.doc: r.first.doc for r in near_texts.near_text_classes(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
     assert got == {1: 1, 2: 1, 3: 3, 4: 4, 5: 1, 6: 6, 7: 6}
+
+
+def test_no_pair_of_similar_sets_is_missed():
+    rng = np.random.default_rng(5)
+    for n in [*range(1, 60), 100, 270, 1000, 5000]:
+        for _ in range(20):  # in all sizes and ways to differ as far as the similarity lets them
+            a = rng.integers(0, 1 << 63, n).astype(np.uint64)
+            gone = int(rng.integers(0, n // 5 + 1))
+            b = a[gone:]
+            while len(b) < n and 5 * (n - gone) >= 4 * (len(b) + 1 + gone):
+                b = np.append(b, rng.integers(0, 1 << 63, 1).astype(np.uint64))
+            sets = [np.sort(a), np.sort(b)]
+            key, of = near_texts.part_keys(np.concatenate(sets), np.repeat([0, 1], [len(x) for x in sets]), 2, 0.8)
+            assert np.intersect1d(key[of == 0], key[of == 1]).size, (n, gone, len(b))
+
+
+def test_near_texts_lose_no_pair(spark):
+    rng = random.Random(3)
+    rows = []
+    for k in range(400):  # 240 of 300 five-word shingles are in both: a similarity of exactly 0.8
+        base = [f"w{rng.getrandbits(40)}" for _ in range(274)]
+        rows += [(2 * k, " ".join(base)), (2 * k + 1, " ".join(base[:244] + [f"w{rng.getrandbits(40)}" for _ in range(30)]))]
+    got = {r.doc: r.first.doc for r in near_texts.near_text_classes(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert got == {i: i - i % 2 for i, _ in rows}

@@ -28,7 +28,7 @@ from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from ..shipping import ship
-from .units import _CODECS, Codec, text_slices
+from .units import _CODECS, Codec, byte_letters, text_slices
 
 VOCABULARY = "word_bpe_49k.json"
 _NONE = np.int64(1) << 40
@@ -36,13 +36,6 @@ _NONE = np.int64(1) << 40
 _CUT = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\p{White_Space}\p{L}\p{N}]+")
 
 
-def _byte_letters() -> dict[int, str]:
-    """The printable letter by which vocabularies of this kind write each byte."""
-    plain = [*range(33, 127), *range(161, 173), *range(174, 256)]
-    rest = [b for b in range(256) if b not in set(plain)]
-    return {b: chr(b) for b in plain} | {b: chr(256 + k) for k, b in enumerate(rest)}
-
-
 class BytePairs:
     """A merge table whose ids ascend with merge rank, with word ends marked."""
 
@@ -54,7 +47,7 @@ class BytePairs:
         self.special = {t["content"]: t["id"] for t in file["added_tokens"]}
         self.vocab = model["vocab"]
         self.name = {i: s for s, i in self.vocab.items()} | {i: s for s, i in self.special.items()}
-        self.letters = _byte_letters()
+        self.letters = byte_letters()
         self.merge = {(self.vocab[a], self.vocab[b]): self.vocab[a + b] for a, b in model["merges"]}
         size = max(self.vocab.values()) + 1
         self.left, self.right = np.arange(size), np.arange(size)
@@ -196,7 +189,7 @@ class BytePairs:
 
 def pair_codec(path: str) -> Codec:
     if ("pairs", path) not in _CODECS:
-        _CODECS["pairs", path] = Codec(BytePairs(path).units, False, lambda parts: (b"".join([p[0] for p in parts]), b"".join([p[1] for p in parts])))
+        _CODECS["pairs", path] = Codec(BytePairs(path).units, lambda parts: (b"".join([p[0] for p in parts]), b"".join([p[1] for p in parts])))
     return _CODECS["pairs", path]
 
 

@@ -1,21 +1,26 @@
 """Token ids in checksummed blocks, coded by an adaptive context-mixing range coder.
 
 Documents, in ascending id order, are encoded and cut into blocks of whole documents. Every
-block starts from a reset model and can be read alone. An id's probability mixes three
-predictions: the id that last followed the two ids before it (order 2), the one that last
-followed the id before it (order 1), and adaptive frequencies of all ids (order 0). The
-weights are adaptive too: counts of which prediction has been right, kept for each state of
-the first two predictions' confidence and agreement. A range coder codes which prediction
-holds, and then, where it is order 0, the id.
-
-A block is coded in lanes, each a stretch of its ids with a coder of its own, all in step
-and sharing the model: what step t of all lanes teaches is known at step t + 1. So coder and
-model work on vectors. Block layout, little-endian: ``PLX1``, ids, documents, lanes,
-vocabulary, crc32 of what follows (five unsigned 32-bit integers), then 64-bit document ids
-(null as the least one), 32-bit token counts, 32-bit lengths of the lanes' streams, and the
-streams as 16-bit units. Files are Parquet with a row for each block, written and read by
-Spark only, in the shared folder; (part, block) is their order, and a row says how many ids
-of its part come before it.
+block starts from a reset model and can be read alone. A block's ids are the leaves of a tree
+with ``WAYS`` branches at a node (a Huffman code of the block's own counts, so a frequent id is
+near the root), and coding an id is coding the branch at each node on its way. A branch is
+predicted by three adaptive tables of frequencies: of the node alone (order 0), of the node
+after the id before (order 1), and of the node after the two ids before (order 2; contexts by
+hash). Their distributions are mixed by weights that adapt too, kept for each level of the
+tree's depth, up to ``LEVELS``, and each state of how often the two longer contexts have been
+seen. The range coder codes the branch by the mixture.
+
+A block is coded in lanes, each a stretch of its ids with a coder of its own, all in step and
+sharing the model: what step t of all lanes teaches is known at step t + 1. So coder and model
+work on vectors. Frequencies are whole numbers below 2 ** 24 in single precision and all other
+arithmetic on them is elementwise or sums in a fixed order, so both sides compute the same.
+
+Block layout, little-endian: ``PLX2``, ids, documents, lanes, vocabulary, bytes of the packed
+code lengths, crc32 of what follows (six unsigned 32-bit integers), then 64-bit document ids
+(null as the least one), 32-bit token counts, 32-bit lengths of the lanes' streams, the code
+lengths of the whole vocabulary (bytes, by zlib), and the streams as 16-bit units. Files are
+Parquet with a row for each block, written and read by Spark only, in the shared folder;
+(part, block) is their order, and a row says how many ids of its part come before it.
 
 Defined cases: null and empty texts have the end id alone; a null id sorts first and reads
 back as null; rows of one id follow each other in the order of their texts; an empty table
@@ -24,6 +29,7 @@ gives no blocks and an empty result. A document of any length is in one block.
 
 from __future__ import annotations
 
+import heapq
 import struct
 import zlib
 from collections.abc import Iterator
@@ -40,186 +46,271 @@ from .units import library_codec, text_slices
 VOCABULARY = "byte_bpe_50k.json"
 END_ID = 0
 IDS = 50257
-#: Ids after which a block ends with the document; lanes of a full block.
-BLOCK, LANES = 1 << 20, 8192
-_MAGIC = b"PLX1"
-_HASH = 18
-_STEP = 12
-_MOST = 1 << 22  # of a total of frequencies
-_TOP, _LOW, _MASK = np.uint64(1 << 32), np.uint64(1 << 24), np.uint64((1 << 48) - 1)
-_UNIT = np.uint64(16)
+#: Ids after which a block ends with the document; lanes of a full block, and the least ids of a lane in a smaller one.
+BLOCK, LANES, STEPS = 1 << 20, 4096, 256
+#: Branches at a node, and levels of the tree whose weights are kept apart.
+WAYS, LEVELS = 16, 4
+_MAGIC, _HEAD = b"PLX2", struct.Struct("<6I")
+_F, _U = np.float32, np.uint64
+#: Of the three tables: what a branch's frequency grows by, and the total beyond which a node's are halved.
+_STEP = (_F(8), _F(16), _F(24))
+_MOST = (_F(1 << 18), _F(1 << 14), _F(1 << 12))
+_STATES = 8  # of how often a context has been seen
+_HEAVY = 4096.0
+_ONE = 1 << 16  # what the branches' widths add up to
+_ROOM = _ONE - 2 * WAYS - 4  # of it, what the mixture deals out
+_FULL = (1 << 48) - 1
+_HALF, _TOP, _LOW = _U(16), _U(32), _U((1 << 32) - 1)
+_SUM, _BELOW = np.ones(WAYS, _F), np.triu(np.ones((WAYS, WAYS), _F))
+
+
+def code_lengths(count: np.ndarray) -> np.ndarray:
+    """For each id, the depth of its leaf in the Huffman tree of these counts; 0 where the count is."""
+    ids, out = np.flatnonzero(count), np.zeros(len(count), np.uint8)
+    if len(ids) < 2:
+        out[ids] = 1
+        return out
+    heap = [(int(c), k) for k, c in enumerate(count[ids])]
+    heap += [(0, len(ids) + k) for k in range(-(len(ids) - 1) % (WAYS - 1))]  # leaves of no id fill the deepest node
+    parent, leaves = [0] * len(heap), len(ids)
+    heapq.heapify(heap)
+    while len(heap) > 1:
+        some = [heapq.heappop(heap) for _ in range(WAYS)]
+        for _, k in some:
+            parent[k] = len(parent)
+        heapq.heappush(heap, (sum(c for c, _ in some), len(parent)))
+        parent.append(0)
+    depth = [0] * len(parent)
+    for k in range(len(parent) - 2, -1, -1):
+        depth[k] = depth[parent[k]] + 1
+    out[ids] = depth[:leaves]
+    return out
+
+
+class Tree:
+    """The canonical code of some lengths: nodes and branches of each id by depth, and where branches lead."""
+
+    def __init__(self, length: np.ndarray):
+        ids = np.lexsort((np.arange(len(length)), length))
+        ids = ids[length[ids] > 0]
+        of = length[ids].astype(np.int64)
+        self.length, self.depth = length, int(of.max(initial=0))
+        code, first, at = np.zeros(len(ids), np.int64), 0, 0
+        for d in range(1, self.depth + 1):
+            n = int((of == d).sum())
+            code[at : at + n] = first + np.arange(n)
+            first, at = (first + n) * WAYS, at + n
+        self.node = np.zeros((self.depth, len(length)), np.int64)
+        self.way = np.zeros((self.depth, len(length)), np.int64)
+        self.nodes = 0
+        for d in range(self.depth):
+            live = of > d
+            rest = code[live] // WAYS ** (of[live] - d - 1)
+            kinds, which = np.unique(rest // WAYS, return_inverse=True)
+            self.node[d, ids[live]], self.way[d, ids[live]] = self.nodes + which, rest % WAYS
+            self.nodes += len(kinds)
+        self.next = np.full(self.nodes * WAYS, -1)  # a node, or -1 - id
+        for d in range(self.depth):
+            live = ids[of > d]
+            last = self.length[live] == d + 1
+            self.next[self.node[d, live] * WAYS + self.way[d, live]] = np.where(last, -1 - live, self.node[min(d + 1, self.depth - 1), live])
 
 
 class Mixer:
-    """The three predictions of a block, and their weights."""
-
-    def __init__(self, ids: int):
-        self.count, self.ids, self.total = np.ones(ids, np.int64), ids, ids
-        self.last1, self.sure1 = np.full(ids + 1, -1), np.zeros(ids + 1, np.int64)
-        self.last2, self.sure2 = np.full(1 << _HASH, -1), np.zeros(1 << _HASH, np.int64)
-        self.weight = np.tile(np.array([4, 4, 8], np.int64), (32, 1))
-
-    def predict(self, one: np.ndarray, two: np.ndarray) -> None:
-        """For each lane's two ids before (ids where there is none): predictions and weights of 2 ** 16 together."""
-        self.one = one
-        self.slot = (((two * 0x9E3779B1 + one) * 0x85EBCA6B) >> 13) & ((1 << _HASH) - 1)
-        self.p1, self.p2 = self.last1[one], self.last2[self.slot]
-        self.s1, self.s2 = self.sure1[one], self.sure2[self.slot]
-        self.state = self.s2 * 8 + self.s1 * 2 + (self.p1 == self.p2)
-        share = np.maximum(1, self.weight * 65000 // self.weight.sum(axis=1, keepdims=True))
-        self.f2, self.f1 = share[self.state, 0], share[self.state, 1]
-
-    def interval(self, kind: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Start and width of what each lane's choice of prediction has of 2 ** 16."""
-        both = self.f2 + self.f1
-        start = np.where(kind == 0, 0, np.where(kind == 1, self.f2, both))
-        return start, np.where(kind == 0, self.f2, np.where(kind == 1, self.f1, 65536 - both))
-
-    def start_ids(self) -> tuple[np.ndarray, int]:
-        cum = np.empty(self.ids + 1, np.int64)
-        cum[0] = 0
-        np.cumsum(self.count, out=cum[1:])
-        return cum, self.total
-
-    def learn(self, x: np.ndarray, kind: np.ndarray) -> None:
-        self.weight += 16 * np.bincount(self.state * 3 + kind, minlength=96).reshape(32, 3)
-        heavy = self.weight.sum(axis=1) > 1 << 20
-        self.weight[heavy] = (self.weight[heavy] >> 1) + 1
-        np.add.at(self.count, x, _STEP)
-        self.total += _STEP * len(x)
-        if self.total > _MOST - _STEP * LANES:
-            self.count = (self.count + 1) >> 1
-            self.total = int(self.count.sum())
-        for last, sure, at, p, s in ((self.last1, self.sure1, self.one, self.p1, self.s1), (self.last2, self.sure2, self.slot, self.p2, self.s2)):
-            right = p == x
-            last[at] = np.where(right | (s > 1), p, x)  # of lanes with one context the last counts
-            sure[at] = np.where(right, np.minimum(s + 1, 3), np.where(s > 1, s - 1, 1))
+    """The three tables of a block, and the weights of their predictions."""
+
+    def __init__(self, nodes: int, ids: int):
+        n = ids.bit_length()
+        self.bits = (min(16, max(8, n - 4)), min(17, max(8, n - 3)))
+        self.table = [np.ones((nodes, WAYS), _F), *(np.zeros((1 << b, WAYS), _F) for b in self.bits)]
+        self.weight = np.full((LEVELS, 3, _STATES * _STATES), 2.0)
+        self.share = [self._share(w) for w in self.weight]
+
+    @staticmethod
+    def _share(weight: np.ndarray) -> np.ndarray:
+        return (weight * (_ROOM / (weight[0] + weight[1] + weight[2]))).astype(_F)
+
+    def predict(self, level: int, node: np.ndarray, key1: np.ndarray, key2: np.ndarray) -> np.ndarray:
+        """Upper ends of the branches' intervals of _ONE, a row for each lane."""
+        step = node * 0x2545F4914F6CDD1D
+        at = [(k + step) * 0x9E3779B97F4A7C1 >> (62 - b) & ((1 << b) - 1) for k, b in zip((key1, key2), self.bits, strict=True)]
+        self.level, self.row = min(level, LEVELS - 1), (node, *at)
+        self.held = [t.take(k, axis=0) for t, k in zip(self.table, self.row, strict=True)]
+        self.total = [h @ _SUM for h in self.held]
+        one, two = (np.clip(np.frexp(t)[1] - 4, 0, _STATES - 1) for t in self.total[1:])
+        self.state = one * _STATES + two
+        self.each = [s.take(self.state) / np.maximum(t, _F(1)) for s, t in zip(self.share[self.level], self.total, strict=True)]
+        width = self.held[0] * self.each[0][:, None]
+        for h, e in zip(self.held[1:], self.each[1:], strict=True):
+            width += h * e[:, None]
+        np.floor(width, out=width)
+        width += _F(1)
+        below = width @ _BELOW
+        below[:, -1] = _ONE
+        return below
+
+    def learn(self, way: np.ndarray, at: np.ndarray) -> None:
+        """The branches taken; at: their places in the last prediction, as one row."""
+        part = [h.reshape(-1).take(at) * e for h, e in zip(self.held, self.each, strict=True)]
+        whole = part[0] + part[1] + part[2] + _F(1e-6)
+        w = self.weight[self.level]
+        for k in range(3):
+            w[k] += np.bincount(self.state, part[k] / whole, _STATES * _STATES)
+        w[:, w[0] + w[1] + w[2] > _HEAVY] *= 0.5
+        self.share[self.level] = self._share(w)
+        for t, row, total, most, step in zip(self.table, self.row, self.total, _MOST, _STEP, strict=True):
+            big = row[total > most]
+            if len(big):
+                t[big] = np.ceil(t.take(big, axis=0) * _F(0.5))
+            np.add.at(t.reshape(-1), row * WAYS + way, step)
 
 
 class Encoder:
+    """Range coders of all lanes. Carries stay in the units, which have room, and are settled at the end."""
+
     def __init__(self, lanes: int, steps: int):
-        self.low, self.range = np.zeros(lanes, np.uint64), np.full(lanes, _MASK)
-        self.out, self.n = np.zeros((lanes, 5 * steps + 16), np.uint16), np.zeros(lanes, np.int64)
-
-    def put(self, lane: np.ndarray | slice, start: np.ndarray, freq: np.ndarray, total: int) -> None:
-        """Codes an interval in each of the lanes; a slice means the first ones."""
-        rng = self.range[lane] // np.uint64(total)
-        low = self.low[lane] + start.astype(np.uint64) * rng
-        rng *= freq.astype(np.uint64)
-        a, r, at = low, rng, np.arange(len(low))
-        while len(at):
-            done = (a ^ (a + r)) < _TOP
-            tight = ~done & (r < _LOW)
-            move = done | tight
-            at, a, r = at[move], a[move], np.where(tight, (np.uint64(0) - a) & (_LOW - np.uint64(1)), r)[move]
-            self._emit(at if isinstance(lane, slice) else lane[at], a)
-            a, r = (a << _UNIT) & _MASK, r << _UNIT
-            low[at], rng[at] = a, r
+        self.low, self.range = np.zeros(lanes, _U), np.full(lanes, _FULL, _U)
+        self.out, self.n = np.zeros((steps + 4, lanes), np.uint32), np.zeros(lanes, np.int64)
+
+    def put(self, lane: np.ndarray, start: np.ndarray, width: np.ndarray) -> None:
+        rng = self.range.take(lane) >> _HALF
+        low = self.low.take(lane) + start * rng
+        rng *= width
+        few = np.flatnonzero(rng <= _LOW)
+        if len(few):
+            low[few] = self._emit(lane[few], low[few])
+            rng[few] <<= _HALF
         self.low[lane], self.range[lane] = low, rng
 
-    def _emit(self, lane: np.ndarray, low: np.ndarray) -> None:
-        self.out[lane, self.n[lane]] = low >> np.uint64(32)
-        self.n[lane] += 1
+    def _emit(self, lane: np.ndarray, low: np.ndarray) -> np.ndarray:
+        n = self.n[lane]
+        if int(n.max()) >= len(self.out):
+            self.out = np.concatenate([self.out, np.zeros_like(self.out)])
+        self.out[n, lane] = low >> _TOP
+        self.n[lane] = n + 1
+        return (low & _LOW) << _HALF
 
     def end(self) -> tuple[np.ndarray, bytes]:
+        """Units of each lane, and all of them, lane by lane."""
         every = np.arange(len(self.low))
         for _ in range(3):
-            self._emit(every, self.low)
-            self.low = (self.low << _UNIT) & _MASK
-        used = np.arange(self.out.shape[1]) < self.n[:, None]
-        return self.n.astype("<u4"), self.out[used].astype("<u2").tobytes()
+            self.low = self._emit(every, self.low)
+        for k in range(len(self.out) - 1, 0, -1):
+            self.out[k - 1] += self.out[k] >> 16
+        used = np.arange(len(self.out)) < self.n[:, None]
+        return self.n.astype("<u4"), self.out.astype("<u2").T[used].tobytes()
 
 
 class Decoder:
     def __init__(self, sizes: np.ndarray, units: np.ndarray):
-        self.units = np.append(units, np.zeros(4, units.dtype)).astype(np.uint64)
+        self.units = np.append(units, np.zeros(4, units.dtype)).astype(_U)
         self.at = np.cumsum(sizes) - sizes
-        self.low, self.range, self.code = np.zeros(len(sizes), np.uint64), np.full(len(sizes), _MASK), np.zeros(len(sizes), np.uint64)
+        self.range, self.code = np.full(len(sizes), _FULL, _U), np.zeros(len(sizes), _U)
         for _ in range(3):
-            self.code = (self.code << _UNIT) | self.units[self.at]
+            self.code = (self.code << _HALF) | self.units[self.at]
             self.at += 1
 
-    def peek(self, lane: np.ndarray | slice, total: int) -> np.ndarray:
-        self.part = self.range[lane] // np.uint64(total)
-        return np.minimum((self.code[lane] - self.low[lane]) // self.part, np.uint64(total - 1)).astype(np.int64)
-
-    def take(self, lane: np.ndarray | slice, start: np.ndarray, freq: np.ndarray) -> None:
-        low, rng, code = self.low[lane] + start.astype(np.uint64) * self.part, self.part * freq.astype(np.uint64), self.code[lane]
-        a, r, at = low, rng, np.arange(len(low))
-        while len(at):
-            done = (a ^ (a + r)) < _TOP
-            tight = ~done & (r < _LOW)
-            move = done | tight
-            at, a, r = at[move], a[move], np.where(tight, (np.uint64(0) - a) & (_LOW - np.uint64(1)), r)[move]
-            who = at if isinstance(lane, slice) else lane[at]
+    def get(self, lane: np.ndarray, below: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Branches taken, and their places in below as one row."""
+        rng, code = self.range.take(lane) >> _HALF, self.code.take(lane)
+        v = np.minimum(code // rng, _U(_ONE - 1)).astype(_F)
+        way = np.bitwise_count(np.packbits(below <= v[:, None]).view(np.uint16)).astype(np.int64)
+        at = np.arange(len(lane)) * WAYS + way
+        start, width = _interval(below, way, at)
+        code -= start * rng
+        rng *= width
+        few = np.flatnonzero(rng <= _LOW)
+        if len(few):
+            who = lane[few]
             place = self.at[who]
-            code[at] = ((code[at] << _UNIT) & _MASK) | self.units[place]
+            code[few] = (code[few] << _HALF) | self.units[place]
             self.at[who] = place + 1
-            a, r = (a << _UNIT) & _MASK, r << _UNIT
-            low[at], rng[at] = a, r
-        self.low[lane], self.range[lane], self.code[lane] = low, rng, code
+            rng[few] <<= _HALF
+        self.code[lane], self.range[lane] = code, rng
+        return way, at
+
+
+def _interval(below: np.ndarray, way: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    flat = below.reshape(-1)
+    start = np.where(way > 0, flat.take(at - (way > 0)), _F(0))
+    return start.astype(_U), (flat.take(at) - start).astype(_U)
 
 
 def _shape(n: int) -> tuple[int, int]:
     """(lanes, steps) for so many ids."""
-    steps = max(1, min(64, n)) if n < 64 * LANES else -(-n // LANES)
+    steps = max(min(STEPS, n), -(-n // LANES))
     return -(-n // steps), steps
 
 
+def _keys(one: np.ndarray, two: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Of the contexts of one id and of two."""
+    k = one * 0x1F83D9ABFB41BD6B
+    return k, two * 0x5BE0CD19137E2179 + 7 * k + 1
+
+
 def encode_block(ids: np.ndarray, docs: np.ndarray, counts: np.ndarray, vocabulary: int = IDS) -> bytes:
     lanes, steps = _shape(len(ids))
-    mixer, coder = Mixer(vocabulary), Encoder(lanes, steps)
-    grid = np.full(lanes * steps, vocabulary)
+    tree = Tree(code_lengths(np.bincount(ids, minlength=vocabulary)))
+    mixer, coder = Mixer(tree.nodes, len(ids)), Encoder(lanes, steps)
+    grid = np.full(lanes * steps, vocabulary)  # that number stands for no id
     grid[: len(ids)] = ids
     grid = np.ascontiguousarray(grid.reshape(lanes, steps).T)
-    none = np.full(lanes, vocabulary)
+    none, every = np.full(lanes, vocabulary), np.arange(lanes)
     for t in range(steps):
         n = -(-(len(ids) - t) // steps)
-        live, x = slice(0, n), grid[t, :n]
-        mixer.predict((grid[t - 1] if t else none)[:n], (grid[t - 2] if t > 1 else none)[:n])
-        kind = np.where(x == mixer.p2, 0, 2 - (x == mixer.p1))
-        coder.put(live, *mixer.interval(kind), 65536)
-        new = np.flatnonzero(kind == 2)
-        if len(new):
-            cum, total = mixer.start_ids()
-            coder.put(new, cum[x[new]], mixer.count[x[new]], total)
-        mixer.learn(x, kind)
+        x, lane = grid[t, :n], every[:n]
+        key1, key2 = _keys((grid[t - 1] if t else none)[:n], (grid[t - 2] if t > 1 else none)[:n])
+        for d in range(tree.depth):
+            if d:
+                more = np.flatnonzero(tree.length.take(x) > d)
+                if not len(more):
+                    break
+                x, lane, key1, key2 = (v.take(more) for v in (x, lane, key1, key2))
+            way = tree.way[d].take(x)
+            below, at = mixer.predict(d, tree.node[d].take(x), key1, key2), np.arange(len(x)) * WAYS + way
+            coder.put(lane, *_interval(below, way, at))
+            mixer.learn(way, at)
     sizes, streams = coder.end()
-    body = docs.astype("<i8").tobytes() + counts.astype("<u4").tobytes() + sizes.tobytes() + streams
-    return _MAGIC + struct.pack("<5I", len(ids), len(docs), lanes, vocabulary, zlib.crc32(body)) + body
+    lengths = zlib.compress(tree.length.tobytes())
+    body = docs.astype("<i8").tobytes() + counts.astype("<u4").tobytes() + sizes.tobytes() + lengths + streams
+    return _MAGIC + _HEAD.pack(len(ids), len(docs), lanes, vocabulary, len(lengths), zlib.crc32(body)) + body
 
 
 def decode_block(block: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(ids, documents, token counts) of a block; an error where its checksum doesn't hold."""
-    n, n_docs, lanes, vocabulary, crc = struct.unpack_from("<5I", block, 4)
-    if block[:4] != _MAGIC or zlib.crc32(memoryview(block)[24:]) != crc:
+    at = len(_MAGIC) + _HEAD.size
+    if block[: len(_MAGIC)] != _MAGIC or len(block) < at:
+        raise ValueError("not a token block")
+    n_ids, n_docs, lanes, vocabulary, packed, crc = _HEAD.unpack_from(block, len(_MAGIC))
+    if zlib.crc32(memoryview(block)[at:]) != crc:
         raise ValueError("a token block is damaged")
-    docs = np.frombuffer(block, "<i8", n_docs, 24)
-    counts = np.frombuffer(block, "<u4", n_docs, 24 + 8 * n_docs)
-    sizes = np.frombuffer(block, "<u4", lanes, 24 + 12 * n_docs).astype(np.int64)
-    coder = Decoder(sizes, np.frombuffer(block, "<u2", -1, 24 + 12 * n_docs + 4 * lanes))
-    steps = _shape(n)[1]
-    mixer, grid, none = Mixer(vocabulary), np.full((steps, lanes), vocabulary), np.full(lanes, vocabulary)
+    docs = np.frombuffer(block, "<i8", n_docs, at)
+    counts = np.frombuffer(block, "<u4", n_docs, at + 8 * n_docs)
+    at += 12 * n_docs
+    sizes = np.frombuffer(block, "<u4", lanes, at).astype(np.int64)
+    at += 4 * lanes
+    tree = Tree(np.frombuffer(zlib.decompress(block[at : at + packed]), np.uint8))
+    coder, steps = Decoder(sizes, np.frombuffer(block, "<u2", -1, at + packed)), _shape(n_ids)[1]
+    mixer, grid = Mixer(tree.nodes, n_ids), np.full((steps, lanes), vocabulary)
+    none, every = np.full(lanes, vocabulary), np.arange(lanes)
     for t in range(steps):
-        live = slice(0, -(-(n - t) // steps))
-        mixer.predict((grid[t - 1] if t else none)[live], (grid[t - 2] if t > 1 else none)[live])
-        v = coder.peek(live, 65536)
-        kind = (v >= mixer.f2).astype(np.int64) + (v >= mixer.f2 + mixer.f1)
-        coder.take(live, *mixer.interval(kind))
-        x = np.where(kind == 0, mixer.p2, mixer.p1)
-        new = np.flatnonzero(kind == 2)
-        if len(new):
-            cum, total = mixer.start_ids()
-            x[new] = np.searchsorted(cum, coder.peek(new, total), "right") - 1
-            coder.take(new, cum[x[new]], mixer.count[x[new]])
-        grid[t, live] = x
-        mixer.learn(x, kind)
-    return grid.T.ravel()[:n], docs, counts
+        n, d = -(-(n_ids - t) // steps), 0
+        key1, key2 = _keys((grid[t - 1] if t else none)[:n], (grid[t - 2] if t > 1 else none)[:n])
+        lane, node = every[:n], np.zeros(n, np.int64)
+        while len(lane):
+            way, at = coder.get(lane, mixer.predict(d, node, key1, key2))
+            mixer.learn(way, at)
+            to = tree.next.take(node * WAYS + way)
+            leaf = to < 0
+            grid[t, lane[leaf]] = -1 - to[leaf]
+            more = np.flatnonzero(~leaf)
+            lane, node, key1, key2, d = lane.take(more), to.take(more), key1.take(more), key2.take(more), d + 1
+    return grid.T.ravel()[:n_ids], docs, counts
 
 
 def _encoded(batches: Iterator[pa.RecordBatch], path: str) -> Iterator[tuple[int, np.ndarray]]:
     """(id, token ids with the end id) of rows (doc, text)."""
-    codec, end = library_codec(path, True), np.array([END_ID], "<u4")
+    codec, end = library_codec(path), np.array([END_ID], "<u4")
     for b in batches:
         ids = b.column(0).fill_null(-(1 << 63)).to_numpy()
         for a, texts in text_slices(b.column(1)):

@@ -49,7 +49,7 @@ def pieces(docs: DataFrame, vocabulary: str, capacity: int = CAPACITY, ids: bool
     names = ["doc", "piece", "start", "length", "crc", *["ids"] * ids]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        codec = library_codec(vocabulary, False)
+        codec = library_codec(vocabulary)
         end = np.array([END_ID], "<u4").tobytes()
         for b in batches:
             for a, texts in text_slices(b.column(1)):

@@ -1,14 +1,17 @@
 """The parts on which the queries stand."""
 
 import bisect
+import math
 import random
+from collections import Counter
 
 import numpy as np
+import public_tokenizers
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
-from polylex.llm import components, near_texts, op7_token_store, op8_best_fit_packing, op9_sharding, op10_embedding_dedup
+from polylex.llm import components, near_texts, op7_token_store, op8_best_fit_packing, op9_sharding, op10_embedding_dedup, units
 from polylex.llm.op5_simhash_dedup import near_pairs
 from polylex.llm.scratch import Scratch, shared_root
 
@@ -60,6 +63,38 @@ def test_a_damaged_block_is_refused():
         op7_token_store.decode_block(bytes(block))
 
 
+def _made_ids(n, kinds=2000):
+    """Ids of which each depends on the one before, as in texts."""
+    rng = np.random.default_rng(4)
+    follow = rng.integers(0, kinds, (kinds, 12)) * 25
+    skew = np.minimum(rng.geometric(0.3, n) - 1, 11)
+    out = np.zeros(n, np.int64)
+    for k in range(1, n):
+        out[k] = follow[out[k - 1] // 25, skew[k]] if k % 7 else rng.integers(0, kinds) * 25
+    return out
+
+
+@pytest.mark.parametrize("n", [20_000, 150_000])
+def test_blocks_are_smaller_than_by_adaptive_order_0(n):
+    ids, count, bits = _made_ids(n), Counter(), 0.0
+    for k, x in enumerate(ids.tolist()):
+        bits -= math.log2((12 * count[x] + 1) / (12 * k + op7_token_store.IDS))
+        count[x] += 1
+    block = op7_token_store.encode_block(ids, np.array([1]), np.array([n]))
+    assert (op7_token_store.decode_block(block)[0] == ids).all()
+    assert 8 * len(block) < 0.95 * bits
+
+
+@pytest.mark.parametrize("name", ["byte_bpe_50k.json", "word_bpe_49k.json"])
+def test_ids_are_the_librarys(name):
+    ranks, rng = units.Ranks(public_tokenizers.path(name)), random.Random(6)
+    pool = [chr(c) for c in range(0x250)] + list("áßİıΣσςéñ漢字仮名अनु😀—’“”…\u200b\u3000\xa0\u0301ﬁ½²٣") + ["<|endoftext|>", "<|startoftext|>", " ", "  ", "\n", "'s", "'LL"] + ["the", "Water", "x"] * 20
+    texts = ["".join(rng.choice(pool) for _ in range(rng.randint(0, 40))) for _ in range(4000)] + [None, "a" * 5000, "".join(rng.choice("abcdefgh") for _ in range(5000))]
+    assert ranks.quick is not None and len(ranks.bad) < 60
+    want = [np.array(e.ids, "<u4").tobytes() for e in ranks.library.encode_batch([t or "" for t in texts], add_special_tokens=False)]
+    assert ranks.texts(texts) == want
+
+
 def test_plans_place_every_piece():
     rng = random.Random(3)
     counts = {x: rng.randint(1, 30) for x in rng.sample(range(1, 2049), 400)}

@@ -11,6 +11,9 @@ from pyspark.sql import functions as F
 
 from .scratch import Scratch
 
+#: Tasks over which deal spreads the rows of a key.
+SALTS = 64
+
 
 def components(links: DataFrame, scratch: Scratch, name: str = "links") -> DataFrame:
     """(node, component): least reachable node, for every node of links (a, b).
@@ -44,6 +47,17 @@ def _mark(links: DataFrame) -> tuple:
     return tuple(links.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first())
 
 
+def labels(nodes: DataFrame, links: DataFrame, scratch: Scratch, name: str = "links") -> DataFrame:
+    """nodes (node, own, ...) with component: the least own that a node can reach by links (a, b) of nodes.
+
+    A node is unique, what it is called by (own) need not be.
+    """
+    comp = components(links, scratch, name)
+    least = nodes.select("node", "own").join(comp, "node").groupBy("component").agg(F.min("own").alias("__least"))
+    named = comp.join(least, "component").select("node", "__least")
+    return nodes.join(named, "node", "left").withColumn("component", F.coalesce("__least", "own")).drop("__least")
+
+
 def roots(n: int, a: np.ndarray, b: np.ndarray) -> np.ndarray:
     """For n rows linked by (a, b), the least row that each can reach."""
     p = np.arange(n)
@@ -63,13 +77,17 @@ def deal(rows: DataFrame, key: str, node: str, limit: int) -> DataFrame:
 
     A key of at most limit rows is one cell (0, 0). A larger one is cut into parts of about
     limit rows, and each pair of parts is a cell, so that all pairs of rows meet exactly once
-    (rows of part one with rows of part two) and no task holds more than two parts.
+    (rows of part one with rows of part two) and no task holds more than two parts. The rows
+    learn their key's number of parts by a join on key and salt, so a hot key is in SALTS
+    tasks from the start. rows are read twice: settle what is dear to compute.
     """
-    hot = rows.groupBy(key).agg(F.count("*").alias("__n")).where(F.col("__n") > limit).select(key, F.ceil(F.col("__n") / limit).cast("int").alias("__parts"))
-    x = rows.join(hot, key, "left").withColumn("__parts", F.coalesce("__parts", F.lit(1)))
+    salt = F.pmod(F.xxhash64(node, F.lit(11)), F.lit(SALTS)).cast("int")
+    hot = rows.groupBy(key).agg(F.count("*").alias("__n")).where(F.col("__n") > limit)
+    hot = hot.select(key, F.ceil(F.col("__n") / limit).cast("int").alias("__parts"), F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("__salt"))
+    x = rows.withColumn("__salt", salt).join(hot, [key, "__salt"], "left").withColumn("__parts", F.coalesce("__parts", F.lit(1)))
     x = x.withColumn("part", F.pmod(F.xxhash64(node, F.lit(7)), F.col("__parts")).cast("int"))
     x = x.withColumn("__other", F.explode(F.sequence(F.lit(0), F.col("__parts") - 1)))
-    return x.withColumns({"one": F.least("part", "__other"), "two": F.greatest("part", "__other")}).drop("__parts", "__other")
+    return x.withColumns({"one": F.least("part", "__other"), "two": F.greatest("part", "__other")}).drop("__parts", "__other", "__salt")
 
 
 def cells(batches: Iterator[pa.RecordBatch], keys: tuple[str, ...], rows: int) -> Iterator[pa.RecordBatch]:

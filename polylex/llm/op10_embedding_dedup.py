@@ -12,7 +12,7 @@ connecting links leave a cell, never its pairs.
 Defined cases: a vector that is null, empty, zero, or has a null or non-finite component
 links with nothing, and is its own component; a null id likewise, with a null component, and
 is kept. Vectors of different lengths never link. Repeated rows are vectors of their own:
-each counts the others. An empty table gives an empty result.
+each counts the others; rows that share an id but not their vector have each their own links. An empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .components import cells, components, deal, edges_of, roots
+from .components import cells, deal, edges_of, labels, roots
 from .scratch import Scratch
 
 THRESHOLD = 0.9
@@ -61,26 +61,31 @@ def _matrix(col: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return col.values.to_numpy(zero_copy_only=False), off
 
 
-def _buckets(nodes: DataFrame, bits: int, tables: int) -> DataFrame:
-    """(key, own, weight, sig, vec): a row for each node and table."""
+def _signed(nodes: DataFrame, bits: int, tables: int) -> DataFrame:
+    """nodes (node, own, weight, vec) with sig, a signature for each table."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            flat, off = _matrix(b.column(2))
+            flat, off = _matrix(b.column(3))
+            sig = np.zeros((b.num_rows, tables), np.int32)
             for dim in np.unique(np.diff(off)):
                 rows = np.flatnonzero(np.diff(off) == dim)
                 for r in np.array_split(rows, -(-len(rows) // 2048)):
                     m = flat[off[r][:, None] + np.arange(dim)].astype(np.float64)
                     m /= np.abs(m).max(axis=1, keepdims=True)
-                    sig = _signatures(m, bits, tables)
-                    key = (np.int64(dim) << 40) + (np.arange(tables, dtype=np.int64) << 30) + sig
-                    each = np.repeat(np.arange(len(r)), tables)
-                    kept = b.take(pa.array(r[each]))
-                    raw = pa.array([s.tobytes() for s in sig], pa.binary()).take(pa.array(each))
-                    yield pa.RecordBatch.from_arrays([pa.array(key.ravel()), kept.column(0), kept.column(1), raw, kept.column(2)], names=["key", "own", "weight", "sig", "vec"])
+                    sig[r] = _signatures(m, bits, tables)
+            lists = pa.ListArray.from_arrays(np.arange(b.num_rows + 1, dtype=np.int32) * tables, pa.array(sig.ravel()))
+            yield pa.RecordBatch.from_arrays([*b.columns, lists], names=["node", "own", "weight", "vec", "sig"])
 
     kind = nodes.schema["vec"].dataType.simpleString()
-    return nodes.select("own", "weight", "vec").mapInArrow(run, f"key long, own long, weight long, sig binary, vec {kind}")
+    return nodes.select("node", "own", "weight", "vec").mapInArrow(run, f"node long, own long, weight long, vec {kind}, sig array<int>")
+
+
+def _buckets(nodes: DataFrame) -> DataFrame:
+    """(key, node, weight, sig, vec): a row for each node and table."""
+    rows = nodes.select("node", "weight", "sig", "vec", F.posexplode("sig").alias("table", "place"))
+    key = F.call_function("shiftleft", F.size("vec").cast("long"), F.lit(40)) + F.call_function("shiftleft", F.col("table").cast("long"), F.lit(30)) + F.col("place")
+    return rows.select(key.alias("key"), "node", "weight", "sig", "vec")
 
 
 def _compare(dealt: DataFrame, threshold: float) -> DataFrame:
@@ -88,9 +93,9 @@ def _compare(dealt: DataFrame, threshold: float) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for t in cells(batches, ("key", "one", "two"), 4096):
-            key, one, two, part, own, weight = (t.column(c).to_numpy(zero_copy_only=False) for c in ("key", "one", "two", "part", "own", "weight"))
+            key, one, two, part, node, weight = (t.column(c).to_numpy(zero_copy_only=False) for c in ("key", "one", "two", "part", "node", "weight"))
             flat, off = _matrix(t.column("vec"))
-            sigs = t.column("sig")
+            signs, at = _matrix(t.column("sig"))
             edge = edges_of(key, one, two)
             out = []
             for a, z in zip(edge[:-1].tolist(), edge[1:].tolist(), strict=True):
@@ -99,7 +104,7 @@ def _compare(dealt: DataFrame, threshold: float) -> DataFrame:
                 m = flat[off[a] : off[z]].reshape(z - a, -1).astype(np.float64)
                 m /= np.abs(m).max(axis=1, keepdims=True)  # no square overflows
                 m /= np.sqrt(np.einsum("ij,ij->i", m, m))[:, None]
-                sig = np.frombuffer(b"".join(sigs.slice(a, z - a).to_pylist()), np.int32).reshape(z - a, -1)
+                sig = signs[at[a] : at[z]].reshape(z - a, -1)
                 table = (key[a] >> 30) & 1023
                 n, root = np.zeros(z - a, np.int64), np.arange(z - a)
                 for x in range(0, z - a, 512):
@@ -115,7 +120,7 @@ def _compare(dealt: DataFrame, threshold: float) -> DataFrame:
                     tied = np.flatnonzero(root != np.arange(z - a))
                     root = roots(z - a, np.concatenate([i, tied]), np.concatenate([j, root[tied]]))
                 hit = np.flatnonzero((n > 0) | (root != np.arange(z - a)))
-                out.append((own[a:z][hit], own[a:z][root[hit]], n[hit]))
+                out.append((node[a:z][hit], node[a:z][root[hit]], n[hit]))
             if out:
                 yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(c), pa.int64()) for c in zip(*out, strict=True)], names=["a", "b", "n"])
 
@@ -127,15 +132,15 @@ def cosine_groups(df: DataFrame, key: str = "vec_id", vector: str = "embedding",
     scratch = scratch or Scratch(df.sparkSession, "op10")
     rows = df.select(F.col(key).cast("long").alias("id"), F.col(vector).alias("vec"))
     good = F.col("id").isNotNull() & usable(F.col("vec"))
-    nodes = scratch.settle(rows.where(good).groupBy("vec").agg(F.min("id").alias("own"), F.count("*").alias("weight")), "nodes")
-    # a row's id need not be unique: a node's own id then is not either, and its vector tells it apart
-    nodes = scratch.settle(nodes.select("vec", "own", "weight"), "named")
-    bits, tables = table_shape(nodes.count(), threshold)
-    dealt = deal(_buckets(nodes, bits, tables), "key", "own", cell)
-    found = scratch.settle(_compare(dealt.select("key", "one", "two", "part", "own", "weight", "sig", "vec"), threshold), "found")
-    count = found.groupBy(F.col("a").alias("own")).agg(F.sum("n").alias("n"))
-    comp = components(found.select("a", "b"), scratch).withColumnRenamed("node", "own")
-    known = nodes.join(count, "own", "left").join(comp, "own", "left").select(F.col("vec").alias("v"), (F.coalesce("n", F.lit(0)) + F.col("weight") - 1).alias("n_links"), F.coalesce("component", "own").alias("c"))
+    nodes = rows.where(good).groupBy("vec").agg(F.min("id").alias("own"), F.count("*").alias("weight"))
+    nodes = scratch.settle(nodes.withColumn("node", F.monotonically_increasing_id()), "nodes")  # an id need not be unique, so nodes have numbers
+    signed = scratch.settle(_signed(nodes, *table_shape(nodes.count(), threshold)), "signed")
+    dealt = deal(_buckets(signed), "key", "node", cell)
+    found = scratch.settle(_compare(dealt.select("key", "one", "two", "part", "node", "weight", "sig", "vec"), threshold), "found")
+    count = found.groupBy(F.col("a").alias("node")).agg(F.sum("n").alias("n"))
+    known = labels(nodes.select("node", "own", "weight"), found.select("a", "b"), scratch).join(count, "node", "left")
+    known = known.select("node", (F.coalesce("n", F.lit(0)) + F.col("weight") - 1).alias("n_links"), F.col("component").alias("c"))
+    known = nodes.select("node", F.col("vec").alias("v")).join(known, "node").drop("node")
     linked = rows.where(good).join(known, F.col("vec") == F.col("v")).select("id", "n_links", F.col("c").alias("component"))
     alone = rows.where(~good).select("id", F.lit(0).cast("long").alias("n_links"), F.col("id").alias("component"))
     return linked.unionByName(alone)

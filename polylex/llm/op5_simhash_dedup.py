@@ -10,8 +10,8 @@ every lane has passed the radius. A bucket of many rows is cut into cells (compo
 Cells give only links that connect, not all pairs.
 
 Defined cases: null or empty text has fingerprint zero and links like any other; a text of
-fewer words than a shingle is one shingle. Rows that share an id are rows of their own. A
-row with a null id gets the component of its fingerprint's least other id, or null, and
+fewer words than a shingle is one shingle. Rows that share an id are rows of their own, each
+with its own fingerprint's links. A row with a null id gets the component of its fingerprint's least other id, or null, and
 never links. An empty table gives an empty result. Only id and text are read.
 """
 
@@ -26,7 +26,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .components import cells, components, deal, edges_of, roots
+from .components import cells, deal, edges_of, labels, roots
 from .kernels import U64, Words, slices, text_buffer
 from .scratch import Scratch
 
@@ -168,30 +168,30 @@ def _block_keys(bits: int, tables: list[tuple[int, ...]], blocks: list[tuple[int
 
 
 def _links(nodes: DataFrame, keys: list, levels: int, cell: int) -> DataFrame:
-    """(a, b): links that connect what is near in any bucket; nodes (fp, own)."""
-    rows = nodes.select("fp", "own", F.explode(F.array(*keys)).alias("key"))
-    dealt = deal(rows, "key", "own", cell).select("key", "one", "two", "part", "fp", "own")
+    """(a, b): links that connect the fingerprints that are near in any bucket; nodes (fp)."""
+    rows = nodes.select("fp", F.explode(F.array(*keys)).alias("key"))
+    dealt = deal(rows, "key", "fp", cell).select("key", "one", "two", "part", "fp")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for t in cells(batches, ("key", "one", "two"), 1 << 16):
-            key, one, two, part, fp, own = (t.column(c).to_numpy(zero_copy_only=False) for c in t.schema.names)
+            key, one, two, part, fp = (t.column(c).to_numpy(zero_copy_only=False) for c in t.schema.names)
             edge = edges_of(key, one, two)
             many = np.repeat(np.diff(edge) > 1, np.diff(edge))
             if not many.any():
                 continue
-            one, two, part, own = one[many], two[many], part[many], own[many]
+            one, two, part, fp = one[many], two[many], part[many], fp[many]
             edge = edges_of(key[many], one, two)
             found = [np.zeros((2, 0), np.int64)]
-            for i, j in near_pairs(fp[many].view(U64)[:, None], edge, levels):
+            for i, j in near_pairs(fp.view(U64)[:, None], edge, levels):
                 meant = (one[i] == two[i]) | (part[i] != part[j])
                 i, j = i[meant], j[meant]
-                root = roots(len(own), i, j)
+                root = roots(len(fp), i, j)
                 tied = np.unique(np.concatenate([i, j]))
                 found.append(np.stack([tied, root[tied]]))
             i, j = np.concatenate(found, axis=1)
-            root = roots(len(own), i, j)
-            tied = np.flatnonzero(root != np.arange(len(own)))
-            yield pa.RecordBatch.from_arrays([pa.array(own[tied]), pa.array(own[root[tied]])], names=["a", "b"])
+            root = roots(len(fp), i, j)
+            tied = np.flatnonzero(root != np.arange(len(fp)))
+            yield pa.RecordBatch.from_arrays([pa.array(fp[tied]), pa.array(fp[root[tied]])], names=["a", "b"])
 
     return dealt.repartition("key", "one", "two").sortWithinPartitions("key", "one", "two").mapInArrow(run, "a long, b long")
 
@@ -206,8 +206,7 @@ def simhash_groups(df: DataFrame, doc: str = "doc_id", text: str = "text", shing
     blocks = [(a, b - a) for a, b in itertools.pairwise(cuts)]
     keys = _block_keys(BITS, list(itertools.combinations(range(len(blocks)), 2)), blocks)
     links = _links(nodes, keys, (RADIUS + 1).bit_length() - 1, cell)
-    comp = components(links, scratch)
-    known = nodes.join(comp, nodes["own"] == comp["node"], "left").select("fp", F.coalesce("component", "own").alias("component"))
+    known = labels(nodes.withColumnRenamed("fp", "node"), links, scratch).select(F.col("node").alias("fp"), "component")
     return fps.join(known, "fp", "left").select("doc", "fp", "component")
 
 

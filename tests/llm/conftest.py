@@ -24,6 +24,7 @@ def texts():
         rows.append((50 + k, " ".join(w), "en", "a"))
     rows += [(60, base, "en", "a"), (61, base, "en", "a"), (61, base, "en", "a"), (62, base.replace(" ", "\n  "), "en", None)]
     rows += [(70, None, "en", "a"), (71, "", "en", "a"), (72, " \t\n", None, "a"), (73, "one", "en", "a"), (74, "one two", "en", "a"), (None, passage, "en", "a"), (None, None, None, None)]
+    rows += [(20, base, "en", "a"), (20, passage + " x", "en", "b"), (20, sentence(rng, 60), "en", "a"), (50, sentence(rng, 40), "fr", "b")]  # ids with several texts
     rows += [(80, "x" * 3000, "en", "a"), (81, sentence(rng, 6000), "en", "a"), (82, "été Ça  😀 ￿ <|endoftext|> don't 12 ΣΑΣ", "es", "c"), (83, "a b c\n" * 40, "en", "a"), (84, "$$$ ### " * 40 + sentence(rng, 30), "en", "a")]
     rng.shuffle(rows)
     return rows
@@ -40,7 +41,7 @@ def tables(spark, tmp_path_factory):
     rng = random.Random(1)
     vecs = [[rng.gauss(0, 1) for _ in range(16)] for _ in range(60)]
     vecs += [[x + rng.gauss(0, 0.1) for x in vecs[k % 5]] for k in range(40)] + [vecs[0], vecs[0], [0.0] * 16, None, [1.0, None], [float("nan")] * 16, [float("inf")] * 16, [], [2 * x for x in vecs[1]]]
-    spark.createDataFrame([(k, v, "z") for k, v in enumerate(vecs)] + [(None, vecs[2], "z"), (5, vecs[5], "z")], "vec_id long, embedding array<float>, weight string").write.parquet(f"{base}/embeddings.parquet")
+    spark.createDataFrame([(k, v, "z") for k, v in enumerate(vecs)] + [(None, vecs[2], "z"), (5, vecs[5], "z"), (0, vecs[30], "z"), (30, vecs[1], "z"), (62, vecs[41], "z")], "vec_id long, embedding array<float>, weight string").write.parquet(f"{base}/embeddings.parquet")
     return base
 
 

@@ -10,13 +10,16 @@ seen its suffix has seen too, so the excluded set is one for each context and ev
 probability can be worked out beforehand: ``Trie`` holds, for each context, the logarithms
 for all symbols, and scoring is two table lookups for each byte of the whole text.
 
-The model that is broadcast is bounded: at most ``CONTEXTS`` contexts of three bytes (those
-seen at least m times, m the least power of two that leaves so many; shorter contexts answer
-for the others) times 256 symbols; contexts of two bytes are 65,536 at most.
+Every context that training has seen counts, whatever their number. The ``CONTEXTS`` most
+frequent ones of three bytes (as many of a like frequency as fit) are broadcast with all that
+is shorter, and the others by a bitmap of 2 MB that says which they are. What a text has after
+one of those is joined with their counts instead: each different (context, symbol) is priced
+once, by the same function, and then joined with the texts. So the bound chooses the way, and
+no score depends on it.
 
 The base needs the training count of every word. The ``COMMON`` most frequent words are
-looked up in a broadcast list; all others are joined with the counts, by 64-bit word hash,
-one row for each document and word. So a frequent word is no skewed key.
+looked up in a broadcast list; all others are joined with the counts, one row for each
+document and word. So a frequent word is no skewed key. Words are told apart by 64-bit hashes.
 
 Defined cases: a null text is the empty one: it has the end token and the end mark alone. A
 null id is learnt from and never held out. Repeated rows and ids are scored row by row.
@@ -37,7 +40,7 @@ from .kernels import SLICE, U64, Words, signed, slices, text_buffer
 from .scratch import Scratch
 
 END = 0xFF
-CONTEXTS = 1 << 17
+CONTEXTS = 1 << 16
 COMMON = 1 << 17
 FOLDS, HELD = 5, 1
 #: Distinct items that a task adds up before it sends them on.
@@ -149,14 +152,33 @@ class Trie:
         order2 = np.zeros((len(ids2), a + 1))
         np.add.at(order2, (at, r[key & 0xFF]), n)
         counts, beyond, base = self._level(rows, owner, ids2, order2, ids2 % (a + 1), counts, beyond, base, 2)
+        self.ids2, self.parent = ids2, (counts, beyond)
         key, n = quads
-        three = (r[(key >> 24) & 0xFF] * (a + 1) + r[(key >> 16) & 0xFF]) * (a + 1) + r[(key >> 8) & 0xFF]
+        three = self._contexts(key >> 8)
         ids3, at = np.unique(three, return_inverse=True)
-        order3 = np.zeros((len(ids3), a + 1), np.float32)
+        order3 = np.zeros((len(ids3), a + 1))
         np.add.at(order3, (at, r[key & 0xFF]), n)
         self._level(rows, owner, ids3, order3, np.searchsorted(ids2, ids3 % (a + 1) ** 2), counts, beyond, base, 3)
         self.table, self.owner = np.concatenate(rows).astype(np.float32).ravel(), owner
 
+    def _contexts(self, ctx: np.ndarray) -> np.ndarray:
+        """Numbers of three bytes by their ranks."""
+        r, w = self.rank, self.width
+        return (r[(ctx >> 16) & 0xFF] * w + r[(ctx >> 8) & 0xFF]) * w + r[ctx & 0xFF]
+
+    def prices(self, ctx: np.ndarray, symbols: list[np.ndarray], counts: list[np.ndarray], asked: list[np.ndarray]) -> list[np.ndarray]:
+        """log10 of the symbols asked for, in contexts of three bytes with the counts given."""
+        out: list[np.ndarray] = []
+        for k in range(0, len(ctx), 1024):
+            part = range(k, min(k + 1024, len(ctx)))
+            count = np.zeros((len(part), self.width))
+            for i, j in enumerate(part):
+                np.add.at(count[i], self.rank[symbols[j]], counts[j])
+            parent = np.searchsorted(self.ids2, self._contexts(ctx[k : k + 1024]) % self.width**2)
+            logs = self._final(count, self._beyond(count, parent, *self.parent)).astype(np.float32)
+            out += [logs[i, self.rank[asked[j]]] for i, j in enumerate(part)]
+        return out
+
     @staticmethod
     def _final(count: np.ndarray, beyond: np.ndarray) -> np.ndarray:
         total, kinds = count.sum(axis=1, keepdims=True), (count > 0).sum(axis=1, keepdims=True)
@@ -164,15 +186,20 @@ class Trie:
             out = np.where(count > 0, np.log10(count / (total + kinds)), np.log10(kinds / (total + kinds)) + beyond)
         return np.where(total > 0, out, beyond)
 
+    @staticmethod
+    def _beyond(c: np.ndarray, p: np.ndarray, up: np.ndarray, up_beyond: np.ndarray) -> np.ndarray:
+        """log10 of each symbol in the next shorter contexts p, without what c has."""
+        rest = np.where(c > 0, 0, up[p])
+        total, kinds = rest.sum(axis=1, keepdims=True), (rest > 0).sum(axis=1, keepdims=True)
+        with np.errstate(divide="ignore", invalid="ignore"):
+            x = np.where(rest > 0, np.log10(rest / (total + kinds)), np.log10(kinds / (total + kinds)) + up_beyond[p])
+        return np.where(total > 0, x, up_beyond[p])  # nothing left there: on to the next at no cost
+
     def _level(self, rows: list, owner: np.ndarray, ids: np.ndarray, count: np.ndarray, parent: np.ndarray, up: np.ndarray, up_beyond: np.ndarray, base: int, order: int) -> tuple[np.ndarray, np.ndarray, int]:
         beyond = np.empty(count.shape, np.float32)
         for a in range(0, len(count), 4096):
             c, p = count[a : a + 4096], parent[a : a + 4096]
-            rest = np.where(c > 0, 0, up[p])
-            total, kinds = rest.sum(axis=1, keepdims=True), (rest > 0).sum(axis=1, keepdims=True)
-            with np.errstate(divide="ignore", invalid="ignore"):
-                x = np.where(rest > 0, np.log10(rest / (total + kinds)), np.log10(kinds / (total + kinds)) + up_beyond[p])
-            beyond[a : a + 4096] = np.where(total > 0, x, up_beyond[p])  # nothing left there: on to the next at no cost
+            beyond[a : a + 4096] = self._beyond(c, p, up, up_beyond)
             rows.append(self._final(c, beyond[a : a + 4096]).astype(np.float32))
         live = np.flatnonzero(count.sum(axis=1) > 0)
         grid = owner.reshape(-1, self.width**order)
@@ -186,23 +213,59 @@ class Trie:
         return self.table[self.owner[ctx].astype(np.int64) * w + r[key & np.uint32(255)]]
 
 
-def train_trie(counts: DataFrame, contexts: int = CONTEXTS) -> Trie:
-    """The trie of a table (gram, n)."""
-    by = counts.groupBy(F.call_function("shiftright", "gram", F.lit(8)).alias("c")).agg(F.sum("n").alias("n"))
+def train_trie(counts: DataFrame, contexts: int = CONTEXTS) -> tuple[Trie, DataFrame, np.ndarray]:
+    """The trie of a table (gram, n), the counts that it has not, and the bitmap of their contexts."""
+    counts = counts.withColumn("c", F.call_function("shiftright", "gram", F.lit(8)))
+    by = counts.groupBy("c").agg(F.sum("n").alias("n"))
     level = F.floor(F.log2("n")).cast("int")
     seen = {r.k: r.m for r in by.groupBy(level.alias("k")).agg(F.count("*").alias("m")).collect()}  # 63 rows at most
     floor = next(k for k in range(65) if sum(m for x, m in seen.items() if x >= k) <= contexts)
-    kept = by.where(level >= floor).select("c")
     triples = counts.groupBy(F.col("gram").bitwiseAND(0xFFFFFF).alias("g")).agg(F.sum("n").alias("n"))
-    quads = counts.withColumn("c", F.call_function("shiftright", "gram", F.lit(8))).join(kept, "c", "left_semi").select("gram", "n")
+    quads = counts.join(by.where(level >= floor).select("c"), "c", "left_semi").select("gram", "n")
     both = [t.toArrow() for t in (triples, quads)]  # bounded by two bytes' contexts, and by contexts
-    return Trie(*((t.column(0).to_numpy().astype(np.int64), t.column(1).to_numpy().astype(np.float64)) for t in both))
+    trie = Trie(*((t.column(0).to_numpy().astype(np.int64), t.column(1).to_numpy().astype(np.float64)) for t in both))
+    rare, bits = by.where(level < floor).select("c"), np.zeros(512 * 4096, np.uint8)
+    if floor:
+        place = F.col("c") + 1
+        maps = rare.groupBy(F.bitmap_bucket_number(place).alias("k")).agg(F.bitmap_construct_agg(F.bitmap_bit_position(place)).alias("m"))
+        for r in maps.collect():  # 512 rows of 4 KB: all contexts of three bytes
+            bits[4096 * (r.k - 1) : 4096 * r.k] = np.frombuffer(r.m, np.uint8)
+    return trie, counts.join(rare, "c", "left_semi"), bits
+
+
+def _priced(asked: DataFrame, counts: DataFrame, trie) -> DataFrame:
+    """(gram, log) of grams (gram) whose contexts are priced by counts (c, gram, n); trie: broadcast."""
+    low = F.col("gram").bitwiseAND(255).cast("int")
+    want = asked.groupBy(F.call_function("shiftright", "gram", F.lit(8)).alias("c")).agg(F.collect_list(low).alias("asked"))  # 256 at most
+    have = counts.groupBy("c").agg(F.collect_list(F.struct(low.alias("s"), "n")).alias("have"))  # likewise
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            ctx, ask, have = b.column(0).to_numpy(), b.column(1), b.column(2)
+            asked = [ask[k].values.to_numpy(zero_copy_only=False) for k in range(b.num_rows)]
+            held = [have[k].values for k in range(b.num_rows)]
+            logs = trie.value[0].prices(ctx, [h.field(0).to_numpy(zero_copy_only=False) for h in held], [h.field(1).to_numpy(zero_copy_only=False) for h in held], asked)
+            gram = [(int(c) << 8) + a.astype(np.int64) for c, a in zip(ctx, asked, strict=True)]
+            if gram:
+                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(gram)), pa.array(np.concatenate(logs).astype(np.float64))], names=["gram", "log"])
+
+    return want.join(have, "c").select("c", "asked", "have").mapInArrow(run, "gram long, log double")
 
 
 def held_out(doc: Column) -> Column:
     return F.coalesce(F.crc32(doc.cast("string")) % FOLDS == HELD, F.lit(False))
 
 
+def _lists(items: np.ndarray, doc: np.ndarray, docs: int) -> list[pa.Array]:
+    """For each document, its distinct items and how often it has them."""
+    order = np.lexsort((items, doc))
+    items, doc = items[order], doc[order]
+    at = np.flatnonzero(np.append(True, (items[1:] != items[:-1]) | (doc[1:] != doc[:-1]))) if len(items) else np.zeros(0, np.int64)
+    times = np.diff(np.append(at, len(items))).astype(np.int32)
+    starts = np.searchsorted(doc[at], np.arange(docs + 1)).astype(np.int32)
+    return [pa.ListArray.from_arrays(starts, pa.array(v)) for v in (items[at], times)]
+
+
 def ppm_scores(df: DataFrame, key: str = "doc_id", text: str = "text", scratch: Scratch | None = None, common: int = COMMON, contexts: int = CONTEXTS) -> DataFrame:
     """(doc, held_out, n_tokens, n_known, train_tokens, base_score, score) of every row."""
     scratch = scratch or Scratch(df.sparkSession, "op6")
@@ -210,48 +273,52 @@ def ppm_scores(df: DataFrame, key: str = "doc_id", text: str = "text", scratch:
     docs = df.select(F.col(key).alias("doc"), F.coalesce(F.col(text).cast("string"), F.lit("")).alias("text"))
     learn = docs.where(~held_out(F.col("doc"))).select("text")
     ends = learn.count()
-    trie = train_trie(scratch.settle(count_grams(learn), "grams"), contexts)
+    trie, rare_grams, bits = train_trie(scratch.settle(count_grams(learn), "grams"), contexts)
     words = scratch.settle(count_words(learn), "words")
     total, kinds = words.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count("*")).first()
     total, kinds = total + ends, kinds + (ends > 0)
     top = words.orderBy(F.desc("n"), "word").limit(common).toArrow()  # common rows at most
     h, c = top.column(0).to_numpy().view(np.uint64), top.column(1).to_numpy()
     order = np.argsort(h)
-    shared = spark.sparkContext.broadcast((trie, h[order], c[order]))
+    shared = spark.sparkContext.broadcast((trie, h[order], c[order], bits))
     end_log = float(np.log10(ends + 0.5))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        trie, known, count = shared.value
-        logs = np.log10(count + 0.5)
+        trie, known, count, bits = shared.value
+        logs, some = np.log10(count + 0.5), bits.any()
         for b in batches:
             data, off = text_buffer(b.column(1))
             for i, j in slices(off, SLICE // 2):
                 part, o = data[off[i] : off[j]], off[i : j + 1] - off[i]
                 gram, first = grams(part, o)
-                score = np.add.reduceat(trie.logs(gram).astype(np.float64), first)
+                log, apart = trie.logs(gram).astype(np.float64), np.zeros(0, np.int64)
+                if some:
+                    apart = np.flatnonzero(bits[gram >> np.uint32(11)] >> ((gram >> np.uint32(8)) & np.uint32(7)).astype(np.uint8) & 1)
+                    log[apart] = 0
+                score = np.add.reduceat(log, first)
+                away = _lists(gram[apart].astype(np.int64), np.searchsorted(first, apart, "right") - 1, j - i)
                 w = Words(_LOWER[part], o)
                 word = w.hashes()
                 k = np.minimum(np.searchsorted(known, word), max(0, len(known) - 1))
                 hit = known[k] == word if len(known) else np.zeros(len(word), bool)
                 base = np.bincount(w.doc[hit], logs[k[hit]], j - i) if len(known) else np.zeros(j - i)
                 n_known = np.bincount(w.doc[hit], minlength=j - i)
-                rare, doc = word[~hit], w.doc[~hit]
-                order = np.lexsort((rare, doc))
-                rare, doc = rare[order], doc[order]
-                at = np.flatnonzero(np.append(True, (rare[1:] != rare[:-1]) | (doc[1:] != doc[:-1]))) if len(rare) else np.zeros(0, np.int64)
-                times = np.diff(np.append(at, len(rare))).astype(np.int32)
-                starts = np.searchsorted(doc[at], np.arange(j - i + 1)).astype(np.int32)
-                lists = [pa.ListArray.from_arrays(starts, pa.array(v)) for v in (signed(rare[at]), times)]
-                yield pa.RecordBatch.from_arrays([b.column(0).slice(i, j - i), pa.array(w.n.astype(np.int64) + 1), pa.array(n_known.astype(np.int64)), pa.array(base), pa.array(score), *lists], names=["doc", "n_tokens", "n_known", "base", "score", "rare", "times"])
+                lists = [*_lists(signed(word[~hit]), w.doc[~hit], j - i), *away]
+                yield pa.RecordBatch.from_arrays([b.column(0).slice(i, j - i), pa.array(w.n.astype(np.int64) + 1), pa.array(n_known.astype(np.int64)), pa.array(base), pa.array(score), *lists], names=["doc", "n_tokens", "n_known", "base", "score", "rare", "times", "grams", "gtimes"])
 
     kind = docs.schema["doc"].dataType.simpleString()
-    scored = docs.mapInArrow(run, f"doc {kind}, n_tokens long, n_known long, base double, score double, rare array<bigint>, times array<int>")
+    scored = docs.mapInArrow(run, f"doc {kind}, n_tokens long, n_known long, base double, score double, rare array<bigint>, times array<int>, grams array<bigint>, gtimes array<int>")
     scored = scratch.settle(scored.withColumn("row", F.monotonically_increasing_id()), "scored")
     rare = scored.select("row", F.explode(F.arrays_zip("rare", "times")).alias("x")).select("row", F.col("x.rare").alias("word"), F.col("x.times").alias("times"))
     found = rare.join(words, "word", "left").groupBy("row").agg(F.sum(F.col("times") * F.log10(F.coalesce("n", F.lit(0)) + 0.5)).alias("more"), F.sum(F.when(F.col("n") > 0, F.col("times")).otherwise(0)).alias("more_known"))
+    scores = scored.select("row", "doc", "n_tokens", "n_known", "base", "score").join(found, "row", "left")
+    if bits.any():
+        each = scored.select("row", F.explode(F.arrays_zip("grams", "gtimes")).alias("x")).select("row", F.col("x.grams").alias("gram"), F.col("x.gtimes").alias("times"))
+        priced = scratch.settle(_priced(each.select("gram").distinct(), rare_grams, shared), "priced")
+        scores = scores.join(each.join(priced, "gram").groupBy("row").agg(F.sum(F.col("times") * F.col("log")).alias("apart")), "row", "left").withColumn("score", F.col("score") + F.coalesce("apart", F.lit(0.0)))
     den = float(np.log10(total + 0.5 * (kinds + 1)))
     base = F.col("base") + F.coalesce("more", F.lit(0.0)) + F.lit(end_log) - F.col("n_tokens") * F.lit(den)
-    return scored.select("row", "doc", "n_tokens", "n_known", "base", "score").join(found, "row", "left").select(
+    return scores.select(
         "doc", held_out(F.col("doc")).alias("held_out"), "n_tokens", (F.col("n_known") + F.coalesce("more_known", F.lit(0)) + int(ends > 0)).cast("long").alias("n_known"),
         F.lit(int(total)).cast("long").alias("train_tokens"), base.alias("base_score"), "score",
     )

@@ -12,7 +12,7 @@ import pytest
 import xxhash
 from tokenizers import Tokenizer
 
-from polylex.llm import queries
+from polylex.llm import op6_ppm_scoring, queries
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 LOWER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
@@ -176,6 +176,16 @@ def test_op6(spark, tables, docs):
         assert any(abs(r.base_score - b) < 1e-6 and abs(r.score - s) < 1e-4 * max(1, abs(s)) for b, s in want[tuple(r)[:5]])
 
 
+@pytest.mark.parametrize("contexts", [0, 100, 1000])
+def test_op6_scores_do_not_depend_on_what_is_broadcast(spark, tables, contexts):
+    docs = spark.read.parquet(f"{tables}/documents.parquet")
+    key = lambda rows: sorted((str(tuple(r)[:5]), r.base_score, r.score) for r in rows)
+    want = key(op6_ppm_scoring.ppm_scores(docs).collect())
+    got = key(op6_ppm_scoring.ppm_scores(docs, common=10, contexts=contexts).collect())
+    assert [x[0] for x in got] == [x[0] for x in want]
+    assert all(abs(x - y) <= 1e-9 * abs(y) for a, b in zip(got, want, strict=True) for x, y in zip(a[1:], b[1:], strict=True))
+
+
 def test_op7(spark, tables, docs):
     rows = sorted(((i is not None, i, t or "", ids) for (i, t), (_, ids, _) in zip(docs, _library("byte_bpe_50k.json", docs), strict=True)), key=lambda x: (x[0], x[1] or 0, x[2]))
     at, want = 0, []

@@ -64,47 +64,44 @@ def gold_all(index: DataFrame) -> DataFrame:
 def negative_pool(gold: DataFrame, near: DataFrame, index: DataFrame, cfg: Config = Config()) -> DataFrame:
     """(chebi_id, neighbor, relation, id, language, turn): documents of neighbors, in another language, without the concept.
 
-    Only twice as many as can be chosen are kept for each concept, neighbor and language. The
-    greedy choice takes from such a class in order, at most ``max_negatives`` documents and
-    passing over at most as many that are in use, so it never looks further.
+    turn is a document's place in the order of its concept, neighbor and language.
     """
     first = near.groupBy("chebi_id", "neighbor").agg(F.min_by("relation", "prio").alias("relation"))
     docs = index.withColumnRenamed("chebi_id", "neighbor")
     x = gold.select("chebi_id", "gold_language").join(first, "chebi_id").where("chebi_id <> neighbor").join(docs, "neighbor").where("language <> gold_language")
     x = x.join(index.select("chebi_id", "id"), ["chebi_id", "id"], "left_anti")
     turn = F.row_number().over(Window.partitionBy("chebi_id", "neighbor", "language").orderBy(md5_key(cfg.seed, "neg", F.col("chebi_id"), F.col("neighbor"), F.col("id")), "id"))
-    return x.withColumn("turn", turn).where(F.col("turn") <= 2 * cfg.max_negatives).select("chebi_id", "neighbor", "relation", "id", "language", "turn")
+    return x.withColumn("turn", turn).select("chebi_id", "neighbor", "relation", "id", "language", "turn")
 
 
 def choose_negatives(pool: list[tuple[str, str, str]], most: int) -> list[int]:
-    """Which of (neighbor, language, id), in order: two points for a new neighbor, one for a new language, each document once."""
-    classes: dict[tuple[str, str], list[int]] = {}
-    for k, (n, lang, _) in enumerate(pool):
-        classes.setdefault((n, lang), []).append(k)
-    chosen: list[int] = []
+    """Which of (neighbor, language, id), in order: two points for a new neighbor, one for a new language, each document once.
+
+    After every choice the queue is put in the order of points, and what has equal points keeps
+    the order that it had by then, not that of the pool.
+    """
+    queue, chosen = list(range(len(pool))), []
     seen_n: set[str] = set()
     seen_l: set[str] = set()
-    used: set[str] = set()
-    while classes and len(chosen) < most:
-        best = min(classes, key=lambda c: (-2 * (c[0] not in seen_n) - (c[1] not in seen_l), classes[c][0]))
-        k = classes[best].pop(0)
-        if not classes[best]:
-            del classes[best]
-        if pool[k][2] not in used:
-            used.add(pool[k][2])
-            seen_n.add(best[0])
-            seen_l.add(best[1])
-            chosen.append(k)
+    while queue and len(chosen) < most:
+        queue.sort(key=lambda k: -2 * (pool[k][0] not in seen_n) - (pool[k][1] not in seen_l))
+        k = queue[0]
+        chosen.append(k)
+        seen_n.add(pool[k][0])
+        seen_l.add(pool[k][1])
+        queue = [x for x in queue if pool[x][2] != pool[k][2]]
     return chosen
 
 
 def hard_negatives(pool: DataFrame, cfg: Config = Config()) -> DataFrame:
     """(chebi_id, rank, neighbor, relation, id, language): the greedy choice for each concept.
 
-    A group holds twenty documents at most for each neighbor and language.
+    Of each concept, neighbor and language only twice as many documents as can be chosen are
+    looked at, which loses nothing: such a class gives its documents in order, at most
+    ``max_negatives`` of them, and loses at most as many to choices from other classes.
     """
     seed, most = cfg.seed, cfg.max_negatives
-    keyed = pool.withColumn("k", md5_key(seed, "neg", F.col("chebi_id"), F.col("neighbor"), F.col("id")))  # the order within classes too
+    keyed = pool.where(F.col("turn") <= 2 * most).withColumn("k", md5_key(seed, "neg", F.col("chebi_id"), F.col("neighbor"), F.col("id")))  # the order within classes too
 
     def pick(group: pd.DataFrame) -> pd.DataFrame:
         g = group.sort_values(["k", "neighbor", "id"]).reset_index(drop=True)

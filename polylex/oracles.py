@@ -69,7 +69,15 @@ STEPS = {
     "coarse": "SELECT chebi_id, star, coalesce((SELECT arg_min(b.bucket, e.pos) FROM edges e JOIN (VALUES " + ", ".join(f"('{k}', '{v}')" for k, v in ROLE_BUCKETS.items()) + ") AS b(role, bucket) ON e.dst = b.role WHERE e.rel = 'has_role' AND e.src = s.chebi_id), CASE WHEN regexp_matches(formula, '[0-9]') AND length(formula) < 30 THEN 'small_molecule' ELSE 'other' END) AS coarse FROM slice s",
     "qual": "SELECT c.chebi_id, c.star, a.n AS alias_lang_count, l.mention_langs AS mention_lang_count, x.n AS neighbor_count_in_corpus, c.coarse FROM coarse c JOIN (SELECT chebi_id, count(DISTINCT lang)::INT AS n FROM combined GROUP BY chebi_id) a USING (chebi_id) JOIN langs l USING (chebi_id) JOIN (SELECT chebi_id, count(DISTINCT neighbor) AS n FROM near WHERE neighbor IN (SELECT chebi_id FROM langs) GROUP BY chebi_id) x USING (chebi_id) WHERE c.star IN (2, 3) AND a.n >= 3 AND l.mention_langs >= 2",
     "gold": f"SELECT chebi_id, language AS gold_language, id AS gold_id FROM (SELECT i.*, row_number() OVER (PARTITION BY i.chebi_id ORDER BY md5(concat_ws('|', '{_S}', 'gold_doc', i.chebi_id, i.id)), i.id) AS n FROM idx i JOIN (SELECT chebi_id, arg_min(language, md5(concat_ws('|', '{_S}', 'gold_lang', chebi_id, language))) AS language FROM (SELECT DISTINCT chebi_id, language FROM idx) GROUP BY chebi_id) l USING (chebi_id, language)) WHERE n = 1",
-    "pool": f"SELECT * FROM (SELECT g.chebi_id, n.neighbor, n.relation, i.id, i.language, row_number() OVER (PARTITION BY g.chebi_id, n.neighbor, i.language ORDER BY md5(concat_ws('|', '{_S}', 'neg', g.chebi_id, n.neighbor, i.id)), i.id)::INT AS turn FROM gold g JOIN (SELECT chebi_id, neighbor, arg_min(relation, prio) AS relation FROM near GROUP BY ALL) n ON g.chebi_id = n.chebi_id AND n.neighbor <> g.chebi_id JOIN idx i ON i.chebi_id = n.neighbor AND i.language <> g.gold_language WHERE NOT EXISTS (SELECT 1 FROM idx j WHERE j.chebi_id = g.chebi_id AND j.id = i.id)) WHERE turn <= {2 * _CFG.max_negatives}",
+    "pool": f"SELECT * FROM (SELECT g.chebi_id, n.neighbor, n.relation, i.id, i.language, row_number() OVER (PARTITION BY g.chebi_id, n.neighbor, i.language ORDER BY md5(concat_ws('|', '{_S}', 'neg', g.chebi_id, n.neighbor, i.id)), i.id)::INT AS turn FROM gold g JOIN (SELECT chebi_id, neighbor, arg_min(relation, prio) AS relation FROM near GROUP BY ALL) n ON g.chebi_id = n.chebi_id AND n.neighbor <> g.chebi_id JOIN idx i ON i.chebi_id = n.neighbor AND i.language <> g.gold_language WHERE NOT EXISTS (SELECT 1 FROM idx j WHERE j.chebi_id = g.chebi_id AND j.id = i.id))",
+    "queue": f"SELECT chebi_id, list(struct_pack(n := neighbor, l := language, d := id, r := relation) ORDER BY md5(concat_ws('|', '{_S}', 'neg', chebi_id, neighbor, id)), neighbor, id) AS q FROM pool GROUP BY chebi_id",
+    "picks": f"""SELECT chebi_id, q, list_filter(q, lambda x: false) AS got FROM queue UNION ALL SELECT chebi_id, list_filter(s[2:], lambda x: x.d <> s[1].d), list_append(got, s[1]) FROM (
+        SELECT chebi_id, got, list_transform(list_sort(list_transform(q, lambda x, i: struct_pack(p := CASE WHEN list_contains(ns, x.n) THEN 2 ELSE 0 END + CASE WHEN list_contains(ls, x.l) THEN 1 ELSE 0 END, i := i, x := x))), lambda y: y.x) AS s FROM (
+        SELECT *, list_transform(got, lambda c: c.n) AS ns, list_transform(got, lambda c: c.l) AS ls FROM picks WHERE len(q) > 0 AND len(got) < {_CFG.max_negatives}))""",
+    "negs": "SELECT chebi_id, k::INT AS rank, got[k].n AS neighbor, got[k].r AS relation, got[k].d AS id, got[k].l AS language FROM (SELECT chebi_id, got, unnest(range(1, len(got) + 1)) AS k FROM (SELECT chebi_id, arg_max(got, len(got)) AS got FROM picks GROUP BY chebi_id))",
+    "nearby": "SELECT u.chebi_id, u.neighbor, u.relation, s.name AS chebi_name_en FROM (SELECT chebi_id, neighbor, min(relation) AS relation FROM negs GROUP BY ALL) u JOIN slice s ON s.chebi_id = u.neighbor",
+    "chosen": f"SELECT * FROM qual ORDER BY star DESC, row_number() OVER (PARTITION BY star, coarse, alias_lang_count ORDER BY md5(concat_ws('|', '{_S}', 'sample', chebi_id)), chebi_id), md5(concat_ws('|', '{_S}', 'stratum', coarse, alias_lang_count)), chebi_id LIMIT {_CFG.bench1_target}",
+    "made": "SELECT g.chebi_id, g.gold_language, g.gold_id FROM chosen c JOIN slice s USING (chebi_id) JOIN gold g USING (chebi_id) WHERE c.chebi_id IN (SELECT chebi_id FROM negs)",
     "srcrows": rf"SELECT d.id, d.publication_number, d.language, d.text, l.l_avail, len(list_filter(regexp_split_to_array(d.text, '\s+'), lambda x: x <> '')) AS tokens FROM docs d JOIN l_avail l USING (publication_number) WHERE d.id IN (SELECT id FROM mentions) AND len(list_filter(regexp_split_to_array(d.text, '\s+'), lambda x: x <> '')) >= {_CFG.min_tokens}",
     "sample": f"SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY publication_number ORDER BY md5(concat_ws('|', '{_S}', 'row', id)), id) AS n FROM srcrows) WHERE n = 1 ORDER BY CASE WHEN len(l_avail) IN (2, 3) THEN 0 ELSE 1 END, md5(concat_ws('|', '{_S}', 'pub', publication_number)), publication_number LIMIT {_CFG.bench2_target}",
     "posn": r"""SELECT id, CASE WHEN trim(title, e' \n\t\r') <> '' THEN 0 END AS t0, CASE WHEN trim(title, e' \n\t\r') <> '' THEN length(title) END AS t1, f0, f1,
@@ -119,7 +127,12 @@ def _with(select: str) -> str:
             need.add(x)
             todo += _needs(STEPS[x])
     steps = ",\n".join(f"{n} AS ({STEPS[n]})" for n in STEPS if n in need)
-    return f"WITH {steps}\n{select}" if steps else select
+    return f"WITH RECURSIVE {steps}\n{select}" if steps else select
+
+
+def _tally(rows: str) -> str:
+    """A JSON object of counts by k."""
+    return f"(SELECT '{{' || coalesce(string_agg('\"' || k || '\":' || n, ',' ORDER BY k), '') || '}}' FROM (SELECT k, count(*) AS n FROM ({rows}) GROUP BY k))"
 
 
 _REC = "concat_ws('__', id, variant, position) AS instance_id, id AS source_row_id, array_to_string(l_avail, ',') AS available_languages, swap_lang, original_term, swap_term, o AS swap_char_offset, chebi_id, round_trip_flag, fallback_flag, md5(rewrite) AS text_md5"
@@ -159,6 +172,10 @@ SELECTS = {
     "gold_pick": "SELECT * FROM gold",
     "gold_all": "SELECT chebi_id, language, id FROM idx",
     "hard_negative_pool": "SELECT chebi_id, neighbor, relation, id, language, turn FROM pool",
+    "hard_negatives": "SELECT chebi_id, rank, neighbor, relation, id, language FROM negs",
+    "neighbor_concepts": "SELECT chebi_id, neighbor, relation, chebi_name_en FROM nearby",
+    "bench1_instances": "SELECT m.chebi_id, m.gold_language, m.gold_id AS id, (SELECT to_json(list(n.id ORDER BY n.rank))::VARCHAR FROM negs n WHERE n.chebi_id = m.chebi_id) AS negatives, coalesce((SELECT to_json(list(n.neighbor ORDER BY n.neighbor))::VARCHAR FROM nearby n WHERE n.chebi_id = m.chebi_id), '[]') AS neighbors FROM made m",
+    "bench1_summary": f"SELECT (SELECT count(*) FROM made) AS instances_written, (SELECT count(*) FROM qual) AS qualifying_concepts, (SELECT count(*) FROM chosen) AS sampled, {_CFG.bench1_target}::INT AS sample_target, {_S}::INT AS seed, {_tally('SELECT relation AS k FROM negs WHERE chebi_id IN (SELECT chebi_id FROM made)')} AS relation_counts, {_tally('SELECT gold_language AS k FROM made')} AS gold_doc_languages, {_tally('SELECT language AS k FROM negs WHERE chebi_id IN (SELECT chebi_id FROM made)')} AS negative_doc_languages",
     "source_rows": "SELECT id, publication_number, array_to_string(l_avail, ',') AS langs, tokens::INT AS tokens FROM srcrows",
     "source_sample": "SELECT id, publication_number, language FROM sample",
     "positions": "SELECT id, t0::INT AS title_start, t1::INT AS title_end, f0::INT AS first_start, f1::INT AS first_end, CASE WHEN b1 > b0 THEN b0 END::INT AS body_start, CASE WHEN b1 > b0 THEN b1 END::INT AS body_end FROM posn",

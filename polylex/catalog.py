@@ -101,6 +101,32 @@ def link_mentions_native(spark: SparkSession, sf: str) -> DataFrame:
     return linking.link_native(docs, fx.Graph(spark).dictionary, F.lower("text"))
 
 
+@_query
+def link_mentions_parts(spark: SparkSession, sf: str) -> DataFrame:
+    """As with a dictionary too large for one broadcast."""
+    return linking.flat(linking.link_in_parts(fx.documents(fx.corpus(spark, sf)), fx.Graph(spark).dictionary, 6)).select("id", "surface", "start", "end", "chebi_id")
+
+
+@_query
+def link_folded(spark: SparkSession, sf: str) -> DataFrame:
+    """The corpus's own words with a sharp s, by full case folding, which changes their length."""
+    docs = fx.documents(fx.corpus(spark, sf))
+    words = docs.select("language", F.explode(F.regexp_extract_all("text", F.lit(r"[\p{L}\p{N}_]+"), 0)).alias("w")).where(F.contains("w", F.lit("ß")) & (F.length("w") > 3)).distinct()
+    aliases = words.select(F.col("language").alias("lang"), F.upper("w").alias("alias"), F.lit("C:ss").alias("chebi_id"), F.lit(0).cast("long").alias("pos"))
+    return linking.flat(linking.link(docs, aliases)).select("id", "surface", "start", "end", "chebi_id")
+
+
+@_query
+def folded_text(spark: SparkSession, sf: str) -> DataFrame:
+    return spark.read.parquet(f"{sf}/documents.parquet").select("doc_id", F.md5(tx.fold(tx.nfc(F.coalesce("text", F.lit(""))), F.col("lang"))).alias("folded_md5"))
+
+
+@_query
+def request_keys(spark: SparkSession, sf: str) -> DataFrame:
+    asked = spark.read.parquet(f"{sf}/benchmark.parquet").select("item_id", F.lit("s").alias("system"), F.col("text").alias("user"))
+    return providers.requests(asked, "m").select("item_id", "key")
+
+
 @_query
 def primary_concept(spark: SparkSession, sf: str) -> DataFrame:
     return linking.linked_documents(fx.Linked.of(spark, sf).linked).select("id", "primary_chebi_id")

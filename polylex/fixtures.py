@@ -115,7 +115,7 @@ class Linked:
         self.graph = Graph(spark)
         self.corpus = corpus(spark, sf_dir)
         self.docs = documents(self.corpus)
-        self.linked = linking.link_exact(self.docs, self.graph.dictionary).persist()
+        self.linked = linking.link_keys(self.docs, self.graph.dictionary).persist()
         g = self.graph
         mentioned = linking.mentioned_ids(self.linked)
         self.concepts = ontology.concept_slice(g.nodes, g.edges, g.aliases, g.combined, mentioned, g.titles).persist()

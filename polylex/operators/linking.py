@@ -1,9 +1,11 @@
 """Entity linking: all dictionary keys in every text, one mention where matches overlap.
 
 ``link_exact`` scans with a broadcast automaton and settles everything within a document, so
-it has no shuffle. ``link_native`` is the same by DataFrame operations: an equi-join on a
-key's first piece, then windows within the document. ``link`` takes the first while the
-dictionary is small enough to broadcast, and else the second.
+it has no shuffle. A dictionary too large for one broadcast is scanned in parts
+(``link_in_parts``): each part is broadcast in a pass of its own, and the matches of a document
+are brought together and settled by the same function, so ``link`` gives the same mentions
+whatever the size of the dictionary. ``link_native`` is linking by DataFrame operations alone,
+for languages with word boundaries and texts whose folding keeps lengths.
 
 Of a chain of overlapping matches (the longest from each start), the one that ends furthest
 stays, the earliest among those. A key of several concepts goes to the one with the most
@@ -12,12 +14,18 @@ mentions in the document by keys of its own alone, the first registered among th
 
 from __future__ import annotations
 
+import functools
+import math
+import unicodedata
 from collections import Counter
 from collections.abc import Iterator
 
+import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..functions.text import fold, fold_with_places, min_len
 from ..schema import MENTION, Config
@@ -49,14 +57,16 @@ def _scanners(keys: pd.DataFrame) -> dict:
     return out
 
 
+@functools.cache
 def _is_word(c: str) -> bool:
-    import unicodedata
-
     return c == "_" or unicodedata.category(c)[0] in "LN"
 
 
-def link_text(text: str, lang: str, scanners: dict) -> list[tuple[str, int, int, str]]:
-    """(surface, start, end, concept) of one text, in order."""
+Match = tuple[int, int, str, tuple[str, ...]]
+
+
+def scan_text(text: str, lang: str, scanners: dict) -> list[Match]:
+    """(start, end, surface, concepts) of the longest match from each start, in order."""
     scan = scanners.get(lang)
     if scan is None or not text:
         return []
@@ -68,33 +78,93 @@ def link_text(text: str, lang: str, scanners: dict) -> list[tuple[str, int, int,
             continue
         if start not in far or end > far[start][0]:
             far[start] = (end, who)
-    picked, reach = [], -1
-    for start in sorted(far):  # islands of overlapping matches
-        end, who = far[start]
-        if start >= reach:
-            picked.append((start, end, who))
-        elif end > picked[-1][1]:
-            picked[-1] = (start, end, who)
-        reach = max(reach, end)
-    sure = Counter(who[0] for _, _, who in picked if len(who) == 1)
-    return [(text[a:z], a, z, max(who, key=lambda c: sure[c])) for a, z, who in picked]
+    return [(start, far[start][0], text[start : far[start][0]], far[start][1]) for start in sorted(far)]
+
+
+def settle_matches(matches: list[Match]) -> list[tuple[str, int, int, str]]:
+    """(surface, start, end, concept) of what stays of a document's matches, which are in order of their starts."""
+    picked: list[Match] = []
+    reach = -1
+    for m in matches:  # islands of overlapping matches
+        if m[0] >= reach:
+            picked.append(m)
+        elif m[1] > picked[-1][1]:
+            picked[-1] = m
+        reach = max(reach, m[1])
+    sure = Counter(who[0] for *_, who in picked if len(who) == 1)
+    return [(s, a, z, who[0] if len(who) == 1 else max(who, key=lambda c: sure[c])) for a, z, s, who in picked]
+
+
+def link_text(text: str, lang: str, scanners: dict) -> list[tuple[str, int, int, str]]:
+    """(surface, start, end, concept) of one text, in order."""
+    return settle_matches(scan_text(text, lang, scanners))
+
+
+def _mention_lists(found: list[list[tuple[str, int, int, str]]]) -> pa.ListArray:
+    flat = [m for f in found for m in f]
+    s, a, z, c = zip(*flat, strict=True) if flat else ((), (), (), ())
+    rows = pa.StructArray.from_arrays([pa.array(s, pa.string()), pa.array(a, pa.int32()), pa.array(z, pa.int32()), pa.array(c, pa.string())], names=["surface", "start", "end", "chebi_id"])
+    return pa.ListArray.from_arrays(pa.array(np.cumsum([0, *map(len, found)]), pa.int32()), rows)
+
+
+def _with_mentions(docs: DataFrame) -> T.StructType:
+    return T.StructType([*docs.schema.fields, T.StructField("mentions", T._parse_datatype_string(f"array<{MENTION}>"))])
 
 
 def link_exact(docs: DataFrame, dictionary: DataFrame) -> DataFrame:
-    """docs with mentions (an empty list where there are none)."""
+    """docs with mentions (an empty list where there are none). The dictionary is broadcast: link() checks its size."""
+    spark = docs.sparkSession
+    ship(spark)
+    keys = spark.sparkContext.broadcast(dictionary.select("lang", "key", "chebi_id", "reg_order").toPandas())
+    schema, names = _with_mentions(docs), docs.columns
+    text, lang = names.index("text"), names.index("language")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held = _scanners(keys.value)
+        for b in batches:
+            found = [link_text(t, x, held) for t, x in zip(b.column(text).to_pylist(), b.column(lang).to_pylist(), strict=True)]
+            yield pa.RecordBatch.from_arrays([*b.columns, _mention_lists(found)], names=schema.names)
+
+    return docs.mapInArrow(run, schema)
+
+
+def link_in_parts(docs: DataFrame, dictionary: DataFrame, most: int) -> DataFrame:
+    """What link_exact gives, with at most about so many keys broadcast at a time.
+
+    All concepts of a key are in one part. Matches carry their concepts, so nothing is joined
+    with the dictionary; a row is known by a digest of its id, language and text, as ids may repeat.
+    """
     spark = docs.sparkSession
     ship(spark)
-    keys = spark.sparkContext.broadcast(dictionary.select("lang", "key", "chebi_id", "reg_order").toPandas())  # link() checks the size
-    held: dict = {}
+    parts = math.ceil(dictionary.count() / max(1, most))
+    keyed = dictionary.withColumn("part", F.pmod(F.xxhash64("lang", "key"), F.lit(parts)))
+    rows = docs.withColumn("__row", F.sha2(F.to_json(F.struct("id", "language", "text")), 256))
+    hits = None
+    for k in range(parts):
+        keys = spark.sparkContext.broadcast(keyed.where(F.col("part") == k).select("lang", "key", "chebi_id", "reg_order").toPandas())
+
+        def run(batches: Iterator[pa.RecordBatch], keys=keys) -> Iterator[pa.RecordBatch]:
+            held = _scanners(keys.value)
+            for b in batches:
+                found = [(r, *m) for r, t, x in zip(*(c.to_pylist() for c in b.columns), strict=True) for m in scan_text(t, x, held)]
+                if found:
+                    kinds = (pa.string(), pa.int32(), pa.int32(), pa.string(), pa.list_(pa.string()))
+                    yield pa.RecordBatch.from_arrays([pa.array(c, kind) for c, kind in zip(zip(*found, strict=True), kinds, strict=True)], names=["__row", "start", "end", "surface", "who"])
+
+        some = rows.select("__row", "text", "language").mapInArrow(run, "__row string, start int, end int, surface string, who array<string>")
+        hits = some if hits is None else hits.unionByName(some)
+    if hits is None:
+        return link_exact(docs, dictionary)
+    longest = hits.groupBy("__row", "start").agg(F.max_by(F.struct("end", "surface", "who"), "end").alias("m"))
+    lists = longest.groupBy("__row").agg(F.array_sort(F.collect_list(F.struct("start", "m.end", "m.surface", "m.who"))).alias("__matches"))
+    schema = _with_mentions(docs)
 
-    @F.pandas_udf(f"array<{MENTION}>")
-    def mentions(batches: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.Series]:
-        if not held:
-            held.update(_scanners(keys.value))
-        for text, lang in batches:
-            yield pd.Series([[{"surface": s, "start": a, "end": z, "chebi_id": c} for s, a, z, c in link_text(t or "", x, held)] for t, x in zip(text, lang, strict=True)], dtype=object)
+    def settle(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            found = [settle_matches([(m["start"], m["end"], m["surface"], m["who"]) for m in x or []]) for x in b.columns[-1].to_pylist()]
+            yield pa.RecordBatch.from_arrays([*b.columns[:-1], _mention_lists(found)], names=schema.names)
 
-    return docs.withColumn("mentions", mentions("text", "language"))
+    return rows.join(lists, "__row", "left").select(*docs.columns, "__matches").mapInArrow(settle, schema)
 
 
 def link_native(docs: DataFrame, dictionary: DataFrame, fold_with=None) -> DataFrame:
@@ -138,19 +208,16 @@ def _settle(hits: DataFrame, dictionary: DataFrame, docs: DataFrame) -> DataFram
     )
 
 
-def nest(docs: DataFrame, mentions: DataFrame) -> DataFrame:
-    """docs with the list of mentions of a flat table."""
-    m = F.transform(F.array_sort(F.collect_list(F.struct("start", "surface", "end", "chebi_id"))), lambda s: F.struct(s["surface"], s["start"], s["end"], s["chebi_id"]))
-    lists = mentions.groupBy("id").agg(m.cast(f"array<{MENTION}>").alias("mentions"))
-    return docs.join(lists, "id", "left").withColumn("mentions", F.coalesce("mentions", F.array().cast(f"array<{MENTION}>")))
+def link(docs: DataFrame, aliases: DataFrame, cfg: Config = Config()) -> DataFrame:
+    """docs with mentions; the counted size of the dictionary decides in how many parts it is broadcast."""
+    return link_keys(docs, invert(aliases, cfg), cfg)
 
 
-def link(docs: DataFrame, aliases: DataFrame, cfg: Config = Config()) -> DataFrame:
-    """docs with mentions; the way is chosen by the dictionary's counted size."""
-    dictionary = invert(aliases, cfg)
+def link_keys(docs: DataFrame, dictionary: DataFrame, cfg: Config = Config()) -> DataFrame:
+    """link with a ready dictionary."""
     if dictionary.limit(cfg.max_broadcast_keys + 1).count() <= cfg.max_broadcast_keys:
         return link_exact(docs, dictionary)
-    return nest(docs, link_native(docs, dictionary))
+    return link_in_parts(docs, dictionary, cfg.max_broadcast_keys)
 
 
 def primary_concept(mentions: str = "mentions"):

@@ -152,6 +152,10 @@ SELECTS = {
     "alias_inversion": "SELECT lang, key, chebi_id, reg_order FROM dict",
     "link_mentions": 'SELECT id, surface, "start", "end", chebi_id FROM mentions',
     "link_mentions_native": 'SELECT id, surface, "start", "end", chebi_id FROM mentions',
+    "link_mentions_parts": 'SELECT id, surface, "start", "end", chebi_id FROM mentions',
+    "link_folded": r"""SELECT id, w AS surface, (e - length(w))::INT AS "start", e::INT AS "end", 'C:ss' AS chebi_id FROM (SELECT id, language, w, sum(length(w)) OVER (PARTITION BY id ORDER BY i) AS e FROM (SELECT id, language, unnest(p) AS w, generate_subscripts(p, 1) AS i FROM (SELECT id, language, regexp_extract_all(text, '[\p{L}\p{N}_]+|[^\p{L}\p{N}_]') AS p FROM docs))) WHERE (language, replace(lower(w), 'ß', 'ss')) IN (SELECT (language, replace(lower(v), 'ß', 'ss')) FROM (SELECT language, unnest(regexp_extract_all(text, '[\p{L}\p{N}_]+')) AS v FROM docs) WHERE contains(v, 'ß') AND length(v) > 3)""",
+    "folded_text": "SELECT doc_id, md5(replace(lower(nfc_normalize(coalesce(text, ''))), 'ß', 'ss')) AS folded_md5 FROM documents",
+    "request_keys": "SELECT item_id, sha256('{\"max_output_tokens\": 60, \"model\": \"m\", \"system\": \"s\", \"temperature\": 0.0, \"user\": ' || to_json(text) || '}') AS key FROM benchmark",
     "primary_concept": "SELECT d.id, p.chebi_id AS primary_chebi_id FROM docs d LEFT JOIN (SELECT id, chebi_id FROM (SELECT id, chebi_id, row_number() OVER (PARTITION BY id ORDER BY count(*) DESC, min(\"start\")) AS n FROM mentions GROUP BY id, chebi_id) WHERE n = 1) p USING (id)",
     "mentioned_ids": "SELECT DISTINCT chebi_id FROM mentions",
     "link_counts": "SELECT (SELECT count(*) FROM docs) AS documents, count(DISTINCT id) AS with_mentions, count(*) AS mentions FROM mentions",

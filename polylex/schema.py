@@ -26,7 +26,7 @@ class Config:
     min_alias_len_zh: int = 2
     min_tokens: int = 200
     freq_floor: int = 3
-    #: A dictionary of more keys is joined (native linker) instead of broadcast as an automaton.
+    #: A dictionary of more keys is broadcast in parts, a pass over the texts for each.
     max_broadcast_keys: int = 2_000_000
 
 

@@ -1,4 +1,9 @@
-"""Linking of arriving documents: the exact linker keeps no state, so it runs on a stream as it is."""
+"""Linking of arriving documents: the exact linker keeps no state, so it runs on a stream as it is.
+
+A dictionary too large for one broadcast would need matches of several passes to be brought
+together, which a stream without state cannot do: link each micro-batch by ``linking.link_keys``
+in ``foreachBatch`` then.
+"""
 
 from __future__ import annotations
 
@@ -6,6 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
 from ..operators import linking
+from ..schema import Config
 from ..sources.readers import LINKED
 
 DOCUMENT = "id string, publication_number string, language string, text string"
@@ -16,8 +22,10 @@ def read_documents(spark: SparkSession, folder: str) -> DataFrame:
     return spark.readStream.schema(DOCUMENT).parquet(folder)
 
 
-def linked_stream(docs: DataFrame, dictionary: DataFrame) -> DataFrame:
-    """The linked documents of a stream, against a dictionary that does not change."""
+def linked_stream(docs: DataFrame, dictionary: DataFrame, cfg: Config = Config()) -> DataFrame:
+    """The linked documents of a stream, against a dictionary that does not change; its size is checked."""
+    if dictionary.limit(cfg.max_broadcast_keys + 1).count() > cfg.max_broadcast_keys:
+        raise ValueError("the dictionary is too large to broadcast: link micro-batches by linking.link_keys")
     return linking.linked_documents(linking.link_exact(docs, dictionary))
 
 

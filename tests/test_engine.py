@@ -72,6 +72,22 @@ def test_native_linking_equals_the_scan(spark):
     assert sorted(map(tuple, got.collect())) == sorted(map(tuple, want.collect())) != []
 
 
+@settings(deadline=None, max_examples=2)
+@given(st.integers(0, 10**6))
+def test_links_do_not_depend_on_how_the_dictionary_is_broadcast(spark, seed):
+    rng = random.Random(seed)
+    words = {"en": ["aaa", "bbb aaa", "İstan", "Fe(III)", "bbb"], "de": ["Fußöl", "fussöl hier", "hier", "straße"], "zh": ["乙醇", "咖啡因", "咖啡", "醇胺", "乙醇胺"]}
+    joint = {"en": " ", "de": " ", "zh": ""}
+    aliases = [(f"C{rng.randint(0, 4)}", lang, k, w) for lang, ws in words.items() for k, w in enumerate(ws)]
+    more = {"en": ["q", "ßaaa"], "de": ["FUSSÖL", "Straße", "x"], "zh": ["样品", "。"]}
+    docs = [(str(k // 2), "p", lang, joint[lang].join(rng.choice(words[lang] + more[lang]) for _ in range(rng.randint(0, 12)))) for k in range(24) for lang in [rng.choice(list(words))]]
+    d = spark.createDataFrame([*docs, docs[0], ("9", None, "en", None), (None, None, None, "aaa")], "id string, publication_number string, language string, text string")
+    a = spark.createDataFrame(aliases, "chebi_id string, lang string, pos long, alias string")
+    want, *rest = (sorted(map(str, linking.link(d, a, Config(max_broadcast_keys=n)).collect())) for n in (100, 4, 0))
+    assert rest == [want, want]
+    assert any("Fußöl" in x or "乙醇" in x for x in want)
+
+
 @settings(deadline=None, max_examples=200)
 @given(st.lists(st.tuples(st.integers(0, 30), st.integers(1, 8)), max_size=12))
 def test_islands_equal_the_sweep(raw):

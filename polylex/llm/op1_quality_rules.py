@@ -35,7 +35,7 @@ MAX_REPEAT_PERCENT = 30
 MIN_GROUP = 200
 #: A fence stands FACTOR quartile ranges beyond the quartile, and at least SLACK[metric] beyond it.
 FACTOR = 4
-SLACK = {"symbols": 150, "dup_lines": 40, "repeats": 300, "word_len": 250}
+SLACK = {"symbols": 150, "dup_lines": 40, "repeats": 200, "word_len": 250}
 LOWER = ("word_len",)
 COUNTS = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
 _SYMBOL = np.zeros(256, np.uint8)

@@ -10,9 +10,9 @@ vectors, the mean of its shapes' and marks' vectors, and the logarithm of its le
 layers in numpy give a logit; a temperature, fitted on a part of the sample that the network
 has not learnt from, turns it into a probability.
 
-Training reads at most ``TRAIN_ROWS`` labelled rows of at most ``TRAIN_BYTES`` bytes each,
-those with the least hashes of their ids, so what reaches the driver is bounded (64 MB).
-Scoring is one pass over the whole texts.
+Training reads at most ``TRAIN_ROWS`` labelled ids, those with the least hashes, as far as their
+texts have ``TRAIN_BYTES`` bytes together, so what reaches the driver is bounded; an id whose
+texts have more than ``TRAIN_TEXT`` bytes is passed over. Scoring is one pass over the whole texts.
 
 Defined cases: null and empty texts, and texts without words, score 0; a null id is never
 held out and never learnt from; an id with several labels counts as its greatest; without
@@ -26,7 +26,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -38,7 +38,8 @@ ROWS = 1 << 15
 NONZERO = 6
 HIDDEN = 32
 TRAIN_ROWS = 4000
-TRAIN_BYTES = 16384
+TRAIN_BYTES = 32 << 20
+TRAIN_TEXT = 1 << 20
 EPOCHS = 60
 FOLDS, HELD = 3, 1
 #: Bytes of text whose vectors are held at a time, on the driver and in workers.
@@ -170,8 +171,11 @@ def held_out(doc: Column) -> Column:
 def train(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "text", label: str = "quality") -> tuple[np.ndarray, Network | float]:
     """Word vectors and network from a bounded sample of the labelled rows that are not held out."""
     y = labels.where(F.col(label).isNotNull() & F.col(key).isNotNull()).groupBy(F.col(key).alias("__id")).agg(F.max(label).cast("double").alias("__y"))
-    x = docs.select(F.col(key).alias("__id"), F.col(text).cast("string").alias("__text")).where(~held_out(F.col("__id")) & (F.octet_length("__text") <= TRAIN_BYTES))
-    ids = x.select("__id").join(y, "__id").orderBy(F.xxhash64("__id"), "__id").limit(TRAIN_ROWS)
+    x = docs.select(F.col(key).alias("__id"), F.coalesce(F.col(text).cast("string"), F.lit("")).alias("__text")).where(~held_out(F.col("__id")))
+    size = x.groupBy("__id").agg(F.sum(F.octet_length("__text")).alias("__size"), F.count("*").alias("__rows"))
+    first = size.join(y, "__id").where(F.col("__size") <= TRAIN_TEXT).orderBy(F.xxhash64("__id"), "__id").limit(TRAIN_ROWS)
+    total = {c: F.sum(c).over(Window.orderBy(F.xxhash64("__id"), "__id")) for c in ("__size", "__rows")}  # over TRAIN_ROWS rows at most
+    ids = first.select("__id", "__y", *(t.alias(f"{c}_sum") for c, t in total.items())).where((F.col("__size_sum") <= TRAIN_BYTES) & (F.col("__rows_sum") <= TRAIN_ROWS)).select("__id", "__y")
     sample = x.join(F.broadcast(ids), "__id").orderBy(F.xxhash64("__id"), "__id", "__text").limit(TRAIN_ROWS).select("__text", "__y").toArrow()  # TRAIN_ROWS ids at most are broadcast
     texts, goal = sample.column(0).combine_chunks(), sample.column(1).to_numpy()
     texts = pa.array([], pa.string()) if sample.num_rows == 0 else texts

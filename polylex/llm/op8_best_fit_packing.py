@@ -228,9 +228,10 @@ def pack(df: DataFrame, key: str = "doc_id", text: str = "text", vocabulary: str
     cut = scratch.settle(cut.withColumns({"part": F.spark_partition_id(), "row": F.monotonically_increasing_id()}), "pieces")
     per = scratch.settle(cut.groupBy("part", "length").agg(F.count("*").alias("n")), "counts")
     counts = {r.length: r.n for r in per.groupBy("length").agg(F.sum("n").alias("n")).collect()}  # capacity rows at most
+    # it has up to a row for each part and length, so it is never broadcast; both sides are dealt by (part, length)
     shift = per.withColumn("shift", F.sum("n").over(Window.partitionBy("length").orderBy("part")) - F.col("n")).drop("n")
     rank = F.row_number().over(Window.partitionBy("part", "length").orderBy("row")) - 1
-    ranked = cut.withColumn("rank", rank).join(shift, ["part", "length"]).withColumn("rank", (F.col("rank") + F.col("shift")).cast("long"))
+    ranked = cut.withColumn("rank", rank).join(shift.hint("merge"), ["part", "length"]).withColumn("rank", (F.col("rank") + F.col("shift")).cast("long"))
     names = ["doc", "piece", "start", "length", "crc", *["ids"] * ids]
     return place(ranked.select(*names, "rank"), best_plan(counts, capacity)).drop("rank")
 

@@ -9,9 +9,13 @@ or when one row or none is left between its candidates. Only then are the rows e
 once, with their texts. A round reads 24 bytes a row and sends back one count for each
 candidate, so nothing on the driver grows with the rows.
 
+The exchange deals each shard over bins of about ``BIN`` bytes, by a hash of the same keys, so
+that no task grows with a shard. A shard's slots are numbered in each bin from where the bin
+before ends; the bins' counts are known before, from the keys.
+
 Defined cases: null text has size ``OVERHEAD`` and the empty text's checksum; a null id
 sorts before all others; rows equal in text and id cannot be told apart, so they share a
-shard; an empty table gives an empty result. Extra columns are carried unless their names
+shard and a bin; an empty table gives an empty result. Extra columns are carried unless their names
 begin with ``__``.
 """
 
@@ -30,6 +34,8 @@ SHARDS = 40
 OVERHEAD = 16
 #: Of a shard's mean size.
 TOLERANCE = 0.001
+#: Bytes of a shard that a task numbers.
+BIN = 128 << 20
 PROBES = 63
 
 
@@ -115,16 +121,22 @@ def _shard_of(cuts: list[int], h: Column, d: Column, first: int = 0) -> Column:
     return F.when(below, _shard_of(cuts[:mid], h, d, first)).otherwise(_shard_of(cuts[mid + 1 :], h, d, first + mid + 1))
 
 
-def histogram_shards(df: DataFrame, shards: int = SHARDS, key: str = "doc_id", text: str = "text", scratch: Scratch | None = None) -> DataFrame:
-    """df with __size, __shard and __slot: exchanged once, sorted within shards."""
+def histogram_shards(df: DataFrame, shards: int = SHARDS, key: str = "doc_id", text: str = "text", scratch: Scratch | None = None, room: int = BIN) -> DataFrame:
+    """df with __size, __shard and __slot: exchanged once, in bins of about room bytes."""
     scratch = scratch or Scratch(df.sparkSession, "op9")
     words = F.coalesce(F.col(text).cast("string"), F.lit(""))
     x = df.withColumns({"__h": F.xxhash64(words), "__d": F.coalesce(F.col(key).cast("long"), F.lit(-(1 << 63))), "__size": (F.octet_length(words) + OVERHEAD).cast("long")})
     keys = scratch.settle(x.select(F.col("__h").alias("h"), F.col("__d").alias("d"), F.col("__size").alias("size")), "keys")
     cuts = splitters(keys, shards)
-    x = x.withColumn("__shard", _shard_of(cuts, F.col("__h"), F.col("__d")))
-    slot = F.row_number().over(Window.partitionBy("__shard").orderBy("__h", "__d"))
-    return x.withColumn("__slot", (slot - 1).cast("long")).drop("__h", "__d")
+    total = keys.agg(F.coalesce(F.sum("size"), F.lit(0))).first()[0]
+    bins = -(-total // (shards * room)) or 1
+    place = lambda h, d: {"__shard": _shard_of(cuts, F.col(h), F.col(d)), "__bin": F.pmod(F.xxhash64(d, h), F.lit(bins)).cast("int")}
+    held = keys.withColumns(place("h", "d")).groupBy("__shard", "__bin").agg(F.count("*").alias("n"))
+    before = F.sum("n").over(Window.partitionBy("__shard").orderBy("__bin")) - F.col("n")  # a row for each bin
+    first = scratch.settle(held.select("__shard", "__bin", before.alias("__first")), "bins")
+    slot = F.row_number().over(Window.partitionBy("__shard", "__bin").orderBy("__h", "__d")) - 1
+    x = x.withColumns(place("__h", "__d")).withColumn("__slot", slot).join(first, ["__shard", "__bin"])
+    return x.withColumn("__slot", (F.col("__slot") + F.col("__first")).cast("long")).select(*df.columns, "__size", "__shard", "__slot")
 
 
 def op9_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:

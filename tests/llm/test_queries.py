@@ -2,6 +2,7 @@
 
 import hashlib
 import math
+import random
 import re
 import zlib
 from collections import Counter, defaultdict
@@ -12,7 +13,7 @@ import pytest
 import xxhash
 from tokenizers import Tokenizer
 
-from polylex.llm import op6_ppm_scoring, queries
+from polylex.llm import op1_quality_rules, op6_ppm_scoring, op9_sharding, queries
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 LOWER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
@@ -72,6 +73,15 @@ def test_op1(spark, tables, docs):
     assert all(kept[k] for k in range(40)) and not kept[84] and not kept[83]
 
 
+def test_learnt_fences_alone_reject(spark):
+    rng = random.Random(9)
+    clean = [" ".join(f"w{rng.randint(0, 5000)}" for _ in range(100)) for _ in range(300)]
+    again = [" ".join(w[:12] + w[:12] + w[12:88]) for w in (t.split() for t in clean[:5])]  # 24 % of the words repeat: the base rule lets it pass
+    df = spark.createDataFrame([(k, t, "en", "a") for k, t in enumerate(clean + again)], "doc_id long, text string, lang string, source string")
+    got = {r.doc_id: (r["__base_failed"], r["__kept"]) for r in op1_quality_rules.quality_rules(df).collect()}
+    assert all(got[k] == (False, True) for k in range(300)) and all(got[k] == (False, False) for k in range(300, 305))
+
+
 def test_op2(spark, tables, docs):
     first = {}
     for i, t in docs:
@@ -102,6 +112,24 @@ def test_op3(spark, tables, docs):
     assert all(r.score == 0 for r in got if r.doc_id is not None and not words(text[r.doc_id]))
 
 
+def test_op3_tells_unseen_texts_apart(spark, tmp_path):
+    """Held-out ranking and calibration, of short and of long texts."""
+    rng = random.Random(11)
+    stems = [f"{a}{b}" for a in ("ka", "lo", "mi", "ru", "te") for b in ("n", "rat", "sel", "vo", "ding", "pha")]
+    good = lambda n: " ".join(" ".join(rng.choice(stems) for _ in range(9)).capitalize() + "." for _ in range(n // 9 + 1))
+    bad = lambda n: " ".join(rng.choice(["CLICK", "$$$", "buy now", "###", "www", "free!!", rng.choice(stems), "17", "sale sale"]) for _ in range(n))
+    rows = [(k, (good if k % 2 else bad)(rng.choice([30, 80, 300, 6000 if k % 9 == 0 else 100])), k % 2) for k in range(500)]
+    spark.createDataFrame([r[:2] for r in rows], "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    spark.createDataFrame([(k, y, 0) for k, _, y in rows if k % 5], "doc_id long, quality int, toxic int").write.parquet(f"{tmp_path}/labels.parquet")
+    label, size = {k: y for k, _, y in rows}, {k: len(t) for k, t, _ in rows}
+    held = [r for r in run(spark, 3, str(tmp_path)) if r.held_out]
+    for some in ([r for r in held if size[r.doc_id] > 20000], [r for r in held if size[r.doc_id] <= 20000]):
+        yes, no = ([r.score for r in some if label[r.doc_id] == y] for y in (1, 0))
+        auc = sum((a > b) + 0.5 * (a == b) for a in yes for b in no) / (len(yes) * len(no))
+        assert auc >= 0.95 and sum((r.score - label[r.doc_id]) ** 2 for r in some) / len(some) <= 0.08
+    assert len(held) > 100
+
+
 def _library(name, docs):
     t = Tokenizer.from_file(public_tokenizers.path(name))
     t.no_truncation()
@@ -226,6 +254,14 @@ def test_op9(spark, tables, docs):
     assert max(size.values()) <= sum(size.values()) / 40 + max(r.size for r in got)
 
 
+def test_op9_numbers_shards_of_many_bins(spark, tables, docs):
+    out = op9_sharding.histogram_shards(spark.read.parquet(f"{tables}/documents.parquet").select("doc_id", "text"), shards=3, room=2000).collect()
+    slots = defaultdict(list)
+    for r in out:
+        slots[r["__shard"]].append(r["__slot"])
+    assert len(out) == len(docs) and all(sorted(v) == list(range(len(v))) for v in slots.values())
+
+
 def test_op10(spark, tables):
     rows = spark.read.parquet(f"{tables}/embeddings.parquet").collect()
     good = [k for k, r in enumerate(rows) if r.vec_id is not None and r.embedding and all(x is not None and math.isfinite(x) for x in r.embedding) and any(r.embedding)]

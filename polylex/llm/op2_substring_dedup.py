@@ -3,16 +3,22 @@
 A window is 50 consecutive words. Its fingerprint is the least hash among its 16-word
 hashes: equal windows have equal fingerprints, and neighbouring windows mostly share
 one, so a document's windows fall into stretches (about one for 18 words). A stretch is
-a row (fingerprint, digest of its words, document). ``FingerprintLog`` holds the rows of
-earlier batches as immutable runs, bucketed and sorted by fingerprint; a batch is
-merge-joined with each run, so history is not shuffled again, and runs of like size are
-compacted into one.
+a row (fingerprint, digest of its words, document).
+
+``FingerprintLog`` holds what earlier batches had, in immutable runs of three tables: stretches
+and windows, each with its least document, and spans, which say of a fingerprint whether it has
+one stretch or several. They are bucketed and sorted by their keys, a batch's own tables too, so
+a batch is merge-joined with each run without any exchange of history. Runs of like size are
+compacted into one by the same kind of join. A manifest beside the runs lets a later session
+open the log again.
 
 * A stretch whose words are those of a stretch in a smaller document goes as a whole.
   Counted map-side first; groups of copies cost a row each, never pairs.
 * Fingerprints with several different stretches are settled window by window: the first
-  document of each different stretch, and no other, is read again, and the digests of its
-  windows' own words decide. So every removal is verified on the words, to 128 bits.
+  document of each different stretch is read again, and the digests of its windows' own words
+  decide. What that gives is kept in the log, so of history only the one document of a
+  fingerprint that had a single stretch so far is ever read again.
+* Every removal is verified on the words, by a digest of 64 bits besides the fingerprint's 64.
 
 Defined cases: null text has no words; documents below 50 words lose nothing; rows with a
 null id neither lose words nor cause loss; rows that share an id never remove each other's
@@ -22,6 +28,8 @@ words, as no smaller id has them; empty tables give empty results; only id and t
 from __future__ import annotations
 
 import hashlib
+import json
+import uuid
 from collections.abc import Iterator
 
 import numpy as np
@@ -176,75 +184,162 @@ def _mark_dead(w: Windows, gone: np.ndarray, whole: dict, single: dict, edge: np
                 gone[a + w.window] -= 1
 
 
-class FingerprintLog:
-    """Immutable runs (h, x, own): the least document of each stretch so far, bucketed and sorted by h."""
+#: The tables of a run and their keys.
+TABLES = {"stretches": ("h", "x"), "spans": ("h",), "windows": ("h", "x")}
+#: Over so many tasks the rows of one key are spread where they meet the key's verdict.
+SALTS = 16
 
-    def __init__(self, scratch: Scratch, buckets: int | None = None):
-        self.scratch, self.spark = scratch, scratch.spark
-        self.buckets = buckets or int(self.spark.conf.get("spark.sql.shuffle.partitions"))
-        self.runs: list[tuple[str, int]] = []
-        self.made = 0
 
-    def _write(self, rows: DataFrame) -> tuple[str, int]:
+class FingerprintLog:
+    """Immutable runs of stretches (h, x, own), spans (h, lo, hi, own) and windows (h, x, own) in a folder that all executors share."""
+
+    def __init__(self, spark: SparkSession, folder: str, buckets: int | None = None):
+        self.spark, self.folder = spark, folder.rstrip("/")
+        self.buckets = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
+        self.label = "polylex_" + uuid.uuid4().hex
+        self.runs: list[tuple[str, int]] = []  # name and number of stretches
+        self.made = self.version = 0
+
+    @classmethod
+    def open(cls, spark: SparkSession, folder: str) -> FingerprintLog:
+        """The log that an earlier session left in the folder."""
+        log = cls(spark, folder)
+        files = [f.getPath().getName() for f in log._files().listStatus(log._path(""))]
+        log.version = max(int(n[9:-5]) for n in files if n.startswith("manifest-"))
+        text = spark.read.text(f"{log.folder}/manifest-{log.version}.json", wholetext=True).first()[0]
+        known = json.loads(text)
+        log.buckets, log.made, log.runs = known["buckets"], known["made"], [tuple(r) for r in known["runs"]]
+        for name, _ in log.runs:
+            for kind, keys in TABLES.items():
+                cols = ", ".join(f"{c} BIGINT" for c in _COLUMNS[kind])
+                by = ", ".join(keys)
+                spark.sql(f"CREATE TABLE {log._table(name, kind)} ({cols}) USING parquet CLUSTERED BY ({by}) SORTED BY ({by}) INTO {log.buckets} BUCKETS LOCATION '{log.folder}/{name}/{kind}'")
+        return log
+
+    def _path(self, name: str):
+        return self.spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{self.folder}/{name}" if name else self.folder)
+
+    def _files(self):
+        return self._path("").getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration())
+
+    def _table(self, name: str, kind: str) -> str:
+        return f"{self.label}_{name}_{kind}"
+
+    def table(self, name: str, kind: str) -> DataFrame:
+        return self.spark.table(self._table(name, kind))
+
+    def tables(self, kind: str) -> list[DataFrame]:
+        return [self.table(name, kind) for name, _ in self.runs]
+
+    def new_name(self) -> str:
         self.made += 1
-        name = f"run{self.made}"
-        table = "polylex_" + self.scratch.dir.rsplit("-", 1)[-1] + f"_{name}"
-        part = rows.repartition(self.buckets, "h").sortWithinPartitions("h", "x")
-        part.write.option("path", self.scratch.path(name)).bucketBy(self.buckets, "h").sortBy("h").mode("overwrite").saveAsTable(table)
-        return table, self.spark.table(table).count()
-
-    def tables(self) -> list[DataFrame]:
-        return [self.spark.table(t) for t, _ in self.runs]
-
-    def append(self, rows: DataFrame) -> None:
-        """A new run; then the newest two are compacted while the older one is not twice as large."""
-        self.runs.append(self._write(rows))
+        return f"run{self.made}"
+
+    def write(self, rows: DataFrame, name: str, kind: str) -> DataFrame:
+        """rows, one for each key and dealt by the keys already, as a table of a run."""
+        keys = TABLES[kind]
+        rows.write.option("path", f"{self.folder}/{name}/{kind}").bucketBy(self.buckets, *keys).sortBy(*keys).mode("overwrite").saveAsTable(self._table(name, kind))
+        return self.table(name, kind)
+
+    def drop(self, name: str) -> None:
+        for kind in TABLES:
+            self.spark.sql(f"DROP TABLE IF EXISTS {self._table(name, kind)}")
+        self._files().delete(self._path(name), True)
+
+    def append(self, name: str) -> None:
+        """Takes a written run in; then the newest two are compacted while the older one is not twice as large."""
+        self.runs.append((name, self.table(name, "stretches").count()))
+        old: list[str] = []
         while len(self.runs) > 1 and self.runs[-2][1] <= 2 * self.runs[-1][1]:
             (a, _), (b, _) = self.runs[-2:]
-            both = self.spark.table(a).unionByName(self.spark.table(b))
-            new = self._write(both.groupBy("h", "x").agg(F.min("own").alias("own")))
-            self.runs[-2:] = [new]
-            for t in (a, b):
-                self.spark.sql(f"DROP TABLE {t}")
-                self.scratch.drop(t.rsplit("_", 1)[-1])
+            new = self.new_name()
+            for kind, keys in TABLES.items():
+                x, y = (self.table(n, kind) for n in (a, b))
+                both = {"lo": F.least(x["lo"], y["lo"]), "hi": F.greatest(x["hi"], y["hi"])} if kind == "spans" else {}
+                merged = x.join(y, [x[k] == y[k] for k in keys], "full").select(*(F.coalesce(x[k], y[k]).alias(k) for k in keys), *(c.alias(n) for n, c in both.items()), F.least(x["own"], y["own"]).alias("own"))
+                self.write(merged, new, kind)
+            self.runs[-2:] = [(new, self.table(new, "stretches").count())]
+            old += [a, b]
+        self._save()
+        for n in old:  # nothing names them any more
+            self.drop(n)
+
+    def _save(self) -> None:
+        """A new manifest; the one before goes when it is there, so that there is one at any time."""
+        self.version += 1
+        out = self._files().create(self._path(f"manifest-{self.version}.json"), True)
+        out.write(bytearray(json.dumps({"buckets": self.buckets, "made": self.made, "runs": self.runs}).encode()))
+        out.close()
+        self._files().delete(self._path(f"manifest-{self.version - 1}.json"), False)
+
+    def close(self, keep: bool = True) -> None:
+        """Takes the tables from the session's catalog; with keep, the files stay for open()."""
+        for name, _ in self.runs:
+            for kind in TABLES:
+                self.spark.sql(f"DROP TABLE IF EXISTS {self._table(name, kind)}")
+        if not keep:
+            self._files().delete(self._path(""), True)
+
+
+_COLUMNS = {"stretches": ("h", "x", "own"), "spans": ("h", "lo", "hi", "own"), "windows": ("h", "x", "own")}
+
+
+def _firsts(new: DataFrame, runs: list[DataFrame]) -> DataFrame:
+    """new (h, x, own, top) with the least document of all and whether no run has the key: merge joins of buckets."""
+    out = new
+    for k, run in enumerate(runs):
+        out = out.join(run.select("h", "x", F.col("own").alias(f"own{k}")), ["h", "x"], "left")
+    olds = [F.col(f"own{k}") for k in range(len(runs))]
+    fresh = F.lit(True)
+    for o in olds:
+        fresh &= o.isNull()
+    return out.select("h", "x", "own", "top", (F.least("own", *olds) if olds else F.col("own")).alias("least"), fresh.alias("fresh"))
 
 
-def dedup_batch(batch: DataFrame, log: FingerprintLog, corpus: DataFrame, tag: str, append: bool = True) -> DataFrame:
+def _dead(rows: DataFrame, firsts: DataFrame) -> DataFrame:
+    """The (doc, h, x) of rows that a smaller document has; a key of many rows is in SALTS tasks."""
+    gone = firsts.where("top > least").select("h", "x", "least", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("salt"))
+    salted = rows.withColumn("salt", F.pmod(F.xxhash64("doc"), F.lit(SALTS)).cast("int"))
+    return salted.join(gone, ["h", "x", "salt"]).where("doc > least").select("doc", "h", "x")
+
+
+def dedup_batch(batch: DataFrame, log: FingerprintLog, corpus: DataFrame, scratch: Scratch, tag: str, append: bool = True) -> DataFrame:
     """(doc, n_words, n_removed, kept) of a batch (doc, text) whose ids are above those of the log.
 
     corpus (doc, text) holds the texts of the batch and of what the log has; only the
     documents that a verification needs are read from it. A column row of the batch is carried.
     """
-    scratch = log.scratch
+    name = log.new_name()
     rows = scratch.settle(fingerprints(batch), f"{tag}-rows")
-    rep = scratch.settle(rows.groupBy("h", "x").agg(F.min("doc").alias("own"), F.max("doc").alias("top")).sortWithinPartitions("h"), f"{tag}-rep")
-    known, span = rep, rep.groupBy("h").agg(F.min("x").alias("lo"), F.max("x").alias("hi"))
-    for k, run in enumerate(log.tables()):
-        known = known.join(run.withColumnRenamed("own", f"own{k}"), ["h", "x"], "left")
-        span = span.join(run.groupBy("h").agg(F.min("x").alias("l"), F.max("x").alias("g")), "h", "left").select("h", F.least("lo", "l").alias("lo"), F.greatest("hi", "g").alias("hi"))
-    least = F.least(F.col("own"), *(F.col(f"own{k}") for k in range(len(log.runs)))) if log.runs else F.col("own")
-    fresh = F.lit(True)
-    for k in range(len(log.runs)):
-        fresh &= F.col(f"own{k}").isNull()
-    known = known.select("h", "x", "own", "top", least.alias("least"), fresh.alias("fresh"))
-    dead = known.where("top > least").select("h", "x", "least")
-    whole = rows.join(dead, ["h", "x"]).where("doc > least").select("doc", "h", "x")
-    mixed = scratch.settle(span.where("lo <> hi").select("h"), f"{tag}-mixed")
-    readers = known.where("fresh").select("h", F.col("own").alias("doc")).join(mixed, "h", "left_semi")
-    for run in log.tables():
-        readers = readers.unionByName(run.join(mixed, "h", "left_semi").select("h", F.col("own").alias("doc")))
-    lists = readers.groupBy("doc").agg(F.collect_set("h").alias("marks"))
-    single = scratch.settle(_windows(corpus.join(lists, "doc").select("doc", "text", "marks")).distinct(), f"{tag}-windows")
-    first = single.groupBy("h", "x").agg(F.min("doc").alias("least"), F.max("doc").alias("top")).where("top > least")
-    single = single.join(first, ["h", "x"]).where("doc > least").select("doc", "h", "x")
+    ends = (F.min("doc").alias("own"), F.max("doc").alias("top"))
+    new = log.write(rows.groupBy("h", "x").agg(*ends), name, "stretches")
+    firsts = _firsts(new, log.tables("stretches"))
+    whole = _dead(rows, firsts)
+    span = log.write(new.groupBy("h").agg(F.min("x").alias("lo"), F.max("x").alias("hi"), F.min("own").alias("own")), name, "spans")
+    state = span.select("h", "lo", "hi")
+    for k, run in enumerate(log.tables("spans")):
+        state = state.join(run.select("h", F.col("lo").alias(f"lo{k}"), F.col("hi").alias(f"hi{k}"), F.col("own").alias(f"own{k}")), "h", "left")
+    n = range(len(log.runs))
+    low, high, own = (f("__none", "__none", *(f"{c}{k}" for k in n)) for f, c in ((F.least, "lo"), (F.greatest, "hi"), (F.least, "own")))
+    state = state.withColumn("__none", F.lit(None).cast("long")).select("h", "lo", "hi", low.alias("low"), high.alias("high"), own.alias("single"))
+    mixed = scratch.settle(state.where("least(lo, low) <> greatest(hi, high)").select("h", F.when(F.col("low") == F.col("high"), F.col("single")).alias("single")), f"{tag}-mixed")
+    readers = firsts.where("fresh").select("h", F.col("own").alias("doc")).join(mixed, "h", "left_semi")
+    readers = readers.unionByName(mixed.where("single is not null").select("h", F.col("single").alias("doc")))
+    marks = scratch.settle(readers.groupBy("doc").agg(F.collect_set("h").alias("marks")), f"{tag}-marks")
+    read = _windows(corpus.join(marks, "doc").select("doc", "text", "marks"))
+    windows = scratch.settle(read.distinct(), f"{tag}-windows")
+    seen = log.write(windows.groupBy("h", "x").agg(*ends), name, "windows")
+    single = _dead(windows, _firsts(seen, log.tables("windows")))
     both = whole.withColumn("k", F.lit(0)).unionByName(single.withColumn("k", F.lit(1)))
     pair = F.struct("h", "x")
     lists = both.groupBy("doc").agg(*(F.collect_set(F.when(F.col("k") == k, pair)).alias(n) for k, n in enumerate(("whole", "single"))))
     lists = scratch.settle(lists, f"{tag}-lists")
     if append:
-        log.append(rep.select("h", "x", "own"))
-    for name in ("rows", "rep", "mixed", "windows"):
-        scratch.drop(f"{tag}-{name}")
+        log.append(name)
+    else:
+        log.drop(name)
+    for part in ("rows", "mixed", "marks", "windows"):
+        scratch.drop(f"{tag}-{part}")
     return _cut(batch.join(lists, "doc", "left").select("doc", "text", "whole", "single", *batch.columns[2:]))
 
 
@@ -253,7 +348,7 @@ def substring_dedup(df: DataFrame, doc: str = "doc_id", text: str = "text", batc
 
     With carry, also each row's text and, as a struct named row, its other columns: an id does not tell rows apart."""
     scratch = scratch or Scratch(df.sparkSession, "op2")
-    log = FingerprintLog(scratch)
+    log = FingerprintLog(scratch.spark, scratch.path("log"))
     docs = df.select(F.col(doc).cast("long").alias("doc"), F.col(text).cast("string").alias("text"), *[F.struct(*(F.col(f"`{c}`") for c in df.columns if c != text)).alias("row")] * carry)
     cuts = sorted(set(docs.approxQuantile("doc", [k / batches for k in range(1, batches)], 0.01))) if batches > 1 else []
     edges, out = [None, *(int(c) for c in cuts), None], None
@@ -261,8 +356,9 @@ def substring_dedup(df: DataFrame, doc: str = "doc_id", text: str = "text", batc
         lo, hi = edges[k], edges[k + 1]
         here = F.lit(True) if hi is None else F.col("doc") <= hi
         batch = docs.where(here if lo is None else here & (F.col("doc") > lo))
-        done = dedup_batch(batch, log, docs.where(here), f"b{k}", append=hi is not None)
+        done = dedup_batch(batch, log, docs.where(here), scratch, f"b{k}", append=hi is not None)
         out = done if out is None else out.unionByName(done)
+    log.close(keep=False)
     none = [F.lit(None).cast("array<struct<h:bigint,x:bigint>>").alias(c) for c in ("whole", "single")]
     return out.unionByName(_cut(docs.where("doc is null").select("doc", "text", *none, *docs.columns[2:])))
 

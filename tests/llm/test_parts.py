@@ -10,8 +10,9 @@ import public_tokenizers
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
+from pyspark.sql import functions as F
 
-from polylex.llm import components, near_texts, op7_token_store, op8_best_fit_packing, op9_sharding, op10_embedding_dedup, units
+from polylex.llm import components, near_texts, op2_substring_dedup, op7_token_store, op8_best_fit_packing, op9_sharding, op10_embedding_dedup, units
 from polylex.llm.op5_simhash_dedup import near_pairs
 from polylex.llm.scratch import Scratch, shared_root
 
@@ -63,6 +64,60 @@ def test_a_damaged_block_is_refused():
         op7_token_store.decode_block(bytes(block))
 
 
+def _passages(seed, n, first):
+    """Documents with passages that others have, whole and in part."""
+    rng = random.Random(seed)
+    common = [" ".join(f"p{k}x{j}" for j in range(90)) for k in range(5)]
+    out = []
+    for i in range(n):
+        parts = [" ".join(f"w{rng.getrandbits(20)}" for _ in range(rng.randint(5, 60))) for _ in range(3)]
+        k = rng.randrange(5)
+        cut = common[k].split()
+        a = rng.randint(0, 30)
+        parts.insert(rng.randint(0, 3), " ".join(cut[a : a + rng.randint(45, 60)]))
+        out.append((first + i, " ".join(parts)))
+    return out
+
+
+def _removed(docs):
+    first, out = {}, {}
+    for i, t in docs:
+        w = t.split()
+        for k in range(len(w) - 49):
+            first.setdefault(tuple(w[k : k + 50]), i)
+    for i, t in docs:
+        w, dead = t.split(), set()
+        for k in range(len(w) - 49):
+            if first[tuple(w[k : k + 50])] < i:
+                dead |= set(range(k, k + 50))
+        out[i] = (len(dead), " ".join(x for k, x in enumerate(w) if k not in dead))
+    return out
+
+
+def test_a_log_is_opened_again_and_history_is_not_exchanged(spark, tmp_path):
+    docs = [_passages(k, 40, 100 * k) for k in range(5)]
+    want, got, folder = _removed([d for part in docs for d in part]), {}, str(tmp_path / "log")
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        for k, part in enumerate(docs):
+            log = op2_substring_dedup.FingerprintLog.open(spark, folder) if k else op2_substring_dedup.FingerprintLog(spark, folder, 4)
+            frame = lambda rows: spark.createDataFrame(rows, "doc long, text string")
+            out = op2_substring_dedup.dedup_batch(frame(part), log, frame([d for p in docs[: k + 1] for d in p]), Scratch(spark, "log"), "b")
+            got |= {r.doc: (r.n_removed, r.kept) for r in out.collect()}
+            if len(log.runs) > 1:
+                new, *rest = log.tables("stretches")
+                joined = op2_substring_dedup._firsts(new.withColumn("top", F.col("own")), rest)
+                assert "Exchange" not in joined._jdf.queryExecution().executedPlan().toString()
+            names = [r.tableName for r in spark.sql("SHOW TABLES").collect() if r.tableName.startswith(log.label)]
+            assert len(names) == 3 * len(log.runs)
+            log.close()
+            assert not [r for r in spark.sql("SHOW TABLES").collect() if r.tableName.startswith(log.label)]
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+    assert got == want and sum(n for n, _ in got.values()) > 2000
+
+
 def _made_ids(n, kinds=2000):
     """Ids of which each depends on the one before, as in texts."""
     rng = np.random.default_rng(4)

@@ -186,8 +186,9 @@ def _mark_dead(w: Windows, gone: np.ndarray, whole: dict, single: dict, edge: np
 
 #: The tables of a run and their keys.
 TABLES = {"stretches": ("h", "x"), "spans": ("h",), "windows": ("h", "x")}
-#: Over so many tasks the rows of one key are spread where they meet the key's verdict.
-SALTS = 16
+#: A key with more than one in so many of all rows is hot, so there are fewer hot keys than this; their
+#: rows are spread over so many tasks where they meet the key's verdict.
+HOT, SALTS = 2000, 64
 
 
 class FingerprintLog:
@@ -285,7 +286,7 @@ _COLUMNS = {"stretches": ("h", "x", "own"), "spans": ("h", "lo", "hi", "own"), "
 
 
 def _firsts(new: DataFrame, runs: list[DataFrame]) -> DataFrame:
-    """new (h, x, own, top) with the least document of all and whether no run has the key: merge joins of buckets."""
+    """new (h, x, own, top, n) with the least document of all and whether no run has the key: merge joins of buckets."""
     out = new
     for k, run in enumerate(runs):
         out = out.join(run.select("h", "x", F.col("own").alias(f"own{k}")), ["h", "x"], "left")
@@ -293,13 +294,17 @@ def _firsts(new: DataFrame, runs: list[DataFrame]) -> DataFrame:
     fresh = F.lit(True)
     for o in olds:
         fresh &= o.isNull()
-    return out.select("h", "x", "own", "top", (F.least("own", *olds) if olds else F.col("own")).alias("least"), fresh.alias("fresh"))
+    return out.select("h", "x", "own", "top", "n", (F.least("own", *olds) if olds else F.col("own")).alias("least"), fresh.alias("fresh"))
 
 
 def _dead(rows: DataFrame, firsts: DataFrame) -> DataFrame:
-    """The (doc, h, x) of rows that a smaller document has; a key of many rows is in SALTS tasks."""
-    gone = firsts.where("top > least").select("h", "x", "least", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("salt"))
-    salted = rows.withColumn("salt", F.pmod(F.xxhash64("doc"), F.lit(SALTS)).cast("int"))
+    """The (doc, h, x) of rows (settled) that a smaller document has."""
+    many = F.col("n") > max(1000, rows.count() // HOT)
+    salts = F.explode(F.sequence(F.lit(0), F.when(many, SALTS - 1).otherwise(0)))
+    gone = firsts.where("top > least").select("h", "x", "least", salts.alias("salt"))
+    hot = firsts.where(many & (F.col("top") > F.col("least"))).select("h", "x", F.lit(True).alias("hot"))
+    salt = F.when(F.col("hot"), F.pmod(F.xxhash64("doc"), F.lit(SALTS))).otherwise(0).cast("int")
+    salted = rows.join(F.broadcast(hot), ["h", "x"], "left").withColumn("salt", salt)  # fewer than HOT keys
     return salted.join(gone, ["h", "x", "salt"]).where("doc > least").select("doc", "h", "x")
 
 
@@ -307,11 +312,12 @@ def dedup_batch(batch: DataFrame, log: FingerprintLog, corpus: DataFrame, scratc
     """(doc, n_words, n_removed, kept) of a batch (doc, text) whose ids are above those of the log.
 
     corpus (doc, text) holds the texts of the batch and of what the log has; only the
-    documents that a verification needs are read from it. A column row of the batch is carried.
+    documents that a verification needs are read from it. Where both are bucketed by doc,
+    no text is exchanged. A column row of the batch is carried.
     """
     name = log.new_name()
     rows = scratch.settle(fingerprints(batch), f"{tag}-rows")
-    ends = (F.min("doc").alias("own"), F.max("doc").alias("top"))
+    ends = (F.min("doc").alias("own"), F.max("doc").alias("top"), F.count("*").alias("n"))
     new = log.write(rows.groupBy("h", "x").agg(*ends), name, "stretches")
     firsts = _firsts(new, log.tables("stretches"))
     whole = _dead(rows, firsts)
@@ -349,7 +355,13 @@ def substring_dedup(df: DataFrame, doc: str = "doc_id", text: str = "text", batc
     With carry, also each row's text and, as a struct named row, its other columns: an id does not tell rows apart."""
     scratch = scratch or Scratch(df.sparkSession, "op2")
     log = FingerprintLog(scratch.spark, scratch.path("log"))
-    docs = df.select(F.col(doc).cast("long").alias("doc"), F.col(text).cast("string").alias("text"), *[F.struct(*(F.col(f"`{c}`") for c in df.columns if c != text)).alias("row")] * carry)
+    extra = [F.struct(*(F.col(f"`{c}`") for c in df.columns if c != text)).alias("row")] * carry
+    every = df.select(F.col(doc).cast("long").alias("doc"), F.col(text).cast("string").alias("text"), *extra)
+    # dealt by id once: no later step exchanges texts
+    name = f"{log.label}_docs"
+    dealt = every.where("doc is not null").repartition(log.buckets, "doc")
+    dealt.write.option("path", scratch.path("docs")).bucketBy(log.buckets, "doc").mode("overwrite").saveAsTable(name)
+    docs = scratch.spark.table(name)
     cuts = sorted(set(docs.approxQuantile("doc", [k / batches for k in range(1, batches)], 0.01))) if batches > 1 else []
     edges, out = [None, *(int(c) for c in cuts), None], None
     for k in range(len(edges) - 1):
@@ -359,8 +371,9 @@ def substring_dedup(df: DataFrame, doc: str = "doc_id", text: str = "text", batc
         done = dedup_batch(batch, log, docs.where(here), scratch, f"b{k}", append=hi is not None)
         out = done if out is None else out.unionByName(done)
     log.close(keep=False)
+    scratch.spark.sql(f"DROP TABLE {name}")  # its files stay, as results read them
     none = [F.lit(None).cast("array<struct<h:bigint,x:bigint>>").alias(c) for c in ("whole", "single")]
-    return out.unionByName(_cut(docs.where("doc is null").select("doc", "text", *none, *docs.columns[2:])))
+    return out.unionByName(_cut(every.where("doc is null").select("doc", "text", *none, *every.columns[2:])))
 
 
 def op2_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -107,7 +107,7 @@ def test_a_log_is_opened_again_and_history_is_not_exchanged(spark, tmp_path):
             got |= {r.doc: (r.n_removed, r.kept) for r in out.collect()}
             if len(log.runs) > 1:
                 new, *rest = log.tables("stretches")
-                joined = op2_substring_dedup._firsts(new.withColumn("top", F.col("own")), rest)
+                joined = op2_substring_dedup._firsts(new.withColumns({"top": F.col("own"), "n": F.lit(1)}), rest)
                 assert "Exchange" not in joined._jdf.queryExecution().executedPlan().toString()
             names = [r.tableName for r in spark.sql("SHOW TABLES").collect() if r.tableName.startswith(log.label)]
             assert len(names) == 3 * len(log.runs)

@@ -11,26 +11,47 @@ from pyspark.sql import functions as F
 
 from .scratch import Scratch
 
-#: Tasks over which deal spreads the rows of a key.
-SALTS = 64
+#: Tasks over which the rows of a hot key are spread; a key is hot with more than one in HOT of all rows.
+SALTS, HOT = 64, 2000
+
+
+def spread_join(rows: DataFrame, ends: DataFrame, key: str, other: str, limit: int, how: str = "inner") -> DataFrame:
+    """rows joined with ends (key, n, ...), which has one row for each key and says how many rows it has.
+
+    Keys of more than limit rows are spread over SALTS tasks by a hash of the column other. They
+    are broadcast, so limit must be a part of the number of rows: fewer keys than its inverse are hot.
+    """
+    many = F.col("n") > limit
+    hot = ends.where(many).select(key, F.lit(True).alias("__hot"))
+    salts = F.explode(F.sequence(F.lit(0), F.when(many, SALTS - 1).otherwise(0)))
+    right = ends.withColumn("__salt", salts).drop("n")
+    salt = F.when(F.col("__hot"), F.pmod(F.xxhash64(other), F.lit(SALTS))).otherwise(0).cast("int")
+    left = rows.join(F.broadcast(hot), key, "left").withColumn("__salt", salt).drop("__hot")
+    return left.join(right, [key, "__salt"], how).drop("__salt")
+
+
+def hot_limit(rows: int) -> int:
+    """A key of more rows is hot: fewer than HOT keys are."""
+    return max(200, rows // HOT)
 
 
 def components(links: DataFrame, scratch: Scratch, name: str = "links") -> DataFrame:
     """(node, component): least reachable node, for every node of links (a, b).
 
     Alternates large-star and small-star steps until no link changes. A step joins links
-    with a minimum for each node, so no neighbourhood is gathered in one place and a hub is
-    an ordinary skewed join key. Rounds grow with the logarithm of the number of nodes.
+    with a minimum for each node, so no neighbourhood is gathered in one place, and a hub's
+    links are spread over tasks. Rounds grow with the logarithm of the number of nodes.
     """
     spark = scratch.spark
     now = scratch.settle(links.where("a <> b").select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct(), f"{name}-0")
     mark, k = _mark(now), 0
     while mark[0]:
-        least = now.select("u", "v").unionByName(now.select(F.col("v").alias("u"), F.col("u").alias("v"))).groupBy("u").agg(F.least(F.col("u"), F.min("v")).alias("m"))
-        large = now.join(least.withColumnRenamed("u", "v"), "v").where("u <> m").select("u", F.col("m").alias("v")).distinct()
+        limit = hot_limit(mark[0])
+        least = now.select("u", "v").unionByName(now.select(F.col("v").alias("u"), F.col("u").alias("v"))).groupBy("u").agg(F.least(F.col("u"), F.min("v")).alias("m"), F.count("*").alias("n"))
+        large = spread_join(now, least.withColumnRenamed("u", "v"), "v", "u", limit).where("u <> m").select("u", F.col("m").alias("v")).distinct()
         large = scratch.settle(large, f"{name}-{k}l")
-        own = large.groupBy("u").agg(F.min("v").alias("m"))
-        small = large.join(own, "u").where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v")).unionByName(own.select("u", F.col("m").alias("v"))).distinct()
+        own = large.groupBy("u").agg(F.min("v").alias("m"), F.count("*").alias("n"))
+        small = spread_join(large, own, "u", "v", limit).where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v")).unionByName(own.select("u", F.col("m").alias("v"))).distinct()
         new = scratch.settle(small, f"{name}-{k + 1}")
         scratch.drop(f"{name}-{k}l")
         before, mark, k = mark, _mark(new), k + 1
@@ -42,6 +63,17 @@ def components(links: DataFrame, scratch: Scratch, name: str = "links") -> DataF
     return own.unionByName(own.select(F.col("component").alias("node"), "component").distinct()) if mark[0] else spark.createDataFrame([], "node long, component long")
 
 
+def labels(nodes: DataFrame, links: DataFrame, scratch: Scratch, name: str = "links") -> DataFrame:
+    """nodes (node, own, ...) with component: the least own that a node can reach by links (a, b) of nodes.
+
+    A node is unique, what it is called by (own) need not be. nodes is read twice.
+    """
+    comp = scratch.settle(components(links, scratch, name), f"{name}-components")
+    least = nodes.select("node", "own").join(comp, "node").groupBy("component").agg(F.min("own").alias("__least"), F.count("*").alias("n"))
+    named = spread_join(comp, least, "component", "node", hot_limit(comp.count())).select("node", "__least")
+    return nodes.join(named, "node", "left").withColumn("component", F.coalesce("__least", "own")).drop("__least")
+
+
 def _mark(links: DataFrame) -> tuple:
     """Count and checksum: equal for equal tables."""
     return tuple(links.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first())

@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .components import cells, deal, edges_of, labels, roots
+from .components import cells, deal, edges_of, hot_limit, labels, roots, spread_join
 from .scratch import Scratch
 
 THRESHOLD = 0.9
@@ -140,8 +140,8 @@ def cosine_groups(df: DataFrame, key: str = "vec_id", vector: str = "embedding",
     count = found.groupBy(F.col("a").alias("node")).agg(F.sum("n").alias("n"))
     known = labels(nodes.select("node", "own", "weight"), found.select("a", "b"), scratch).join(count, "node", "left")
     known = known.select("node", (F.coalesce("n", F.lit(0)) + F.col("weight") - 1).alias("n_links"), F.col("component").alias("c"))
-    known = nodes.select("node", F.col("vec").alias("v")).join(known, "node").drop("node")
-    linked = rows.where(good).join(known, F.col("vec") == F.col("v")).select("id", "n_links", F.col("c").alias("component"))
+    known = nodes.select("node", "vec", F.col("weight").alias("n")).join(known, "node").drop("node")
+    linked = spread_join(rows.where(good), known, "vec", "id", hot_limit(rows.count())).select("id", "n_links", F.col("c").alias("component"))
     alone = rows.where(~good).select("id", F.lit(0).cast("long").alias("n_links"), F.col("id").alias("component"))
     return linked.unionByName(alone)
 

@@ -26,7 +26,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .components import cells, deal, edges_of, labels, roots
+from .components import cells, deal, edges_of, hot_limit, labels, roots, spread_join
 from .kernels import U64, Words, slices, text_buffer
 from .scratch import Scratch
 
@@ -201,13 +201,13 @@ def simhash_groups(df: DataFrame, doc: str = "doc_id", text: str = "text", shing
     scratch = scratch or Scratch(df.sparkSession, "op5")
     docs = df.select(F.col(doc).cast("long").alias("doc"), F.col(text).cast("string").alias("text"))
     fps = scratch.settle(fingerprints(docs, shingle), "fingerprints")
-    nodes = scratch.settle(fps.where("doc is not null").groupBy("fp").agg(F.min("doc").alias("own")), "nodes")
+    nodes = scratch.settle(fps.where("doc is not null").groupBy("fp").agg(F.min("doc").alias("own"), F.count("*").alias("n")), "nodes")
     cuts = [BITS * k // (RADIUS + 2) for k in range(RADIUS + 3)]
     blocks = [(a, b - a) for a, b in itertools.pairwise(cuts)]
     keys = _block_keys(BITS, list(itertools.combinations(range(len(blocks)), 2)), blocks)
     links = _links(nodes, keys, (RADIUS + 1).bit_length() - 1, cell)
-    known = labels(nodes.withColumnRenamed("fp", "node"), links, scratch).select(F.col("node").alias("fp"), "component")
-    return fps.join(known, "fp", "left").select("doc", "fp", "component")
+    known = labels(nodes.withColumnRenamed("fp", "node"), links, scratch).select(F.col("node").alias("fp"), "n", "component")
+    return spread_join(fps, known, "fp", "doc", hot_limit(fps.count()), "left").select("doc", "fp", "component")
 
 
 def op5_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -27,6 +27,14 @@ def test_components_of_chains_and_hubs(spark):
     assert all(got[k] == 0 for k in range(61)) and all(got[k] == 100 for k in range(100, 160)) and got[300] == got[299] == 299
 
 
+@pytest.mark.parametrize("how", ["inner", "left"])
+def test_hot_keys_are_spread_and_lose_nothing(spark, how):
+    rows = spark.createDataFrame([(1, k) for k in range(50)] + [(2, 7), (3, 8), (None, 9)], "k long, x long")
+    ends = spark.createDataFrame([(1, 50, "a"), (2, 1, "b")], "k long, n long, e string")
+    got = sorted(map(str, components.spread_join(rows, ends, "k", "x", 10, how).select("k", "x", "e").collect()))
+    assert got == sorted(map(str, rows.join(ends.drop("n"), "k", how).select("k", "x", "e").collect()))
+
+
 @pytest.mark.parametrize("limit", [3, 1000])
 def test_dealt_cells_hold_every_pair_once(spark, limit):
     rows = components.deal(spark.createDataFrame([(1, k) for k in range(20)] + [(2, 99)], "key long, node long"), "key", "node", limit).collect()

@@ -48,6 +48,8 @@ END_ID = 0
 IDS = 50257
 #: Ids after which a block ends with the document; lanes of a full block, and the least ids of a lane in a smaller one.
 BLOCK, LANES, STEPS = 1 << 20, 4096, 256
+#: Weights and large totals are seen to in every so many steps.
+SETTLE = 4
 #: Branches at a node, and levels of the tree whose weights are kept apart.
 WAYS, LEVELS = 16, 4
 _MAGIC, _HEAD = b"PLX2", struct.Struct("<6I")
@@ -123,6 +125,7 @@ class Mixer:
         n = ids.bit_length()
         self.bits = (min(16, max(8, n - 4)), min(17, max(8, n - 3)))
         self.table = [np.ones((nodes, WAYS), _F), *(np.zeros((1 << b, WAYS), _F) for b in self.bits)]
+        self.flat = [t.reshape(-1) for t in self.table]
         self.weight = np.full((LEVELS, 3, _STATES * _STATES), 2.0)
         self.share = [self._share(w) for w in self.weight]
 
@@ -137,7 +140,7 @@ class Mixer:
         self.level, self.row = min(level, LEVELS - 1), (node, *at)
         self.held = [t.take(k, axis=0) for t, k in zip(self.table, self.row, strict=True)]
         self.total = [h @ _SUM for h in self.held]
-        one, two = (np.clip(np.frexp(t)[1] - 4, 0, _STATES - 1) for t in self.total[1:])
+        one, two = (np.minimum(np.maximum(np.frexp(t)[1], 4) - 4, _STATES - 1) for t in self.total[1:])
         self.state = one * _STATES + two
         self.each = [s.take(self.state) / np.maximum(t, _F(1)) for s, t in zip(self.share[self.level], self.total, strict=True)]
         width = self.held[0] * self.each[0][:, None]
@@ -149,20 +152,22 @@ class Mixer:
         below[:, -1] = _ONE
         return below
 
-    def learn(self, way: np.ndarray, at: np.ndarray) -> None:
-        """The branches taken; at: their places in the last prediction, as one row."""
-        part = [h.reshape(-1).take(at) * e for h, e in zip(self.held, self.each, strict=True)]
-        whole = part[0] + part[1] + part[2] + _F(1e-6)
-        w = self.weight[self.level]
-        for k in range(3):
-            w[k] += np.bincount(self.state, part[k] / whole, _STATES * _STATES)
-        w[:, w[0] + w[1] + w[2] > _HEAVY] *= 0.5
-        self.share[self.level] = self._share(w)
-        for t, row, total, most, step in zip(self.table, self.row, self.total, _MOST, _STEP, strict=True):
-            big = row[total > most]
-            if len(big):
-                t[big] = np.ceil(t.take(big, axis=0) * _F(0.5))
-            np.add.at(t.reshape(-1), row * WAYS + way, step)
+    def learn(self, way: np.ndarray, at: np.ndarray, settle: bool) -> None:
+        """The branches taken; at: their places in the last prediction, as one row. settle: weights and large totals too."""
+        if settle:
+            part = [h.reshape(-1).take(at) * e for h, e in zip(self.held, self.each, strict=True)]
+            whole = part[0] + part[1] + part[2] + _F(1e-6)
+            w = self.weight[self.level]
+            for k in range(3):
+                w[k] += np.bincount(self.state, part[k] / whole, _STATES * _STATES)
+            w[:, w[0] + w[1] + w[2] > _HEAVY] *= 0.5
+            self.share[self.level] = self._share(w)
+            for t, row, total, most in zip(self.table, self.row, self.total, _MOST, strict=True):
+                big = row[total > most]
+                if len(big):
+                    t[big] = np.ceil(t.take(big, axis=0) * _F(0.5))
+        for flat, row, step in zip(self.flat, self.row, _STEP, strict=True):
+            np.add.at(flat, row * WAYS + way, step)
 
 
 class Encoder:
@@ -269,7 +274,7 @@ def encode_block(ids: np.ndarray, docs: np.ndarray, counts: np.ndarray, vocabula
             way = tree.way[d].take(x)
             below, at = mixer.predict(d, tree.node[d].take(x), key1, key2), np.arange(len(x)) * WAYS + way
             coder.put(lane, *_interval(below, way, at))
-            mixer.learn(way, at)
+            mixer.learn(way, at, t % SETTLE == 0)
     sizes, streams = coder.end()
     lengths = zlib.compress(tree.length.tobytes())
     body = docs.astype("<i8").tobytes() + counts.astype("<u4").tobytes() + sizes.tobytes() + lengths + streams
@@ -299,7 +304,7 @@ def decode_block(block: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         lane, node = every[:n], np.zeros(n, np.int64)
         while len(lane):
             way, at = coder.get(lane, mixer.predict(d, node, key1, key2))
-            mixer.learn(way, at)
+            mixer.learn(way, at, t % SETTLE == 0)
             to = tree.next.take(node * WAYS + way)
             leaf = to < 0
             grid[t, lane[leaf]] = -1 - to[leaf]

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import argparse
+import importlib
 
 from pyspark.sql import SparkSession
 
@@ -21,17 +22,24 @@ def main(argv: list[str] | None = None) -> None:
     p.add_argument("--target", type=int, default=Config.bench1_target)
     p.add_argument("--seed", type=int, default=Config.seed)
     p.add_argument("--limit", type=int)
+    p.add_argument("--provider", help="module:function from a list of requests to a list of replies; terms and checks come from it then")
+    p.add_argument("--model", default="model", help="the provider's model, part of the cache's keys")
+    p.add_argument("--cache", help="folder of the provider's replies; below --out if not given")
     a = p.parse_args(argv)
     spark = SparkSession.builder.appName("polylex").getOrCreate()
     paths = stages.Paths(a.corpus, a.raw, a.out, a.titles, a.lexicon)
     cfg = Config(seed=a.seed, bench1_target=a.target, bench2_target=a.target)
+    model = None
+    if a.provider:
+        module, name = a.provider.split(":")
+        model = stages.Model(getattr(importlib.import_module(module), name), a.model, a.cache or f"{a.out}/cache")
     step = {"stage1": stages.build_graph, "stage2": stages.link_corpus, "stage3": stages.build_instances}
     if a.command in step:
         step[a.command](spark, paths, cfg)
     elif a.command == "stage4":
-        stages.build_variants(spark, paths, cfg, a.limit)
+        stages.build_variants(spark, paths, cfg, a.limit, model)
     else:
-        stages.run_all(spark, paths, cfg, a.limit)
+        stages.run_all(spark, paths, cfg, a.limit, model)
 
 
 if __name__ == "__main__":

@@ -111,6 +111,14 @@ class Linked:
             cls._held[key] = cls(spark, sf_dir)
         return cls._held[key]
 
+    @classmethod
+    def forget(cls, spark: SparkSession) -> None:
+        """Links of this session's queries are made anew."""
+        for key in [k for k in cls._held if k[0] == spark.sparkContext.applicationId]:
+            held = cls._held.pop(key)
+            held.linked.unpersist()
+            held.concepts.unpersist()
+
     def __init__(self, spark: SparkSession, sf_dir: str):
         self.graph = Graph(spark)
         self.corpus = corpus(spark, sf_dir)

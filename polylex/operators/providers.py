@@ -13,7 +13,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.text import cache_key
+from ..functions.text import cache_key, parallel_snippet
 from ..schema import CACHE
 from ..shipping import ship
 from ..sources.readers import read_cache
@@ -52,18 +52,40 @@ def complete(missing: DataFrame, provider: Provider, model: str, batch: int = 50
     return missing.select("key", "system", "user").dropDuplicates(["key"]).mapInPandas(run, CACHE)
 
 
-def provide_by_model(picked: DataFrame, provider: Provider, cache_path: str, model: str) -> DataFrame:
-    """picked with swap_term from a provider. What the cache at cache_path lacks is asked and appended first."""
-    spark = picked.sparkSession
-    asked = requests(prompts(picked), model)
+def ask(asked: DataFrame, provider: Provider, cache_path: str, model: str, max_output_tokens: int = 60) -> DataFrame:
+    """asked (system, user, …; null where nothing is asked) with the response. What the cache at cache_path lacks is asked and appended first."""
+    spark = asked.sparkSession
+    keyed = requests(asked.where("user is not null").select("system", "user").distinct(), model, max_output_tokens=max_output_tokens)
     try:
         known = read_cache(spark, cache_path)
     except AnalysisException:  # no cache yet
         known = spark.createDataFrame([], "key string, response string")
-    missing = lookup(asked.where("original_term is not null").select("key", "system", "user").distinct(), known).where("response is null")
-    append_jsonl(complete(missing, provider, model), cache_path)
-    found = lookup(asked, read_cache(spark, cache_path))
-    return found.withColumn("swap_term", F.when(F.col("original_term").isNotNull(), clean_reply(F.col("response")))).drop("system", "user", "key", "response")
+    missing = lookup(keyed, known).where("response is null")
+    append_jsonl(complete(missing, provider, model, max_output_tokens=max_output_tokens), cache_path)
+    return asked.join(lookup(keyed, read_cache(spark, cache_path)).drop("key"), ["system", "user"], "left").drop("system", "user")
+
+
+def provide_by_model(picked: DataFrame, provider: Provider, cache_path: str, model: str) -> DataFrame:
+    """picked with swap_term from a provider."""
+    found = ask(prompts(picked), provider, cache_path, model)
+    return found.withColumn("swap_term", F.when(F.col("original_term").isNotNull(), clean_reply(F.col("response")))).drop("response")
+
+
+def judge_by_model(cells: DataFrame, provider: Provider, cache_path: str, model: str) -> DataFrame:
+    """cells with meaning_kept: whether a provider finds that the rewrite says the same but for the exchange; null without a rewrite."""
+    told = F.coalesce(*(F.when(F.col("variant") == v, F.lit(t)) for v, t in INTENTS.items()))
+    system = F.concat(F.lit("Compare an original passage with its rewrite. "), told, F.lit(" Is the meaning the same apart from this one exchange? Answer YES or NO."))
+    user = F.concat(F.lit("Original term: "), F.col("original_term"), F.lit("\nNew term: "), F.col("swap_term"), F.lit("\nOriginal:\n"), F.col("text"), F.lit("\nRewrite:\n"), F.col("rewrite"))
+    found = ask(cells.withColumns({"system": system, "user": user}), provider, cache_path, model, 10)
+    return found.withColumn("meaning_kept", says_yes(F.col("response"))).drop("response")
+
+
+def back_by_model(cells: DataFrame, provider: Provider, cache_path: str, model: str) -> DataFrame:
+    """cells of B and C with comes_back: whether a provider's back translation is the original term; null for others."""
+    system = F.concat(F.lit("A passage mixes languages. Give the "), F.col("language"), F.lit(" form of one chemistry term in it that is written in "), F.col("swap_lang"), F.lit(". Answer with the term only."))
+    user = F.when(F.col("variant").isin("B_in_set", "C_out_of_set"), F.concat(F.lit("Passage:\n"), F.col("rewrite"), F.lit("\nTerm: "), F.col("swap_term")))
+    found = ask(cells.withColumns({"system": system, "user": user}), provider, cache_path, model, 40)
+    return found.withColumn("comes_back", round_trip_matches(F.col("response"), F.col("original_term"))).drop("response")
 
 
 def clean_reply(reply: F.Column) -> F.Column:
@@ -91,8 +113,21 @@ RULES = {
 }
 
 
+# What a judge is told about each kind of exchange, in our words.
+INTENTS = {
+    "B_in_set": "One chemistry term was put into another language on purpose; all else stays in the first.",
+    "C_out_of_set": "One chemistry term was put into another language on purpose; all else stays in the first.",
+    "D_noisy": "One chemistry term was misspelt on purpose and should still be recognisable.",
+    "E_control_nonchem": "One common noun was put into another language on purpose; all else stays in the first.",
+}
+
+
 def prompts(picked: DataFrame) -> DataFrame:
     """picked cells with system and user texts for a provider."""
     rule = F.coalesce(*(F.when(F.col("variant") == v, F.replace(F.replace(F.lit(t), F.lit("{swap}"), F.col("swap_lang")), F.lit("{source}"), F.col("language"))) for v, t in RULES.items()))
     near = F.substr("text", F.greatest(F.lit(1), F.col("swap_start") - 400), F.lit(800))
-    return picked.withColumns({"system": rule, "user": F.concat_ws("\n", F.concat(F.lit("Term: "), F.col("original_term")), F.concat(F.lit("Passage: "), near))})
+    lines = [F.concat(F.lit("Term: "), F.col("original_term")), F.concat(F.lit("Passage: "), near)]
+    if "parallel_text" in picked.columns:  # how the parallel document writes it
+        beside = parallel_snippet(F.col("parallel"), F.col("parallel_text"), F.col("chebi_id"))
+        lines.append(F.when((F.col("variant") == "B_in_set") & (beside != ""), F.concat(F.lit("Parallel passage: "), beside)))
+    return picked.withColumns({"system": rule, "user": F.when(F.col("original_term").isNotNull(), F.concat_ws("\n", *lines))})

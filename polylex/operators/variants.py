@@ -159,18 +159,23 @@ def provide_terms(picked: DataFrame, aliases: DataFrame, lexicon: DataFrame, cfg
     return x.withColumn("swap_term", term).drop("__alias", "__word", "__term")
 
 
-def verify(filled: DataFrame, aliases: DataFrame) -> DataFrame:
+Hook = Callable[[DataFrame], DataFrame]
+
+
+def verify(filled: DataFrame, aliases: DataFrame, judge: Hook | None = None, back: Hook | None = None) -> DataFrame:
     """filled with the spliced text, its offset, the round-trip flag and the first check that fails.
 
-    Outside the splice the text is the source's, which stands for the preserved meaning. The
-    round trip asks whether the swapped term names the same concept in the source language.
+    judge adds ``meaning_kept`` and back ``comes_back`` to cells (providers.judge_by_model and
+    back_by_model do, bound to a provider). Without them, the text outside the splice is the
+    source's, which stands for the preserved meaning, and the round trip asks whether the
+    swapped term names the same concept in the source language.
     """
     text = tx.splice(F.col("text"), F.col("swap_start"), F.col("swap_end"), F.col("swap_term"))
     x = filled.withColumn("rewrite", F.when(F.col("original_term").isNotNull() & F.col("swap_term").isNotNull(), text))
     x = x.withColumn("swap_char_offset", tx.term_presence_offset(F.col("rewrite"), F.col("swap_term")))
     names = aliases.groupBy(F.col("chebi_id"), F.col("lang").alias("language")).agg(F.collect_set(F.lower("alias")).alias("__back"))
     x = x.join(names, ["chebi_id", "language"], "left")
-    back = F.coalesce(F.array_contains("__back", F.lower("original_term")), F.lit(False))
+    same = F.coalesce(F.array_contains("__back", F.lower("original_term")), F.lit(False))
     reason = (
         F.when(F.col("original_term").isNull(), "no_mention")
         .when(F.col("swap_term").isNull(), "no_term")
@@ -178,20 +183,27 @@ def verify(filled: DataFrame, aliases: DataFrame) -> DataFrame:
         .when(F.lower("swap_term") == F.lower("original_term"), "swap_equals_original")
         .when(F.col("swap_char_offset").isNull(), "term_presence")
     )
-    flag = F.when(F.col("variant").isin("B_in_set", "C_out_of_set"), ~back)
-    return x.withColumns({"reject_reason": reason, "round_trip_flag": flag}).drop("__back")
-
-
-def checked_cells(rows: DataFrame, linked: DataFrame, freq: DataFrame, aliases: DataFrame, lexicon: DataFrame, cfg: Config = Config(), provide: Callable[[DataFrame], DataFrame] | None = None) -> DataFrame:
+    x = x.withColumns({"reject_reason": reason, "__same": same}).drop("__back")
+    open_ = F.col("reject_reason").isNull()
+    if judge:
+        asked = judge(x.withColumn("rewrite", F.when(open_, F.col("rewrite"))))  # nothing is asked about what has failed
+        x = asked.withColumn("reject_reason", F.coalesce("reject_reason", F.when(~F.coalesce("meaning_kept", F.lit(False)), "semantic_preservation"))).drop("meaning_kept")
+    if back:
+        x = back(x.withColumn("rewrite", F.when(open_, F.col("rewrite")))).withColumn("__same", F.coalesce("comes_back", F.lit(False))).drop("comes_back")
+    flag = F.when(F.col("variant").isin("B_in_set", "C_out_of_set"), ~F.col("__same"))
+    return x.withColumn("round_trip_flag", flag).drop("__same")
+
+
+def checked_cells(rows: DataFrame, linked: DataFrame, freq: DataFrame, aliases: DataFrame, lexicon: DataFrame, cfg: Config = Config(), provide: Hook | None = None, judge: Hook | None = None, back: Hook | None = None) -> DataFrame:
     """All cells of the source rows (with fields and l_avail), provided and verified.
 
-    provide fills ``swap_term`` of the picked cells; without it, provide_terms does.
+    provide fills ``swap_term`` of the picked cells; without it, provide_terms does. For judge and back see verify.
     """
     grid = cells(with_positions(rows), cfg)
     picked = pick_mentions(grid, freq, parallel_rows(linked), cfg)
     words = pick_words(grid, cfg).withColumns({"parallel": F.lit(None).cast(picked.schema["parallel"].dataType), "parallel_text": F.lit(None).cast("string")})
     both = picked.unionByName(words)
-    return verify(provide(both) if provide else provide_terms(both, aliases, lexicon, cfg), aliases)
+    return verify(provide(both) if provide else provide_terms(both, aliases, lexicon, cfg), aliases, judge, back)
 
 
 def clean_records(rows: DataFrame) -> DataFrame:

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from ..functions.text import nfc
 from ..functions import text as tx
-from ..operators import instances, linking, ontology, variants
+from ..operators import instances, linking, ontology, providers, variants
 from ..schema import TEXT_FIELDS, Config
 from ..sources import readers, sinks
 
@@ -81,21 +81,35 @@ def build_instances(spark: SparkSession, p: Paths, cfg: Config = Config()) -> in
     return n
 
 
-def build_variants(spark: SparkSession, p: Paths, cfg: Config = Config(), limit: int | None = None) -> int:
-    """Stage 4: document variants."""
+@dataclass(frozen=True)
+class Model:
+    """A provider of terms and checks, and where its replies are kept."""
+
+    provider: providers.Provider
+    name: str
+    cache: str
+
+    def hooks(self) -> dict[str, variants.Hook]:
+        # a folder for each: one plan must not read one path as it was at two times
+        bound = lambda f, kind: lambda cells: f(cells, self.provider, f"{self.cache}/{kind}", self.name)
+        return {"provide": bound(providers.provide_by_model, "terms"), "judge": bound(providers.judge_by_model, "judged"), "back": bound(providers.back_by_model, "back")}
+
+
+def build_variants(spark: SparkSession, p: Paths, cfg: Config = Config(), limit: int | None = None, model: Model | None = None) -> int:
+    """Stage 4: document variants; with a model, its terms and its checks."""
     concepts, linked = readers.read_concepts(spark, p.concepts), readers.read_linked(spark, p.linked)
     corpus = documents(spark, p.corpus)[0]
     rows = variants.sample_rows(variants.qualifying_rows(linked, variants.available_languages(corpus), cfg), cfg, limit).join(corpus.select("id", *TEXT_FIELDS), "id")
     lexicon = "lang string, word string, swap_lang string, term string"
     words = readers.read_jsonl(spark, p.lexicon, lexicon) if p.lexicon else spark.createDataFrame([], lexicon)
-    checked = variants.checked_cells(rows, linked, instances.corpus_frequency(linked), ontology.aliases_of_slice(concepts), words, cfg)
+    checked = variants.checked_cells(rows, linked, instances.corpus_frequency(linked), ontology.aliases_of_slice(concepts), words, cfg, **(model.hooks() if model else {}))
     n = sinks.write_jsonl(variants.variants(rows, checked), p.variants)
     variants.outcome_counts(checked).coalesce(1).write.mode("overwrite").json(f"{p.out}/idea2/run_summary.json")
     return n
 
 
-def run_all(spark: SparkSession, p: Paths, cfg: Config = Config(), limit: int | None = None) -> None:
+def run_all(spark: SparkSession, p: Paths, cfg: Config = Config(), limit: int | None = None, model: Model | None = None) -> None:
     build_graph(spark, p, cfg)
     link_corpus(spark, p, cfg)
     build_instances(spark, p, cfg)
-    build_variants(spark, p, cfg, limit)
+    build_variants(spark, p, cfg, limit, model)

@@ -210,6 +210,24 @@ def test_a_provider_is_asked_once_for_each_request(spark, tmp_path):
     assert all(x in noise for x in ("hyphen", "case", "same language", "{source}"))
 
 
+def test_a_model_judges_and_translates_back(spark, tmp_path):
+    rows = [("1", "B_in_set", "en", "fr", "tin", "étain", "C1"), ("2", "B_in_set", "en", "fr", "lead", "plomb", "C2"), ("3", "D_noisy", "en", "en", "zinc", "zi-nc", None), ("4", "C_out_of_set", "en", "es", "tin", "xx", "C1")]
+    filled = spark.createDataFrame([(i, v, lang, to, f"some {a} here", 5, 5 + len(a), a, b, c) for i, v, lang, to, a, b, c in rows], "id string, variant string, language string, swap_lang string, text string, swap_start int, swap_end int, original_term string, swap_term string, chebi_id string")
+    aliases = spark.createDataFrame([], "chebi_id string, lang string, pos long, alias string")
+
+    def reply(asked):
+        say = lambda r: ("NO" if "plomb" in r["user"] else " yes") if "YES or NO" in r["system"] else "Tin"
+        return [say(r) for r in asked]
+
+    model = stages.Model(reply, "m", str(tmp_path / "cache"))
+    hooks = model.hooks()
+    got = {r.id: (r.reject_reason, r.round_trip_flag) for r in variants.verify(filled, aliases, hooks["judge"], hooks["back"]).collect()}
+    assert got == {"1": (None, False), "2": ("semantic_preservation", True), "3": (None, None), "4": ("swap_term_unusable", True)}
+    refuse = stages.Model(lambda asked: [1 / 0 for _ in asked], "m", str(tmp_path / "cache")).hooks()
+    again = variants.verify(filled, aliases, refuse["judge"], refuse["back"])
+    assert {r.id: (r.reject_reason, r.round_trip_flag) for r in again.collect()} == got
+
+
 def gz_tsv(path, header, rows):
     import gzip
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -10,8 +11,10 @@ from pyspark.sql import functions as F
 from . import fixtures as fx
 from . import oracles
 from .functions import text as tx
-from .operators import instances, linking, ontology, providers, variants
+from .operators import crosswalk, instances, linking, ontology, providers, variants
 from .schema import Config
+from .shared import shared_root
+from .sources import readers, sinks
 
 Query = Callable[[SparkSession, str], DataFrame]
 _CFG = Config()
@@ -23,6 +26,11 @@ def _query(f: Query) -> Query:
     return f
 
 
+def _file(spark: SparkSession, name: str) -> str:
+    """A new path in the shared folder."""
+    return f"{shared_root(spark)}/polylex/files/{name}-{uuid.uuid4().hex}"
+
+
 def _join(c: str, name: str | None = None) -> F.Column:
     return F.array_join(c, ",").alias(name or c)
 
@@ -80,6 +88,49 @@ def merged_nodes(spark: SparkSession, sf: str) -> DataFrame:
     return fx.Graph(spark).nodes.drop("parent_id")
 
 
+@_query
+def all_ids(spark: SparkSession, sf: str) -> DataFrame:
+    g = fx.Graph(spark)
+    return ontology.all_ids(g.terms.select(F.col("id").alias("chebi_id")), g.compounds, g.structures, g.formulas, g.aliases)
+
+
+@_query
+def titles_asked(spark: SparkSession, sf: str) -> DataFrame:
+    """From a lookup, which gives a second page for each language too."""
+    rows = fx.TITLES[1]
+
+    def lookup(numbers: list[str]) -> list[tuple[str, str, str, str]]:
+        found = [(c[6:], f"http://x.org/entity/{q}", f"https://{lang}.x.org/wiki/{title}", lang) for c, q, lang, title in rows if c[6:] in numbers]
+        return found + [(n, q, url + "_2", lang) for n, q, url, lang in found]
+
+    return crosswalk.crosswalk(fx.Graph(spark).nodes, lookup, _file(spark, "titles"), batch=2)
+
+
+@_query
+def corpus_csv(spark: SparkSession, sf: str) -> DataFrame:
+    """The corpus, written as CSV and read back."""
+    path = _file(spark, "corpus")
+    written = fx.corpus(spark, sf).write.option("header", True).option("quoteAll", True).option("escape", '"')
+    written.option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False).csv(path)
+    return readers.read_corpus_csv(spark, path).select("id", "publication_number", "language", F.md5(tx.corpus_text()).alias("text_md5"))
+
+
+@_query
+def names_file(spark: SparkSession, sf: str) -> DataFrame:
+    """The names, written as a gzipped table and read back."""
+    path = _file(spark, "names")
+    written = fx.raw(spark, fx.NAMES).coalesce(1).sortWithinPartitions("pos").drop("pos").write.option("header", True).option("sep", "\t").option("quote", "").option("emptyValue", "")
+    written.option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False).option("compression", "gzip").csv(path)
+    return ontology.parse_names(readers.read_tsv(spark, path), F.lower("alias"))
+
+
+@_query
+def terms_file(spark: SparkSession, sf: str) -> DataFrame:
+    path = _file(spark, "terms")
+    spark.createDataFrame([("\n[Term]\n".join(fx.OBO),)], "value string").coalesce(1).write.text(path)
+    return readers.read_obo(spark, path).select("id", "name", _join("parents"))
+
+
 @_query
 def alias_union(spark: SparkSession, sf: str) -> DataFrame:
     return fx.Graph(spark).combined.drop("pos")
@@ -170,9 +221,35 @@ _near("hydride_family", lambda g: ontology.parent_hydride_family(g.edges))
 _near("all_neighbors", lambda g: ontology.all_neighbors(ontology.neighbors(g.nodes, g.edges)))
 
 
+@_query
+def linked_file(spark: SparkSession, sf: str) -> DataFrame:
+    """Mentions, from the artifact of linked documents."""
+    path = _file(spark, "linked")
+    sinks.write_parquet(linking.linked_documents(fx.Linked.of(spark, sf).linked), path)
+    return linking.flat(readers.read_linked(spark, path)).select("id", "surface", "start", "end", "chebi_id")
+
+
+@_query
+def snippets(spark: SparkSession, sf: str) -> DataFrame:
+    """What surrounds the mentions of each document's primary concept."""
+    x = linking.linked_documents(fx.Linked.of(spark, sf).linked).where("primary_chebi_id is not null")
+    return x.select("id", F.md5(tx.parallel_snippet(F.col("mentions"), F.col("text"), F.col("primary_chebi_id"))).alias("snippet_md5"))
+
+
 @_query
 def kg_slice(spark: SparkSession, sf: str) -> DataFrame:
-    c = fx.Linked.of(spark, sf).concepts
+    return _slice(fx.Linked.of(spark, sf).concepts)
+
+
+@_query
+def concepts_file(spark: SparkSession, sf: str) -> DataFrame:
+    """The graph's slice, from its artifact."""
+    path = _file(spark, "concepts")
+    sinks.write_parquet(fx.Linked.of(spark, sf).concepts, path)
+    return _slice(readers.read_concepts(spark, path))
+
+
+def _slice(c: DataFrame) -> DataFrame:
     links = sum((F.size(r) for r in ontology.RELATIONS), F.lit(0)).cast("long").alias("n_links")
     return c.select("chebi_id", "chebi_name_en", "inchikey", "formula", "chebi_star", _join("parents_isa"), _join("roles"), _join("aliases_combined.en", "aliases_en"), _join("siblings_isa"), links)
 
@@ -301,6 +378,14 @@ def picked_mentions(spark: SparkSession, sf: str) -> DataFrame:
     return variants.pick_mentions(b.grid(), b.freq, variants.parallel_rows(b.x.linked)).select("id", "variant", "position", "swap_lang", "original_term", "swap_start", "chebi_id", "fallback_flag")
 
 
+@_query
+def prompts(spark: SparkSession, sf: str) -> DataFrame:
+    """What a provider of terms is told."""
+    b = _Bench2(spark, sf)
+    told = providers.prompts(variants.pick_mentions(b.grid(), b.freq, variants.parallel_rows(b.x.linked)))
+    return told.select("id", "variant", "position", F.md5("system").alias("system_md5"), F.md5("user").alias("user_md5"))
+
+
 def _record(records: DataFrame) -> DataFrame:
     return records.select("instance_id", "source_row_id", _join("available_languages"), "swap_lang", "original_term", "swap_term", "swap_char_offset", "chebi_id", "round_trip_flag", "fallback_flag", F.md5("text").alias("text_md5"))
 
@@ -326,10 +411,19 @@ def variants_all(spark: SparkSession, sf: str) -> DataFrame:
     return _record(variants.variants(b.sample, b.checked()))
 
 
+@_query
+def variants_file(spark: SparkSession, sf: str) -> DataFrame:
+    """The variants, from their artifact of JSON lines."""
+    b, path = _Bench2(spark, sf), _file(spark, "variants")
+    sinks.write_jsonl(variants.variants(b.sample, b.checked()), path)
+    return _record(readers.read_variants(spark, path))
+
+
 @_query
 def verify_status(spark: SparkSession, sf: str) -> DataFrame:
     return variants.outcome_counts(_Bench2(spark, sf).checked())
 
+
 @_query
 def cache_lookup(spark: SparkSession, sf: str) -> DataFrame:
     asked = spark.read.parquet(f"{sf}/benchmark.parquet").select(F.sha2(F.concat_ws("|", F.lit(str(_CFG.seed)), F.col("item_id").cast("string")), 256).alias("key"))

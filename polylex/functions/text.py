@@ -72,16 +72,6 @@ def min_len(lang: Column, cfg: Config = Config()) -> Column:
     return F.when(lang == "zh", cfg.min_alias_len_zh).otherwise(cfg.min_alias_len)
 
 
-_WORD = r"[\p{L}\p{N}_]"
-
-
-def at_word_boundary(text: Column, start: Column, end: Column) -> Column:
-    """Neither neighbour of [start, end) is a letter, number or underscore."""
-    before = F.substr(text, start, F.lit(1))
-    after = F.substr(text, end + 1, F.lit(1))
-    return ((start == 0) | ~before.rlike(_WORD)) & ((end >= F.length(text)) | ~after.rlike(_WORD))
-
-
 # Concepts whose role says what kind of thing a concept is.
 ROLE_BUCKETS = {
     "CHEBI:33232": "drug",

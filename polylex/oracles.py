@@ -6,6 +6,7 @@ import re
 
 from . import fixtures as fx
 from .functions.text import ROLE_BUCKETS
+from .operators.providers import RULES
 from .schema import RELATIONS, Config
 
 _CFG = Config()
@@ -61,6 +62,8 @@ STEPS = {
     "cand": "SELECT w.*, d.chebi_id, d.reg_order, count(*) OVER (PARTITION BY w.id, w.s) AS c FROM won w JOIN dict d ON w.lang = d.lang AND w.key = d.key",
     "best": "SELECT c.*, row_number() OVER (PARTITION BY c.id, c.s ORDER BY coalesce(u.n, 0) DESC, c.reg_order) AS r FROM cand c LEFT JOIN (SELECT id, chebi_id, count(*) AS n FROM cand WHERE c = 1 GROUP BY ALL) u ON c.id = u.id AND c.chebi_id = u.chebi_id",
     "mentions": "SELECT b.id, t.publication_number, t.language, substring(t.text, b.s + 1, b.e - b.s) AS surface, b.s::INT AS \"start\", b.e::INT AS \"end\", b.chebi_id FROM best b JOIN docs t ON b.id = t.id WHERE r = 1",
+    "prim": "SELECT d.id, p.chebi_id AS primary_chebi_id FROM docs d LEFT JOIN (SELECT id, chebi_id FROM (SELECT id, chebi_id, row_number() OVER (PARTITION BY id ORDER BY count(*) DESC, min(\"start\")) AS n FROM mentions GROUP BY id, chebi_id) WHERE n = 1) p USING (id)",
+    "around": "SELECT id, chebi_id, string_agg(w, chr(10) || '---' || chr(10) ORDER BY \"start\") AS beside FROM (SELECT m.*, substring(t.text, greatest(0, m.\"start\" - 200) + 1, m.\"end\" + 200 - greatest(0, m.\"start\" - 200)) AS w, row_number() OVER (PARTITION BY m.id, m.chebi_id ORDER BY m.\"start\") AS k FROM mentions m JOIN docs t ON m.id = t.id) WHERE k <= 2 GROUP BY id, chebi_id",
     "idx": "SELECT DISTINCT chebi_id, id, language FROM mentions",
     "langs": "SELECT chebi_id, count(DISTINCT language) AS mention_langs FROM idx GROUP BY chebi_id",
     "freq": "SELECT chebi_id, count(*) AS freq FROM mentions GROUP BY chebi_id",
@@ -148,6 +151,11 @@ SELECTS = {
     "relations_parsed": "SELECT src, rel, dst, pos FROM relations",
     "ontology_terms": "SELECT id, name, array_to_string(parents, ',') AS parents FROM terms",
     "merged_nodes": "SELECT chebi_id, name, star, inchi, inchikey, smiles, formula FROM nodes",
+    "all_ids": "SELECT id AS chebi_id FROM terms UNION SELECT chebi_id FROM compounds UNION SELECT chebi_id FROM structs UNION SELECT chebi_id FROM formulas UNION SELECT chebi_id FROM names",
+    "titles_asked": "SELECT t.chebi_id, t.qid, t.lang, t.title FROM titles t WHERE t.chebi_id IN (SELECT chebi_id FROM nodes)",
+    "corpus_csv": "SELECT id, publication_number, language, md5(regexp_replace(text, '\\r\\n?', chr(10), 'g')) AS text_md5 FROM docs",
+    "names_file": "SELECT chebi_id, lang, pos, alias FROM names",
+    "terms_file": "SELECT id, name, array_to_string(parents, ',') AS parents FROM terms",
     "alias_union": "SELECT chebi_id, lang, alias FROM combined",
     "alias_inversion": "SELECT lang, key, chebi_id, reg_order FROM dict",
     "link_mentions": 'SELECT id, surface, "start", "end", chebi_id FROM mentions',
@@ -156,7 +164,9 @@ SELECTS = {
     "link_folded": r"""SELECT id, w AS surface, (e - length(w))::INT AS "start", e::INT AS "end", 'C:ss' AS chebi_id FROM (SELECT id, language, w, sum(length(w)) OVER (PARTITION BY id ORDER BY i) AS e FROM (SELECT id, language, unnest(p) AS w, generate_subscripts(p, 1) AS i FROM (SELECT id, language, regexp_extract_all(text, '[\p{L}\p{N}_]+|[^\p{L}\p{N}_]') AS p FROM docs))) WHERE (language, replace(lower(w), 'ß', 'ss')) IN (SELECT (language, replace(lower(v), 'ß', 'ss')) FROM (SELECT language, unnest(regexp_extract_all(text, '[\p{L}\p{N}_]+')) AS v FROM docs) WHERE contains(v, 'ß') AND length(v) > 3)""",
     "folded_text": "SELECT doc_id, md5(replace(lower(nfc_normalize(coalesce(text, ''))), 'ß', 'ss')) AS folded_md5 FROM documents",
     "request_keys": "SELECT item_id, sha256('{\"max_output_tokens\": 60, \"model\": \"m\", \"system\": \"s\", \"temperature\": 0.0, \"user\": ' || to_json(text) || '}') AS key FROM benchmark",
-    "primary_concept": "SELECT d.id, p.chebi_id AS primary_chebi_id FROM docs d LEFT JOIN (SELECT id, chebi_id FROM (SELECT id, chebi_id, row_number() OVER (PARTITION BY id ORDER BY count(*) DESC, min(\"start\")) AS n FROM mentions GROUP BY id, chebi_id) WHERE n = 1) p USING (id)",
+    "primary_concept": "SELECT id, primary_chebi_id FROM prim",
+    "snippets": "SELECT p.id, md5(a.beside) AS snippet_md5 FROM prim p JOIN around a ON a.id = p.id AND a.chebi_id = p.primary_chebi_id",
+    "linked_file": 'SELECT id, surface, "start", "end", chebi_id FROM mentions',
     "mentioned_ids": "SELECT DISTINCT chebi_id FROM mentions",
     "link_counts": "SELECT (SELECT count(*) FROM docs) AS documents, count(DISTINCT id) AS with_mentions, count(*) AS mentions FROM mentions",
     "corpus_freq": "SELECT chebi_id, freq FROM freq",
@@ -170,6 +180,7 @@ SELECTS = {
     "hydride_family": f"SELECT * FROM ({_NEAR['parent_hydride_family']})",
     "all_neighbors": "SELECT DISTINCT chebi_id, neighbor FROM near",
     "kg_slice": "SELECT s.chebi_id, name AS chebi_name_en, inchikey, formula, star AS chebi_star, parents_isa, roles, coalesce((SELECT string_agg(alias, ',' ORDER BY pos) FROM combined c WHERE c.chebi_id = s.chebi_id AND c.lang = 'en'), '') AS aliases_en, coalesce((SELECT string_agg(DISTINCT neighbor, ',' ORDER BY neighbor) FROM near n WHERE n.chebi_id = s.chebi_id AND n.relation = 'siblings_isa'), '') AS siblings_isa, (SELECT count(*) FROM near n WHERE n.chebi_id = s.chebi_id) AS n_links FROM slice s",
+    "concepts_file": "SELECT s.chebi_id, name AS chebi_name_en, inchikey, formula, star AS chebi_star, parents_isa, roles, coalesce((SELECT string_agg(alias, ',' ORDER BY pos) FROM combined c WHERE c.chebi_id = s.chebi_id AND c.lang = 'en'), '') AS aliases_en, coalesce((SELECT string_agg(DISTINCT neighbor, ',' ORDER BY neighbor) FROM near n WHERE n.chebi_id = s.chebi_id AND n.relation = 'siblings_isa'), '') AS siblings_isa, (SELECT count(*) FROM near n WHERE n.chebi_id = s.chebi_id) AS n_links FROM slice s",
     "coarse_types": "SELECT chebi_id, coarse FROM coarse",
     "qualifying_concepts": "SELECT * FROM qual",
     "balanced_sample": f"SELECT chebi_id, star, coarse FROM (SELECT *, row_number() OVER (PARTITION BY star, coarse, alias_lang_count ORDER BY md5(concat_ws('|', '{_S}', 'sample', chebi_id)), chebi_id) AS turn FROM qual) ORDER BY star DESC, turn, md5(concat_ws('|', '{_S}', 'stratum', coarse, alias_lang_count)), chebi_id LIMIT {_CFG.bench1_target}",
@@ -186,12 +197,14 @@ SELECTS = {
     "mention_positions": 'SELECT id, "start", chebi_id, position FROM placed',
     "variant_cells": "SELECT id, variant, position, swap_lang, control_style FROM grid",
     "picked_mentions": "SELECT id, variant, position, swap_lang, original_term, s AS swap_start, chebi_id, fallback_flag FROM picked",
+    "prompts": "SELECT p.id, p.variant, p.position, md5(replace(replace(r.rule, '{swap}', p.swap_lang), '{source}', p.language)) AS system_md5, md5('Term: ' || p.original_term || chr(10) || 'Passage: ' || substring(p.text, greatest(1, p.s - 400), 800) || CASE WHEN p.variant = 'B_in_set' AND a.beside <> '' THEN chr(10) || 'Parallel passage: ' || a.beside ELSE '' END) AS user_md5 FROM picked p JOIN (VALUES " + ", ".join(f"('{k}', '{v}')" for k, v in RULES.items()) + ") AS r(variant, rule) ON r.variant = p.variant LEFT JOIN around a ON a.id = p.pid AND a.chebi_id = p.chebi_id",
     "variant_a": "SELECT concat_ws('__', id, 'A_clean', 'na') AS instance_id, id AS source_row_id, array_to_string(l_avail, ',') AS available_languages, md5(text) AS text_md5 FROM sample",
     "variant_b": f"SELECT {_REC} FROM bcv WHERE variant = 'B_in_set' AND reject_reason IS NULL",
     "variant_c": f"SELECT {_REC} FROM bcv WHERE variant = 'C_out_of_set' AND reject_reason IS NULL",
     "variant_d": f"SELECT {_REC} FROM bcv WHERE variant = 'D_noisy' AND reject_reason IS NULL",
     "variant_e": f"SELECT {_REC} FROM bcv WHERE variant = 'E_control_nonchem' AND reject_reason IS NULL",
     "variants_all": f"SELECT {_REC} FROM bcv WHERE reject_reason IS NULL UNION ALL SELECT concat_ws('__', id, 'A_clean', 'na'), id, array_to_string(l_avail, ','), NULL, NULL, NULL, NULL, NULL, NULL, false, md5(text) FROM sample",
+    "variants_file": f"SELECT {_REC} FROM bcv WHERE reject_reason IS NULL UNION ALL SELECT concat_ws('__', id, 'A_clean', 'na'), id, array_to_string(l_avail, ','), NULL, NULL, NULL, NULL, NULL, NULL, false, md5(text) FROM sample",
     "verify_status": "SELECT variant, position, coalesce(reject_reason, 'accepted') AS outcome, count(*) AS n FROM bcv GROUP BY ALL",
     "cache_lookup": f"SELECT sha256('{_S}|' || item_id) AS key, r.response FROM benchmark b LEFT JOIN (SELECT sha256('{_S}|' || replace(key, 'k', '')) AS key, arg_max(response, pos) AS response FROM {_duck(fx.CACHED)} GROUP BY ALL) r ON r.key = sha256('{_S}|' || b.item_id)",
     "token_counts": r"SELECT id, len(list_filter(regexp_split_to_array(text, '\s+'), lambda x: x <> ''))::INT AS tokens FROM docs",

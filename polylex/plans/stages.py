@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from ..functions.text import nfc
 from ..functions import text as tx
-from ..operators import instances, linking, ontology, providers, variants
+from ..operators import crosswalk, instances, linking, ontology, providers, variants
 from ..schema import TEXT_FIELDS, Config
 from ..sources import readers, sinks
 
@@ -20,9 +20,13 @@ class Paths:
     corpus: str
     raw: str
     out: str
-    titles: str | None = None
+    titles: str | None = None  # a ready crosswalk
     lexicon: str | None = None
 
+    @property
+    def titles_cache(self) -> str:
+        return f"{self.out}/titles_cache.jsonl"
+
     @property
     def concepts(self) -> str:
         return f"{self.out}/chebi_concepts.parquet"
@@ -46,21 +50,32 @@ def documents(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:
     return rows, rows.select("id", "publication_number", "language", tx.corpus_text().alias("text"))
 
 
-def build_graph(spark: SparkSession, p: Paths, cfg: Config = Config()) -> None:
-    """Stage 1: the concepts that the corpus mentions, with aliases and neighbors."""
+def build_graph(spark: SparkSession, p: Paths, cfg: Config = Config(), lookup: crosswalk.Lookup | None = None) -> None:
+    """Stage 1: the concepts that the corpus mentions, with aliases and neighbors.
+
+    With titles, from a table or a lookup, the corpus is linked twice: titles of the concepts
+    first found are aliases too, and the concepts found with them are those of the graph.
+    """
     tsv = lambda n: readers.read_tsv(spark, f"{p.raw}/{n}.tsv.gz")
     terms = readers.read_obo(spark, f"{p.raw}/chebi.obo")
     nodes = ontology.merge_nodes(terms, ontology.parse_compounds(tsv("compounds")), ontology.parse_structures(tsv("structures")), ontology.parse_chemical_data(tsv("chemical_data")))
     edges = ontology.is_a_edges(terms).unionByName(ontology.parse_relations(tsv("relation"), tsv("relation_type")))
     aliases = ontology.parse_names(tsv("names"))
     docs = documents(spark, p.corpus)[1]
-    mentioned = linking.mentioned_ids(linking.link(docs, aliases, cfg))
-    titles, combined = None, aliases
-    if p.titles:
-        titles = readers.read_titles(spark, p.titles)
-        combined = ontology.aliases_combined(aliases, titles.join(mentioned, "chebi_id", "left_semi"))
-        mentioned = mentioned.unionByName(linking.mentioned_ids(linking.link(docs, combined, cfg))).distinct()
-        combined = ontology.aliases_combined(aliases, titles.join(mentioned, "chebi_id", "left_semi"))
+
+    def mentions(names: DataFrame, step: str) -> DataFrame:
+        path = f"{p.out}/{step}.parquet"
+        sinks.write_parquet(linking.mentioned_ids(linking.link(docs, names, cfg)), path)
+        return spark.read.schema("chebi_id string").parquet(path)
+
+    def titled(ids: DataFrame) -> DataFrame:
+        return crosswalk.crosswalk(ids, lookup, p.titles_cache) if lookup else readers.read_titles(spark, p.titles).join(ids, "chebi_id", "left_semi")
+
+    mentioned, titles, combined = mentions(aliases, "mentioned"), None, aliases
+    if p.titles or lookup:
+        again = mentions(ontology.aliases_combined(aliases, titled(mentioned)), "mentioned_again")
+        titles = titled(mentioned.unionByName(again).distinct())  # a lookup is asked for the new ones only
+        mentioned, combined = again, ontology.aliases_combined(aliases, titles)
     sinks.write_parquet(ontology.concept_slice(nodes, edges, aliases, combined, mentioned, titles).orderBy("chebi_id"), p.concepts)
 
 
@@ -108,8 +123,8 @@ def build_variants(spark: SparkSession, p: Paths, cfg: Config = Config(), limit:
     return n
 
 
-def run_all(spark: SparkSession, p: Paths, cfg: Config = Config(), limit: int | None = None, model: Model | None = None) -> None:
-    build_graph(spark, p, cfg)
+def run_all(spark: SparkSession, p: Paths, cfg: Config = Config(), limit: int | None = None, model: Model | None = None, lookup: crosswalk.Lookup | None = None) -> None:
+    build_graph(spark, p, cfg, lookup)
     link_corpus(spark, p, cfg)
     build_instances(spark, p, cfg)
     build_variants(spark, p, cfg, limit, model)

@@ -9,10 +9,11 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from polylex.functions import text as tx
-from polylex.operators import instances, linking, ontology, providers, variants
+from polylex.operators import crosswalk, instances, linking, ontology, providers, variants
 from polylex.plans import stages
 from polylex.schema import Config
 from polylex.sources import readers, sinks
+from polylex.sources.fetch import fetch
 from polylex.streaming import link_stream
 
 
@@ -228,6 +229,69 @@ def test_a_model_judges_and_translates_back(spark, tmp_path):
     assert {r.id: (r.reject_reason, r.round_trip_flag) for r in again.collect()} == got
 
 
+def test_titles_are_asked_for_what_is_new(spark, tmp_path):
+    ids = lambda *xs: spark.createDataFrame([(f"CHEBI:{x}",) for x in xs], "chebi_id string")
+    cache = str(tmp_path / "cache")
+    page = lambda n, lang: (n, f"http://x/entity/Q{n}", f"https://{lang}.x/wiki/T_{n}", lang)
+    reply = lambda numbers: [page(n, lang) for n in numbers if n != "3" for lang in ("en", "fr")]
+    got = crosswalk.crosswalk(ids(1, 2, 3, 3, 1), reply, cache, batch=2)
+    assert sorted(map(tuple, got.collect())) == [(f"CHEBI:{n}", f"Q{n}", lang, f"T {n}") for n in (1, 2) for lang in ("en", "fr")]
+
+    def only_four(numbers):
+        if numbers != ["4"]:
+            raise ValueError(numbers)
+        return [page("4", "en")]
+
+    got = crosswalk.crosswalk(ids(1, 3, 4), only_four, cache)
+    assert sorted(map(tuple, got.collect())) == [("CHEBI:1", "Q1", "en", "T 1"), ("CHEBI:1", "Q1", "fr", "T 1"), ("CHEBI:4", "Q4", "en", "T 4")]
+
+    def away(numbers):
+        raise TimeoutError
+
+    assert crosswalk.crosswalk(ids(5), away, cache, pause=lambda s: None).collect() == []
+    assert [r.title for r in crosswalk.crosswalk(ids(5), reply, cache).where("lang = 'en'").collect()] == ["T 5"]  # a failed batch is asked again
+    assert crosswalk.crosswalk(ids(), away, str(tmp_path / "none")).collect() == []
+
+
+def test_a_lookup_is_tried_again_after_waits():
+    waits, left = [], [crosswalk.Busy(9), OSError(), crosswalk.Busy(), "found"]
+
+    def lookup(numbers):
+        x = left.pop(0)
+        if isinstance(x, Exception):
+            raise x
+        return x
+
+    assert crosswalk.patiently(lookup, ["1"], 7, waits.append) == "found" and waits == [9, 8, 16]
+    left[:], waits[:] = [OSError()] * 7, []
+    assert crosswalk.patiently(lookup, ["1"], 7, waits.append) is None and waits == [4, 8, 16, 32, 60, 60, 60]
+
+
+def test_fetched_files_are_kept_with_their_dates(tmp_path):
+    import io
+
+    class Reply(io.BytesIO):
+        headers = {"Last-Modified": "Mon"}
+
+    asked = []
+
+    def opener(url, timeout):
+        asked.append(url)
+        if url.endswith("bad"):
+            raise OSError
+        return Reply(url.encode())
+
+    folder = tmp_path / "raw"
+    assert fetch({"a": "x/a"}, str(folder), opener=opener) == {"a": "Mon"}
+    assert fetch({"a": "x/a", "b": "x/b"}, str(folder), opener=opener) == {"a": "Mon", "b": "Mon"}
+    assert asked == ["x/a", "x/b"] and (folder / "b").read_bytes() == b"x/b"
+    with pytest.raises(OSError):
+        fetch({"c": "x/bad"}, str(folder), opener=opener)
+    assert sorted(x.name for x in folder.iterdir()) == ["a", "b", "release.json"]
+    fetch({"a": "x/a"}, str(folder), refresh=True, opener=opener)
+    assert asked[-1] == "x/a"
+
+
 def gz_tsv(path, header, rows):
     import gzip
 
@@ -273,6 +337,15 @@ def test_graph_and_links(spark, built):
         assert all(a.end <= b.start for a, b in zip(r.mentions, r.mentions[1:], strict=False))
 
 
+def test_graph_with_asked_titles(spark, built, tmp_path):
+    paths = stages.Paths(built.corpus, built.raw, str(tmp_path / "out"))
+    lookup = lambda numbers: [(n, f"http://x/entity/Q{n}", "https://es.x/wiki/esta%C3%B1o", "es") for n in numbers if n == "1"]
+    stages.build_graph(spark, paths, Config(min_tokens=50), lookup)
+    cols = ["chebi_id", "wikidata_qid", "aliases_combined", "wikipedia_titles"]
+    got, want = (sorted(map(str, readers.read_concepts(spark, p.concepts).select(cols).collect())) for p in (paths, built))
+    assert got == want
+
+
 def test_instances(spark, built):
     found = spark.read.json(built.instances).collect()
     assert len(found) == 2

@@ -2,33 +2,13 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
+from ..shared import shared_root
 from ..shipping import ship
 
-_OWN: dict[str, str] = {}
-
-
-def shared_root(spark: SparkSession) -> str:
-    """The folder of ``spark.checkpoint.dir``; own folder only where that is unset.
-
-    Unset and local master: a temporary folder. Unset on a cluster: a folder
-    beside the warehouse tables, which all executors share.
-    """
-    root = spark.conf.get("spark.checkpoint.dir", None)
-    if root:
-        return root.rstrip("/")
-    sc = spark.sparkContext
-    if sc.applicationId not in _OWN:
-        if sc.master.startswith("local") and not sc.master.startswith("local-cluster"):
-            _OWN[sc.applicationId] = tempfile.mkdtemp(prefix="polylex-")
-        else:
-            _OWN[sc.applicationId] = spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_polylex"
-    return _OWN[sc.applicationId]
-
 
 class Scratch:
     """Named tables of one run, in a folder of its own below the shared root."""

@@ -1,6 +1,11 @@
 """DuckDB statements of those queries that SQL can express."""
 
+from .integer_vectors import SCALE
 from .op1_quality_rules import FACTOR, LOWER, MAX_REPEAT_PERCENT, MIN_GROUP, MIN_WORDS, SLACK
+from .op11_centroid_clusters import DIM, K, SEED
+from .op11_centroid_clusters import ROUNDS as KMEANS_ROUNDS
+from .op13_vector_codes import ENTRIES, PARTS
+from .op13_vector_codes import ROUNDS as CODE_ROUNDS
 
 _WORDS = r"regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')"
 
@@ -58,3 +63,43 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base
 
 
 OP1_SQL = _op1()
+
+_INTEGERS = f"list_transform(embedding, lambda x: floor(x::DOUBLE * {SCALE})::BIGINT)"
+_SOUND = "len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0"
+_FAR = "list_sum(list_transform(list_zip({0}, {1}), lambda z: (z[1] - z[2]) * (z[1] - z[2])))::BIGINT"
+_FLOORED = "((s - ((s % n) + n) % n) // n)::BIGINT"
+
+
+def _op11() -> str:
+    steps = [f"kept AS MATERIALIZED (SELECT vec_id, {_INTEGERS} AS v FROM embeddings WHERE len(embedding) = {DIM} AND {_SOUND})"]
+    steps.append(f"c0 AS MATERIALIZED (SELECT row_number() OVER (ORDER BY sha256('{SEED}:' || vec_id)) - 1 AS k, v AS c FROM kept QUALIFY k < {K})")
+    for r in range(KMEANS_ROUNDS + 1):
+        steps.append(f"a{r} AS MATERIALIZED (SELECT vec_id, any_value(v) AS v, min({{'d': d, 'k': k}}) AS m FROM (SELECT vec_id, v, k, {_FAR.format('v', 'c')} AS d FROM kept, c{r}) GROUP BY vec_id)")
+        sums = f"SELECT k, i, sum(x) AS s, count(*) AS n FROM (SELECT m.k AS k, unnest(v) AS x, generate_subscripts(v, 1) AS i FROM a{r}) GROUP BY k, i"
+        steps.append(f"c{r + 1} AS MATERIALIZED (SELECT o.k, coalesce(n.c, o.c) AS c FROM c{r} o LEFT JOIN (SELECT k, list({_FLOORED} ORDER BY i) AS c FROM ({sums}) GROUP BY k) n ON o.k = n.k)")
+    last = KMEANS_ROUNDS
+    return f"WITH {', '.join(steps[:-1])} SELECT vec_id, m.k::INT AS cluster, m.d AS distance, (sum(m.d) OVER (PARTITION BY m.k))::BIGINT AS cluster_inertia, (sum(m.d) OVER ())::BIGINT AS inertia, sha256(array_to_string(c, ',')) AS centroid_sha256 FROM a{last} JOIN c{last} ON c{last}.k = m.k"
+
+
+OP11_SQL = _op11()
+
+OP12_SQL = """
+SELECT doc_id, max(doc_id) OVER g AS keep_id, count(*) OVER g AS group_size, row_number() OVER (PARTITION BY t ORDER BY doc_id DESC NULLS LAST) = 1 AS kept, sha256(t) AS text_sha256
+FROM (SELECT doc_id, coalesce(text, '') AS t FROM documents) WINDOW g AS (PARTITION BY t)
+"""
+
+
+def _op13() -> str:
+    steps = [f"kept AS MATERIALIZED (SELECT vec_id, label, {_INTEGERS} AS v FROM embeddings WHERE len(embedding) > 0 AND {_SOUND})"]
+    steps.append(f"parts AS MATERIALIZED (SELECT vec_id, p, v[p * len(v) // {PARTS} + 1:(p + 1) * len(v) // {PARTS}] AS x FROM kept, (SELECT unnest(range({PARTS})) AS p))")
+    steps.append(f"b0 AS MATERIALIZED (SELECT p, dense_rank() OVER (ORDER BY vec_id) - 1 AS e, x AS c FROM parts QUALIFY e < {ENTRIES})")
+    for r in range(CODE_ROUNDS + 1):
+        steps.append(f"a{r} AS MATERIALIZED (SELECT vec_id, p, any_value(x) AS x, min({{'d': d, 'e': e}}) AS m FROM (SELECT vec_id, p, x, e, {_FAR.format('x', 'c')} AS d FROM parts JOIN b{r} USING (p)) GROUP BY vec_id, p)")
+        sums = f"SELECT p, e, i, sum(y) AS s, count(*) AS n FROM (SELECT p, m.e AS e, unnest(x) AS y, generate_subscripts(x, 1) AS i FROM a{r}) GROUP BY p, e, i"
+        steps.append(f"b{r + 1} AS MATERIALIZED (SELECT o.p, o.e, coalesce(n.c, o.c) AS c FROM b{r} o LEFT JOIN (SELECT p, e, list({_FLOORED} ORDER BY i) AS c FROM ({sums}) GROUP BY p, e) n ON o.p = n.p AND o.e = n.e)")
+    last = CODE_ROUNDS
+    coded = f"SELECT vec_id, string_agg(printf('%02x', m.e), '' ORDER BY p) AS code, sum(m.d)::BIGINT AS error FROM a{last} GROUP BY vec_id"
+    return f"WITH {', '.join(steps[:-1])} SELECT vec_id, code, error, (sum(error) OVER (PARTITION BY label))::BIGINT AS label_error, (SELECT sha256(string_agg(array_to_string(c, ','), ',' ORDER BY p, e)) FROM b{last}) AS codebooks_sha256 FROM ({coded}) JOIN kept USING (vec_id)"
+
+
+OP13_SQL = _op13()

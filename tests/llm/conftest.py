@@ -50,7 +50,7 @@ def empty(spark, tmp_path_factory):
     base = str(tmp_path_factory.mktemp("empty"))
     spark.createDataFrame([], "doc_id long, text string, lang string, source string, n_chars long").write.parquet(f"{base}/documents.parquet")
     spark.createDataFrame([], "doc_id long, quality int, toxic int").write.parquet(f"{base}/labels.parquet")
-    spark.createDataFrame([], "vec_id long, embedding array<float>").write.parquet(f"{base}/embeddings.parquet")
+    spark.createDataFrame([], "vec_id long, embedding array<float>, label int").write.parquet(f"{base}/embeddings.parquet")
     return base
 
 

@@ -47,7 +47,7 @@ def same_rows(got, want):
     assert Counter(map(str, got)) == Counter(map(str, want))
 
 
-@pytest.mark.parametrize("n", range(1, 11))
+@pytest.mark.parametrize("n", range(1, 14))
 def test_empty_tables_give_empty_results(spark, empty, n):
     assert run(spark, n, empty) == []
 

@@ -79,17 +79,6 @@ def _mark(links: DataFrame) -> tuple:
     return tuple(links.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first())
 
 
-def labels(nodes: DataFrame, links: DataFrame, scratch: Scratch, name: str = "links") -> DataFrame:
-    """nodes (node, own, ...) with component: the least own that a node can reach by links (a, b) of nodes.
-
-    A node is unique, what it is called by (own) need not be.
-    """
-    comp = components(links, scratch, name)
-    least = nodes.select("node", "own").join(comp, "node").groupBy("component").agg(F.min("own").alias("__least"))
-    named = comp.join(least, "component").select("node", "__least")
-    return nodes.join(named, "node", "left").withColumn("component", F.coalesce("__least", "own")).drop("__least")
-
-
 def roots(n: int, a: np.ndarray, b: np.ndarray) -> np.ndarray:
     """For n rows linked by (a, b), the least row that each can reach."""
     p = np.arange(n)

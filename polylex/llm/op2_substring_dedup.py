@@ -308,6 +308,15 @@ def _dead(rows: DataFrame, firsts: DataFrame) -> DataFrame:
     return salted.join(gone, ["h", "x", "salt"]).where("doc > least").select("doc", "h", "x")
 
 
+def _of_mixed(rows: DataFrame, mixed: DataFrame, many: DataFrame) -> DataFrame:
+    """The rows (h, x, own) of the keys in mixed (h, ...); those of the keys in many (h, n) are spread over SALTS tasks."""
+    hot = F.broadcast(many.select("h", F.lit(True).alias("hot")))
+    salts = F.explode(F.sequence(F.lit(0), F.when(F.col("hot"), SALTS - 1).otherwise(0)))
+    right = mixed.select("h").join(hot, "h", "left").select("h", salts.alias("salt"))
+    salt = F.when(F.col("hot"), F.pmod(F.xxhash64("x"), F.lit(SALTS))).otherwise(0).cast("int")
+    return rows.join(hot, "h", "left").withColumn("salt", salt).join(right, ["h", "salt"], "left_semi")
+
+
 def dedup_batch(batch: DataFrame, log: FingerprintLog, corpus: DataFrame, scratch: Scratch, tag: str, append: bool = True) -> DataFrame:
     """(doc, n_words, n_removed, kept) of a batch (doc, text) whose ids are above those of the log.
 
@@ -329,7 +338,10 @@ def dedup_batch(batch: DataFrame, log: FingerprintLog, corpus: DataFrame, scratc
     low, high, own = (f("__none", "__none", *(f"{c}{k}" for k in n)) for f, c in ((F.least, "lo"), (F.greatest, "hi"), (F.least, "own")))
     state = state.withColumn("__none", F.lit(None).cast("long")).select("h", "lo", "hi", low.alias("low"), high.alias("high"), own.alias("single"))
     mixed = scratch.settle(state.where("least(lo, low) <> greatest(hi, high)").select("h", F.when(F.col("low") == F.col("high"), F.col("single")).alias("single")), f"{tag}-mixed")
-    readers = firsts.where("fresh").select("h", F.col("own").alias("doc")).join(mixed, "h", "left_semi")
+    limit = max(1000, rows.count() // HOT)
+    hot = new.groupBy("h").agg(F.count("*").alias("n")).where(F.col("n") > limit)  # fewer than HOT
+    many = scratch.settle(hot.join(mixed, "h", "left_semi"), f"{tag}-many")
+    readers = _of_mixed(firsts.where("fresh").select("h", "x", "own"), mixed, many).select("h", F.col("own").alias("doc"))
     readers = readers.unionByName(mixed.where("single is not null").select("h", F.col("single").alias("doc")))
     marks = scratch.settle(readers.groupBy("doc").agg(F.collect_set("h").alias("marks")), f"{tag}-marks")
     read = _windows(corpus.join(marks, "doc").select("doc", "text", "marks"))
@@ -344,7 +356,7 @@ def dedup_batch(batch: DataFrame, log: FingerprintLog, corpus: DataFrame, scratc
         log.append(name)
     else:
         log.drop(name)
-    for part in ("rows", "mixed", "marks", "windows"):
+    for part in ("rows", "mixed", "many", "marks", "windows"):
         scratch.drop(f"{tag}-{part}")
     return _cut(batch.join(lists, "doc", "left").select("doc", "text", "whole", "single", *batch.columns[2:]))
 

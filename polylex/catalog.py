@@ -154,8 +154,8 @@ def link_mentions_native(spark: SparkSession, sf: str) -> DataFrame:
 
 @_query
 def link_mentions_parts(spark: SparkSession, sf: str) -> DataFrame:
-    """As with a dictionary too large for one broadcast."""
-    return linking.flat(linking.link_in_parts(fx.documents(fx.corpus(spark, sf)), fx.Graph(spark).dictionary, 6)).select("id", "surface", "start", "end", "chebi_id")
+    """As with a dictionary whose index is sorted and packed in many parts."""
+    return linking.flat(linking.link_exact(fx.documents(fx.corpus(spark, sf)), fx.Graph(spark).dictionary, Config(keys_in_part=6))).select("id", "surface", "start", "end", "chebi_id")
 
 
 @_query

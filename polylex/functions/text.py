@@ -7,39 +7,39 @@ import json
 import unicodedata
 
 import pandas as pd
-from pyspark.sql import Column
+from pyspark.sql import Column, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
 
 from ..schema import LANGS, TEXT_FIELDS, Config
+from ..shipping import ship
 
 
 @F.pandas_udf(StringType())
-def nfc(s: pd.Series) -> pd.Series:
-    """Canonical composition; null stays null."""
+def _nfc(s: pd.Series) -> pd.Series:
     return s.map(lambda x: unicodedata.normalize("NFC", x), na_action="ignore")
 
 
 @F.pandas_udf(StringType())
-def fold(s: pd.Series, lang: pd.Series) -> pd.Series:
-    """Composition, then full case folding except in Chinese."""
+def _fold(s: pd.Series, lang: pd.Series) -> pd.Series:
     return pd.Series([None if t is None else fold_text(t, x) for t, x in zip(s, lang, strict=True)], dtype=object)
 
 
-def fold_text(text: str, lang: str | None) -> str:
-    text = unicodedata.normalize("NFC", text)
-    return text if lang == "zh" else text.casefold()
+def nfc(s: Column | str) -> Column:
+    """Canonical composition; null stays null."""
+    ship(SparkSession.active())  # workers need this module
+    return _nfc(s)
 
 
-def fold_with_places(text: str, lang: str | None) -> tuple[str, list[int] | None, str]:
-    """Folded text, each folded character's place in the composed text (None: the same place), composed text."""
+def fold(s: Column | str, lang: Column | str) -> Column:
+    """Composition, then full case folding except in Chinese."""
+    ship(SparkSession.active())
+    return _fold(s, lang)
+
+
+def fold_text(text: str, lang: str | None) -> str:
     text = unicodedata.normalize("NFC", text)
-    if lang == "zh":
-        return text, None, text
-    folded = "".join(map(str.casefold, text))
-    if len(folded) == len(text):
-        return folded, None, text
-    return folded, [k for k, c in enumerate(text) for _ in c.casefold()], text
+    return text if lang == "zh" else text.casefold()
 
 
 def normalize_id(raw: Column) -> Column:

@@ -1,12 +1,12 @@
 """Entity linking: all dictionary keys in every text, one mention where matches overlap.
 
-``link_exact`` scans with a broadcast automaton and settles everything within a document, so
-it has no shuffle. A dictionary too large for one broadcast is scanned in parts
-(``link_in_parts``): each part is broadcast in a pass of its own, and the matches of a document
-are brought together and settled by the same function, so ``link`` gives the same mentions
+``link_exact`` looks the spans of a text up in an index of all keys (``key_index``), many at a
+time, and settles everything within a document, so it reads a text once and has no shuffle,
 whatever the size of the dictionary. ``link_native`` is linking by DataFrame operations alone,
 for languages with word boundaries and texts whose folding keeps lengths.
 
+Where folding makes a text longer, all is decided on folded places, and only the mention that
+stays is taken back to the text: of the keys "das" and "dass", "dass" is the longer in "daß".
 Of a chain of overlapping matches (the longest from each start), the one that ends furthest
 stays, the earliest among those. A key of several concepts goes to the one with the most
 mentions in the document by keys of its own alone, the first registered among those.
@@ -14,22 +14,22 @@ mentions in the document by keys of its own alone, the first registered among th
 
 from __future__ import annotations
 
-import functools
-import math
 import unicodedata
 from collections import Counter
 from collections.abc import Iterator
+from dataclasses import dataclass
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..functions.text import fold, fold_with_places, min_len
+from ..functions.text import fold, min_len
 from ..schema import MENTION, Config
 from ..shipping import ship
+from . import key_index
+from .key_index import Index, SpanHashes, characters, code_points, in_words, language_seed, piece_ends
 from .ontology import _sql
 
 _PIECES = r"[\p{L}\p{N}_]+|[^\p{L}\p{N}_]"
@@ -45,62 +45,150 @@ def invert(aliases: DataFrame, cfg: Config = Config(), fold_with=None) -> DataFr
     return x.select("lang", "key", "chebi_id", order.alias("reg_order"))
 
 
-def _scanners(keys: pd.DataFrame) -> dict:
-    """An automaton for each language; its values are (length, concepts)."""
-    import ahocorasick
-
-    out = {}
-    for (lang, key), g in keys.sort_values("reg_order").groupby(["lang", "key"], sort=False):
-        out.setdefault(lang, ahocorasick.Automaton()).add_word(key, (len(key), tuple(g["chebi_id"])))
-    for a in out.values():
-        a.make_automaton()
+@dataclass
+class Folded:
+    """Some documents' folded texts, one after the other."""
+
+    plain: list[str]  # composed, not folded
+    text: str
+    points: np.ndarray
+    first: np.ndarray  # where each document begins, and the end
+    places: dict[int, np.ndarray]  # of documents that folding makes longer: each folded character's place
+    starts: np.ndarray  # whether a key may start at a character
+    ends: np.ndarray  # whether a key may end after it
+    pieces: np.ndarray  # whether a piece ends after it
+
+
+def fold_texts(texts: list[str], langs: list[str]) -> Folded:
+    plain = [unicodedata.normalize("NFC", t) for t in texts]
+    folded = [p if x == "zh" else p.casefold() for p, x in zip(plain, langs, strict=True)]
+    text = "".join(folded)
+    points, first = code_points(text), np.concatenate([[0], np.cumsum([len(f) for f in folded])]).astype(np.int64)
+    zh = np.repeat(np.array([x == "zh" for x in langs], bool), np.diff(first))
+    pieces = piece_ends(points, first, zh)
+    ends, starts = pieces.copy(), np.ones(len(points), bool)
+    starts[1:] = ~in_words(points[:-1])
+    starts[first[:-1][first[:-1] < len(points)]] = True
+    starts |= zh
+    places = {}
+    for d, (p, f) in enumerate(zip(plain, folded, strict=True)):
+        if len(p) == len(f):
+            continue
+        own = code_points(p)
+        size = characters()[1][np.minimum(own, key_index.PLANES)]
+        at, word = np.repeat(np.arange(len(own)), size), in_words(own)
+        here = slice(first[d], first[d + 1])
+        starts[here] = (at == 0) | ~word[at - 1]
+        ends[here] = (at + 1 == len(own)) | ~word[np.minimum(at + 1, len(own) - 1)]
+        places[d] = at
+    return Folded(plain, text, points, first, places, starts, ends, pieces)
+
+
+def _spans(x: Folded, langs: list[str], index: Index) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(start, end, key) of every key that may start and end where it does, by its hash."""
+    h = SpanHashes(x.points)
+    seed = np.repeat(np.array([language_seed(lang, index.salt) for lang in langs], key_index.U), np.diff(x.first))
+    ends, s = np.flatnonzero(x.pieces) + 1, np.flatnonzero(x.starts)
+    doc_end = np.repeat(x.first[1:], np.diff(x.first))
+    k, last = np.searchsorted(ends, s, "right"), np.searchsorted(ends, doc_end[s])
+    found: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
+
+    def look(start: np.ndarray, end: np.ndarray) -> None:
+        ok = x.ends[end - 1]
+        start, end = start[ok], end[ok]
+        some, key = index.find(h.of(start, end, seed[start]))
+        found.append((start[some], end[some], key))
+
+    look(s, ends[k])  # one piece
+    more = np.flatnonzero(k < last)
+    at, head = index.find_head(h.of(s[more], ends[k[more] + 1], ~seed[s[more]]))
+    at = more[at]
+    mask, most = index.mask[head], index.most[head]
+    for n in range(2, int(most.max()) + 1 if len(most) else 0):
+        some = at[((mask >> min(n, key_index.MANY)) & 1 == 1) & (most >= n) & (k[at] + n - 1 <= last[at])]
+        look(s[some], ends[k[some] + n - 1])
+    for e in (np.flatnonzero(x.ends & ~x.pieces) + 1).tolist():  # within a character that folding made longer
+        a, z = np.searchsorted(k, np.searchsorted(ends, e) - index.most_pieces + 1), np.searchsorted(s, e)
+        own = s[a:z]
+        own = own[doc_end[own] >= e]
+        look(own, np.full(len(own), e))
+    return tuple(np.concatenate(c) for c in zip(*found, strict=True))
+
+
+@dataclass
+class Matches:
+    """The longest key from each start, in order: folded places within all texts, and the key."""
+
+    start: np.ndarray
+    end: np.ndarray
+    key: np.ndarray
+
+
+def scan(x: Folded, langs: list[str], index: Index) -> Matches:
+    start, end, key = _spans(x, langs, index)
+    same = [x.text[a:z] == index.entry(k)[0] for a, z, k in zip(start.tolist(), end.tolist(), key.tolist(), strict=True)]
+    start, end, key = (c[np.array(same, bool)] for c in (start, end, key))
+    order = np.lexsort((end, start))
+    start, end, key = start[order], end[order], key[order]
+    longest = np.append(start[1:] != start[:-1], True)[: len(start)]
+    return Matches(start[longest], end[longest], key[longest])
+
+
+def settle(m: Matches) -> Matches:
+    """What stays of matches: of each island of overlapping ones the one that ends furthest, the earliest among those."""
+    n = len(m.start)
+    if not n:
+        return m
+    new = np.append(True, m.start[1:] >= np.maximum.accumulate(m.end)[:-1])
+    order = np.lexsort((m.start, -m.end, np.cumsum(new)))
+    best = order[np.flatnonzero(new)]
+    return Matches(m.start[best], m.end[best], m.key[best])
+
+
+Mention = tuple[str, int, int, str]
+#: Characters of text worked on at a time; a longer text is worked on alone.
+SLICE = 1 << 18
+
+
+def link_texts(texts: list[str | None], langs: list[str | None], index: Index) -> list[list[Mention]]:
+    """(surface, start, end, concept) in order, for each text; a null text or language has none."""
+    out: list[list[Mention]] = [[] for _ in texts]
+    rows = [k for k, (t, x) in enumerate(zip(texts, langs, strict=True)) if t and x]
+    while rows:
+        size = np.cumsum([len(texts[k]) for k in rows])
+        n = max(1, int(np.searchsorted(size, SLICE, "right")))
+        some, rows = rows[:n], rows[n:]
+        own = [langs[k] for k in some]
+        x = fold_texts([texts[k] for k in some], own)
+        kept = settle(scan(x, own, index))
+        doc = np.searchsorted(x.first, kept.start, "right") - 1
+        edge = np.searchsorted(doc, np.arange(n + 1))
+        a, z = kept.start - x.first[doc], kept.end - x.first[doc]
+        for d in range(n):
+            if edge[d] < edge[d + 1]:
+                part = slice(edge[d], edge[d + 1])
+                out[some[d]] = _mentions(x.plain[d], x.places.get(d), a[part], z[part], [index.entry(k)[1] for k in kept.key[part].tolist()])
     return out
 
 
-@functools.cache
-def _is_word(c: str) -> bool:
-    return c == "_" or unicodedata.category(c)[0] in "LN"
-
+def _mentions(plain: str, place: np.ndarray | None, start: np.ndarray, end: np.ndarray, who: list[tuple[str, ...]]) -> list[Mention]:
+    """Back to the text's own places, each mention with one concept."""
+    if place is not None:
+        start, end = place[start], place[end - 1] + 1
+    if any(len(w) > 1 for w in who):
+        sure = Counter(w[0] for w in who if len(w) == 1)
+        one = [w[0] if len(w) == 1 else max(w, key=lambda c: sure[c]) for w in who]
+    else:
+        one = [w[0] for w in who]
+    return [(plain[a:z], a, z, c) for a, z, c in zip(start.tolist(), end.tolist(), one, strict=True)]
 
-Match = tuple[int, int, str, tuple[str, ...]]
 
-
-def scan_text(text: str, lang: str, scanners: dict) -> list[Match]:
-    """(start, end, surface, concepts) of the longest match from each start, in order."""
-    scan = scanners.get(lang)
-    if scan is None or not text:
-        return []
-    folded, place, text = fold_with_places(text, lang)
-    far: dict[int, tuple[int, tuple]] = {}
-    for last, (size, who) in scan.iter(folded):
-        start, end = (last - size + 1, last + 1) if place is None else (place[last - size + 1], place[last] + 1)
-        if lang != "zh" and ((start and _is_word(text[start - 1])) or (end < len(text) and _is_word(text[end]))):
-            continue
-        if start not in far or end > far[start][0]:
-            far[start] = (end, who)
-    return [(start, far[start][0], text[start : far[start][0]], far[start][1]) for start in sorted(far)]
-
-
-def settle_matches(matches: list[Match]) -> list[tuple[str, int, int, str]]:
-    """(surface, start, end, concept) of what stays of a document's matches, which are in order of their starts."""
-    picked: list[Match] = []
-    reach = -1
-    for m in matches:  # islands of overlapping matches
-        if m[0] >= reach:
-            picked.append(m)
-        elif m[1] > picked[-1][1]:
-            picked[-1] = m
-        reach = max(reach, m[1])
-    sure = Counter(who[0] for *_, who in picked if len(who) == 1)
-    return [(s, a, z, who[0] if len(who) == 1 else max(who, key=lambda c: sure[c])) for a, z, s, who in picked]
-
-
-def link_text(text: str, lang: str, scanners: dict) -> list[tuple[str, int, int, str]]:
+def link_text(text: str | None, lang: str | None, index: Index) -> list[Mention]:
     """(surface, start, end, concept) of one text, in order."""
-    return settle_matches(scan_text(text, lang, scanners))
+    return link_texts([text], [lang], index)[0]
 
 
-def _mention_lists(found: list[list[tuple[str, int, int, str]]]) -> pa.ListArray:
+def _mention_lists(found: list[list[Mention]]) -> pa.ListArray:
     flat = [m for f in found for m in f]
     s, a, z, c = zip(*flat, strict=True) if flat else ((), (), (), ())
     rows = pa.StructArray.from_arrays([pa.array(s, pa.string()), pa.array(a, pa.int32()), pa.array(z, pa.int32()), pa.array(c, pa.string())], names=["surface", "start", "end", "chebi_id"])
@@ -111,60 +199,35 @@ def _with_mentions(docs: DataFrame) -> T.StructType:
     return T.StructType([*docs.schema.fields, T.StructField("mentions", T._parse_datatype_string(f"array<{MENTION}>"))])
 
 
-def link_exact(docs: DataFrame, dictionary: DataFrame) -> DataFrame:
-    """docs with mentions (an empty list where there are none). The dictionary is broadcast: link() checks its size."""
-    spark = docs.sparkSession
-    ship(spark)
-    keys = spark.sparkContext.broadcast(dictionary.select("lang", "key", "chebi_id", "reg_order").toPandas())
+def link_exact(docs: DataFrame, dictionary: DataFrame, cfg: Config = Config()) -> DataFrame:
+    """docs with mentions (an empty list where there are none)."""
+    ship(docs.sparkSession)
+    index = key_index.publish(dictionary, cfg.keys_in_part)
     schema, names = _with_mentions(docs), docs.columns
     text, lang = names.index("text"), names.index("language")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held = _scanners(keys.value)
+        held = key_index.opened(index)
         for b in batches:
-            found = [link_text(t, x, held) for t, x in zip(b.column(text).to_pylist(), b.column(lang).to_pylist(), strict=True)]
+            found = link_texts(b.column(text).to_pylist(), b.column(lang).to_pylist(), held)
             yield pa.RecordBatch.from_arrays([*b.columns, _mention_lists(found)], names=schema.names)
 
     return docs.mapInArrow(run, schema)
 
 
-def link_in_parts(docs: DataFrame, dictionary: DataFrame, most: int) -> DataFrame:
-    """What link_exact gives, with at most about so many keys broadcast at a time.
-
-    All concepts of a key are in one part. Matches carry their concepts, so nothing is joined
-    with the dictionary; a row is known by a digest of its id, language and text, as ids may repeat.
-    """
-    spark = docs.sparkSession
-    ship(spark)
-    parts = math.ceil(dictionary.count() / max(1, most))
-    keyed = dictionary.withColumn("part", F.pmod(F.xxhash64("lang", "key"), F.lit(parts)))
-    rows = docs.withColumn("__row", F.sha2(F.to_json(F.struct("id", "language", "text")), 256))
-    hits = None
-    for k in range(parts):
-        keys = spark.sparkContext.broadcast(keyed.where(F.col("part") == k).select("lang", "key", "chebi_id", "reg_order").toPandas())
-
-        def run(batches: Iterator[pa.RecordBatch], keys=keys) -> Iterator[pa.RecordBatch]:
-            held = _scanners(keys.value)
-            for b in batches:
-                found = [(r, *m) for r, t, x in zip(*(c.to_pylist() for c in b.columns), strict=True) for m in scan_text(t, x, held)]
-                if found:
-                    kinds = (pa.string(), pa.int32(), pa.int32(), pa.string(), pa.list_(pa.string()))
-                    yield pa.RecordBatch.from_arrays([pa.array(c, kind) for c, kind in zip(zip(*found, strict=True), kinds, strict=True)], names=["__row", "start", "end", "surface", "who"])
-
-        some = rows.select("__row", "text", "language").mapInArrow(run, "__row string, start int, end int, surface string, who array<string>")
-        hits = some if hits is None else hits.unionByName(some)
-    if hits is None:
-        return link_exact(docs, dictionary)
-    longest = hits.groupBy("__row", "start").agg(F.max_by(F.struct("end", "surface", "who"), "end").alias("m"))
-    lists = longest.groupBy("__row").agg(F.array_sort(F.collect_list(F.struct("start", "m.end", "m.surface", "m.who"))).alias("__matches"))
-    schema = _with_mentions(docs)
-
-    def settle(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def with_a_key(docs: DataFrame, dictionary: DataFrame, cfg: Config = Config()) -> DataFrame:
+    """Those of docs in whose text some key of the dictionary is found, whatever else overlaps it."""
+    ship(docs.sparkSession)
+    index = key_index.publish(dictionary, cfg.keys_in_part)
+    text, lang = docs.columns.index("text"), docs.columns.index("language")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held = key_index.opened(index)
         for b in batches:
-            found = [settle_matches([(m["start"], m["end"], m["surface"], m["who"]) for m in x or []]) for x in b.columns[-1].to_pylist()]
-            yield pa.RecordBatch.from_arrays([*b.columns[:-1], _mention_lists(found)], names=schema.names)
+            found = link_texts(b.column(text).to_pylist(), b.column(lang).to_pylist(), held)
+            yield b.filter(pa.array([bool(f) for f in found], pa.bool_()))
 
-    return rows.join(lists, "__row", "left").select(*docs.columns, "__matches").mapInArrow(settle, schema)
+    return docs.mapInArrow(run, docs.schema)
 
 
 def link_native(docs: DataFrame, dictionary: DataFrame, fold_with=None) -> DataFrame:
@@ -209,15 +272,8 @@ def _settle(hits: DataFrame, dictionary: DataFrame, docs: DataFrame) -> DataFram
 
 
 def link(docs: DataFrame, aliases: DataFrame, cfg: Config = Config()) -> DataFrame:
-    """docs with mentions; the counted size of the dictionary decides in how many parts it is broadcast."""
-    return link_keys(docs, invert(aliases, cfg), cfg)
-
-
-def link_keys(docs: DataFrame, dictionary: DataFrame, cfg: Config = Config()) -> DataFrame:
-    """link with a ready dictionary."""
-    if dictionary.limit(cfg.max_broadcast_keys + 1).count() <= cfg.max_broadcast_keys:
-        return link_exact(docs, dictionary)
-    return link_in_parts(docs, dictionary, cfg.max_broadcast_keys)
+    """docs with mentions, by the aliases (chebi_id, lang, pos, alias)."""
+    return link_exact(docs, invert(aliases, cfg), cfg)
 
 
 def primary_concept(mentions: str = "mentions"):

@@ -26,8 +26,8 @@ class Config:
     min_alias_len_zh: int = 2
     min_tokens: int = 200
     freq_floor: int = 3
-    #: A dictionary of more keys is broadcast in parts, a pass over the texts for each.
-    max_broadcast_keys: int = 2_000_000
+    #: The index of a dictionary is sorted and packed in parts of about so many keys.
+    keys_in_part: int = 1 << 20
 
 
 CORPUS = "id string, language string, " + ", ".join(f"{f} string" for f in TEXT_FIELDS) + ", publication_number string"

@@ -1,9 +1,4 @@
-"""Linking of arriving documents: the exact linker keeps no state, so it runs on a stream as it is.
-
-A dictionary too large for one broadcast would need matches of several passes to be brought
-together, which a stream without state cannot do: link each micro-batch by ``linking.link_keys``
-in ``foreachBatch`` then.
-"""
+"""Linking of arriving documents: the linker keeps no state, so it runs on a stream as it is, with any dictionary."""
 
 from __future__ import annotations
 
@@ -23,10 +18,8 @@ def read_documents(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def linked_stream(docs: DataFrame, dictionary: DataFrame, cfg: Config = Config()) -> DataFrame:
-    """The linked documents of a stream, against a dictionary that does not change; its size is checked."""
-    if dictionary.limit(cfg.max_broadcast_keys + 1).count() > cfg.max_broadcast_keys:
-        raise ValueError("the dictionary is too large to broadcast: link micro-batches by linking.link_keys")
-    return linking.linked_documents(linking.link_exact(docs, dictionary))
+    """The linked documents of a stream, against a dictionary that does not change."""
+    return linking.linked_documents(linking.link_exact(docs, dictionary, cfg))
 
 
 def write_linked(linked: DataFrame, path: str, checkpoint: str) -> StreamingQuery:

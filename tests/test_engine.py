@@ -9,7 +9,7 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from polylex.functions import text as tx
-from polylex.operators import crosswalk, instances, linking, ontology, providers, variants
+from polylex.operators import crosswalk, instances, key_index, linking, ontology, providers, variants
 from polylex.plans import stages
 from polylex.schema import Config
 from polylex.sources import readers, sinks
@@ -18,14 +18,7 @@ from polylex.streaming import link_stream
 
 
 def scanners(aliases):
-    import pandas as pd
-
-    rows, seen = [], {}
-    for concept, lang, alias in aliases:
-        key = tx.fold_text(alias, lang)
-        seen[lang, key] = seen.get((lang, key), 0) + 1
-        rows.append((lang, key, concept, seen[lang, key]))
-    return linking._scanners(pd.DataFrame(rows, columns=["lang", "key", "chebi_id", "reg_order"]))
+    return key_index.of_rows([(lang, tx.fold_text(alias, lang), concept) for concept, lang, alias in aliases])
 
 
 def spans(text, lang, *aliases):
@@ -75,7 +68,7 @@ def test_native_linking_equals_the_scan(spark):
 
 @settings(deadline=None, max_examples=2)
 @given(st.integers(0, 10**6))
-def test_links_do_not_depend_on_how_the_dictionary_is_broadcast(spark, seed):
+def test_links_do_not_depend_on_how_the_dictionary_is_packed(spark, seed):
     rng = random.Random(seed)
     words = {"en": ["aaa", "bbb aaa", "İstan", "Fe(III)", "bbb"], "de": ["Fußöl", "fussöl hier", "hier", "straße"], "zh": ["乙醇", "咖啡因", "咖啡", "醇胺", "乙醇胺"]}
     joint = {"en": " ", "de": " ", "zh": ""}
@@ -84,7 +77,7 @@ def test_links_do_not_depend_on_how_the_dictionary_is_broadcast(spark, seed):
     docs = [(str(k // 2), "p", lang, joint[lang].join(rng.choice(words[lang] + more[lang]) for _ in range(rng.randint(0, 12)))) for k in range(24) for lang in [rng.choice(list(words))]]
     d = spark.createDataFrame([*docs, docs[0], ("9", None, "en", None), (None, None, None, "aaa")], "id string, publication_number string, language string, text string")
     a = spark.createDataFrame(aliases, "chebi_id string, lang string, pos long, alias string")
-    want, *rest = (sorted(map(str, linking.link(d, a, Config(max_broadcast_keys=n)).collect())) for n in (100, 4, 0))
+    want, *rest = (sorted(map(str, linking.link(d, a, Config(keys_in_part=n)).collect())) for n in (100, 4, 0))
     assert rest == [want, want]
     assert any("Fußöl" in x or "乙醇" in x for x in want)
 

@@ -55,55 +55,54 @@ def l_avail(spark: SparkSession, sf: str) -> DataFrame:
 
 @_query
 def compounds_parsed(spark: SparkSession, sf: str) -> DataFrame:
-    return fx.Graph(spark).compounds
+    return fx.Graph(spark, sf).compounds
 
 
 @_query
 def names_parsed(spark: SparkSession, sf: str) -> DataFrame:
-    return fx.Graph(spark).aliases
+    return fx.Graph(spark, sf).aliases
 
 
 @_query
 def structures_default(spark: SparkSession, sf: str) -> DataFrame:
-    return fx.Graph(spark).structures
+    return fx.Graph(spark, sf).structures
 
 
 @_query
 def formulas_parsed(spark: SparkSession, sf: str) -> DataFrame:
-    return fx.Graph(spark).formulas
+    return fx.Graph(spark, sf).formulas
 
 
 @_query
 def relations_parsed(spark: SparkSession, sf: str) -> DataFrame:
-    return fx.Graph(spark).relations
+    return fx.Graph(spark, sf).relations
 
 
 @_query
 def ontology_terms(spark: SparkSession, sf: str) -> DataFrame:
-    return fx.terms(spark).select("id", "name", _join("parents"))
+    return fx.Graph(spark, sf).terms.select("id", "name", _join("parents"))
 
 
 @_query
 def merged_nodes(spark: SparkSession, sf: str) -> DataFrame:
-    return fx.Graph(spark).nodes.drop("parent_id")
+    return fx.Graph(spark, sf).nodes.drop("parent_id")
 
 
 @_query
 def all_ids(spark: SparkSession, sf: str) -> DataFrame:
-    g = fx.Graph(spark)
+    g = fx.Graph(spark, sf)
     return ontology.all_ids(g.terms.select(F.col("id").alias("chebi_id")), g.compounds, g.structures, g.formulas, g.aliases)
 
 
 @_query
 def titles_asked(spark: SparkSession, sf: str) -> DataFrame:
     """From a lookup, which gives a second page for each language too."""
-    rows = fx.TITLES[1]
 
     def lookup(numbers: list[str]) -> list[tuple[str, str, str, str]]:
-        found = [(c[6:], f"http://x.org/entity/{q}", f"https://{lang}.x.org/wiki/{title}", lang) for c, q, lang, title in rows if c[6:] in numbers]
+        found = [(n, f"http://x.org/entity/Q{n}", f"https://{lang}.x.org/wiki/Title_{n}%20{lang}", lang) for n in numbers for lang in ("en", "de", "es", "fr")[: int(n) % 5]]
         return found + [(n, q, url + "_2", lang) for n, q, url, lang in found]
 
-    return crosswalk.crosswalk(fx.Graph(spark).nodes, lookup, _file(spark, "titles"), batch=2)
+    return crosswalk.crosswalk(fx.Graph(spark, sf).nodes, lookup, _file(spark, "titles"))
 
 
 @_query
@@ -119,26 +118,26 @@ def corpus_csv(spark: SparkSession, sf: str) -> DataFrame:
 def names_file(spark: SparkSession, sf: str) -> DataFrame:
     """The names, written as a gzipped table and read back."""
     path = _file(spark, "names")
-    written = fx.raw(spark, fx.NAMES).coalesce(1).sortWithinPartitions("pos").drop("pos").write.option("header", True).option("sep", "\t").option("quote", "").option("emptyValue", "")
+    written = fx.raw(spark, sf, fx.NAMES).coalesce(1).sortWithinPartitions("pos", "language_code", "name").drop("pos").write.option("header", True).option("sep", "\t").option("quote", "").option("emptyValue", "")
     written.option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False).option("compression", "gzip").csv(path)
-    return ontology.parse_names(readers.read_tsv(spark, path), F.lower("alias"))
+    return ontology.parse_names(readers.read_tsv(spark, path), fx.folded(F.col("alias")))
 
 
 @_query
 def terms_file(spark: SparkSession, sf: str) -> DataFrame:
     path = _file(spark, "terms")
-    spark.createDataFrame([("\n[Term]\n".join(fx.OBO),)], "value string").coalesce(1).write.text(path)
+    fx.stanzas(spark, sf).write.option("lineSep", "\n[Term]\n").text(path)
     return readers.read_obo(spark, path).select("id", "name", _join("parents"))
 
 
 @_query
 def alias_union(spark: SparkSession, sf: str) -> DataFrame:
-    return fx.Graph(spark).combined.drop("pos")
+    return fx.Graph(spark, sf).combined.drop("pos")
 
 
 @_query
 def alias_inversion(spark: SparkSession, sf: str) -> DataFrame:
-    return fx.Graph(spark).dictionary
+    return fx.Graph(spark, sf).dictionary
 
 
 @_query
@@ -149,22 +148,26 @@ def link_mentions(spark: SparkSession, sf: str) -> DataFrame:
 @_query
 def link_mentions_native(spark: SparkSession, sf: str) -> DataFrame:
     docs = fx.documents(fx.corpus(spark, sf))
-    return linking.link_native(docs, fx.Graph(spark).dictionary, F.lower("text"))
+    return linking.link_native(docs, fx.Graph(spark, sf).dictionary, fx.folded)
 
 
 @_query
 def link_mentions_parts(spark: SparkSession, sf: str) -> DataFrame:
     """As with a dictionary whose index is sorted and packed in many parts."""
-    return linking.flat(linking.link_exact(fx.documents(fx.corpus(spark, sf)), fx.Graph(spark).dictionary, Config(keys_in_part=6))).select("id", "surface", "start", "end", "chebi_id")
+    return linking.flat(linking.link_exact(fx.documents(fx.corpus(spark, sf)), fx.Graph(spark, sf).dictionary, Config(keys_in_part=6))).select("id", "surface", "start", "end", "chebi_id")
 
 
 @_query
 def link_folded(spark: SparkSession, sf: str) -> DataFrame:
-    """The corpus's own words with a sharp s, by full case folding, which changes their length."""
+    """The corpus's own words with a sharp s, by full case folding, which changes their length.
+
+    Those that end in one are keys with a single s at the end too, which is the shorter key there."""
     docs = fx.documents(fx.corpus(spark, sf))
-    words = docs.select("language", F.explode(F.regexp_extract_all("text", F.lit(r"[\p{L}\p{N}_]+"), 0)).alias("w")).where(F.contains("w", F.lit("ß")) & (F.length("w") > 3)).distinct()
-    aliases = words.select(F.col("language").alias("lang"), F.upper("w").alias("alias"), F.lit("C:ss").alias("chebi_id"), F.lit(0).cast("long").alias("pos"))
-    return linking.flat(linking.link(docs, aliases)).select("id", "surface", "start", "end", "chebi_id")
+    words = docs.select(F.col("language").alias("lang"), F.explode(F.regexp_extract_all("text", F.lit(r"[\p{L}\p{N}_]+"), 0)).alias("w")).where(F.contains("w", F.lit("ß")) & (F.length("w") > 3)).distinct()
+    long = words.select("lang", F.upper("w").alias("alias"), F.lit("C:ss").alias("chebi_id"), tx.fold("w", "lang").alias("key"))
+    short = words.where("w LIKE '%ß'").withColumn("alias", F.expr("concat(left(w, length(w) - 1), 's')")).select("lang", "alias", F.lit("C:s").alias("chebi_id"), tx.fold("alias", "lang").alias("key"))
+    both = long.unionByName(short.join(long.select("lang", "key"), ["lang", "key"], "left_anti")).drop("key").withColumn("pos", F.lit(0).cast("long"))
+    return linking.flat(linking.link(docs, both)).select("id", "surface", "start", "end", "chebi_id")
 
 
 @_query
@@ -209,7 +212,7 @@ def corpus_index(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def _near(name: str, make: Callable[[fx.Graph], DataFrame]) -> None:
-    _QUERIES[name] = lambda spark, sf: make(fx.Graph(spark)).select("chebi_id", "neighbor")
+    _QUERIES[name] = lambda spark, sf: make(fx.Graph(spark, sf)).select("chebi_id", "neighbor")
 
 
 _near("siblings_isa", lambda g: ontology.siblings_isa(g.edges))
@@ -427,7 +430,7 @@ def verify_status(spark: SparkSession, sf: str) -> DataFrame:
 @_query
 def cache_lookup(spark: SparkSession, sf: str) -> DataFrame:
     asked = spark.read.parquet(f"{sf}/benchmark.parquet").select(F.sha2(F.concat_ws("|", F.lit(str(_CFG.seed)), F.col("item_id").cast("string")), 256).alias("key"))
-    known = fx.raw(spark, fx.CACHED).withColumn("key", F.sha2(F.concat_ws("|", F.lit(str(_CFG.seed)), F.replace("key", F.lit("k"), F.lit(""))), 256))
+    known = fx.raw(spark, sf, fx.CACHED).withColumn("key", F.sha2(F.concat_ws("|", F.lit(str(_CFG.seed)), F.replace("key", F.lit("k"), F.lit(""))), 256))
     return providers.lookup(asked, known.groupBy("key").agg(F.max_by("response", "pos").alias("response")))
 
 

@@ -1,4 +1,10 @@
-"""Adapter from the driver's documents to the engine's model, with a small own ontology."""
+"""Adapter from the driver's tables to the engine's model.
+
+The ontology has a concept for every row of ``part``. Its names and titles are words of the
+corpus, dealt to concepts by a hash of the word; its classes, roles, structures and relations
+follow the keys of ``part``, a role that a fiftieth of all concepts has among them. A few rows
+beside it hold the awkward cases of the flat files.
+"""
 
 from __future__ import annotations
 
@@ -43,15 +49,51 @@ TITLES = ("chebi_id qid lang title", [("CHEBI:4", "Q4", "de", "dass"), ("CHEBI:2
 CACHED = ("key response", [("k0", "old"), ("k1", "une"), ("k0", "new")])
 
 
+_CONCEPT = "CAST(100000 + p_partkey AS STRING)"
+_ROWS = {
+    COMPOUNDS[0]: f"SELECT {_CONCEPT} AS id, CAST(NULL AS STRING) AS chebi_accession, p_name AS name, CAST(1 + p_size % 3 AS STRING) AS stars, CASE WHEN p_partkey % 7 = 0 THEN CAST(300000 + p_size AS STRING) END AS parent_id, 1000 + p_partkey AS pos FROM {{part}}",
+    NAMES[0]: "SELECT CAST(100000 + h % n AS STRING) AS compound_id, word AS name, lang AS language_code, 1000 + h AS pos FROM {words}, (SELECT count(*) AS n FROM {part}) WHERE CAST(floor(h / 1000) AS BIGINT) % 10 <> 0",
+    STRUCTURES[0]: f"SELECT {_CONCEPT} AS compound_id, CASE WHEN p_partkey % 5 = 0 THEN 'F' ELSE 'T' END AS default_structure, concat('I', p_partkey) AS standard_inchi, concat(substr(upper(md5(concat(p_brand, '|', p_type, '|', p_size))), 1, 14), '-', p_partkey) AS standard_inchi_key, CASE WHEN p_size > 9 THEN 'C' END AS smiles, 1000 + p_partkey AS pos FROM {{part}}",
+    FORMULAS[0]: f"SELECT {_CONCEPT} AS compound_id, concat('C', p_size, 'H', p_partkey % 40) AS formula, 1000 + p_partkey AS pos FROM {{part}}",
+    RELATIONS[0]: " UNION ALL ".join(
+        f"SELECT '{kind}' AS relation_type_id, {_CONCEPT} AS init_id, CAST({to} AS STRING) AS final_id, CASE p_partkey % 9 WHEN 0 THEN '9' WHEN 1 THEN '3' ELSE '1' END AS status_id, {k}000000 + p_partkey AS pos FROM {{part}} WHERE {where}"
+        for k, (kind, to, where) in enumerate([
+            (1, "400000 + CAST(floor(p_partkey / 10) AS BIGINT)", "p_size > 5"), (1, "60027", "p_partkey % 50 = 1"), (2, "500000 + CAST(floor(p_partkey / 6) AS BIGINT)", "p_size % 2 = 0"),
+            (3, "100001 + p_partkey", "p_partkey % 10 = 3"), (4, "99999 + p_partkey", "p_partkey % 10 = 4"), (5, "100001 + p_partkey", "p_partkey % 10 = 5"), (5, "99999 + p_partkey", "p_partkey % 10 = 6"),
+        ], 1)
+    ),
+    TITLES[0]: "SELECT concat('CHEBI:', 100000 + h % n) AS chebi_id, concat('Q', h) AS qid, lang, word AS title, 1000 + h AS pos FROM {words}, (SELECT count(*) AS n FROM {part}) WHERE CAST(floor(h / 1000) AS BIGINT) % 10 = 0",
+}
+#: A stanza for each part: a class of eight, for some a class by size too; some are obsolete.
+STANZAS = (
+    "SELECT concat('id: CHEBI:', 100000 + p_partkey, chr(10), 'name: ', p_name, chr(10), 'is_a: CHEBI:', 600000 + CAST(floor(p_partkey / 8) AS BIGINT), ' ! class', "
+    "CASE WHEN p_partkey % 4 = 0 THEN concat(chr(10), 'is_a: CHEBI:', 700000 + p_size) ELSE '' END, CASE WHEN p_partkey % 101 = 0 THEN concat(chr(10), 'is_obsolete: true') ELSE '' END) AS value FROM {part}"
+)
+#: Words of so many letters, a quarter of them by hash, are names.
+WORD = r"\p{L}{6,}"
+
+
 def values(table: tuple[str, list[tuple]]) -> str:
     """Rows as SQL, the same in Spark and DuckDB, with their order in pos."""
     quote = lambda x: "CAST(NULL AS STRING)" if x is None else "'" + x.replace("'", "''") + "'"
     rows = ", ".join("(" + ", ".join(map(quote, r)) + f", CAST({k} AS BIGINT))" for k, r in enumerate(table[1]))
-    return f"(SELECT * FROM (VALUES {rows}) AS t({', '.join([*table[0].split(), 'pos'])}))"
+    fixed = f"SELECT * FROM (VALUES {rows}) AS t({', '.join([*table[0].split(), 'pos'])})"
+    return f"({fixed} UNION ALL {_ROWS[table[0]]})" if table[0] in _ROWS else f"({fixed})"
+
+
+def words(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(lang, word, h): the corpus's words that are names, with a hash."""
+    each = spark.read.parquet(f"{sf_dir}/documents.parquet").select("lang", F.explode(F.array_distinct(F.regexp_extract_all(F.lower("text"), F.lit(WORD), 0))).alias("word")).distinct()
+    h = F.conv(F.substring(F.md5("word"), 1, 13), 16, 10).cast("long")
+    return each.withColumn("h", h).where("CAST(floor(h / 7) AS BIGINT) % 4 = 0")
+
 
+def _sql(spark: SparkSession, sf_dir: str, query: str) -> DataFrame:
+    return spark.sql(query, part=spark.read.parquet(f"{sf_dir}/part.parquet"), words=words(spark, sf_dir)) if "{" in query else spark.sql(query)
 
-def raw(spark: SparkSession, table: tuple[str, list[tuple]]) -> DataFrame:
-    return spark.sql(f"SELECT * FROM {values(table)}")
+
+def raw(spark: SparkSession, sf_dir: str, table: tuple[str, list[tuple]]) -> DataFrame:
+    return _sql(spark, sf_dir, f"SELECT * FROM {values(table)}")
 
 
 def corpus(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -77,24 +119,32 @@ def documents(rows: DataFrame) -> DataFrame:
     return rows.select("id", "publication_number", "language", corpus_text().alias("text"))
 
 
-def terms(spark: SparkSession) -> DataFrame:
-    return parse_obo(spark.sql("SELECT * FROM VALUES " + ", ".join("('" + x.replace("\n", "\\n") + "')" for x in OBO) + " AS t(value)"))
+def stanzas(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(value): the ontology file's parts."""
+    fixed = spark.sql("SELECT * FROM VALUES " + ", ".join("('" + x.replace("\n", "\\n") + "')" for x in OBO) + " AS t(value)")
+    return fixed.unionByName(_sql(spark, sf_dir, STANZAS))
+
+
+def folded(text: F.Column) -> F.Column:
+    """The same as full folding for what the corpus has, in the JVM."""
+    return F.replace(F.lower(text), F.lit("ß"), F.lit("ss"))
 
 
 class Graph:
-    """The fixture ontology, parsed."""
-
-    def __init__(self, spark: SparkSession):
-        low = F.lower("alias")  # the same as full folding for these words, and what SQL has
-        self.terms = terms(spark)
-        self.compounds = ontology.parse_compounds(raw(spark, COMPOUNDS))
-        self.structures = ontology.parse_structures(raw(spark, STRUCTURES))
-        self.formulas = ontology.parse_chemical_data(raw(spark, FORMULAS))
+    """The ontology, parsed."""
+
+    def __init__(self, spark: SparkSession, sf_dir: str):
+        low = folded(F.col("alias"))
+        table = lambda t: raw(spark, sf_dir, t)
+        self.terms = parse_obo(stanzas(spark, sf_dir))
+        self.compounds = ontology.parse_compounds(table(COMPOUNDS))
+        self.structures = ontology.parse_structures(table(STRUCTURES))
+        self.formulas = ontology.parse_chemical_data(table(FORMULAS))
         self.nodes = ontology.merge_nodes(self.terms, self.compounds, self.structures, self.formulas)
-        self.relations = ontology.parse_relations(raw(spark, RELATIONS), raw(spark, RELATION_TYPES))
+        self.relations = ontology.parse_relations(table(RELATIONS), table(RELATION_TYPES))
         self.edges = ontology.is_a_edges(self.terms).unionByName(self.relations)
-        self.aliases = ontology.parse_names(raw(spark, NAMES), low)
-        self.titles = raw(spark, TITLES).drop("pos")
+        self.aliases = ontology.parse_names(table(NAMES), low)
+        self.titles = table(TITLES).drop("pos")
         self.combined = ontology.aliases_combined(self.aliases, self.titles, low)
         self.dictionary = linking.invert(self.combined, Config(), low)
 
@@ -120,7 +170,7 @@ class Linked:
             held.concepts.unpersist()
 
     def __init__(self, spark: SparkSession, sf_dir: str):
-        self.graph = Graph(spark)
+        self.graph = Graph(spark, sf_dir)
         self.corpus = corpus(spark, sf_dir)
         self.docs = documents(self.corpus)
         self.linked = linking.link_exact(self.docs, self.graph.dictionary).persist()

@@ -3,7 +3,7 @@
 ``link_exact`` looks the spans of a text up in an index of all keys (``key_index``), many at a
 time, and settles everything within a document, so it reads a text once and has no shuffle,
 whatever the size of the dictionary. ``link_native`` is linking by DataFrame operations alone,
-for languages with word boundaries and texts whose folding keeps lengths.
+for languages with word boundaries and keys that end between a text's characters.
 
 Where folding makes a text longer, all is decided on folded places, and only the mention that
 stays is taken back to the text: of the keys "das" and "dass", "dass" is the longer in "daß".
@@ -16,7 +16,7 @@ from __future__ import annotations
 
 import unicodedata
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -230,17 +230,18 @@ def with_a_key(docs: DataFrame, dictionary: DataFrame, cfg: Config = Config()) -
     return docs.mapInArrow(run, docs.schema)
 
 
-def link_native(docs: DataFrame, dictionary: DataFrame, fold_with=None) -> DataFrame:
-    """(id, surface, start, end, chebi_id) by joins and windows. For texts whose folding keeps lengths, in languages with word boundaries."""
+def link_native(docs: DataFrame, dictionary: DataFrame, fold_with: Callable[[F.Column], F.Column] | None = None) -> DataFrame:
+    """(id, surface, start, end, chebi_id) by joins and windows, in languages with word boundaries, of keys that end between characters."""
     keys = dictionary.withColumn("pieces", F.regexp_extract_all("key", F.lit(_PIECES), 0)).withColumns({"w": F.get("pieces", F.lit(0)), "np": F.size("pieces")}).drop("pieces")
     most = keys.agg(F.coalesce(F.max("np"), F.lit(1))).first()[0]
-    x = docs.select("id", "language", "text", F.regexp_extract_all(fold("text", "language") if fold_with is None else fold_with, F.lit(_PIECES), 0).alias("p"))
-    x = x.select("id", "language", F.posexplode("p").alias("i", "w"))
+    x = docs.select("id", "language", F.posexplode(F.regexp_extract_all("text", F.lit(_PIECES), 0)).alias("i", "p"))
+    x = x.withColumn("w", fold("p", "language") if fold_with is None else fold_with(F.col("p")))
     by = Window.partitionBy("id").orderBy("i")
-    x = x.withColumns({"start": (F.sum(F.length("w")).over(by) - F.length("w")).cast("int"), "win": F.collect_list("w").over(by.rowsBetween(0, most)), "prev": F.lag("w").over(by)})
+    near = by.rowsBetween(0, most)
+    x = x.withColumns({"start": (F.sum(F.length("p")).over(by) - F.length("p")).cast("int"), "win": F.collect_list("w").over(near), "sizes": F.collect_list(F.length("p")).over(near), "prev": F.lag("w").over(by)})
     hits = _sql(
         r"""
-        SELECT x.id, x.start, CAST(x.start + length(k.key) AS INT) AS end, k.key, k.lang
+        SELECT x.id, x.start, x.start + aggregate(slice(x.sizes, 1, k.np), 0, (a, b) -> a + b) AS end, k.key, k.lang
         FROM {x} x JOIN (SELECT DISTINCT lang, key, w, np FROM {keys}) k ON x.language = k.lang AND x.w = k.w
         WHERE array_join(slice(x.win, 1, k.np), '') = k.key
           AND (k.w RLIKE '^[\\p{{L}}\\p{{N}}_]' OR x.prev IS NULL OR x.prev NOT RLIKE '^[\\p{{L}}\\p{{N}}_]')

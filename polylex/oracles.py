@@ -14,13 +14,22 @@ _S = _CFG.seed
 
 
 def _duck(table: tuple) -> str:
-    return fx.values(table).replace("AS STRING", "AS VARCHAR")
+    return _here(fx.values(table))
+
+
+def _here(sql: str) -> str:
+    return sql.replace("AS STRING", "AS VARCHAR").replace("{part}", "part").replace("{words}", "words")
 
 
 _NORM = "CASE WHEN trim({0}) LIKE 'CHEBI:%' THEN trim({0}) WHEN regexp_matches(trim({0}), '^-*[0-9]+$') THEN concat('CHEBI:', trim({0})) END"
 _OBO = ", ".join("(" + " || chr(10) || ".join("'" + y + "'" for y in x.split("\n")) + ")" for x in fx.OBO)
 
 
+def _fold(c: str) -> str:
+    """Full case folding of what the corpus has."""
+    return f"replace(lower({c}), 'ß', 'ss')"
+
+
 def _n(c: str) -> str:
     return _NORM.format(c)
 
@@ -39,7 +48,8 @@ STEPS = {
     "corpus": "SELECT concat_ws('_', (doc_id // 4)::VARCHAR, lang, doc_id::VARCHAR) AS id, lang AS language, (doc_id // 4)::VARCHAR AS publication_number, a[1] AS title, coalesce(a[2], '') AS abstract, coalesce(array_to_string(a[3:], chr(10)), '') AS description FROM (SELECT *, string_split(coalesce(text, ''), chr(10)) AS a FROM documents)",
     "docs": "SELECT id, publication_number, language, concat_ws(chr(10), title, abstract, description, '', '') AS text FROM corpus",
     "l_avail": "SELECT publication_number, list_sort(list(DISTINCT language)) AS l_avail FROM corpus GROUP BY publication_number",
-    "terms": f"SELECT {_n('id')} AS id, name, parents FROM (SELECT regexp_extract(v, '(?m)^id: (\\S+)', 1) AS id, nullif(regexp_extract(v, '(?m)^name: (.*)$', 1), '') AS name, regexp_extract_all(v, '(?m)^is_a: (CHEBI:[0-9]+)', 1) AS parents, regexp_matches(v, '(?m)^is_obsolete: true') AS gone FROM (SELECT split_part(value, chr(10) || '[Typedef]', 1) AS v FROM (VALUES {_OBO}) AS t(value))) WHERE NOT gone AND {_n('id')} IS NOT NULL",
+    "words": f"SELECT lang, word, h FROM (SELECT DISTINCT lang, word, ('0x' || substr(md5(word), 1, 13))::BIGINT AS h FROM (SELECT lang, unnest(regexp_extract_all(lower(text), '{fx.WORD}')) AS word FROM documents)) WHERE CAST(floor(h / 7) AS BIGINT) % 4 = 0",
+    "terms": f"SELECT {_n('id')} AS id, name, parents FROM (SELECT regexp_extract(v, '(?m)^id: (\\S+)', 1) AS id, nullif(regexp_extract(v, '(?m)^name: (.*)$', 1), '') AS name, regexp_extract_all(v, '(?m)^is_a: (CHEBI:[0-9]+)', 1) AS parents, regexp_matches(v, '(?m)^is_obsolete: true') AS gone FROM (SELECT split_part(value, chr(10) || '[Typedef]', 1) AS v FROM (SELECT * FROM (VALUES {_OBO}) AS t(value) UNION ALL {_here(fx.STANZAS)}))) WHERE NOT gone AND {_n('id')} IS NOT NULL",
     "compounds": f"SELECT chebi_id, last(name ORDER BY pos) FILTER (WHERE name <> '' AND name <> 'null') AS name, last(try_cast(trim(stars) AS INT) ORDER BY pos) FILTER (WHERE regexp_matches(trim(stars), '^[0-9]+$')) AS star, arg_max(parent_id, pos) AS parent_id FROM (SELECT {_n('coalesce(nullif(chebi_accession, $$$$), id)')} AS chebi_id, name, stars, coalesce({_n('parent_id')}, '-') AS parent_id, pos FROM {_duck(fx.COMPOUNDS)}) WHERE chebi_id IS NOT NULL GROUP BY chebi_id".replace("$$$$", "''"),
     "structs": f"""SELECT chebi_id, last(inchi ORDER BY pos) FILTER (WHERE inchi IS NOT NULL) AS inchi, last(inchikey ORDER BY pos) FILTER (WHERE inchikey IS NOT NULL) AS inchikey, last(smiles ORDER BY pos) FILTER (WHERE smiles IS NOT NULL) AS smiles FROM (
         SELECT *, min(pos) FILTER (WHERE inchi IS NOT NULL) OVER (PARTITION BY chebi_id) AS known FROM (SELECT {_n("compound_id")} AS chebi_id, pos, coalesce(upper(trim(default_structure)) IN ('T', 'TRUE', '1'), false) AS d, nullif(trim(standard_inchi), '') AS inchi, nullif(trim(standard_inchi_key), '') AS inchikey, nullif(trim(smiles), '') AS smiles FROM {_duck(fx.STRUCTURES)}))
@@ -48,14 +58,14 @@ STEPS = {
     "nodes": "SELECT chebi_id, coalesce(c.name, t.name) AS name, c.star, c.parent_id, s.inchi, s.inchikey, s.smiles, f.formula FROM (SELECT id AS chebi_id, name FROM terms) t FULL JOIN compounds c USING (chebi_id) FULL JOIN structs s USING (chebi_id) FULL JOIN formulas f USING (chebi_id)",
     "relations": f"SELECT {_n('init_id')} AS src, code AS rel, {_n('final_id')} AS dst, r.pos FROM {_duck(fx.RELATIONS)} r JOIN {_duck(fx.RELATION_TYPES)} t ON trim(r.relation_type_id) = trim(t.id) WHERE code IN ('has_role', 'has_parent_hydride', 'is_conjugate_acid_of', 'is_conjugate_base_of', 'is_tautomer_of') AND (status_id IS NULL OR NOT regexp_matches(trim(status_id), '^[0-9]+$') OR trim(status_id) IN ('1', '3')) AND {_n('init_id')} IS NOT NULL AND {_n('final_id')} IS NOT NULL",
     "edges": "SELECT id AS src, 'is_a' AS rel, unnest(parents) AS dst, generate_subscripts(parents, 1)::BIGINT AS pos FROM terms UNION ALL SELECT src, rel, dst, pos FROM relations",
-    "names": f"SELECT chebi_id, lang, pos, alias FROM (SELECT *, row_number() OVER (PARTITION BY chebi_id, lang, lower(alias) ORDER BY pos) AS n FROM (SELECT {_n('compound_id')} AS chebi_id, coalesce(nullif(lower(trim(language_code)), ''), 'en') AS lang, pos, name AS alias FROM {_duck(fx.NAMES)}) WHERE chebi_id IS NOT NULL AND lang IN ('en', 'de', 'es', 'fr', 'zh') AND alias <> 'null' AND alias <> '') WHERE n = 1",
+    "names": f"SELECT chebi_id, lang, pos, place, alias FROM (SELECT *, row_number() OVER (PARTITION BY chebi_id, lang, {_fold('alias')} ORDER BY pos) AS n FROM (SELECT {_n('compound_id')} AS chebi_id, coalesce(nullif(lower(trim(language_code)), ''), 'en') AS lang, pos, row_number() OVER (ORDER BY pos, language_code, name) - 1 AS place, name AS alias FROM {_duck(fx.NAMES)}) WHERE chebi_id IS NOT NULL AND lang IN ('en', 'de', 'es', 'fr', 'zh') AND alias <> 'null' AND alias <> '') WHERE n = 1",
     "titles": f"SELECT chebi_id, qid, lang, title FROM {_duck(fx.TITLES)}",
-    "combined": "SELECT chebi_id, lang, pos, alias FROM (SELECT *, row_number() OVER (PARTITION BY chebi_id, lang, lower(alias) ORDER BY pos) AS n FROM (SELECT chebi_id, lang, pos, alias FROM names UNION ALL SELECT chebi_id, lang, 1::BIGINT << 60, title FROM (SELECT *, row_number() OVER (PARTITION BY chebi_id, lang ORDER BY qid, title) AS k FROM titles) WHERE k = 1)) WHERE n = 1",
-    "dict": f"SELECT lang, key, chebi_id, row_number() OVER (PARTITION BY lang, key ORDER BY chebi_id, pos)::INT AS reg_order FROM (SELECT lang, lower(alias) AS key, chebi_id, min(pos) AS pos FROM combined WHERE length(alias) >= CASE lang WHEN 'zh' THEN {_CFG.min_alias_len_zh} ELSE {_CFG.min_alias_len} END GROUP BY ALL)",
+    "combined": f"SELECT chebi_id, lang, pos, alias FROM (SELECT *, row_number() OVER (PARTITION BY chebi_id, lang, {_fold('alias')} ORDER BY pos) AS n FROM (SELECT chebi_id, lang, pos, alias FROM names UNION ALL SELECT chebi_id, lang, 1::BIGINT << 60, title FROM (SELECT *, row_number() OVER (PARTITION BY chebi_id, lang ORDER BY qid, title) AS k FROM titles) WHERE k = 1)) WHERE n = 1",
+    "dict": f"SELECT lang, key, chebi_id, row_number() OVER (PARTITION BY lang, key ORDER BY chebi_id, pos)::INT AS reg_order FROM (SELECT lang, {_fold('alias')} AS key, chebi_id, min(pos) AS pos FROM combined WHERE length(alias) >= CASE lang WHEN 'zh' THEN {_CFG.min_alias_len_zh} ELSE {_CFG.min_alias_len} END GROUP BY ALL)",
     "keys": r"SELECT lang, key, p[1] AS w, len(p) AS np FROM (SELECT DISTINCT lang, key, regexp_extract_all(key, '[\p{L}\p{N}_]+|[^\p{L}\p{N}_]') AS p FROM dict)",
-    "pieces": r"SELECT id, language, unnest(p) AS w, generate_subscripts(p, 1) AS i FROM (SELECT id, language, regexp_extract_all(lower(text), '[\p{L}\p{N}_]+|[^\p{L}\p{N}_]') AS p FROM docs)",
-    "look": "SELECT id, language, w, (sum(length(w)) OVER o - length(w))::INT AS s, list(w) OVER (PARTITION BY id ORDER BY i ROWS BETWEEN CURRENT ROW AND 3 FOLLOWING) AS win FROM pieces WINDOW o AS (PARTITION BY id ORDER BY i)",
-    "hits": "SELECT x.id, x.s, x.s + length(k.key) AS e, k.lang, k.key FROM look x JOIN keys k ON x.language = k.lang AND x.w = k.w WHERE array_to_string(list_slice(win, 1, np), '') = k.key",
+    "pieces": r"SELECT id, language, w, replace(lower(w), 'ß', 'ss') AS f, i FROM (SELECT id, language, unnest(p) AS w, generate_subscripts(p, 1) AS i FROM (SELECT id, language, regexp_extract_all(text, '[\p{L}\p{N}_]+|[^\p{L}\p{N}_]') AS p FROM docs))",
+    "look": "SELECT id, language, f AS w, (sum(length(w)) OVER o - length(w))::INT AS s, list(f) OVER b AS win, list(length(w)) OVER b AS sizes FROM pieces WINDOW o AS (PARTITION BY id ORDER BY i), b AS (PARTITION BY id ORDER BY i ROWS BETWEEN CURRENT ROW AND 3 FOLLOWING)",
+    "hits": "SELECT x.id, x.s, (x.s + list_sum(list_slice(sizes, 1, np)))::INT AS e, k.lang, k.key FROM look x JOIN keys k ON x.language = k.lang AND x.w = k.w WHERE array_to_string(list_slice(win, 1, np), '') = k.key",
     "far": "SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY id, s ORDER BY e DESC) AS n FROM hits) WHERE n = 1",
     "isle": "SELECT *, sum(CASE WHEN reach IS NULL OR s >= reach THEN 1 ELSE 0 END) OVER (PARTITION BY id ORDER BY s) AS k FROM (SELECT *, max(e) OVER (PARTITION BY id ORDER BY s ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS reach FROM far)",
     "won": "SELECT id, s, e, lang, key FROM (SELECT *, row_number() OVER (PARTITION BY id, k ORDER BY e DESC, s) AS m FROM isle) WHERE m = 1",
@@ -152,16 +162,18 @@ SELECTS = {
     "ontology_terms": "SELECT id, name, array_to_string(parents, ',') AS parents FROM terms",
     "merged_nodes": "SELECT chebi_id, name, star, inchi, inchikey, smiles, formula FROM nodes",
     "all_ids": "SELECT id AS chebi_id FROM terms UNION SELECT chebi_id FROM compounds UNION SELECT chebi_id FROM structs UNION SELECT chebi_id FROM formulas UNION SELECT chebi_id FROM names",
-    "titles_asked": "SELECT t.chebi_id, t.qid, t.lang, t.title FROM titles t WHERE t.chebi_id IN (SELECT chebi_id FROM nodes)",
+    "titles_asked": "SELECT chebi_id, 'Q' || n AS qid, lang, 'Title ' || n || ' ' || lang AS title FROM (SELECT chebi_id, substr(chebi_id, 7) AS n FROM nodes), (VALUES ('en', 1), ('de', 2), ('es', 3), ('fr', 4)) AS l(lang, k) WHERE n::BIGINT % 5 >= k",
     "corpus_csv": "SELECT id, publication_number, language, md5(regexp_replace(text, '\\r\\n?', chr(10), 'g')) AS text_md5 FROM docs",
-    "names_file": "SELECT chebi_id, lang, pos, alias FROM names",
+    "names_file": "SELECT chebi_id, lang, place AS pos, alias FROM names",
     "terms_file": "SELECT id, name, array_to_string(parents, ',') AS parents FROM terms",
     "alias_union": "SELECT chebi_id, lang, alias FROM combined",
     "alias_inversion": "SELECT lang, key, chebi_id, reg_order FROM dict",
     "link_mentions": 'SELECT id, surface, "start", "end", chebi_id FROM mentions',
     "link_mentions_native": 'SELECT id, surface, "start", "end", chebi_id FROM mentions',
     "link_mentions_parts": 'SELECT id, surface, "start", "end", chebi_id FROM mentions',
-    "link_folded": r"""SELECT id, w AS surface, (e - length(w))::INT AS "start", e::INT AS "end", 'C:ss' AS chebi_id FROM (SELECT id, language, w, sum(length(w)) OVER (PARTITION BY id ORDER BY i) AS e FROM (SELECT id, language, unnest(p) AS w, generate_subscripts(p, 1) AS i FROM (SELECT id, language, regexp_extract_all(text, '[\p{L}\p{N}_]+|[^\p{L}\p{N}_]') AS p FROM docs))) WHERE (language, replace(lower(w), 'ß', 'ss')) IN (SELECT (language, replace(lower(v), 'ß', 'ss')) FROM (SELECT language, unnest(regexp_extract_all(text, '[\p{L}\p{N}_]+')) AS v FROM docs) WHERE contains(v, 'ß') AND length(v) > 3)""",
+    "link_folded": r"""SELECT * FROM (WITH w AS (SELECT id, language, w, e - length(w) AS s, e, replace(lower(w), 'ß', 'ss') AS f FROM (SELECT id, language, w, sum(length(w)) OVER (PARTITION BY id ORDER BY i) AS e FROM (SELECT id, language, unnest(p) AS w, generate_subscripts(p, 1) AS i FROM (SELECT id, language, regexp_extract_all(text, '[\p{L}\p{N}_]+|[^\p{L}\p{N}_]') AS p FROM docs)))),
+        long AS (SELECT DISTINCT language, f FROM w WHERE contains(w, 'ß') AND length(w) > 3), short AS (SELECT DISTINCT language, left(f, length(f) - 1) AS f FROM w WHERE w LIKE '%ß' AND length(w) > 3)
+        SELECT id, w AS surface, s::INT AS "start", e::INT AS "end", CASE WHEN (language, f) IN (SELECT (language, f) FROM long) THEN 'C:ss' ELSE 'C:s' END AS chebi_id FROM w WHERE (language, f) IN (SELECT (language, f) FROM long UNION SELECT (language, f) FROM short))""",
     "folded_text": "SELECT doc_id, md5(replace(lower(nfc_normalize(coalesce(text, ''))), 'ß', 'ss')) AS folded_md5 FROM documents",
     "request_keys": "SELECT item_id, sha256('{\"max_output_tokens\": 60, \"model\": \"m\", \"system\": \"s\", \"temperature\": 0.0, \"user\": ' || to_json(text) || '}') AS key FROM benchmark",
     "primary_concept": "SELECT id, primary_chebi_id FROM prim",

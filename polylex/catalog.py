@@ -334,8 +334,7 @@ class _Bench2:
         self.x = fx.Linked.of(spark, sf)
         langs = variants.available_languages(self.x.corpus)
         self.rows = variants.qualifying_rows(self.x.linked, langs)
-        self.fields = self.x.corpus.select("id", *tx.TEXT_FIELDS)
-        self.sample = variants.sample_rows(self.rows).join(self.fields, "id")
+        self.sample = variants.with_fields(variants.sample_rows(self.x.linked, langs), self.x.corpus)
         self.freq = instances.corpus_frequency(self.x.linked)
 
     def grid(self) -> DataFrame:
@@ -378,14 +377,14 @@ def variant_cells(spark: SparkSession, sf: str) -> DataFrame:
 @_query
 def picked_mentions(spark: SparkSession, sf: str) -> DataFrame:
     b = _Bench2(spark, sf)
-    return variants.pick_mentions(b.grid(), b.freq, variants.parallel_rows(b.x.linked)).select("id", "variant", "position", "swap_lang", "original_term", "swap_start", "chebi_id", "fallback_flag")
+    return variants.pick_mentions(b.grid(), b.freq, variants.parallel_rows(b.x.linked, b.sample)).select("id", "variant", "position", "swap_lang", "original_term", "swap_start", "chebi_id", "fallback_flag")
 
 
 @_query
 def prompts(spark: SparkSession, sf: str) -> DataFrame:
     """What a provider of terms is told."""
     b = _Bench2(spark, sf)
-    told = providers.prompts(variants.pick_mentions(b.grid(), b.freq, variants.parallel_rows(b.x.linked)))
+    told = providers.prompts(variants.pick_mentions(b.grid(), b.freq, variants.parallel_rows(b.x.linked, b.sample)))
     return told.select("id", "variant", "position", F.md5("system").alias("system_md5"), F.md5("user").alias("user_md5"))
 
 

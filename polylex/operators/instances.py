@@ -42,9 +42,9 @@ def qualifying_concepts(concepts: DataFrame, index: DataFrame) -> DataFrame:
 
 
 def balanced_sample(candidates: DataFrame, cfg: Config = Config()) -> DataFrame:
-    """Three stars first; from each stratum in turn, up to the target."""
+    """Three stars first; from each stratum in turn, up to the target. Tasks give the first of each stratum only, before any exchange."""
     nth = F.row_number().over(Window.partitionBy("star", "coarse", "alias_lang_count").orderBy(md5_key(cfg.seed, "sample", F.col("chebi_id")), "chebi_id"))
-    x = candidates.withColumn("turn", nth)
+    x = candidates.withColumn("turn", nth).where(F.col("turn") <= cfg.bench1_target)
     return x.orderBy(F.desc("star"), "turn", md5_key(cfg.seed, "stratum", F.col("coarse"), F.col("alias_lang_count")), "chebi_id").limit(cfg.bench1_target).drop("turn")
 
 

@@ -29,14 +29,28 @@ def qualifying_rows(linked: DataFrame, l_avail: DataFrame, cfg: Config = Config(
     return x.join(l_avail, "publication_number")
 
 
-def sample_rows(rows: DataFrame, cfg: Config = Config(), limit: int | None = None) -> DataFrame:
-    """One row for each publication; those with two or three languages first."""
-    nth = F.row_number().over(Window.partitionBy("publication_number").orderBy(tx.md5_key(cfg.seed, "row", F.col("id")), "id"))
-    x = rows.withColumn("__n", nth).where("__n = 1").drop("__n")
+def choose_rows(rows: DataFrame, cfg: Config = Config(), limit: int | None = None) -> DataFrame:
+    """(id, publication_number, l_avail) of one row for each publication; those with two or three languages first.
+
+    Only ids are exchanged: the least hash of a publication, then the first of all.
+    """
+    best = F.min_by(F.struct("id", "l_avail"), F.struct(tx.md5_key(cfg.seed, "row", F.col("id")), "id")).alias("r")
+    x = rows.select("id", "publication_number", "l_avail").groupBy("publication_number").agg(best).select("r.id", "publication_number", "r.l_avail")
     x = x.orderBy(F.when(F.size("l_avail").isin(2, 3), 0).otherwise(1), tx.md5_key(cfg.seed, "pub", F.col("publication_number")), "publication_number").limit(cfg.bench2_target)
     return x if limit is None else x.limit(limit)
 
 
+def sample_rows(linked: DataFrame, l_avail: DataFrame, cfg: Config = Config(), limit: int | None = None) -> DataFrame:
+    """The chosen of the qualifying rows, with l_avail: texts stay where they are, as the choice is broadcast."""
+    chosen = choose_rows(qualifying_rows(linked, l_avail, cfg), cfg, limit).select("id", "l_avail")
+    return linked.join(F.broadcast(chosen), "id")  # bench2_target rows at most
+
+
+def with_fields(sample: DataFrame, corpus: DataFrame) -> DataFrame:
+    """The sample with its corpus rows' fields."""
+    return corpus.select("id", *tx.TEXT_FIELDS).join(F.broadcast(sample), "id")  # bench2_target rows at most
+
+
 def with_positions(rows: DataFrame) -> DataFrame:
     """rows with ``ranges``: title, first sentence and body within the joined text (start, end; null where there is none)."""
     span = tx.field_spans()
@@ -80,10 +94,11 @@ def cells(rows: DataFrame, cfg: Config = Config()) -> DataFrame:
     return x.withColumn("swap_lang", lang).where("swap_lang is not null")
 
 
-def parallel_rows(linked: DataFrame) -> DataFrame:
-    """(publication_number, swap_lang, parallel, parallel_text): the first row of a publication in a language, with its mentions."""
-    nth = F.row_number().over(Window.partitionBy("publication_number", "language").orderBy("id"))
-    x = linked.withColumn("__n", nth).where("__n = 1")
+def parallel_rows(linked: DataFrame, sample: DataFrame) -> DataFrame:
+    """(publication_number, swap_lang, parallel, parallel_text): of the sample's publications, the first row in each language, with its mentions."""
+    wanted = F.broadcast(sample.select("publication_number").distinct())  # bench2_target rows at most
+    first = linked.select("id", "publication_number", "language").join(wanted, "publication_number", "left_semi").groupBy("publication_number", "language").agg(F.min("id").alias("id"))
+    x = linked.join(F.broadcast(first.select("id")), "id", "left_semi")  # a row for each of these and each language
     return x.select("publication_number", F.col("language").alias("swap_lang"), F.col("mentions").alias("parallel"), F.col("text").alias("parallel_text"))
 
 
@@ -200,7 +215,7 @@ def checked_cells(rows: DataFrame, linked: DataFrame, freq: DataFrame, aliases:
     provide fills ``swap_term`` of the picked cells; without it, provide_terms does. For judge and back see verify.
     """
     grid = cells(with_positions(rows), cfg)
-    picked = pick_mentions(grid, freq, parallel_rows(linked), cfg)
+    picked = pick_mentions(grid, freq, parallel_rows(linked, rows), cfg)
     words = pick_words(grid, cfg).withColumns({"parallel": F.lit(None).cast(picked.schema["parallel"].dataType), "parallel_text": F.lit(None).cast("string")})
     both = picked.unionByName(words)
     return verify(provide(both) if provide else provide_terms(both, aliases, lexicon, cfg), aliases, judge, back)

@@ -114,7 +114,7 @@ def build_variants(spark: SparkSession, p: Paths, cfg: Config = Config(), limit:
     """Stage 4: document variants; with a model, its terms and its checks."""
     concepts, linked = readers.read_concepts(spark, p.concepts), readers.read_linked(spark, p.linked)
     corpus = documents(spark, p.corpus)[0]
-    rows = variants.sample_rows(variants.qualifying_rows(linked, variants.available_languages(corpus), cfg), cfg, limit).join(corpus.select("id", *TEXT_FIELDS), "id")
+    rows = variants.with_fields(variants.sample_rows(linked, variants.available_languages(corpus), cfg, limit), corpus)
     lexicon = "lang string, word string, swap_lang string, term string"
     words = readers.read_jsonl(spark, p.lexicon, lexicon) if p.lexicon else spark.createDataFrame([], lexicon)
     checked = variants.checked_cells(rows, linked, instances.corpus_frequency(linked), ontology.aliases_of_slice(concepts), words, cfg, **(model.hooks() if model else {}))

@@ -277,6 +277,32 @@ def link(docs: DataFrame, aliases: DataFrame, cfg: Config = Config()) -> DataFra
     return link_exact(docs, invert(aliases, cfg), cfg)
 
 
+def changed_keys(old: DataFrame, new: DataFrame) -> DataFrame:
+    """(lang, key, chebi_id, reg_order) of the keys of two dictionaries that one lacks or that name other concepts, or in another order."""
+    lists = lambda d, name: d.groupBy("lang", "key").agg(F.sort_array(F.collect_list(F.struct("reg_order", "chebi_id"))).alias(name))
+    both = lists(old, "a").join(lists(new, "b"), ["lang", "key"], "full").where(~F.col("a").eqNullSafe(F.col("b")))
+    return both.select("lang", "key", F.coalesce("b", "a")[0]["chebi_id"].alias("chebi_id"), F.lit(1).alias("reg_order"))
+
+
+def mentioned_by_row(linked: DataFrame) -> DataFrame:
+    """(row, ids): the distinct concepts of each row that has some."""
+    return linked.where(F.size("mentions") > 0).select("row", F.array_distinct("mentions.chebi_id").alias("ids"))
+
+
+def mentioned_again(docs: DataFrame, known: DataFrame, old: DataFrame, new: DataFrame, cfg: Config = Config()) -> DataFrame:
+    """(row, ids, fresh): mentioned_by_row under the dictionary new, of docs (row, ...), from what is known under old.
+
+    Only a row with some match of a key that has changed can have other mentions than before, so
+    the texts are looked through for those keys alone, and linked anew where one is found; both
+    happen while a text is read once. fresh tells which rows were. A row linked anew and left
+    without mentions is there with no ids.
+    """
+    touched = with_a_key(docs, changed_keys(old, new), cfg)
+    fresh = link_exact(touched, new, cfg).select("row", F.array_distinct("mentions.chebi_id").alias("ids"), F.lit(True).alias("fresh"))
+    kept = known.select("row", F.col("ids").alias("had")).join(fresh, "row", "full")
+    return kept.select("row", F.coalesce("ids", "had").alias("ids"), F.coalesce("fresh", F.lit(False)).alias("fresh"))
+
+
 def primary_concept(mentions: str = "mentions"):
     """The most frequent concept of a document, the first to appear among those; null without mentions."""
     ids = F.transform(F.col(mentions), lambda m: m["chebi_id"])

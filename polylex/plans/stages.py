@@ -5,6 +5,7 @@ from __future__ import annotations
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from ..functions.text import nfc
 from ..functions import text as tx
@@ -50,32 +51,40 @@ def documents(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:
     return rows, rows.select("id", "publication_number", "language", tx.corpus_text().alias("text"))
 
 
+def _saved(spark: SparkSession, df: DataFrame, path: str) -> DataFrame:
+    sinks.write_parquet(df, path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
+def _ids(by_row: DataFrame) -> DataFrame:
+    return by_row.select(F.explode("ids").alias("chebi_id")).distinct()
+
+
 def build_graph(spark: SparkSession, p: Paths, cfg: Config = Config(), lookup: crosswalk.Lookup | None = None) -> None:
     """Stage 1: the concepts that the corpus mentions, with aliases and neighbors.
 
-    With titles, from a table or a lookup, the corpus is linked twice: titles of the concepts
-    first found are aliases too, and the concepts found with them are those of the graph.
+    With titles, from a table or a lookup, titles of the concepts first found are aliases too,
+    and the concepts found with them are those of the graph. For that, only documents in which a
+    key stands that is new or names other concepts now are linked again.
     """
     tsv = lambda n: readers.read_tsv(spark, f"{p.raw}/{n}.tsv.gz")
     terms = readers.read_obo(spark, f"{p.raw}/chebi.obo")
     nodes = ontology.merge_nodes(terms, ontology.parse_compounds(tsv("compounds")), ontology.parse_structures(tsv("structures")), ontology.parse_chemical_data(tsv("chemical_data")))
     edges = ontology.is_a_edges(terms).unionByName(ontology.parse_relations(tsv("relation"), tsv("relation_type")))
     aliases = ontology.parse_names(tsv("names"))
-    docs = documents(spark, p.corpus)[1]
-
-    def mentions(names: DataFrame, step: str) -> DataFrame:
-        path = f"{p.out}/{step}.parquet"
-        sinks.write_parquet(linking.mentioned_ids(linking.link(docs, names, cfg)), path)
-        return spark.read.schema("chebi_id string").parquet(path)
+    docs = _saved(spark, documents(spark, p.corpus)[1].withColumn("row", F.monotonically_increasing_id()), f"{p.out}/documents.parquet")
 
     def titled(ids: DataFrame) -> DataFrame:
         return crosswalk.crosswalk(ids, lookup, p.titles_cache) if lookup else readers.read_titles(spark, p.titles).join(ids, "chebi_id", "left_semi")
 
-    mentioned, titles, combined = mentions(aliases, "mentioned"), None, aliases
+    dictionary = _saved(spark, linking.invert(aliases, cfg), f"{p.out}/dictionary.parquet")
+    known = _saved(spark, linking.mentioned_by_row(linking.link_exact(docs, dictionary, cfg)), f"{p.out}/mentioned.parquet")
+    mentioned, titles, combined = _ids(known), None, aliases
     if p.titles or lookup:
-        again = mentions(ontology.aliases_combined(aliases, titled(mentioned)), "mentioned_again")
-        titles = titled(mentioned.unionByName(again).distinct())  # a lookup is asked for the new ones only
-        mentioned, combined = again, ontology.aliases_combined(aliases, titles)
+        wider = _saved(spark, linking.invert(ontology.aliases_combined(aliases, titled(mentioned)), cfg), f"{p.out}/dictionary_again.parquet")
+        again = _saved(spark, linking.mentioned_again(docs, known, dictionary, wider, cfg), f"{p.out}/mentioned_again.parquet")
+        titles = titled(mentioned.unionByName(_ids(again)).distinct())  # a lookup is asked for the new ones only
+        mentioned, combined = _ids(again), ontology.aliases_combined(aliases, titles)
     sinks.write_parquet(ontology.concept_slice(nodes, edges, aliases, combined, mentioned, titles).orderBy("chebi_id"), p.concepts)
 
 

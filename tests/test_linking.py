@@ -140,3 +140,22 @@ print([tuple(m) for r in linking.link(docs, names).collect() for m in r.mentions
     env = {k: v for k, v in os.environ.items() if k != "PYTHONPATH"}
     done = subprocess.run([sys.executable, "-c", code], cwd=tmp_path, env=env, capture_output=True, text=True, timeout=180)
     assert "[('lead', 2, 6, 'C1')]" in done.stdout, done.stderr[-2000:]
+
+
+def test_linking_again_for_changed_keys_only(spark):
+    """As linking everything anew, and few rows are."""
+    rng = random.Random(6)
+    words = [f"w{k}" for k in range(60)]
+    docs = [(k, str(k), "en", " ".join(rng.choice(words) for _ in range(12))) for k in range(200)]
+    d = spark.createDataFrame(docs, "row long, id string, language string, text string")
+    base = [("C1", "w1"), ("C2", "w2"), ("C3", "w2"), ("C4", "w3 w4"), ("C5", "w5"), ("C6", "w6 w7")]
+    more = [*base, ("C7", "w4"), ("C7", "w8 w9"), ("C8", "w5"), ("C9", "w1 w2")]
+    less = [x for x in more if x[1] != "w6 w7"]
+    dictionary = lambda rows: linking.invert(spark.createDataFrame([(c, "en", k, x) for k, (c, x) in enumerate(rows)], "chebi_id string, lang string, pos long, alias string"), linking.Config(min_alias_len=2))
+    known = linking.mentioned_by_row(linking.link_exact(d, dictionary(base)))
+    for new in (more, less, base):
+        got = {r.row: (sorted(r.ids), r.fresh) for r in linking.mentioned_again(d, known, dictionary(base), dictionary(new)).collect()}
+        want = {r.row: sorted(r.ids) for r in linking.mentioned_by_row(linking.link_exact(d, dictionary(new))).collect()}
+        assert {k: v for k, (v, _) in got.items() if v} == want
+        assert sum(f for _, f in got.values()) < 150 and (new != base or not any(f for _, f in got.values()))
+    assert {r.key for r in linking.changed_keys(dictionary(base), dictionary(less)).collect()} == {"w4", "w8 w9", "w5", "w1 w2", "w6 w7"}

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from . import fixtures as fx
 from . import oracles
 from .functions import text as tx
-from .operators import crosswalk, instances, linking, ontology, providers, variants
+from .operators import crosswalk, instances, linking, nouns, ontology, providers, sentences, variants
 from .schema import Config
 from .shared import shared_root
 from .sources import readers, sinks
@@ -336,13 +336,14 @@ class _Bench2:
         self.rows = variants.qualifying_rows(self.x.linked, langs)
         self.sample = variants.with_fields(variants.sample_rows(self.x.linked, langs), self.x.corpus)
         self.freq = instances.corpus_frequency(self.x.linked)
+        self.abbreviations = sentences.abbreviations(self.x.docs)
 
     def grid(self) -> DataFrame:
-        return variants.cells(variants.with_positions(self.sample))
+        return variants.cells(variants.with_positions(self.sample, self.abbreviations))
 
     def checked(self) -> DataFrame:
         g = self.x.graph
-        return variants.checked_cells(self.sample, self.x.linked, self.freq, g.combined, fx.lexicon(self.x.docs))
+        return variants.checked_cells(self.sample, self.x.linked, self.freq, g.combined, fx.lexicon(self.x.docs), abbreviations=self.abbreviations, nouns=nouns.noun_words(self.x.docs))
 
 
 @_query
@@ -357,15 +358,36 @@ def source_sample(spark: SparkSession, sf: str) -> DataFrame:
 
 @_query
 def positions(spark: SparkSession, sf: str) -> DataFrame:
-    x = variants.with_positions(fx.corpus(spark, sf))
+    rows = fx.corpus(spark, sf)
+    x = variants.with_positions(rows, sentences.abbreviations(fx.documents(rows)))
     b = F.get("ranges.body", F.lit(0))
     return x.select("id", F.col("ranges.title.start").alias("title_start"), F.col("ranges.title.end").alias("title_end"), F.col("ranges.first_sentence.start").alias("first_start"), F.col("ranges.first_sentence.end").alias("first_end"), b["start"].alias("body_start"), b["end"].alias("body_end"))
 
 
+@_query
+def abbreviations(spark: SparkSession, sf: str) -> DataFrame:
+    """The words that the corpus shows to be abbreviations, by language."""
+    return sentences.abbreviations(fx.documents(fx.corpus(spark, sf)))
+
+
+@_query
+def noun_words(spark: SparkSession, sf: str) -> DataFrame:
+    """The words that the corpus uses as nouns, by language."""
+    return nouns.noun_words(fx.documents(fx.corpus(spark, sf)))
+
+
+@_query
+def first_sentences(spark: SparkSession, sf: str) -> DataFrame:
+    """The first sentence of every whole text."""
+    docs = fx.documents(fx.corpus(spark, sf))
+    end = sentences.first_sentence_end(F.col("text"), F.col("language"), sentences.abbreviations(docs))
+    return docs.withColumn("end", end).select("id", "end", F.md5(F.substr("text", F.lit(1), F.col("end"))).alias("sentence_md5"))
+
+
 @_query
 def mention_positions(spark: SparkSession, sf: str) -> DataFrame:
     x = fx.Linked.of(spark, sf)
-    m = variants.with_positions(x.corpus).select("id", "ranges").join(linking.flat(x.linked), "id")
+    m = variants.with_positions(x.corpus, sentences.abbreviations(x.docs)).select("id", "ranges").join(linking.flat(x.linked), "id")
     return m.select("id", "start", "chebi_id", variants.position_of(F.col("start"), F.col("ranges")).alias("position"))
 
 

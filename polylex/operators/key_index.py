@@ -154,6 +154,11 @@ class Index:
     def find(self, sought: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         return self._find(sought, self.hash, self.seen)
 
+    def has(self, lang: str, key: str) -> bool:
+        """Whether a key is there."""
+        some, at = self.find(key_hashes([lang], [key], self.salt)[0])
+        return bool(len(some)) and self.entry(int(at[0]))[0] == key
+
     def find_head(self, sought: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         return self._find(sought, self.head, self.head_seen)
 

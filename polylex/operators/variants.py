@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 
 from ..functions import text as tx
 from ..schema import POSITIONS, VARIANT, Config
+from . import sentences
 
 
 def available_languages(corpus: DataFrame) -> DataFrame:
@@ -51,14 +52,22 @@ def with_fields(sample: DataFrame, corpus: DataFrame) -> DataFrame:
     return corpus.select("id", *tx.TEXT_FIELDS).join(F.broadcast(sample), "id")  # bench2_target rows at most
 
 
-def with_positions(rows: DataFrame) -> DataFrame:
-    """rows with ``ranges``: title, first sentence and body within the joined text (start, end; null where there is none)."""
+def with_positions(rows: DataFrame, abbreviations: DataFrame | None = None) -> DataFrame:
+    """rows with ``ranges``: title, first sentence and body within the joined text (start, end; null where there is none).
+
+    With abbreviations (sentences.abbreviations of the corpus), sentences end by what they show; without, at the first mark.
+    """
     span = tx.field_spans()
     given = lambda f: F.coalesce(F.col(f), F.lit(""))
     full = lambda f: F.trim(given(f), F.lit(" \n\t\r")) != ""
     none = F.lit(None).cast("struct<start:int,end:int>")
     piece = lambda a, z: F.struct(a.cast("int").alias("start"), z.cast("int").alias("end"))
-    sentence = lambda f: piece(span[f]["start"], span[f]["start"] + F.length(tx.first_sentence(given(f))))
+    if abbreviations is None:
+        sentence = lambda f: piece(span[f]["start"], span[f]["start"] + F.length(tx.first_sentence(given(f))))
+    else:
+        lead = F.when(full("abstract"), F.col("abstract")).otherwise(given("description"))
+        rows = rows.withColumn("__end", sentences.first_sentence_end(lead, F.col("language"), abbreviations))
+        sentence = lambda f: piece(span[f]["start"], span[f]["start"] + F.col("__end"))
     first = F.when(full("abstract"), sentence("abstract")).when(full("description"), sentence("description")).otherwise(none)
     x = rows.withColumn("__fs", first)
     fs = F.col("__fs")
@@ -70,7 +79,7 @@ def with_positions(rows: DataFrame) -> DataFrame:
 
     bodies = F.filter(F.array(*(body(f) for f in ("description", "first_claim", "context"))), lambda r: r["end"] > r["start"])
     ranges = F.struct(F.when(full("title"), piece(span["title"]["start"], span["title"]["end"])).otherwise(none).alias("title"), fs.alias("first_sentence"), bodies.alias("body"))
-    return x.withColumn("ranges", ranges).drop("__fs")
+    return x.withColumn("ranges", ranges).drop("__fs", "__end")
 
 
 def position_of(offset: Column, ranges: Column) -> Column:
@@ -126,10 +135,13 @@ def word_spans(rows: DataFrame) -> DataFrame:
     return x.where(F.col("w").rlike(r"^\p{L}{4,}$")).select("id", "w", "start", "end")
 
 
-def pick_words(cell: DataFrame, cfg: Config = Config()) -> DataFrame:
-    """Cells of E with a word of the body that no mention touches."""
+def pick_words(cell: DataFrame, cfg: Config = Config(), nouns: DataFrame | None = None) -> DataFrame:
+    """Cells of E with a word of the body that no mention touches; with nouns (nouns.noun_words of the corpus), one of those."""
     x = cell.where("variant = 'E_control_nonchem'")
-    t = word_spans(x.select("id", "text")).join(x.select("id", "mentions", "ranges"), "id")
+    t = word_spans(x.select("id", "text")).join(x.select("id", "language", "mentions", "ranges"), "id")
+    if nouns is not None:
+        known = nouns.select(F.col("lang").alias("language"), F.col("word").alias("__noun"))
+        t = t.withColumn("__noun", F.lower("w")).join(known, ["language", "__noun"], "left_semi")
     inside = F.exists("ranges.body", lambda r: (r["start"] <= F.col("start")) & (F.col("end") <= r["end"]))
     touched = F.exists("mentions", lambda m: (F.col("start") < m["end"]) & (F.col("end") > m["start"]))
     t = t.where(inside & ~touched).withColumn("k", tx.md5_key(cfg.seed, "noun", F.col("id"), F.col("start")))
@@ -209,14 +221,14 @@ def verify(filled: DataFrame, aliases: DataFrame, judge: Hook | None = None, bac
     return x.withColumn("round_trip_flag", flag).drop("__same")
 
 
-def checked_cells(rows: DataFrame, linked: DataFrame, freq: DataFrame, aliases: DataFrame, lexicon: DataFrame, cfg: Config = Config(), provide: Hook | None = None, judge: Hook | None = None, back: Hook | None = None) -> DataFrame:
-    """All cells of the source rows (with fields and l_avail), provided and verified.
+def checked_cells(rows: DataFrame, linked: DataFrame, freq: DataFrame, aliases: DataFrame, lexicon: DataFrame, cfg: Config = Config(), provide: Hook | None = None, judge: Hook | None = None, back: Hook | None = None, abbreviations: DataFrame | None = None, nouns: DataFrame | None = None) -> DataFrame:
+    """All cells of the source rows (with fields and l_avail), provided and verified; for abbreviations see with_positions, for nouns pick_words.
 
     provide fills ``swap_term`` of the picked cells; without it, provide_terms does. For judge and back see verify.
     """
-    grid = cells(with_positions(rows), cfg)
+    grid = cells(with_positions(rows, abbreviations), cfg)
     picked = pick_mentions(grid, freq, parallel_rows(linked, rows), cfg)
-    words = pick_words(grid, cfg).withColumns({"parallel": F.lit(None).cast(picked.schema["parallel"].dataType), "parallel_text": F.lit(None).cast("string")})
+    words = pick_words(grid, cfg, nouns).withColumns({"parallel": F.lit(None).cast(picked.schema["parallel"].dataType), "parallel_text": F.lit(None).cast("string")})
     both = picked.unionByName(words)
     return verify(provide(both) if provide else provide_terms(both, aliases, lexicon, cfg), aliases, judge, back)
 

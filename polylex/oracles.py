@@ -6,6 +6,8 @@ import re
 
 from . import fixtures as fx
 from .functions.text import ROLE_BUCKETS
+from .operators import nouns as nw
+from .operators import sentences as sn
 from .operators.providers import RULES
 from .schema import RELATIONS, Config
 
@@ -43,6 +45,22 @@ _NEAR = {
     "parent_hydride_family": "SELECT DISTINCT a.src AS chebi_id, b.src AS neighbor FROM edges a JOIN edges b ON a.dst = b.dst AND a.src <> b.src WHERE a.rel = 'has_parent_hydride' AND b.rel = 'has_parent_hydride'",
 }
 
+def _ends(table: str) -> str:
+    """(id, fe): where the first sentence of each text of a step (id, language, text) ends."""
+    closers = sn.CLOSERS.replace("'", "''").replace("]", r"\]")
+    marks = f"[{sn.MARKS}{sn.WIDE}]+[{closers}]*"
+    return rf"""SELECT t.id, coalesce(min(CASE WHEN m = chr(10) THEN e - 1 ELSE e END) FILTER (WHERE CASE
+            WHEN m = chr(10) THEN regexp_matches(substring(t.text, 1, (e - 1)::INT), '\S') WHEN m IS NULL OR m = '' THEN false WHEN regexp_matches(m, '[{sn.WIDE}]') THEN true
+            WHEN e < length(t.text) AND NOT regexp_matches(substring(t.text, e::INT + 1, 1), '\s') THEN false
+            WHEN regexp_matches(ltrim(substring(t.text, e::INT + 1, 64), e' \n\t\r'), '^\p{{Ll}}') THEN false
+            WHEN m LIKE '.%' AND m NOT LIKE '..%' AND (regexp_matches(w, '^\p{{Lu}}$') OR (t.language, lower(w)) IN (SELECT (lang, word) FROM abbr)) THEN false ELSE true END), max(length(t.text))) AS fe
+        FROM {table} t LEFT JOIN (SELECT id, m, e, regexp_extract(substring(text, greatest(1, e - length(m) - 63)::INT, least(64, e - length(m))::INT), '\p{{L}}+(?:\.\p{{L}}+)*$') AS w FROM (
+            SELECT id, text, regexp_extract(c, '(?:{marks}|\n)$') AS m, sum(length(c)) OVER (PARTITION BY id ORDER BY i) AS e FROM (
+            SELECT id, text, unnest(p) AS c, generate_subscripts(p, 1) AS i FROM (SELECT id, text, regexp_extract_all(text, '[^{sn.MARKS}{sn.WIDE}\n]*(?:{marks}|\n|$)') AS p FROM {table})))) c ON c.id = t.id GROUP BY t.id"""
+
+
+_LED = " OR ".join(f"lang = '{lang}' AND a IN ({', '.join(repr(w) for w in ws)})" for lang, ws in nw.DETERMINERS.items())
+
 #: Named steps; each statement takes those that it needs, in this order.
 STEPS = {
     "corpus": "SELECT concat_ws('_', (doc_id // 4)::VARCHAR, lang, doc_id::VARCHAR) AS id, lang AS language, (doc_id // 4)::VARCHAR AS publication_number, a[1] AS title, coalesce(a[2], '') AS abstract, coalesce(array_to_string(a[3:], chr(10)), '') AS description FROM (SELECT *, string_split(coalesce(text, ''), chr(10)) AS a FROM documents)",
@@ -93,10 +111,16 @@ STEPS = {
     "made": "SELECT g.chebi_id, g.gold_language, g.gold_id FROM chosen c JOIN slice s USING (chebi_id) JOIN gold g USING (chebi_id) WHERE c.chebi_id IN (SELECT chebi_id FROM negs)",
     "srcrows": rf"SELECT d.id, d.publication_number, d.language, d.text, l.l_avail, len(list_filter(regexp_split_to_array(d.text, '\s+'), lambda x: x <> '')) AS tokens FROM docs d JOIN l_avail l USING (publication_number) WHERE d.id IN (SELECT id FROM mentions) AND len(list_filter(regexp_split_to_array(d.text, '\s+'), lambda x: x <> '')) >= {_CFG.min_tokens}",
     "sample": f"SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY publication_number ORDER BY md5(concat_ws('|', '{_S}', 'row', id)), id) AS n FROM srcrows) WHERE n = 1 ORDER BY CASE WHEN len(l_avail) IN (2, 3) THEN 0 ELSE 1 END, md5(concat_ws('|', '{_S}', 'pub', publication_number)), publication_number LIMIT {_CFG.bench2_target}",
+    "marked": rf"""SELECT id, language, regexp_replace(regexp_replace(regexp_replace(text, '{sn.INNER}', '\1' || chr(2) || '\2', 'g'), '{sn.INNER}', '\1' || chr(2) || '\2', 'g'), '{sn.ON}', '\1' || chr(1) || '\2', 'g') AS text FROM docs""",
+    "abbr": rf"""SELECT lang, word FROM (SELECT language AS lang, replace(lower(regexp_replace(t, '[.\x01]$', '')), chr(2), '.') AS word, count(*) AS n, count(*) FILTER (WHERE regexp_matches(t, '[.\x01]$')) AS dots, count(*) FILTER (WHERE regexp_matches(t, '\x01$')) AS goes_on
+        FROM (SELECT language, unnest(regexp_extract_all(text, '[\p{{L}}\x02]+[.\x01]?')) AS t FROM marked) GROUP BY ALL) WHERE word <> '' AND dots >= {sn.LEAST} AND 100 * dots >= {sn.SHARE} * n AND 2 * goes_on >= dots""",
+    "docends": _ends("docs"),
+    "leads": r"SELECT id, language, CASE WHEN trim(abstract, e' \n\t\r') <> '' THEN abstract ELSE description END AS text FROM corpus",
+    "leadends": _ends("leads"),
     "posn": r"""SELECT id, CASE WHEN trim(title, e' \n\t\r') <> '' THEN 0 END AS t0, CASE WHEN trim(title, e' \n\t\r') <> '' THEN length(title) END AS t1, f0, f1,
         CASE WHEN f0 IS NOT NULL AND f0 >= d0 AND f0 < d1 THEN f1 ELSE d0 END AS b0, d1 AS b1 FROM (
-        SELECT *, CASE WHEN a_ok THEN a0 WHEN d_ok THEN d0 END AS f0, CASE WHEN a_ok THEN a0 + length(regexp_extract(abstract, '(?s)^[^.!?。！？]*[.!?。！？]?')) WHEN d_ok THEN d0 + length(regexp_extract(description, '(?s)^[^.!?。！？]*[.!?。！？]?')) END AS f1 FROM (
-        SELECT *, length(title) + 1 AS a0, length(title) + length(abstract) + 2 AS d0, length(title) + length(abstract) + 2 + length(description) AS d1, trim(abstract, e' \n\t\r') <> '' AS a_ok, trim(description, e' \n\t\r') <> '' AS d_ok FROM corpus))""",
+        SELECT *, CASE WHEN a_ok THEN a0 WHEN d_ok THEN d0 END AS f0, CASE WHEN a_ok THEN a0 + fe WHEN d_ok THEN d0 + fe END AS f1 FROM (
+        SELECT *, length(title) + 1 AS a0, length(title) + length(abstract) + 2 AS d0, length(title) + length(abstract) + 2 + length(description) AS d1, trim(abstract, e' \n\t\r') <> '' AS a_ok, trim(description, e' \n\t\r') <> '' AS d_ok FROM corpus JOIN leadends USING (id)))""",
     "placed": "SELECT m.*, CASE WHEN m.\"start\" >= t0 AND m.\"start\" < t1 THEN 'title' WHEN m.\"start\" >= f0 AND m.\"start\" < f1 THEN 'first_sentence' WHEN b1 > b0 AND m.\"start\" >= b0 AND m.\"start\" < b1 THEN 'body' END AS position FROM mentions m JOIN posn p USING (id)",
     "grid": f"""SELECT *, CASE variant WHEN 'B_in_set' THEN ins WHEN 'C_out_of_set' THEN outs WHEN 'D_noisy' THEN language ELSE CASE control_style WHEN 'in_set' THEN ins ELSE outs END END AS swap_lang FROM (
         SELECT *, CASE WHEN variant = 'E_control_nonchem' THEN CASE WHEN ins IS NULL THEN 'out_of_set' WHEN outs IS NULL THEN 'in_set' WHEN md5(concat_ws('|', '{_S}', 'style', id, 'in_set')) < md5(concat_ws('|', '{_S}', 'style', id, 'out_of_set')) THEN 'in_set' ELSE 'out_of_set' END END AS control_style FROM (
@@ -116,7 +140,8 @@ STEPS = {
         unnest([left(original_term, h) || '-' || substring(original_term, h + 1), CASE WHEN regexp_matches(original_term, '(?i)[aeiou]') THEN v || substring(original_term, length(v) + 2) END, left(original_term, h - 1) || substring(original_term, h + 1, 1) || substring(original_term, h, 1) || substring(original_term, h + 2)]) AS x)
         WHERE x IS NOT NULL AND lower(x) <> lower(original_term)) AS swap_term FROM (SELECT *, length(original_term) // 2 AS h, regexp_extract(original_term, '(?i)^([^aeiou]*)([aeiou])', 1) AS v FROM picked WHERE variant = 'D_noisy')""",
     "toks": r"SELECT id, w, e - length(w) AS s, e FROM (SELECT id, w, sum(length(w)) OVER (PARTITION BY id ORDER BY i) AS e FROM (SELECT id, unnest(p) AS w, generate_subscripts(p, 1) AS i FROM (SELECT id, regexp_extract_all(text, '[\p{L}]+|[^\p{L}]+') AS p FROM sample))) WHERE regexp_matches(w, '^\p{L}{4,}$')",
-    "noun": f"SELECT id, arg_min(struct_pack(w := w, s := s, e := e), md5(concat_ws('|', '{_S}', 'noun', id, s))) AS t FROM toks k JOIN posn p USING (id) WHERE b1 > b0 AND s >= b0 AND e <= b1 AND NOT EXISTS (SELECT 1 FROM mentions m WHERE m.id = k.id AND k.s < m.\"end\" AND k.e > m.\"start\") GROUP BY id",
+    "nounwords": rf"SELECT lang, word FROM (SELECT lang, word, count(*) AS n, count(*) FILTER (WHERE {_LED}) AS after FROM (SELECT lang, p[1] AS a, p[2] AS word FROM (SELECT language AS lang, unnest(list_zip(w[1:len(w) - 1], w[2:])) AS p FROM (SELECT language, list_transform(regexp_extract_all(text, '\p{{L}}+'), lambda x: lower(x)) AS w FROM docs) WHERE len(w) > 1)) WHERE length(word) >= {nw.LETTERS} GROUP BY lang, word) WHERE after >= {nw.LEAST} AND 100 * after >= {nw.SHARE} * n",
+    "noun": f"SELECT id, arg_min(struct_pack(w := w, s := s, e := e), md5(concat_ws('|', '{_S}', 'noun', id, s))) AS t FROM toks k JOIN posn p USING (id) JOIN docs l USING (id) JOIN nounwords x ON x.lang = l.language AND x.word = lower(k.w) WHERE b1 > b0 AND s >= b0 AND e <= b1 AND NOT EXISTS (SELECT 1 FROM mentions m WHERE m.id = k.id AND k.s < m.\"end\" AND k.e > m.\"start\") GROUP BY id",
     "nouns": "SELECT g.id, g.publication_number, g.l_avail, g.language, g.text, g.variant, g.position, g.swap_lang, t.w AS original_term, t.s::INT AS s, t.e::INT AS e, NULL::VARCHAR AS chebi_id, false AS fallback_flag, reverse(lower(t.w)) || g.swap_lang AS swap_term FROM grid g LEFT JOIN noun USING (id) WHERE variant = 'E_control_nonchem'",
     "allc": "SELECT id, l_avail, language, text, variant, position, swap_lang, original_term, s, e, chebi_id, fallback_flag, swap_term FROM bc UNION ALL SELECT id, l_avail, language, text, variant, position, swap_lang, original_term, s, e, chebi_id, fallback_flag, swap_term FROM noise UNION ALL SELECT id, l_avail, language, text, variant, position, swap_lang, original_term, s, e, chebi_id, fallback_flag, swap_term FROM nouns",
     "bcv": r"""SELECT *, CASE WHEN original_term IS NULL THEN 'no_mention' WHEN swap_term IS NULL THEN 'no_term' WHEN length(trim(swap_term)) < 3 THEN 'swap_term_unusable' WHEN lower(swap_term) = lower(original_term) THEN 'swap_equals_original'
@@ -205,6 +230,9 @@ SELECTS = {
     "bench1_summary": f"SELECT (SELECT count(*) FROM made) AS instances_written, (SELECT count(*) FROM qual) AS qualifying_concepts, (SELECT count(*) FROM chosen) AS sampled, {_CFG.bench1_target}::INT AS sample_target, {_S}::INT AS seed, {_tally('SELECT relation AS k FROM negs WHERE chebi_id IN (SELECT chebi_id FROM made)')} AS relation_counts, {_tally('SELECT gold_language AS k FROM made')} AS gold_doc_languages, {_tally('SELECT language AS k FROM negs WHERE chebi_id IN (SELECT chebi_id FROM made)')} AS negative_doc_languages",
     "source_rows": "SELECT id, publication_number, array_to_string(l_avail, ',') AS langs, tokens::INT AS tokens FROM srcrows",
     "source_sample": "SELECT id, publication_number, language FROM sample",
+    "noun_words": "SELECT lang, word FROM nounwords",
+    "abbreviations": "SELECT lang, word FROM abbr",
+    "first_sentences": "SELECT d.id, s.fe::INT AS \"end\", md5(substring(d.text, 1, s.fe::INT)) AS sentence_md5 FROM docs d JOIN docends s USING (id)",
     "positions": "SELECT id, t0::INT AS title_start, t1::INT AS title_end, f0::INT AS first_start, f1::INT AS first_end, CASE WHEN b1 > b0 THEN b0 END::INT AS body_start, CASE WHEN b1 > b0 THEN b1 END::INT AS body_end FROM posn",
     "mention_positions": 'SELECT id, "start", chebi_id, position FROM placed',
     "variant_cells": "SELECT id, variant, position, swap_lang, control_style FROM grid",

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from ..functions.text import nfc
 from ..functions import text as tx
-from ..operators import crosswalk, instances, linking, ontology, providers, variants
+from ..operators import crosswalk, instances, linking, nouns, ontology, providers, sentences, variants
 from ..schema import TEXT_FIELDS, Config
 from ..sources import readers, sinks
 
@@ -126,7 +126,7 @@ def build_variants(spark: SparkSession, p: Paths, cfg: Config = Config(), limit:
     rows = variants.with_fields(variants.sample_rows(linked, variants.available_languages(corpus), cfg, limit), corpus)
     lexicon = "lang string, word string, swap_lang string, term string"
     words = readers.read_jsonl(spark, p.lexicon, lexicon) if p.lexicon else spark.createDataFrame([], lexicon)
-    checked = variants.checked_cells(rows, linked, instances.corpus_frequency(linked), ontology.aliases_of_slice(concepts), words, cfg, **(model.hooks() if model else {}))
+    checked = variants.checked_cells(rows, linked, instances.corpus_frequency(linked), ontology.aliases_of_slice(concepts), words, cfg, **(model.hooks() if model else {}), abbreviations=sentences.abbreviations(linked), nouns=nouns.noun_words(linked))
     n = sinks.write_jsonl(variants.variants(rows, checked), p.variants)
     variants.outcome_counts(checked).coalesce(1).write.mode("overwrite").json(f"{p.out}/idea2/run_summary.json")
     return n

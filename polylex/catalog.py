@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from . import fixtures as fx
 from . import oracles
 from .functions import text as tx
-from .operators import crosswalk, instances, linking, nouns, ontology, providers, sentences, variants
+from .operators import crosswalk, instances, linking, memberships, nouns, ontology, providers, sentences, variants
 from .schema import Config
 from .shared import shared_root
 from .sources import readers, sinks
@@ -224,6 +224,14 @@ _near("hydride_family", lambda g: ontology.parent_hydride_family(g.edges))
 _near("all_neighbors", lambda g: ontology.all_neighbors(ontology.neighbors(g.nodes, g.edges)))
 
 
+@_query
+def neighbor_counts(spark: SparkSession, sf: str) -> DataFrame:
+    """Distinct neighbors in the corpus of each concept in it, from memberships alone."""
+    x = fx.Linked.of(spark, sf)
+    g = x.graph
+    return memberships.neighbor_counts(memberships.memberships(g.nodes, g.edges), memberships.links(g.edges), linking.mentioned_ids(x.linked), hub=32)
+
+
 @_query
 def linked_file(spark: SparkSession, sf: str) -> DataFrame:
     """Mentions, from the artifact of linked documents."""

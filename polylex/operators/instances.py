@@ -30,14 +30,19 @@ def corpus_frequency(linked: DataFrame) -> DataFrame:
     return linked.select(F.explode("mentions.chebi_id").alias("chebi_id")).groupBy("chebi_id").agg(F.count("*").alias("freq"))
 
 
-def qualifying_concepts(concepts: DataFrame, index: DataFrame) -> DataFrame:
-    """In two languages of the corpus, aliases in three, a neighbor in the corpus, two or three stars."""
+def qualifying_concepts(concepts: DataFrame, index: DataFrame, counts: DataFrame | None = None) -> DataFrame:
+    """In two languages of the corpus, aliases in three, a neighbor in the corpus, two or three stars.
+
+    counts (chebi_id, n) are the neighbors in the corpus (memberships.neighbor_counts); without them, the graph's lists are counted.
+    """
     langs = concept_languages(index)
     named = sum((F.when(F.size(F.col("aliases_combined")[x]) > 0, 1).otherwise(0) for x in LANGS), F.lit(0))
     x = concepts.where("chebi_star in (2, 3)").withColumn("alias_lang_count", named.cast("int")).where("alias_lang_count >= 3")
     x = x.join(langs.where("mention_langs >= 2"), "chebi_id")
-    near = neighbors_of_slice(concepts).select("chebi_id", "neighbor").distinct().join(langs.select(F.col("chebi_id").alias("neighbor")), "neighbor", "left_semi")
-    near = near.groupBy("chebi_id").agg(F.count("*").alias("neighbor_count_in_corpus"))
+    if counts is None:
+        near = neighbors_of_slice(concepts).select("chebi_id", "neighbor").distinct().join(langs.select(F.col("chebi_id").alias("neighbor")), "neighbor", "left_semi")
+        counts = near.groupBy("chebi_id").agg(F.count("*").alias("n"))
+    near = counts.withColumnRenamed("n", "neighbor_count_in_corpus")
     return x.join(near, "chebi_id").select("chebi_id", F.col("chebi_star").alias("star"), "alias_lang_count", F.col("mention_langs").alias("mention_lang_count"), "neighbor_count_in_corpus", coarse_type(F.col("roles"), F.col("formula")).alias("coarse"))
 
 
@@ -125,20 +130,23 @@ def payload(docs: DataFrame, concept: str = "chebi_id") -> F.Column:
     return F.struct("id", "publication_number", "language", "text", own.alias("mentions"))
 
 
-def instances(sample: DataFrame, concepts: DataFrame, linked: DataFrame, cfg: Config = Config()) -> DataFrame:
-    """The nested records; concepts without negatives are left out. Texts are joined last."""
+def instances(sample: DataFrame, concepts: DataFrame, linked: DataFrame, cfg: Config = Config(), near: DataFrame | None = None) -> DataFrame:
+    """The nested records; concepts without negatives are left out. Texts are joined last.
+
+    near (chebi_id, neighbor, relation, prio) has the sample's neighbors (memberships.neighbors_of); without it, the graph's lists are used.
+    """
     index = corpus_index(linked)
     chosen = F.broadcast(sample.select("chebi_id"))  # bench1_target rows at most
     gold = gold_documents(index.join(chosen, "chebi_id"), cfg)
-    negs = hard_negatives(negative_pool(gold, neighbors_of_slice(concepts).join(chosen, "chebi_id"), index, cfg), cfg)
+    negs = hard_negatives(negative_pool(gold, (neighbors_of_slice(concepts) if near is None else near).join(chosen, "chebi_id"), index, cfg), cfg)
     gold_doc = gold.join(linked.withColumnRenamed("id", "gold_id"), "gold_id").withColumnRenamed("gold_id", "id").select("chebi_id", "gold_language", payload(linked).alias("gold_document"))
     texts = negs.select("chebi_id", "rank", "neighbor", "relation", "id").join(linked, "id")
     own = F.filter("mentions", lambda m: m["chebi_id"] == F.col("neighbor"))
     record = F.struct("rank", "id", "publication_number", "language", "text", own.alias("mentions"), F.col("neighbor").alias("neighbor_chebi_id"), "relation")
     lists = texts.groupBy("chebi_id").agg(F.transform(F.array_sort(F.collect_list(record)), lambda r: r.dropFields("rank")).alias("hard_negative_documents"))
-    near = neighbor_concepts(negs, concepts).groupBy("chebi_id").agg(F.array_sort(F.collect_list(F.struct(F.col("neighbor").alias("chebi_id"), "chebi_name_en", "aliases_combined", "relation"))).alias("neighbor_concepts"))
+    beside = neighbor_concepts(negs, concepts).groupBy("chebi_id").agg(F.array_sort(F.collect_list(F.struct(F.col("neighbor").alias("chebi_id"), "chebi_name_en", "aliases_combined", "relation"))).alias("neighbor_concepts"))
     head = concepts.join(chosen, "chebi_id").select("chebi_id", "inchikey", F.col("aliases_combined").alias("multilingual_aliases"))
-    return head.join(gold_doc, "chebi_id").join(lists, "chebi_id").join(near, "chebi_id", "left").withColumn("neighbor_concepts", F.coalesce("neighbor_concepts", F.array())).orderBy("chebi_id")
+    return head.join(gold_doc, "chebi_id").join(lists, "chebi_id").join(beside, "chebi_id", "left").withColumn("neighbor_concepts", F.coalesce("neighbor_concepts", F.array())).orderBy("chebi_id")
 
 
 def summary(found: DataFrame, candidates: DataFrame, sample: DataFrame, cfg: Config = Config()) -> list[DataFrame]:

@@ -168,14 +168,14 @@ def _empty_lists() -> Column:
     return F.struct(*(F.array().cast("array<string>").alias(x) for x in LANGS))
 
 
-def concept_slice(nodes: DataFrame, edges: DataFrame, aliases: DataFrame, combined: DataFrame, mentioned: DataFrame, titles: DataFrame | None = None) -> DataFrame:
-    """The graph artifact: a row for each concept in mentioned (chebi_id), by left joins on the concept."""
+def concept_slice(nodes: DataFrame, edges: DataFrame, aliases: DataFrame, combined: DataFrame, mentioned: DataFrame, titles: DataFrame | None = None, lists: bool = True) -> DataFrame:
+    """The graph artifact: a row for each concept in mentioned (chebi_id), by left joins on the concept. Without lists, neighbors are left out (see memberships)."""
     spark = nodes.sparkSession
     of = mentioned.select("chebi_id").distinct()
     direct = edges.where("rel in ('is_a', 'has_role')").join(of.withColumnRenamed("chebi_id", "src"), "src", "left_semi")
-    lists = lambda rel: F.transform(F.array_sort(F.collect_list(F.when(F.col("rel") == rel, F.struct("pos", "dst")))), lambda s: s["dst"])
-    direct = direct.groupBy(F.col("src").alias("chebi_id")).agg(lists("is_a").alias("parents_isa"), lists("has_role").alias("roles"))
-    near = neighbors(nodes, edges, of).groupBy("chebi_id").agg(*(F.sort_array(F.collect_set(F.when(F.col("relation") == r, F.col("neighbor")))).alias(r) for r in RELATIONS))
+    ordered = lambda rel: F.transform(F.array_sort(F.collect_list(F.when(F.col("rel") == rel, F.struct("pos", "dst")))), lambda s: s["dst"])
+    direct = direct.groupBy(F.col("src").alias("chebi_id")).agg(ordered("is_a").alias("parents_isa"), ordered("has_role").alias("roles"))
+    near = neighbors(nodes, edges, of if lists else of.limit(0)).groupBy("chebi_id").agg(*(F.sort_array(F.collect_set(F.when(F.col("relation") == r, F.col("neighbor")))).alias(r) for r in RELATIONS))
     none = "chebi_id string, qid string, lang string, title string"
     t = (titles if titles is not None else spark.createDataFrame([], none)).groupBy("chebi_id").agg(F.min("qid").alias("wikidata_qid"), F.struct(*(F.min(F.when(F.col("lang") == x, F.col("title"))).alias(x) for x in LANGS)).alias("wikipedia_titles"))
     x = of.join(nodes, "chebi_id", "left")

@@ -203,6 +203,7 @@ SELECTS = {
     "request_keys": "SELECT item_id, sha256('{\"max_output_tokens\": 60, \"model\": \"m\", \"system\": \"s\", \"temperature\": 0.0, \"user\": ' || to_json(text) || '}') AS key FROM benchmark",
     "primary_concept": "SELECT id, primary_chebi_id FROM prim",
     "snippets": "SELECT p.id, md5(a.beside) AS snippet_md5 FROM prim p JOIN around a ON a.id = p.id AND a.chebi_id = p.primary_chebi_id",
+    "neighbor_counts": "SELECT chebi_id, count(DISTINCT neighbor) AS n FROM near WHERE chebi_id IN (SELECT chebi_id FROM mentions) AND neighbor IN (SELECT chebi_id FROM mentions) GROUP BY chebi_id",
     "linked_file": 'SELECT id, surface, "start", "end", chebi_id FROM mentions',
     "mentioned_ids": "SELECT DISTINCT chebi_id FROM mentions",
     "link_counts": "SELECT (SELECT count(*) FROM docs) AS documents, count(DISTINCT id) AS with_mentions, count(*) AS mentions FROM mentions",

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from ..functions.text import nfc
 from ..functions import text as tx
-from ..operators import crosswalk, instances, linking, nouns, ontology, providers, sentences, variants
+from ..operators import crosswalk, instances, linking, memberships, nouns, ontology, providers, sentences, variants
 from ..schema import TEXT_FIELDS, Config
 from ..sources import readers, sinks
 
@@ -32,6 +32,14 @@ class Paths:
     def concepts(self) -> str:
         return f"{self.out}/chebi_concepts.parquet"
 
+    @property
+    def memberships(self) -> str:
+        return f"{self.out}/memberships.parquet"
+
+    @property
+    def links(self) -> str:
+        return f"{self.out}/links.parquet"
+
     @property
     def linked(self) -> str:
         return f"{self.out}/documents_linked.parquet"
@@ -85,7 +93,10 @@ def build_graph(spark: SparkSession, p: Paths, cfg: Config = Config(), lookup: c
         again = _saved(spark, linking.mentioned_again(docs, known, dictionary, wider, cfg), f"{p.out}/mentioned_again.parquet")
         titles = titled(mentioned.unionByName(_ids(again)).distinct())  # a lookup is asked for the new ones only
         mentioned, combined = _ids(again), ontology.aliases_combined(aliases, titles)
-    sinks.write_parquet(ontology.concept_slice(nodes, edges, aliases, combined, mentioned, titles).orderBy("chebi_id"), p.concepts)
+    sinks.write_parquet(ontology.concept_slice(nodes, edges, aliases, combined, mentioned, titles, not cfg.memberships).orderBy("chebi_id"), p.concepts)
+    if cfg.memberships:
+        sinks.write_parquet(memberships.memberships(nodes, edges), p.memberships)
+        sinks.write_parquet(memberships.links(edges), p.links)
 
 
 def link_corpus(spark: SparkSession, p: Paths, cfg: Config = Config()) -> None:
@@ -97,9 +108,15 @@ def link_corpus(spark: SparkSession, p: Paths, cfg: Config = Config()) -> None:
 def build_instances(spark: SparkSession, p: Paths, cfg: Config = Config()) -> int:
     """Stage 3: concept instances with gold documents and hard negatives."""
     concepts, linked = readers.read_concepts(spark, p.concepts), readers.read_linked(spark, p.linked)
-    candidates = instances.qualifying_concepts(concepts, instances.corpus_index(linked))
+    index, counts, near = instances.corpus_index(linked), None, None
+    if cfg.memberships:
+        member, direct = spark.read.parquet(p.memberships), spark.read.parquet(p.links)
+        counts = memberships.neighbor_counts(member, direct, index.select("chebi_id"))
+    candidates = instances.qualifying_concepts(concepts, index, counts)
     sample = instances.balanced_sample(candidates, cfg)
-    found = instances.instances(sample, concepts, linked, cfg)
+    if cfg.memberships:
+        near = memberships.neighbors_of(member, direct, sample)
+    found = instances.instances(sample, concepts, linked, cfg, near)
     n = sinks.write_jsonl(found, p.instances)
     sinks.write_summary(instances.summary(readers.read_jsonl(spark, p.instances, found.schema), candidates, sample, cfg), f"{p.out}/idea1/run_summary.json")
     return n

@@ -28,6 +28,8 @@ class Config:
     freq_floor: int = 3
     #: The index of a dictionary is sorted and packed in parts of about so many keys.
     keys_in_part: int = 1 << 20
+    #: Keep memberships in groups beside the graph instead of lists of neighbors in it, for roles of very many concepts.
+    memberships: bool = False
 
 
 CORPUS = "id string, language string, " + ", ".join(f"{f} string" for f in TEXT_FIELDS) + ", publication_number string"

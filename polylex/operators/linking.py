@@ -304,10 +304,19 @@ def mentioned_again(docs: DataFrame, known: DataFrame, old: DataFrame, new: Data
 
 
 def primary_concept(mentions: str = "mentions"):
-    """The most frequent concept of a document, the first to appear among those; null without mentions."""
-    ids = F.transform(F.col(mentions), lambda m: m["chebi_id"])
-    scored = F.transform(F.array_distinct(ids), lambda c: F.struct(F.size(F.filter(ids, lambda x: x == c)).alias("n"), (-F.array_position(ids, c)).alias("p"), c.alias("c")))
-    return F.array_max(scored)["c"]
+    """The most frequent concept of a document, the first to appear among those; null without mentions. One walk over the sorted mentions."""
+    pairs = F.array_sort(F.transform(F.col(mentions), lambda m, i: F.struct(m["chebi_id"].alias("c"), i.alias("i"))))
+    none = F.lit(None).cast("string")
+    state = lambda c, n, p, best_n, best_p, best: F.struct(c.alias("c"), n.cast("int").alias("n"), p.cast("int").alias("p"), best_n.cast("int").alias("best_n"), best_p.cast("int").alias("best_p"), best.alias("best"))
+
+    def step(s: F.Column, x: F.Column) -> F.Column:
+        same = s["c"].eqNullSafe(x["c"])
+        n, p = F.when(same, s["n"] + 1).otherwise(1), F.when(same, s["p"]).otherwise(x["i"])
+        more = (n > s["best_n"]) | ((n == s["best_n"]) & (p < s["best_p"]))
+        return state(x["c"], n, p, F.when(more, n).otherwise(s["best_n"]), F.when(more, p).otherwise(s["best_p"]), F.when(more, x["c"]).otherwise(s["best"]))
+
+    zero = F.lit(0)
+    return F.aggregate(pairs, state(none, zero, zero, zero, zero, none), step, lambda s: s["best"])
 
 
 def linked_documents(linked: DataFrame) -> DataFrame:

@@ -3,69 +3,47 @@
 A lookup is a function from a list of bare concept numbers to rows (number, uri, url, lang). It
 runs on executors. Every concept that was asked leaves a record in the cache, one without a
 title too, so it is asked once; a batch that fails for good leaves none, and is asked again by
-the next run.
+the next run. Batches are committed in waves (sources/reply_log.py).
 """
 
 from __future__ import annotations
 
 import json
 import time
+import warnings
 from collections.abc import Callable, Iterator
 from urllib.error import HTTPError
 from urllib.parse import urlencode
 from urllib.request import Request, urlopen
 
 import pandas as pd
-from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.text import qid_short, title_from_url
 from ..schema import LANGS
 from ..shipping import ship
-from ..sources.sinks import append_jsonl
+from ..sources.reply_log import ReplyLog, ask_in_waves
+from .waits import Busy, patiently
 
 Lookup = Callable[[list[str]], list[tuple[str, str, str, str]]]
 RECORD = "chebi_id string, uri string, pages array<struct<lang:string,url:string>>"
 
 
-class Busy(Exception):
-    """The service asks to come back, in so many seconds if it says."""
+def _log(spark: SparkSession, cache_path: str) -> ReplyLog:
+    return ReplyLog(spark, cache_path, RECORD, "chebi_id")
 
-    def __init__(self, wait: float | None = None):
-        super().__init__("busy")
-        self.wait = wait
 
-
-def patiently(lookup: Lookup, numbers: list[str], tries: int, pause: Callable[[float], None]) -> list[tuple[str, str, str, str]] | None:
-    """What the lookup gives, after waits that double from 4 to 60 seconds where it fails; None after so many tries."""
-    for k in range(tries):
-        try:
-            return lookup(numbers)
-        except (Busy, OSError) as e:
-            wait = getattr(e, "wait", None)
-            pause(min(60, 2 ** (k + 2)) if wait is None else wait)
-    return None
-
-
-def _known(ids: DataFrame, cache_path: str) -> DataFrame:
-    spark = ids.sparkSession
-    try:
-        raw = spark.read.schema(RECORD).json(cache_path)
-    except AnalysisException:  # no cache yet
-        raw = spark.createDataFrame([], RECORD)
-    return raw.groupBy("chebi_id").agg(F.max(F.struct("uri", "pages")).alias("r")).select("chebi_id", "r.*")
-
-
-def complete(ids: DataFrame, lookup: Lookup, cache_path: str, batch: int = 50, tries: int = 7, tasks: int = 1, pause: Callable[[float], None] = time.sleep) -> None:
-    """Asks for the concepts of ids (chebi_id) that the cache lacks; at most so many tasks ask at a time."""
+def complete(ids: DataFrame, lookup: Lookup, cache_path: str, batch: int = 50, tries: int = 7, tasks: int = 1, wave: int = 20, pause: Callable[[float], None] = time.sleep) -> None:
+    """Asks for the concepts of ids (chebi_id) that the cache lacks; at most so many tasks ask at a time, and what wave batches of each bring is committed."""
     ship(ids.sparkSession)
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
             for a in range(0, len(pdf), batch):
                 asked = pdf["chebi_id"].iloc[a : a + batch].tolist()
-                rows = patiently(lookup, [x.split(":", 1)[-1] for x in asked], tries, pause)
+                own = [x.split(":", 1)[-1] for x in asked]
+                rows = patiently(lambda: lookup(own), tries, pause)  # noqa: B023
                 if rows is None:
                     continue
                 uri: dict[str, str] = {}
@@ -73,16 +51,16 @@ def complete(ids: DataFrame, lookup: Lookup, cache_path: str, batch: int = 50, t
                 for number, of, url, lang in rows:
                     uri[number] = of
                     pages.setdefault(number, []).append({"lang": lang, "url": url})
-                own = [x.split(":", 1)[-1] for x in asked]
                 yield pd.DataFrame({"chebi_id": asked, "uri": [uri.get(n) for n in own], "pages": [pages.get(n, []) for n in own]})
 
-    missing = ids.select("chebi_id").where("chebi_id is not null").distinct().join(_known(ids, cache_path), "chebi_id", "left_anti")
-    append_jsonl(missing.repartition(tasks).mapInPandas(run, RECORD), cache_path)
+    left = ask_in_waves(_log(ids.sparkSession, cache_path), ids.select("chebi_id"), run, wave * batch, tasks)
+    if left:
+        warnings.warn(f"{left} concepts have no answer; the next run asks them again", stacklevel=2)
 
 
 def titles(ids: DataFrame, cache_path: str) -> DataFrame:
     """(chebi_id, qid, lang, title) of ids that the cache has: the first page of a concept and language."""
-    each = _known(ids, cache_path).join(ids.select("chebi_id").distinct(), "chebi_id", "left_semi").select("chebi_id", "uri", F.posexplode("pages").alias("k", "p"))
+    each = _log(ids.sparkSession, cache_path).read().join(ids.select("chebi_id").distinct(), "chebi_id", "left_semi").select("chebi_id", "uri", F.posexplode("pages").alias("k", "p"))
     first = each.groupBy("chebi_id", "uri", F.col("p.lang").alias("lang")).agg(F.min_by("p.url", "k").alias("url"))
     return first.select("chebi_id", qid_short(F.col("uri")).alias("qid"), "lang", title_from_url(F.col("url")).alias("title"))
 

@@ -1,15 +1,19 @@
 """Terms and checks from outside, behind a cache; off unless a provider is given.
 
 A provider is a function from a list of requests to a list of replies. It runs on executors,
-in batches; replies are written as cache records, so a later run looks them up.
+in batches; replies are written as cache records in committed waves (sources/reply_log.py), so
+neither a lost executor nor a failing provider loses what is paid for, and a later run looks
+them up. A batch that fails is tried again after waits, then request by request; a request that
+fails for good has no record and no response, and is asked again by the next run.
 """
 
 from __future__ import annotations
 
+import time
+import warnings
 from collections.abc import Callable, Iterator
 
 import pandas as pd
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -17,7 +21,8 @@ from ..functions.text import cache_key, parallel_snippet
 from ..schema import CACHE
 from ..shipping import ship
 from ..sources.readers import read_cache
-from ..sources.sinks import append_jsonl
+from ..sources.reply_log import ReplyLog, ask_in_waves
+from .waits import patiently
 
 Provider = Callable[[list[dict]], list[str]]
 
@@ -38,30 +43,46 @@ def lookup(asked: DataFrame, cache: DataFrame) -> DataFrame:
     return asked.join(cache.select("key", "response"), "key", "left")
 
 
-def complete(missing: DataFrame, provider: Provider, model: str, batch: int = 50, temperature: float = 0.0, max_output_tokens: int = 60) -> DataFrame:
-    """Cache records for requests (key, system, user) without a response; each key is asked once."""
-    ship(missing.sparkSession)
+def _asker(provider: Provider, model: str, batch: int, temperature: float, max_output_tokens: int, tries: int, pause: Callable[[float], None]) -> Callable[[Iterator[pd.DataFrame]], Iterator[pd.DataFrame]]:
+    """From rows (key, system, user) to cache records."""
+
+    def replies(ask: list[dict]) -> list[str]:
+        got = provider(ask)
+        if len(got) != len(ask):
+            raise ValueError(f"{len(got)} replies to {len(ask)} requests")
+        return got
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
             for a in range(0, len(pdf), batch):
                 part = pdf.iloc[a : a + batch]
                 ask = [{"model": model, "system": s, "user": u, "temperature": temperature, "max_output_tokens": max_output_tokens} for s, u in zip(part["system"], part["user"], strict=True)]
-                yield pd.DataFrame({"key": part["key"].tolist(), "request": ask, "response": provider(ask)})
+                got = patiently(lambda: replies(ask), tries, pause, (Exception,))  # noqa: B023
+                if got is None:  # one bad request must not cost the others of its batch
+                    each = [patiently(lambda: replies([x]), 1, pause, (Exception,)) for x in ask]  # noqa: B023
+                    got = [x[0] if x else None for x in each]
+                yield pd.DataFrame([r for r in zip(part["key"], ask, got, strict=True) if r[2] is not None], columns=["key", "request", "response"])
+
+    return run
+
+
+def complete(missing: DataFrame, provider: Provider, model: str, batch: int = 50, temperature: float = 0.0, max_output_tokens: int = 60, tries: int = 5, pause: Callable[[float], None] = time.sleep) -> DataFrame:
+    """Cache records for requests (key, system, user) without a response; each key is asked once."""
+    ship(missing.sparkSession)
+    return missing.select("key", "system", "user").dropDuplicates(["key"]).mapInPandas(_asker(provider, model, batch, temperature, max_output_tokens, tries, pause), CACHE)
 
-    return missing.select("key", "system", "user").dropDuplicates(["key"]).mapInPandas(run, CACHE)
 
+def ask(asked: DataFrame, provider: Provider, cache_path: str, model: str, max_output_tokens: int = 60, batch: int = 50, tasks: int | None = None, tries: int = 5, pause: Callable[[float], None] = time.sleep) -> DataFrame:
+    """asked (system, user, …; null where nothing is asked) with the response, null where the provider fails for good.
 
-def ask(asked: DataFrame, provider: Provider, cache_path: str, model: str, max_output_tokens: int = 60) -> DataFrame:
-    """asked (system, user, …; null where nothing is asked) with the response. What the cache at cache_path lacks is asked and appended first."""
+    What the cache at cache_path lacks is asked first, by so many tasks at a time, and committed after each wave of a batch a task.
+    """
     spark = asked.sparkSession
-    keyed = requests(asked.where("user is not null").select("system", "user").distinct(), model, max_output_tokens=max_output_tokens)
-    try:
-        known = read_cache(spark, cache_path)
-    except AnalysisException:  # no cache yet
-        known = spark.createDataFrame([], "key string, response string")
-    missing = lookup(keyed, known).where("response is null")
-    append_jsonl(complete(missing, provider, model, max_output_tokens=max_output_tokens), cache_path)
+    keyed = requests(asked.where("system is not null and user is not null").select("system", "user").distinct(), model, max_output_tokens=max_output_tokens)
+    run = _asker(provider, model, batch, 0.0, max_output_tokens, tries, pause)
+    left = ask_in_waves(ReplyLog(spark, cache_path, CACHE), keyed, run, batch, tasks or spark.sparkContext.defaultParallelism)
+    if left:
+        warnings.warn(f"{left} requests have no reply; the next run asks them again", stacklevel=2)
     return asked.join(lookup(keyed, read_cache(spark, cache_path)).drop("key"), ["system", "user"], "left").drop("system", "user")
 
 

@@ -8,6 +8,7 @@ from pyspark.sql.types import StructType
 
 from ..functions.text import normalize_id
 from ..schema import CACHE, CONCEPTS, LINKED, TEXT_FIELDS, VARIANT
+from .reply_log import ReplyLog
 
 
 def read_corpus_csv(spark: SparkSession, path: str) -> DataFrame:
@@ -67,6 +68,5 @@ def read_variants(spark: SparkSession, path: str) -> DataFrame:
 
 
 def read_cache(spark: SparkSession, path: str) -> DataFrame:
-    """(key, response): the last record of a key holds."""
-    raw = read_jsonl(spark, path, CACHE).withColumn("pos", F.monotonically_increasing_id())
-    return raw.groupBy("key").agg(F.max_by("response", "pos").alias("response"))
+    """(key, response): the last record of a key holds. See reply_log for the folder's runs."""
+    return ReplyLog(spark, path, CACHE).read().select("key", "response")

@@ -255,9 +255,9 @@ def test_a_lookup_is_tried_again_after_waits():
             raise x
         return x
 
-    assert crosswalk.patiently(lookup, ["1"], 7, waits.append) == "found" and waits == [9, 8, 16]
+    assert crosswalk.patiently(lambda: lookup(["1"]), 7, waits.append) == "found" and waits == [9, 8, 16]
     left[:], waits[:] = [OSError()] * 7, []
-    assert crosswalk.patiently(lookup, ["1"], 7, waits.append) is None and waits == [4, 8, 16, 32, 60, 60, 60]
+    assert crosswalk.patiently(lambda: lookup(["1"]), 7, waits.append) is None and waits == [4, 8, 16, 32, 60, 60]
 
 
 def test_fetched_files_are_kept_with_their_dates(tmp_path):

@@ -464,6 +464,78 @@ def cache_lookup(spark: SparkSession, sf: str) -> DataFrame:
     return providers.lookup(asked, known.groupBy("key").agg(F.max_by("response", "pos").alias("response")))
 
 
+@_query
+def mentioned_again(spark: SparkSession, sf: str) -> DataFrame:
+    """Concepts of each document with titles among the names, from those without and what the titles change."""
+    return _again(spark, sf)[1].select(F.col("row").alias("id"), F.explode("ids").alias("chebi_id"))
+
+
+@_query
+def titles_due(spark: SparkSession, sf: str) -> DataFrame:
+    """Concepts that are first found by titles, so that theirs are asked for then."""
+    known, again = (x.select(F.explode("ids").alias("chebi_id")).distinct() for x in _again(spark, sf))
+    return again.join(known, "chebi_id", "left_anti")
+
+
+def _again(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame]:
+    g, docs = fx.Graph(spark, sf), fx.documents(fx.corpus(spark, sf)).withColumn("row", F.col("id"))
+    saved = {}
+    for name, df in (("old", linking.invert(g.aliases, _CFG, fx.folded(F.col("alias")))), ("new", g.dictionary)):
+        saved[name] = _file(spark, name)
+        sinks.write_parquet(df, saved[name])
+    old, new = (spark.read.parquet(saved[n]) for n in ("old", "new"))
+    known = _file(spark, "known")
+    sinks.write_parquet(linking.mentioned_by_row(linking.link_exact(docs, old)), known)
+    return spark.read.parquet(known), linking.mentioned_again(docs, spark.read.parquet(known), old, new)
+
+
+@_query
+def source_absent(spark: SparkSession, sf: str) -> DataFrame:
+    """Of the accepted cells, whether the term that was exchanged still stands near the new one."""
+    x = _Bench2(spark, sf).checked().where("reject_reason is null")
+    return x.select("id", "variant", "position", tx.source_term_absent(F.col("rewrite"), F.col("original_term"), F.col("swap_char_offset")).alias("absent"))
+
+
+@_query
+def replies(spark: SparkSession, sf: str) -> DataFrame:
+    """What a provider replies, from the log of its replies."""
+    asked = spark.read.parquet(f"{sf}/benchmark.parquet").select("item_id", F.lit("s").alias("system"), F.col("text").alias("user"))
+    provider = lambda ask: [f"{len(r['user'])} {r['max_output_tokens']}" for r in ask]
+    return providers.ask(asked, provider, _file(spark, "replies"), "m").select("item_id", "response")
+
+
+def _backwards(ask: list[dict]) -> list[str]:
+    """A provider: a term backwards; that the meaning is kept where its letters are odd in number; the term where they are one more than a multiple of four."""
+
+    def reply(r: dict) -> str:
+        told = {k: v for k, _, v in (x.partition(": ") for x in r["user"].split("\n"))}
+        if "YES or NO" in r["system"]:
+            return "yes, it is" if len(told["Original term"]) % 2 else "NO"
+        if r["user"].startswith("Passage:"):
+            term = r["user"].rsplit("Term: ", 1)[1]
+            return term[::-1] if len(term) % 4 == 1 else "?"
+        return f'\n "{told["Term"][::-1]}" \nthat is it'
+
+    return [reply(r) for r in ask]
+
+
+@_query
+def model_terms(spark: SparkSession, sf: str) -> DataFrame:
+    """The terms that a provider gives for the picked mentions."""
+    b = _Bench2(spark, sf)
+    picked = variants.pick_mentions(b.grid(), b.freq, variants.parallel_rows(b.x.linked, b.sample))
+    return providers.provide_by_model(picked, _backwards, _file(spark, "terms"), "m").select("id", "variant", "position", "swap_term")
+
+
+@_query
+def model_checks(spark: SparkSession, sf: str) -> DataFrame:
+    """All cells with a provider's terms, judged and translated back by it."""
+    b, cache = _Bench2(spark, sf), _file(spark, "checks")
+    hooks = {k: (lambda cells, f=f, k=k: f(cells, _backwards, f"{cache}/{k}", "m")) for k, f in (("provide", providers.provide_by_model), ("judge", providers.judge_by_model), ("back", providers.back_by_model))}
+    x = variants.checked_cells(b.sample, b.x.linked, b.freq, b.x.graph.combined, fx.lexicon(b.x.docs), abbreviations=b.abbreviations, nouns=nouns.noun_words(b.x.docs), **hooks)
+    return x.select("id", "variant", "position", "swap_term", "reject_reason", "round_trip_flag")
+
+
 @_query
 def token_counts(spark: SparkSession, sf: str) -> DataFrame:
     return fx.documents(fx.corpus(spark, sf)).select("id", tx.token_count(F.col("text"), F.col("language")).alias("tokens"))

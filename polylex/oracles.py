@@ -150,6 +150,16 @@ STEPS = {
         FROM (SELECT *, substring(text, 1, s) || swap_term || substring(text, e + 1) AS rewrite FROM allc) b""",
 }
 
+#: The linker's steps, once more for the dictionary without titles.
+_LINKER = ("dict", "keys", "hits", "far", "isle", "won", "cand", "best", "mentions")
+STEPS |= {f"{n}0": re.sub(rf"\b(FROM|JOIN) ({'|'.join(_LINKER)})\b", r"\1 \g<2>0", STEPS[n]).replace("FROM combined", "FROM names") for n in _LINKER}
+
+#: Cells as a model fills and checks them: the term backwards; meaning is kept where its letters are odd in number; it comes back where they are one more than a multiple of four.
+STEPS["modelled"] = "SELECT id, language, text, variant, position, s, e, original_term, reverse(original_term) AS swap_term FROM picked UNION ALL SELECT id, language, text, variant, position, s, e, original_term, reverse(original_term) FROM nouns"
+STEPS["judged"] = r"""SELECT *, CASE WHEN original_term IS NULL THEN 'no_mention' WHEN length(trim(swap_term)) < 3 THEN 'swap_term_unusable' WHEN lower(swap_term) = lower(original_term) THEN 'swap_equals_original'
+        WHEN (length(lower(rewrite)) - length(replace(lower(rewrite), lower(swap_term), ''))) / length(swap_term) <> 1 THEN 'term_presence' WHEN length(original_term) % 2 = 0 THEN 'semantic_preservation' END AS reject_reason
+        FROM (SELECT *, substring(text, 1, s) || swap_term || substring(text, e + 1) AS rewrite FROM modelled)"""
+
 
 def _needs(sql: str) -> list[str]:
     return [name for name in STEPS if re.search(rf"\b(FROM|JOIN) {name}\b", sql)]
@@ -247,6 +257,12 @@ SELECTS = {
     "variants_all": f"SELECT {_REC} FROM bcv WHERE reject_reason IS NULL UNION ALL SELECT concat_ws('__', id, 'A_clean', 'na'), id, array_to_string(l_avail, ','), NULL, NULL, NULL, NULL, NULL, NULL, false, md5(text) FROM sample",
     "variants_file": f"SELECT {_REC} FROM bcv WHERE reject_reason IS NULL UNION ALL SELECT concat_ws('__', id, 'A_clean', 'na'), id, array_to_string(l_avail, ','), NULL, NULL, NULL, NULL, NULL, NULL, false, md5(text) FROM sample",
     "verify_status": "SELECT variant, position, coalesce(reject_reason, 'accepted') AS outcome, count(*) AS n FROM bcv GROUP BY ALL",
+    "mentioned_again": "SELECT DISTINCT id, chebi_id FROM mentions",
+    "titles_due": "SELECT chebi_id FROM mentions EXCEPT SELECT chebi_id FROM mentions0",
+    "source_absent": "SELECT id, variant, position, NOT contains(substring(rewrite, greatest(0, o - 80) + 1, o + length(original_term) + 80 - greatest(0, o - 80)), original_term) AS absent FROM bcv WHERE reject_reason IS NULL",
+    "replies": "SELECT item_id, CASE WHEN text IS NOT NULL THEN length(text) || ' 60' END AS response FROM benchmark",
+    "model_terms": "SELECT id, variant, position, reverse(original_term) AS swap_term FROM picked",
+    "model_checks": "SELECT id, variant, position, swap_term, reject_reason, CASE WHEN variant IN ('B_in_set', 'C_out_of_set') THEN NOT (reject_reason IS NULL AND length(original_term) % 4 = 1) END AS round_trip_flag FROM judged",
     "cache_lookup": f"SELECT sha256('{_S}|' || item_id) AS key, r.response FROM benchmark b LEFT JOIN (SELECT sha256('{_S}|' || replace(key, 'k', '')) AS key, arg_max(response, pos) AS response FROM {_duck(fx.CACHED)} GROUP BY ALL) r ON r.key = sha256('{_S}|' || b.item_id)",
     "token_counts": r"SELECT id, len(list_filter(regexp_split_to_array(text, '\s+'), lambda x: x <> ''))::INT AS tokens FROM docs",
     "url_titles": "SELECT page_id, replace(url_decode(replace(split_part(url, '/', -1), '+', '%2B')), '_', ' ') AS title FROM pages",

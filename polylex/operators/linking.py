@@ -202,7 +202,12 @@ def _with_mentions(docs: DataFrame) -> T.StructType:
 def link_exact(docs: DataFrame, dictionary: DataFrame, cfg: Config = Config()) -> DataFrame:
     """docs with mentions (an empty list where there are none)."""
     ship(docs.sparkSession)
-    index = key_index.publish(dictionary, cfg.keys_in_part)
+    return link_by_index(docs, key_index.publish(dictionary, cfg.keys_in_part))
+
+
+def link_by_index(docs: DataFrame, index: str) -> DataFrame:
+    """As link_exact, by an index that is published already."""
+    ship(docs.sparkSession)
     schema, names = _with_mentions(docs), docs.columns
     text, lang = names.index("text"), names.index("language")
 
@@ -215,6 +220,22 @@ def link_exact(docs: DataFrame, dictionary: DataFrame, cfg: Config = Config()) -
     return docs.mapInArrow(run, schema)
 
 
+def mark_with_a_key(docs: DataFrame, dictionary: DataFrame, cfg: Config = Config()) -> DataFrame:
+    """docs with touched: whether some key of the dictionary is found in the text, whatever else overlaps it."""
+    ship(docs.sparkSession)
+    index = key_index.publish(dictionary, cfg.keys_in_part)
+    text, lang = docs.columns.index("text"), docs.columns.index("language")
+    schema = T.StructType([*docs.schema.fields, T.StructField("touched", T.BooleanType())])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held = key_index.opened(index)
+        for b in batches:
+            found = link_texts(b.column(text).to_pylist(), b.column(lang).to_pylist(), held)
+            yield pa.RecordBatch.from_arrays([*b.columns, pa.array([bool(f) for f in found], pa.bool_())], names=schema.names)
+
+    return docs.mapInArrow(run, schema)
+
+
 def with_a_key(docs: DataFrame, dictionary: DataFrame, cfg: Config = Config()) -> DataFrame:
     """Those of docs in whose text some key of the dictionary is found, whatever else overlaps it."""
     ship(docs.sparkSession)

@@ -33,7 +33,8 @@ Asker = Callable[[Iterator[pd.DataFrame]], Iterator[pd.DataFrame]]
 MERGE, PART, GIVE_UP = 64, 1 << 20, 3
 
 
-def _folder(spark: SparkSession, path: str) -> tuple[JavaObject, JavaObject]:
+def hadoop_folder(spark: SparkSession, path: str) -> tuple[JavaObject, JavaObject]:
+    """A path's file system, and the path in it."""
     p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
     return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), p
 
@@ -46,13 +47,13 @@ class ReplyLog:
 
     def _listed(self) -> tuple[list[tuple[int, int, bool]], list[str]]:
         """(first, last, committed) of the runs, and plain files."""
-        fs, folder = _folder(self.spark, self.path)
+        fs, folder = hadoop_folder(self.spark, self.path)
         runs, files = [], []
         for s in fs.listStatus(folder) if fs.exists(folder) else []:
             name = s.getPath().getName()
             if name.startswith("run=") and s.isDirectory():
                 last, first = map(int, name[4:].split("-"))
-                runs.append((first, last, fs.exists(_folder(self.spark, f"{self.path}/{name}/_SUCCESS")[1])))
+                runs.append((first, last, fs.exists(hadoop_folder(self.spark, f"{self.path}/{name}/_SUCCESS")[1])))
             elif s.isFile() and name[0] not in "_.":
                 files.append(s.getPath().toString())
         return sorted(runs, key=lambda r: r[1]), files
@@ -104,13 +105,13 @@ class ReplyLog:
         one = held.repartition(parts, self.key).sortWithinPartitions(self.key)
         target, work = self._name(runs[0][0], runs[-1][1]), f"{self.path}/_merge-{uuid.uuid4().hex}"
         one.write.option("ignoreNullFields", "false").json(work)
-        fs, p = _folder(self.spark, work)
-        fs.rename(p, _folder(self.spark, target)[1])
+        fs, p = hadoop_folder(self.spark, work)
+        fs.rename(p, hadoop_folder(self.spark, target)[1])
 
     def vacuum(self) -> None:
         """Removes covered runs, once no plan reads them."""
         for r in self._split()[1]:
-            fs, p = _folder(self.spark, self._name(*r))
+            fs, p = hadoop_folder(self.spark, self._name(*r))
             fs.delete(p, True)
 
     def missing(self, asked: DataFrame) -> DataFrame:
@@ -129,7 +130,7 @@ def ask_in_waves(log: ReplyLog, asked: DataFrame, run: Asker, batch: int, tasks:
     spark, place = log.spark, f"{shared_root(log.spark)}/polylex/asked-{uuid.uuid4().hex}"
     turn = F.floor(F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1)) / batch).alias("wave")  # the row's number in its partition
     log.missing(asked).repartition(tasks, log.key).select("*", turn).write.partitionBy("wave").parquet(place)
-    fs, p = _folder(spark, place)
+    fs, p = hadoop_folder(spark, place)
     waves = sorted(int(s.getPath().getName()[5:]) for s in fs.listStatus(p) if s.getPath().getName().startswith("wave="))
     idle = 0
     for k in waves:

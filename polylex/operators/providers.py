@@ -10,6 +10,7 @@ fails for good has no record and no response, and is asked again by the next run
 from __future__ import annotations
 
 import time
+import uuid
 import warnings
 from collections.abc import Callable, Iterator
 
@@ -19,6 +20,7 @@ from pyspark.sql import functions as F
 
 from ..functions.text import cache_key, parallel_snippet
 from ..schema import CACHE
+from ..shared import shared_root
 from ..shipping import ship
 from ..sources.readers import read_cache
 from ..sources.reply_log import ReplyLog, ask_in_waves
@@ -76,8 +78,11 @@ def ask(asked: DataFrame, provider: Provider, cache_path: str, model: str, max_o
     """asked (system, user, …; null where nothing is asked) with the response, null where the provider fails for good.
 
     What the cache at cache_path lacks is asked first, by so many tasks at a time, and committed after each wave of a batch a task.
+    asked is read several times, so it is written to the shared folder first: what it comes from runs once, however many checks follow each other.
     """
-    spark = asked.sparkSession
+    spark, place = asked.sparkSession, f"{shared_root(asked.sparkSession)}/polylex/cells-{uuid.uuid4().hex}"
+    asked.write.parquet(place)
+    asked = spark.read.schema(asked.schema).parquet(place)
     keyed = requests(asked.where("system is not null and user is not null").select("system", "user").distinct(), model, max_output_tokens=max_output_tokens)
     run = _asker(provider, model, batch, 0.0, max_output_tokens, tries, pause)
     left = ask_in_waves(ReplyLog(spark, cache_path, CACHE), keyed, run, batch, tasks or spark.sparkContext.defaultParallelism)

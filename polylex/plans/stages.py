@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -94,6 +95,8 @@ def build_graph(spark: SparkSession, p: Paths, cfg: Config = Config(), lookup: c
         titles = titled(mentioned.unionByName(_ids(again)).distinct())  # a lookup is asked for the new ones only
         mentioned, combined = _ids(again), ontology.aliases_combined(aliases, titles)
     sinks.write_parquet(ontology.concept_slice(nodes, edges, aliases, combined, mentioned, titles, not cfg.memberships).orderBy("chebi_id"), p.concepts)
+    ragged = [readers.ragged_rows(spark, f"{p.raw}/{n}.tsv.gz") for n in ("compounds", "names", "structures", "chemical_data", "relation", "relation_type")]
+    reduce(DataFrame.unionByName, ragged).coalesce(1).write.mode("overwrite").json(f"{p.out}/ragged_rows.json")
     if cfg.memberships:
         sinks.write_parquet(memberships.memberships(nodes, edges), p.memberships)
         sinks.write_parquet(memberships.links(edges), p.links)

@@ -24,11 +24,24 @@ def read_tsv(spark: SparkSession, path: str) -> DataFrame:
     """A tab-separated table, plain or gzipped, all strings, with the order of its rows in ``pos``.
 
     A gzipped file is one partition, so pos follows the file; for a plain file it follows the splits.
+    No row is left out: one of too few fields has nulls for the rest, of too many the first are kept
+    (ragged_rows counts them).
     """
-    raw = spark.read.option("header", True).option("sep", "\t").option("quote", "").option("mode", "DROPMALFORMED").csv(path)
+    raw = spark.read.option("header", True).option("sep", "\t").option("quote", "").option("mode", "PERMISSIVE").csv(path)
     return raw.withColumn("pos", F.monotonically_increasing_id())
 
 
+def ragged_rows(spark: SparkSession, path: str) -> DataFrame:
+    """(path, short, long): how many rows of a tab-separated table have too few fields and too many; one row, zeros for an empty file."""
+    lines = spark.read.text(path).where("value <> ''")
+    tabs = lines.limit(1).select(F.size(F.split("value", "\t")).alias("want")).agg(F.max("want").alias("want"))  # of the header: one row
+    have = lines.select(F.size(F.split("value", "\t")).alias("have")).groupBy("have").count()
+    return have.join(F.broadcast(tabs)).agg(
+        F.lit(path).alias("path"), F.coalesce(F.sum(F.when(F.col("have") < F.col("want"), F.col("count"))), F.lit(0)).alias("short"),
+        F.coalesce(F.sum(F.when(F.col("have") > F.col("want"), F.col("count"))), F.lit(0)).alias("long"),
+    )
+
+
 def read_obo(spark: SparkSession, path: str) -> DataFrame:
     """(id, name, parents): the terms of an ontology file that are not obsolete."""
     return parse_obo(spark.read.option("lineSep", "\n[Term]\n").text(path))

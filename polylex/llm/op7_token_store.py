@@ -8,19 +8,23 @@ predicted by three adaptive tables of frequencies: of the node alone (order 0),
 after the id before (order 1), and of the node after the two ids before (order 2; contexts by
 hash). Their distributions are mixed by weights that adapt too, kept for each level of the
 tree's depth, up to ``LEVELS``, and each state of how often the two longer contexts have been
-seen. The range coder codes the branch by the mixture.
+seen. The range coder codes the branch by the mixture. In a block of fewer than ``SHORT`` ids the
+code of its counts can cost more than it saves; there the tree of all ids at one depth is tried
+too, which needs no table, and the smaller block is kept.
 
 A block is coded in lanes, each a stretch of its ids with a coder of its own, all in step and
 sharing the model: what step t of all lanes teaches is known at step t + 1. So coder and model
 work on vectors. Frequencies are whole numbers below 2 ** 24 in single precision and all other
 arithmetic on them is elementwise or sums in a fixed order, so both sides compute the same.
 
-Block layout, little-endian: ``PLX2``, ids, documents, lanes, vocabulary, bytes of the packed
-code lengths, crc32 of what follows (six unsigned 32-bit integers), then 64-bit document ids
-(null as the least one), 32-bit token counts, 32-bit lengths of the lanes' streams, the code
-lengths of the whole vocabulary (bytes, by zlib), and the streams as 16-bit units. Files are
-Parquet with a row for each block, written and read by Spark only, in the shared folder;
-(part, block) is their order, and a row says how many ids of its part come before it.
+Block layout, little-endian: ``PLX3``, ids, documents, lanes, vocabulary, bytes of the packed
+tables, crc32 of what follows (six unsigned 32-bit integers), then 64-bit document ids (null as
+the least one), 32-bit token counts, the tables (by zlib: 32-bit lengths of the lanes' streams,
+and the code lengths of the whole vocabulary as bytes, or none for the tree of one depth), and
+the streams as 16-bit units. Files are Parquet with a row for each block, written and read by
+Spark only, in the shared folder; (part, block) is their order, and a row says how many ids of
+its part come before it. A part has ``PART_BYTES`` of text at least where the input has, so a
+small table isn't cut into short blocks; ids that many rows share are cut between texts.
 
 Defined cases: null and empty texts have the end id alone; a null id sorts first and reads
 back as null; rows of one id follow each other in the order of their texts; an empty table
@@ -48,11 +52,13 @@ END_ID = 0
 IDS = 50257
 #: Ids after which a block ends with the document; lanes of a full block, and the least ids of a lane in a smaller one.
 BLOCK, LANES, STEPS = 1 << 20, 4096, 256
+#: Ids of a block below which the tree without a table is tried; bytes of text that a part has at least, some 700,000 ids.
+SHORT, PART_BYTES = 1 << 16, 2 << 20
 #: Weights and large totals are seen to in every so many steps.
 SETTLE = 4
 #: Branches at a node, and levels of the tree whose weights are kept apart.
 WAYS, LEVELS = 16, 4
-_MAGIC, _HEAD = b"PLX2", struct.Struct("<6I")
+_MAGIC, _HEAD = b"PLX3", struct.Struct("<6I")
 _F, _U = np.float32, np.uint64
 #: Of the three tables: what a branch's frequency grows by, and the total beyond which a node's are halved.
 _STEP = (_F(8), _F(16), _F(24))
@@ -89,6 +95,14 @@ def code_lengths(count: np.ndarray) -> np.ndarray:
     return out
 
 
+def even_lengths(vocabulary: int) -> np.ndarray:
+    """All ids at one depth, whatever their counts."""
+    depth = 1
+    while WAYS**depth < vocabulary:
+        depth += 1
+    return np.full(vocabulary, depth, np.uint8)
+
+
 class Tree:
     """The canonical code of some lengths: nodes and branches of each id by depth, and where branches lead."""
 
@@ -198,7 +212,8 @@ class Encoder:
     def end(self) -> tuple[np.ndarray, bytes]:
         """Units of each lane, and all of them, lane by lane."""
         every = np.arange(len(self.low))
-        for _ in range(3):
+        self.low += _U((1 << 16) - 1)  # every range is 2 ** 32 at least: two units name a place in it, whatever follows
+        for _ in range(2):
             self.low = self._emit(every, self.low)
         for k in range(len(self.out) - 1, 0, -1):
             self.out[k - 1] += self.out[k] >> 16
@@ -242,8 +257,8 @@ def _interval(below: np.ndarray, way: np.ndarray, at: np.ndarray) -> tuple[np.nd
 
 
 def _shape(n: int) -> tuple[int, int]:
-    """(lanes, steps) for so many ids."""
-    steps = max(min(STEPS, n), -(-n // LANES))
+    """(lanes, steps) for so many ids. A short block has fewer lanes, as each costs some bytes and learns apart."""
+    steps = max(min(STEPS if n >= SHORT else 4 * STEPS, n), -(-n // LANES))
     return -(-n // steps), steps
 
 
@@ -254,8 +269,18 @@ def _keys(one: np.ndarray, two: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 
 def encode_block(ids: np.ndarray, docs: np.ndarray, counts: np.ndarray, vocabulary: int = IDS) -> bytes:
+    own = code_lengths(np.bincount(ids, minlength=vocabulary))
+    packed, streams = _coded(ids, own, own.tobytes(), vocabulary)
+    if len(ids) < SHORT:
+        packed, streams = min((packed, streams), _coded(ids, even_lengths(vocabulary), b"", vocabulary), key=lambda x: len(x[0]) + len(x[1]))
+    body = docs.astype("<i8").tobytes() + counts.astype("<u4").tobytes() + packed + streams
+    return _MAGIC + _HEAD.pack(len(ids), len(docs), _shape(len(ids))[0], vocabulary, len(packed), zlib.crc32(body)) + body
+
+
+def _coded(ids: np.ndarray, lengths: np.ndarray, table: bytes, vocabulary: int) -> tuple[bytes, bytes]:
+    """Packed tables and streams of ids, coded by the tree of these lengths."""
     lanes, steps = _shape(len(ids))
-    tree = Tree(code_lengths(np.bincount(ids, minlength=vocabulary)))
+    tree = Tree(lengths)
     mixer, coder = Mixer(tree.nodes, len(ids)), Encoder(lanes, steps)
     grid = np.full(lanes * steps, vocabulary)  # that number stands for no id
     grid[: len(ids)] = ids
@@ -276,9 +301,7 @@ def encode_block(ids: np.ndarray, docs: np.ndarray, counts: np.ndarray, vocabula
             coder.put(lane, *_interval(below, way, at))
             mixer.learn(way, at, t % SETTLE == 0)
     sizes, streams = coder.end()
-    lengths = zlib.compress(tree.length.tobytes())
-    body = docs.astype("<i8").tobytes() + counts.astype("<u4").tobytes() + sizes.tobytes() + lengths + streams
-    return _MAGIC + _HEAD.pack(len(ids), len(docs), lanes, vocabulary, len(lengths), zlib.crc32(body)) + body
+    return zlib.compress(sizes.tobytes() + table, 9), streams
 
 
 def decode_block(block: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -292,9 +315,9 @@ def decode_block(block: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     docs = np.frombuffer(block, "<i8", n_docs, at)
     counts = np.frombuffer(block, "<u4", n_docs, at + 8 * n_docs)
     at += 12 * n_docs
-    sizes = np.frombuffer(block, "<u4", lanes, at).astype(np.int64)
-    at += 4 * lanes
-    tree = Tree(np.frombuffer(zlib.decompress(block[at : at + packed]), np.uint8))
+    tables = zlib.decompress(block[at : at + packed])
+    sizes, own = np.frombuffer(tables, "<u4", lanes).astype(np.int64), np.frombuffer(tables, np.uint8, -1, 4 * lanes)
+    tree = Tree(own if len(own) else even_lengths(vocabulary))
     coder, steps = Decoder(sizes, np.frombuffer(block, "<u2", -1, at + packed)), _shape(n_ids)[1]
     mixer, grid = Mixer(tree.nodes, n_ids), np.full((steps, lanes), vocabulary)
     none, every = np.full(lanes, vocabulary), np.arange(lanes)
@@ -324,8 +347,13 @@ def _encoded(batches: Iterator[pa.RecordBatch], path: str) -> Iterator[tuple[int
 
 
 def write_tokens(docs: DataFrame, path: str, vocabulary: str, parts: int | None = None, block: int = BLOCK) -> None:
-    """Blocks of docs (doc, text) in ascending order, as the Parquet files of the folder path."""
-    parts = parts or 4 * int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    """Blocks of docs (doc, text) in ascending order, as the Parquet files of the folder path.
+
+    Unless given, parts are as many as have PART_BYTES of text each, four times the session's shuffle partitions at most.
+    """
+    if parts is None:
+        size = docs.agg(F.sum(F.octet_length("text"))).head()[0] or 0
+        parts = min(4 * int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), max(1, size // PART_BYTES))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[tuple[int, np.ndarray]] = []
@@ -344,7 +372,7 @@ def write_tokens(docs: DataFrame, path: str, vocabulary: str, parts: int | None
         if held:
             yield out()
 
-    ordered = docs.repartitionByRange(parts, "doc").sortWithinPartitions("doc", "text")
+    ordered = docs.repartitionByRange(parts, "doc", F.substring("text", 1, 64)).sortWithinPartitions("doc", "text")  # beginnings order as texts do
     blocks = ordered.mapInArrow(run, "block int, before long, n_ids long, data binary").withColumn("part", F.spark_partition_id())
     blocks.write.mode("overwrite").option("compression", "uncompressed").parquet(path)
 

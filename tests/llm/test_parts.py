@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from polylex.llm import components, near_texts, op2_substring_dedup, op7_token_store, op8_best_fit_packing, op9_sharding, op10_embedding_dedup, units
 from polylex.llm.op5_simhash_dedup import near_pairs
 from polylex.llm.scratch import Scratch, shared_root
+from polylex.llm.units import library_codec
 
 
 def test_scratch_follows_the_session(spark):
@@ -137,17 +138,44 @@ def _made_ids(n, kinds=2000):
     return out
 
 
-@pytest.mark.parametrize("n", [20_000, 150_000])
-def test_blocks_are_smaller_than_by_adaptive_order_0(n):
-    ids, count, bits = _made_ids(n), Counter(), 0.0
+def _order_0(ids):
+    """Bits by one adaptive table of counts."""
+    count, bits = Counter(), 0.0
     for k, x in enumerate(ids.tolist()):
         bits -= math.log2((12 * count[x] + 1) / (12 * k + op7_token_store.IDS))
         count[x] += 1
+    return bits
+
+
+@pytest.mark.parametrize("n", [2000, 5000])
+def test_short_blocks_are_smaller_than_by_adaptive_order_0(n):
+    ids = _made_ids(n, 500)
+    block = op7_token_store.encode_block(ids, np.array([1]), np.array([n]))
+    assert (op7_token_store.decode_block(block)[0] == ids).all()
+    assert 8 * len(block) < _order_0(ids)
+
+
+@pytest.mark.parametrize("n", [20_000, 150_000])
+def test_blocks_are_smaller_than_by_adaptive_order_0(n):
+    ids = _made_ids(n)
+    bits = _order_0(ids)
     block = op7_token_store.encode_block(ids, np.array([1]), np.array([n]))
     assert (op7_token_store.decode_block(block)[0] == ids).all()
     assert 8 * len(block) < 0.95 * bits
 
 
+@pytest.mark.parametrize(("text", "parts"), [("x " * 500, 1), ("x " * 150_000, 7)])
+def test_parts_of_tokens_follow_bytes_of_text_and_a_hot_id_is_cut(spark, tmp_path, text, parts):
+    docs = spark.range(50).select(F.lit(7).cast("long").alias("doc"), F.concat(F.format_string("%03d ", "id"), F.lit(text)).alias("text"))
+    op7_token_store.write_tokens(docs, str(tmp_path / "t"), public_tokenizers.path(op7_token_store.VOCABULARY))
+    blocks = spark.read.parquet(str(tmp_path / "t"))
+    found = blocks.groupBy("part").agg(F.sum("n_ids").alias("n")).collect()
+    assert 0.5 * parts <= len(found) <= parts
+    back = op7_token_store.read_tokens(spark, str(tmp_path / "t")).orderBy("start").collect()
+    codec = library_codec(public_tokenizers.path(op7_token_store.VOCABULARY))
+    assert [bytes(r.ids)[:-4] for r in back] == codec.texts([f"{k:03d} {text}" for k in range(50)])
+
+
 @pytest.mark.parametrize("name", ["byte_bpe_50k.json", "word_bpe_49k.json"])
 def test_ids_are_the_librarys(name):
     ranks, rng = units.Ranks(public_tokenizers.path(name)), random.Random(6)

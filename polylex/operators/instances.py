@@ -6,12 +6,16 @@ follow functions.text.md5_key, so a run with the same seed gives the same instan
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.text import coarse_type, md5_key
 from ..schema import LANGS, Config
+from ..shipping import ship
 from .ontology import neighbors_of_slice
 
 
@@ -98,15 +102,68 @@ def choose_negatives(pool: list[tuple[str, str, str]], most: int) -> list[int]:
     return chosen
 
 
+class Narrowing:
+    """Tells of (neighbor, id) pairs of one concept and language, in their order, which the greedy choice can still reach.
+
+    Of two documents in one language the earlier stays ahead unless its neighbor has been used or its id taken.
+    The choices before the last are ``most`` - 1, so a pair is out of reach behind ``most`` of its own neighbor,
+    behind ``most`` of its own id, and behind 2 * ``most`` - 1 that share neither neighbor nor id with one another,
+    as a choice ends the lead of two of those at most. That holds for any part of the pairs too.
+    The state has at most 2 * ``most`` - 1 neighbors and ids; at most 2 * ``most`` times as many pairs pass.
+    """
+
+    def __init__(self, most: int):
+        self.most, self.last = most, None
+        self.neighbors: dict[str, int] = {}
+        self.ids: dict[str, int] = {}
+
+    def passes(self, neighbor: str, doc: str) -> bool:
+        if len(self.neighbors) == 2 * self.most - 1 or (neighbor, doc) == self.last:
+            return False
+        n, d = self.neighbors.get(neighbor), self.ids.get(doc)
+        if n is None and d is None:
+            self.neighbors[neighbor] = self.ids[doc] = 1
+        elif max(n or 0, d or 0) >= self.most:
+            return False
+        else:
+            if n is not None:
+                self.neighbors[neighbor] = n + 1
+            if d is not None:
+                self.ids[doc] = d + 1
+        self.last = (neighbor, doc)
+        return True
+
+
+def narrowed(pool: DataFrame, most: int) -> DataFrame:
+    """The rows of a pool, with their order k, that Narrowing passes within each partition."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        at, state = None, Narrowing(most)
+        for b in batches:
+            keep = []
+            for row, (concept, language, neighbor, doc) in enumerate(zip(*(b.column(c).to_pylist() for c in ("chebi_id", "language", "neighbor", "id")), strict=True)):
+                if (concept, language) != at:
+                    at, state = (concept, language), Narrowing(most)
+                if state.passes(neighbor, doc):
+                    keep.append(row)
+            yield b.take(pa.array(keep, pa.int32()))
+
+    return pool.sortWithinPartitions("chebi_id", "language", "k", "neighbor", "id").mapInArrow(run, pool.schema)
+
+
 def hard_negatives(pool: DataFrame, cfg: Config = Config()) -> DataFrame:
     """(chebi_id, rank, neighbor, relation, id, language): the greedy choice for each concept.
 
     Of each concept, neighbor and language only twice as many documents as can be chosen are
     looked at, which loses nothing: such a class gives its documents in order, at most
-    ``max_negatives`` of them, and loses at most as many to choices from other classes.
+    ``max_negatives`` of them, and loses at most as many to choices from other classes. The rest is
+    narrowed where it lies and once more by concept and language, so a concept of any number of
+    neighbors comes to its choice as some hundreds of rows for each language.
     """
+    ship(pool.sparkSession)
     seed, most = cfg.seed, cfg.max_negatives
     keyed = pool.where(F.col("turn") <= 2 * most).withColumn("k", md5_key(seed, "neg", F.col("chebi_id"), F.col("neighbor"), F.col("id")))  # the order within classes too
+    keyed = narrowed(narrowed(keyed, most).repartition("chebi_id", "language"), most)
 
     def pick(group: pd.DataFrame) -> pd.DataFrame:
         g = group.sort_values(["k", "neighbor", "id"]).reset_index(drop=True)

@@ -137,6 +137,37 @@ def test_capped_pools_choose_alike(raw, most):
     assert len({d for *_, d in chosen}) == len(chosen) <= most
 
 
+@settings(deadline=None, max_examples=300)
+@given(st.lists(st.tuples(st.integers(0, 9), st.integers(0, 1), st.integers(0, 9), st.integers(0, 2)), max_size=120), st.integers(1, 4))
+def test_narrowed_pools_choose_alike(raw, most):
+    pool = [(f"n{a}", f"l{b}", f"d{c}{b}") for a, b, c in dict.fromkeys(x[:3] for x in raw)]
+    part = {p: x[3] for p, x in zip(pool, raw, strict=False)}
+
+    def narrow(rows):
+        states = {}
+        return [p for p in rows if states.setdefault(p[1], instances.Narrowing(most)).passes(p[0], p[2])]
+
+    some = {p for k in range(3) for p in narrow([p for p in pool if part[p] == k])}
+    kept = narrow([p for p in pool if p in some])
+    pick = lambda x: [x[k] for k in instances.choose_negatives(x, most)]
+    assert pick(narrow(pool)) == pick(kept) == as_stated(pool, most)
+    assert all(sum(p[1] == lang for p in kept) <= 2 * most * (2 * most - 1) for lang in ("l0", "l1"))
+
+
+def test_a_hub_of_neighbors_is_narrowed_before_its_choice(spark):
+    cfg = Config(max_negatives=3)
+    rows = [("c", f"n{n}", "is_a", f"d{(7 * n + 31 * k) % 400}", ("de", "fr")[(7 * n + 31 * k) % 400 % 2], 1) for n in range(2000) for k in range(3)]
+    rows += [("e", "n1", "is_a", "d1", "fr", 1), ("e", "n1", "is_a", "d1", "fr", 2)]  # a document twice
+    pool = spark.createDataFrame(rows, "chebi_id string, neighbor string, relation string, id string, language string, turn int").repartition(5)
+    keyed = pool.withColumn("k", tx.md5_key(cfg.seed, "neg", F.col("chebi_id"), F.col("neighbor"), F.col("id"))).cache()
+    assert instances.narrowed(keyed.where("chebi_id = 'c'").coalesce(1), 3).count() <= 2 * 2 * 3 * 5
+    order = sorted((r.k, r.neighbor, r.id, r.language) for r in keyed.where("chebi_id = 'c'").collect())
+    want = as_stated([(n, lang, d) for _, n, d, lang in order], 3)
+    got = sorted(instances.hard_negatives(pool, cfg).collect(), key=lambda r: (r.chebi_id, r.rank))
+    assert [(r.neighbor, r.language, r.id) for r in got if r.chebi_id == "c"] == want
+    assert [(r.rank, r.id) for r in got if r.chebi_id == "e"] == [(1, "d1")]
+
+
 def test_ids_and_types(spark):
     df = spark.createDataFrame([(" 12 ",), ("CHEBI:5",), ("null",), ("",), (None,), ("x",), ("-3",)], "r string")
     assert [r[0] for r in df.select(tx.normalize_id(F.col("r"))).collect()] == ["CHEBI:12", "CHEBI:5", None, None, None, None, "CHEBI:-3"]

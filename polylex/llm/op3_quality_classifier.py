@@ -11,8 +11,9 @@ layers in numpy give a logit; a temperature, fitted on a part of the sample that
 has not learnt from, turns it into a probability.
 
 Training reads at most ``TRAIN_ROWS`` labelled ids, those with the least hashes, as far as their
-texts have ``TRAIN_BYTES`` bytes together, so what reaches the driver is bounded; an id whose
-texts have more than ``TRAIN_TEXT`` bytes is passed over. Scoring is one pass over the whole texts.
+texts have ``TRAIN_BYTES`` bytes together, so one task can learn from them; an id whose texts have
+more than ``TRAIN_TEXT`` bytes is passed over. The driver gets the model alone, of a fixed size, and
+a task that is lost learns the same again. Scoring is one pass over the whole texts.
 
 Defined cases: null and empty texts, and texts without words, score 0; a null id is never
 held out and never learnt from; an id with several labels counts as its greatest; without
@@ -22,6 +23,7 @@ empty table gives an empty result. Labels, language, source and id are never inp
 
 from __future__ import annotations
 
+import pickle
 from collections.abc import Iterator
 
 import numpy as np
@@ -42,7 +44,7 @@ TRAIN_BYTES = 32 << 20
 TRAIN_TEXT = 1 << 20
 EPOCHS = 60
 FOLDS, HELD = 3, 1
-#: Bytes of text whose vectors are held at a time, on the driver and in workers.
+#: Bytes of text whose vectors are held at a time.
 PART = 1 << 18
 
 _LOWER = np.arange(256, dtype=np.uint8)
@@ -176,9 +178,20 @@ def train(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "
     first = size.join(y, "__id").where(F.col("__size") <= TRAIN_TEXT).orderBy(F.xxhash64("__id"), "__id").limit(TRAIN_ROWS)
     total = {c: F.sum(c).over(Window.orderBy(F.xxhash64("__id"), "__id")) for c in ("__size", "__rows")}  # over TRAIN_ROWS rows at most
     ids = first.select("__id", "__y", *(t.alias(f"{c}_sum") for c, t in total.items())).where((F.col("__size_sum") <= TRAIN_BYTES) & (F.col("__rows_sum") <= TRAIN_ROWS)).select("__id", "__y")
-    sample = x.join(F.broadcast(ids), "__id").orderBy(F.xxhash64("__id"), "__id", "__text").limit(TRAIN_ROWS).select("__text", "__y").toArrow()  # TRAIN_ROWS ids at most are broadcast
-    texts, goal = sample.column(0).combine_chunks(), sample.column(1).to_numpy()
-    texts = pa.array([], pa.string()) if sample.num_rows == 0 else texts
+    sample = x.join(F.broadcast(ids), "__id").orderBy(F.xxhash64("__id"), "__id", "__text").limit(TRAIN_ROWS).select("__text", "__y")  # TRAIN_ROWS ids at most are broadcast
+    ship(docs.sparkSession)
+    models = sample.mapInArrow(_learn, "model binary").collect()  # a limit has one partition
+    return pickle.loads(models[0].model) if models else _fitted(pa.array([], pa.string()), np.zeros(0))
+
+
+def _learn(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    held = list(batches)
+    texts = pa.concat_arrays([pa.array([], pa.string()), *(b.column(0) for b in held)])
+    goal = np.concatenate([np.zeros(0), *(b.column(1).to_numpy() for b in held)])
+    yield pa.RecordBatch.from_arrays([pa.array([pickle.dumps(_fitted(texts, goal))], pa.binary())], names=["model"])
+
+
+def _fitted(texts: pa.Array, goal: np.ndarray) -> tuple[np.ndarray, Network | float]:
     table = word_vectors(texts)
     if len(np.unique(goal)) < 2:
         return table, float(goal.mean()) if len(goal) else 0.5

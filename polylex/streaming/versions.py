@@ -64,7 +64,7 @@ def link_batch(batch: DataFrame, number: int, dictionaries: str, out: str, cfg:
             raise ValueError(f"no version of a dictionary in {dictionaries}")
         spark.range(1).select(F.lit(version).alias("version")).write.mode("overwrite").json(note)
     version = spark.read.schema("version int").json(note).first()[0]
-    linked = linking.linked_documents(linking.link_by_index(batch, _index(spark, dictionaries, version, cfg)))
+    linked = linking.linked_documents(linking.link_by_index(batch, _index(spark, dictionaries, version, cfg), cfg.whole_characters))
     linked.withColumn("version", F.lit(version)).write.mode("overwrite").parquet(f"{out}/batch={number}")
 
 
@@ -92,5 +92,5 @@ def linked_now(spark: SparkSession, dictionaries: str, out: str, cfg: Config = C
         marked = linking.mark_with_a_key(old, changed, cfg)
         parts.append(marked.where("not touched").drop("version", "touched"))
         again = marked.where("touched").select("id", "publication_number", "language", "text")
-        parts.append(linking.linked_documents(linking.link_by_index(again, _index(spark, dictionaries, last, cfg))))
+        parts.append(linking.linked_documents(linking.link_by_index(again, _index(spark, dictionaries, last, cfg), cfg.whole_characters)))
     return reduce(DataFrame.unionByName, parts)

@@ -159,3 +159,17 @@ def test_linking_again_for_changed_keys_only(spark):
         assert {k: v for k, (v, _) in got.items() if v} == want
         assert sum(f for _, f in got.values()) < 150 and (new != base or not any(f for _, f in got.values()))
     assert {r.key for r in linking.changed_keys(dictionary(base), dictionary(less)).collect()} == {"w4", "w8 w9", "w5", "w1 w2", "w6 w7"}
+
+
+def test_keys_of_whole_characters_as_joins_link_them(spark):
+    """A key that starts or ends within what one character folds to is found by the reference's rules only."""
+    rows = index_of([("A", "de", "sschach"), ("B", "de", "das"), ("C", "de", "ssein"), ("D", "de", "straße")])
+    docs = ["ßschach", "daß das", "x ßein ssein", "Straße, STRASSE sschach"]
+    index = key_index.of_rows(rows)
+    got = linking.link_texts(docs, ["de"] * 4, index, whole=True)
+    assert got == [[], [("das", 4, 7, "B")], [("ßein", 2, 6, "C"), ("ssein", 7, 12, "C")], [("Straße", 0, 6, "D"), ("STRASSE", 8, 15, "D"), ("sschach", 16, 23, "A")]]
+    assert linking.link_texts(docs[:2], ["de"] * 2, index) == [[("ßschach", 0, 7, "A")], [("daß", 0, 3, "B"), ("das", 4, 7, "B")]]
+    table = spark.createDataFrame([(str(k), "p", "de", t) for k, t in enumerate(docs)], "id string, publication_number string, language string, text string")
+    dictionary = spark.createDataFrame([(lang, key, c, 1) for lang, key, c in rows], "lang string, key string, chebi_id string, reg_order int")
+    exact = linking.flat(linking.link_exact(table, dictionary, linking.Config(whole_characters=True))).select("id", "surface", "start", "end", "chebi_id")
+    assert sorted(map(tuple, exact.collect())) == sorted(map(tuple, linking.link_native(table, dictionary).collect())) == sorted((str(k), *m) for k, x in enumerate(got) for m in x)

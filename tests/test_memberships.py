@@ -55,3 +55,13 @@ def test_stages_give_the_same_with_memberships(spark, built, tmp_path):  # noqa:
     assert stages.build_instances(spark, paths, cfg) == 2
     rows = lambda p: sorted(map(str, spark.read.json(p.instances).collect()))
     assert rows(paths) == rows(built)
+
+
+def test_counts_hold_no_plans(spark):
+    """What several steps read is written, so the plan of the counts doesn't have the plans of all steps before it in it."""
+    member = spark.createDataFrame([(f"C{k}", "siblings_isa", f"G{k % 3}") for k in range(9)], "chebi_id string, relation string, group string")
+    direct = spark.createDataFrame([("C0", "C1", "tautomers")], "chebi_id string, neighbor string, relation string")
+    counts = memberships.neighbor_counts(member, direct, member.select("chebi_id"), hub=2)
+    plan = counts._jdf.queryExecution().toString()
+    assert "InMemoryRelation" not in plan and "LogicalRDD" not in plan
+    assert {r.chebi_id: r.n for r in counts.collect()} == {f"C{k}": 2 + (k == 0) for k in range(9)}

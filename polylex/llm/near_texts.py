@@ -1,4 +1,4 @@
-"""Near-duplicate texts by exact Jaccard similarity: no link is missed, and every link is verified.
+"""Near-duplicate texts, each link verified by exact Jaccard similarity; what meets comes by parts of shingles, which miss no link, or by SimHash.
 
 Texts link when the sets of their five-word shingles (words as in op5_simhash_dedup, A-Z in
 lower case, shingles by 64-bit hash) have a Jaccard similarity of SIMILARITY or more.
@@ -21,6 +21,10 @@ lower case, shingles by 64-bit hash) have a Jaccard similarity of SIMILARITY or
 * Only members of families are read again, for their shingles. In a family, pairs within the
   bounds are compared, except where verified links connect the two already, so a group of
   thousands of copies costs few comparisons. A large family is cut into cells.
+* With by_fingerprints, the pipeline's way, the first steps are SimHash's instead: texts whose
+  fingerprints link at op5's radius, directly or over others, come together, and the bounds and
+  the check on the shingle sets follow. No link of fingerprints is lost, and only texts of the
+  similarity stay linked; similar texts that no chain of fingerprints joins are not compared.
 
 Defined cases: null and empty texts are alike; a text below five words is one shingle; a null
 id belongs to no class. An empty table gives an empty result.
@@ -39,7 +43,8 @@ from pyspark.sql import types as T
 
 from .components import cells, components, deal, edges_of, hot_limit, spread_join
 from .kernels import U64, Words, mix, signed, slices, text_buffer
-from .op5_simhash_dedup import _LOWER, shingle_hashes, single_spaced
+from .op5_simhash_dedup import _LOWER, majority, near_links, shingle_hashes, single_spaced
+from .op5_simhash_dedup import SHINGLE as PRINTED
 from .scratch import Scratch
 
 SHINGLE = 5
@@ -185,7 +190,7 @@ class Bounds:
 
 
 def _nodes(docs: DataFrame) -> DataFrame:
-    """(doc, mark, node, check, size, parity) of docs (doc, text, mark)."""
+    """(doc, mark, node, check, size, parity, fp) of docs (doc, text, mark)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -194,9 +199,10 @@ def _nodes(docs: DataFrame) -> DataFrame:
                 w = Words(_LOWER[data[off[i] : off[j]]], off[i : j + 1] - off[i])
                 h, doc = _shingles(w)
                 size = np.bincount(doc, minlength=j - i)
-                yield pa.RecordBatch.from_arrays([b.column(0).slice(i, j - i), b.column(2).slice(i, j - i), pa.array(_digests(w)), pa.array(_digests(w, 1)), pa.array(size), pa.array(parities(h, doc, size), pa.binary())], names=["doc", "mark", "node", "check", "size", "parity"])
+                fp = majority(*shingle_hashes(w, PRINTED), j - i).view(np.int64)
+                yield pa.RecordBatch.from_arrays([b.column(0).slice(i, j - i), b.column(2).slice(i, j - i), pa.array(_digests(w)), pa.array(_digests(w, 1)), pa.array(size), pa.array(parities(h, doc, size), pa.binary()), pa.array(fp)], names=["doc", "mark", "node", "check", "size", "parity", "fp"])
 
-    return docs.mapInArrow(run, "doc long, mark long, node long, check long, size long, parity binary")
+    return docs.mapInArrow(run, "doc long, mark long, node long, check long, size long, parity binary, fp long")
 
 
 def _alike(members: DataFrame, similarity: float) -> DataFrame:
@@ -365,17 +371,29 @@ def _verify(members: DataFrame, similarity: float) -> DataFrame:
     return members.repartition("family", "one", "two").sortWithinPartitions("family", "one", "two", "node").mapInArrow(run, "a long, b long")
 
 
-def near_text_classes(df: DataFrame, doc: str = "doc_id", text: str = "text", similarity: float = SIMILARITY, scratch: Scratch | None = None) -> DataFrame:
-    """(doc, node, check, first): each row's digests and the (doc, node, check) that is first in its class; rows with a null id have none."""
+def _by_fingerprints(nodes: DataFrame, scratch: Scratch) -> DataFrame:
+    """(node, family): nodes (node, fp) whose fingerprints link at op5's radius, directly or over others; those alone are left out."""
+    prints = scratch.settle(nodes.groupBy("fp").agg(F.count("*").alias("n")), "prints")
+    comp = scratch.settle(components(near_links(prints), scratch, "prints-near"), "prints-components")
+    named = prints.join(comp.withColumnRenamed("node", "fp"), "fp", "left").where("component is not null or n > 1")
+    named = named.select("fp", F.coalesce("component", "fp").alias("family"), "n")
+    return spread_join(nodes.select("node", "fp"), named, "fp", "node", hot_limit(nodes.count())).select("node", "family")
+
+
+def near_text_classes(df: DataFrame, doc: str = "doc_id", text: str = "text", similarity: float = SIMILARITY, scratch: Scratch | None = None, by_fingerprints: bool = False) -> DataFrame:
+    """(doc, node, check, first): each row's digests and the (doc, node, check) that is first in its class; rows with a null id have none.
+
+    With by_fingerprints, texts meet by their SimHash fingerprints (op5_simhash_dedup) instead of by parts of their shingles.
+    """
     scratch = scratch or Scratch(df.sparkSession, "near")
     docs = df.select(F.col(doc).cast("long").alias("doc"), F.coalesce(F.col(text).cast("string"), F.lit("")).alias("text")).where("doc is not null")
     docs = docs.withColumn("mark", F.xxhash64("text"))
     rows = scratch.settle(_nodes(docs), "rows")
-    least = F.min(F.struct("check", "doc", "mark", "size", "parity")).alias("x")  # of one check, so all from equal words
-    nodes = rows.groupBy("node").agg(least, F.count("*").alias("n")).select("node", "x.check", F.col("x.doc").alias("own"), "x.mark", "x.size", "x.parity", "n")
+    least = F.min(F.struct("check", "doc", "mark", "size", "parity", "fp")).alias("x")  # of one check, so all from equal words
+    nodes = rows.groupBy("node").agg(least, F.count("*").alias("n")).select("node", "x.check", F.col("x.doc").alias("own"), "x.mark", "x.size", "x.parity", "x.fp", "n")
     nodes = scratch.settle(nodes, "nodes")
     named = ["node", F.col("component").alias("family")]
-    wide = scratch.settle(components(_candidates(docs, similarity), scratch, "meeting").select(*named), "wide")
+    wide = scratch.settle(_by_fingerprints(nodes, scratch) if by_fingerprints else components(_candidates(docs, similarity), scratch, "meeting").select(*named), "wide")
     family = components(_alike(nodes.join(wide, "node").select("family", "node", "size", "parity"), similarity), scratch, "alike").select(*named)
     family = scratch.settle(family, "families")
     dealt = deal(nodes.join(family, "node").select(F.col("own").alias("doc"), "mark", "node", "family"), "family", "node", FAMILY)

@@ -196,17 +196,21 @@ def _links(nodes: DataFrame, keys: list, levels: int, cell: int) -> DataFrame:
     return dealt.repartition("key", "one", "two").sortWithinPartitions("key", "one", "two").mapInArrow(run, "a long, b long")
 
 
+def near_links(nodes: DataFrame, cell: int = CELL) -> DataFrame:
+    """(a, b): links that connect the fingerprints of nodes (fp, each once) that differ in RADIUS or fewer bits; nodes are read twice."""
+    cuts = [BITS * k // (RADIUS + 2) for k in range(RADIUS + 3)]
+    blocks = [(a, b - a) for a, b in itertools.pairwise(cuts)]
+    keys = _block_keys(BITS, list(itertools.combinations(range(len(blocks)), 2)), blocks)
+    return _links(nodes, keys, (RADIUS + 1).bit_length() - 1, cell)
+
+
 def simhash_groups(df: DataFrame, doc: str = "doc_id", text: str = "text", shingle: int = SHINGLE, scratch: Scratch | None = None, cell: int = CELL) -> DataFrame:
     """(doc, fp, component) of every row, linking at RADIUS or fewer differing bits."""
     scratch = scratch or Scratch(df.sparkSession, "op5")
     docs = df.select(F.col(doc).cast("long").alias("doc"), F.col(text).cast("string").alias("text"))
     fps = scratch.settle(fingerprints(docs, shingle), "fingerprints")
     nodes = scratch.settle(fps.where("doc is not null").groupBy("fp").agg(F.min("doc").alias("own"), F.count("*").alias("n")), "nodes")
-    cuts = [BITS * k // (RADIUS + 2) for k in range(RADIUS + 3)]
-    blocks = [(a, b - a) for a, b in itertools.pairwise(cuts)]
-    keys = _block_keys(BITS, list(itertools.combinations(range(len(blocks)), 2)), blocks)
-    links = _links(nodes, keys, (RADIUS + 1).bit_length() - 1, cell)
-    known = labels(nodes.withColumnRenamed("fp", "node"), links, scratch).select(F.col("node").alias("fp"), "n", "component")
+    known = labels(nodes.withColumnRenamed("fp", "node"), near_links(nodes, cell), scratch).select(F.col("node").alias("fp"), "n", "component")
     return spread_join(fps, known, "fp", "doc", hot_limit(fps.count()), "left").select("doc", "fp", "component")
 
 

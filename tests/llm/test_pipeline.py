@@ -1,8 +1,10 @@
 """The pipeline's stages on the awkward tables."""
 
+import random
 from collections import Counter
 
 import corpus_pipeline as cp
+from polylex.llm import op5_simhash_dedup
 
 from .test_queries import LOWER, classes, words
 
@@ -66,3 +68,34 @@ def test_rows_of_an_id_keep_their_own_texts(spark, empty):
     out = cp.substring_dedup(spark, spark.createDataFrame(rows, "doc_id long, text string, n_words int"), empty).collect()
     got = sorted((r.n_words, r.doc_id, r.text) for r in out)
     assert got == [(1, 1, passage), (2, 2, third), (3, 2, other), (4, 2, " ".join(words[100:130])), (5, 2, None), (6, None, passage)]
+
+
+def test_near_copies_meet_by_fingerprints_and_are_checked(spark, empty):
+    """Against brute force: chains of fingerprints at three or fewer differing bits, in each the pairs of a similarity of 0.8 or more."""
+    rng = random.Random(11)
+    texts = []
+    for k in range(12):
+        base = [f"w{rng.getrandbits(16)}" for _ in range(240)]
+        for n in (0, 1, 2, 5, 9):
+            w = list(base)
+            for at in rng.sample(range(240), n):
+                w[at] = f"n{k}x{at}"
+            texts.append(" ".join(w))
+    line = " ".join(f"c{j}" for j in range(7)) + " "
+    texts += [line * 60 + " ".join(f"own{k}x{j}" for j in range(40)) for k in range(3)]  # one line decides their fingerprints, but not their shingles
+    prints = [int(r.fingerprint, 16) for r in sorted(op5_groups(spark, texts), key=lambda r: r.doc)]
+    sets = [frozenset(zip(*(t.split()[j:] for j in range(5)), strict=False)) for t in texts]
+    n = len(texts)
+    pairs = [(a, b) for a in range(n) for b in range(a + 1, n)]
+    met = classes(n, [(a, b) for a, b in pairs if (prints[a] ^ prints[b]).bit_count() <= 3])
+    alike = lambda a, b: met[a] == met[b] and 10 * len(sets[a] & sets[b]) >= 8 * len(sets[a] | sets[b])
+    root = classes(n, [p for p in pairs if alike(*p)])
+    want = sorted({min(i for i in range(n) if root[i] == r) for r in set(root)})
+    out = cp.simhash_near_dedup(spark, spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"), empty)
+    assert sorted(r.doc_id for r in out.collect()) == want
+    assert len({met[k] for k in (n - 3, n - 2, n - 1)}) < 3 and {n - 3, n - 2, n - 1} <= set(want) and len(want) < n - 7
+
+
+def op5_groups(spark, texts):
+    out = op5_simhash_dedup.simhash_groups(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"))
+    return out.selectExpr("doc", "lower(lpad(hex(fp), 16, '0')) AS fingerprint").collect()

@@ -44,6 +44,7 @@ class ReplyLog:
 
     def __init__(self, spark: SparkSession, path: str, schema: str, key: str = "key"):
         self.spark, self.path, self.schema, self.key = spark, path.rstrip("/"), StructType.fromDDL(schema), key
+        self._next: int | None = None  # the number of the next run, once this driver has listed the folder
 
     def _listed(self) -> tuple[list[tuple[int, int, bool]], list[str]]:
         """(first, last, committed) of the runs, and plain files."""
@@ -91,7 +92,8 @@ class ReplyLog:
 
     def append(self, records: DataFrame) -> str:
         """One more run; gives its folder."""
-        n = 1 + max((z for _, z, _ in self._listed()[0]), default=-1)
+        n = 1 + max((z for _, z, _ in self._listed()[0]), default=-1) if self._next is None else self._next
+        self._next = n + 1
         records.write.mode("errorifexists").option("ignoreNullFields", "false").json(self._name(n, n))
         return self._name(n, n)
 

@@ -117,3 +117,15 @@ def test_titles_of_a_failing_batch_are_asked_again(spark, tmp_path):
         got = crosswalk.crosswalk(ids, some, str(tmp_path / "c"), batch=5, wave=2, pause=lambda s: None)
     assert got.count() == 25
     assert crosswalk.crosswalk(ids, lambda ns: [page(n) for n in ns], str(tmp_path / "c"), batch=5).count() == 30
+
+
+def test_waves_do_not_list_the_runs_before_them(spark, tmp_path, monkeypatch):
+    lists, listed = [], ReplyLog._listed
+    monkeypatch.setattr(ReplyLog, "_listed", lambda self: lists.append(1) or listed(self))
+    counts = []
+    for n in (2, 6):
+        lists.clear()
+        providers.ask(asked(spark, n), lambda ask: [r["user"] for r in ask], str(tmp_path / f"cache{n}"), "m", batch=1, tasks=1)
+        assert len(ReplyLog(spark, str(tmp_path / f"cache{n}"), RECORD)._split()[0]) == n
+        counts.append(len(lists))
+    assert counts[0] == counts[1]

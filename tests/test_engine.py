@@ -154,6 +154,25 @@ def test_narrowed_pools_choose_alike(raw, most):
     assert all(sum(p[1] == lang for p in kept) <= 2 * most * (2 * most - 1) for lang in ("l0", "l1"))
 
 
+def test_negatives_without_the_pool(spark, monkeypatch):
+    """Concepts of many and of few neighbors, documents that many of them share: the same choice, and the pool isn't formed."""
+    for seed, docs, each in ((1, 150, 9), (2, 40, 12)):
+        rng = random.Random(seed)
+        ids = [(f"d{k}", rng.choice("abc")) for k in range(docs)]
+        index = spark.createDataFrame([(f"C{c}", d, x) for c in range(24) for d, x in rng.sample(ids, each + 20 * (c < 3))], "chebi_id string, id string, language string")
+        near = [(f"C{c}", f"C{n}", r, p) for c in range(12) for n in rng.sample(range(24), 20 if c < 6 else 3) for r, p in rng.sample([("x", 1), ("y", 2)], rng.randint(1, 2))]
+        near = spark.createDataFrame(near, "chebi_id string, neighbor string, relation string, prio int")
+        cfg = Config(max_negatives=3)
+        gold = instances.gold_documents(index, cfg)
+        pool = instances.negative_pool(gold, near, index, cfg)
+        want = sorted(map(tuple, instances.hard_negatives(pool, cfg).collect()))
+        few = instances.reachable(gold, near, index, cfg)
+        assert few.count() < pool.count()
+        with monkeypatch.context() as m:
+            m.setattr(instances, "negative_pool", None)
+            assert sorted(map(tuple, instances.hard_negatives_of(gold, near, index, cfg).collect())) == want != []
+
+
 def test_a_hub_of_neighbors_is_narrowed_before_its_choice(spark):
     cfg = Config(max_negatives=3)
     rows = [("c", f"n{n}", "is_a", f"d{(7 * n + 31 * k) % 400}", ("de", "fr")[(7 * n + 31 * k) % 400 % 2], 1) for n in range(2000) for k in range(3)]

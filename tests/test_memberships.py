@@ -65,3 +65,23 @@ def test_counts_hold_no_plans(spark):
     plan = counts._jdf.queryExecution().toString()
     assert "InMemoryRelation" not in plan and "LogicalRDD" not in plan
     assert {r.chebi_id: r.n for r in counts.collect()} == {f"C{k}": 2 + (k == 0) for k in range(9)}
+
+
+def test_pairs_come_once_and_are_not_exchanged(spark, monkeypatch):
+    """Groups of several cells, concepts in several groups together: each pair once, with no exchange after the join of the members."""
+    monkeypatch.setattr(ontology, "CELL", 4)
+    for seed in (5, 6):
+        nodes, edges, some = graph(spark, seed)
+        edges = edges.unionByName(edges.limit(40))
+        e = [tuple(r) for r in edges.select("src", "rel", "dst").distinct().collect()]
+        keys = [(r.chebi_id, r.inchikey[:14]) for r in nodes.where("inchikey is not null").collect()]
+        pairs = lambda rows: {(a, b) for a, k in rows for b, x in rows if k == x and a != b}
+        want = [pairs([(c, k) for c, r, k in e if r == rel]) for rel in ("is_a", "has_role", "has_parent_hydride")] + [pairs(keys)]
+        found = [ontology.siblings_isa(edges), ontology.siblings_role(edges), ontology.parent_hydride_family(edges), ontology.inchikey_block(nodes)]
+        assert [sorted((r.chebi_id, r.neighbor) for r in x.collect()) for x in found] == [sorted(w) for w in want]
+        few = spark.createDataFrame([(c,) for c in some[:9]], "chebi_id string")
+        assert sorted((r.chebi_id, r.neighbor) for r in ontology.siblings_isa(edges, few).collect()) == sorted(p for p in want[0] if p[0] in some[:9])
+        near = ontology.neighbors(nodes, edges)
+        assert sorted(map(tuple, ontology.all_pairs(nodes, edges).collect())) == sorted(map(tuple, ontology.all_neighbors(near).collect()))
+    top = ontology.siblings_isa(edges)._jdf.queryExecution().executedPlan().toString().split("Join")[0]
+    assert "Exchange" not in top and "HashAggregate" not in top

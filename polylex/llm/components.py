@@ -13,6 +13,8 @@ from .scratch import Scratch
 
 #: Tasks over which the rows of a hot key are spread; a key is hot with more than one in HOT of all rows.
 SALTS, HOT = 64, 2000
+#: Links of so many or fewer (16 MB) are settled by one task; a larger table takes rounds of joins.
+FEW = 1 << 20
 
 
 def spread_join(rows: DataFrame, ends: DataFrame, key: str, other: str, limit: int, how: str = "inner") -> DataFrame:
@@ -35,17 +37,34 @@ def hot_limit(rows: int) -> int:
     return max(200, rows // HOT)
 
 
-def components(links: DataFrame, scratch: Scratch, name: str = "links") -> DataFrame:
+def _settled(links: DataFrame) -> DataFrame:
+    """(node, component) of links (u, v), all in one task; its caller has seen that they are few."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        t = pa.Table.from_batches(batches, pa.schema([("u", pa.int64()), ("v", pa.int64())]))
+        u, v = t.column("u").to_numpy(), t.column("v").to_numpy()
+        node, at = np.unique(np.concatenate([u, v]), return_inverse=True)
+        least = node[roots(len(node), at[: len(u)], at[len(u) :])]
+        yield from pa.table({"node": node, "component": least}).to_batches(1 << 16)
+
+    return links.select("u", "v").coalesce(1).mapInArrow(run, "node long, component long")
+
+
+def components(links: DataFrame, scratch: Scratch, name: str = "links", few: int = FEW) -> DataFrame:
     """(node, component): least reachable node, for every node of links (a, b).
 
     Alternates large-star and small-star steps until no link changes. A step joins links
     with a minimum for each node, so no neighbourhood is gathered in one place, and a hub's
-    links are spread over tasks. Rounds grow with the logarithm of the number of nodes.
+    links are spread over tasks. Rounds grow with the logarithm of the number of nodes. Of few
+    links, a round's jobs and plans cost the driver more than the links: one task settles them,
+    also where a large table has shrunk to few.
     """
     spark = scratch.spark
     now = scratch.settle(links.where("a <> b").select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct(), f"{name}-0")
     mark, k = _mark(now), 0
     while mark[0]:
+        if mark[0] <= few:
+            return _settled(now)
         limit = hot_limit(mark[0])
         least = now.select("u", "v").unionByName(now.select(F.col("v").alias("u"), F.col("u").alias("v"))).groupBy("u").agg(F.least(F.col("u"), F.min("v")).alias("m"), F.count("*").alias("n"))
         large = spread_join(now, least.withColumnRenamed("u", "v"), "v", "u", limit).where("u <> m").select("u", F.col("m").alias("v")).distinct()

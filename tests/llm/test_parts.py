@@ -28,6 +28,18 @@ def test_components_of_chains_and_hubs(spark):
     assert all(got[k] == 0 for k in range(61)) and all(got[k] == 100 for k in range(100, 160)) and got[300] == got[299] == 299
 
 
+def test_few_links_take_few_jobs_and_as_many_components_as_in_rounds(spark):
+    rng = random.Random(4)
+    links = spark.createDataFrame([(rng.randrange(400), rng.randrange(400)) for _ in range(300)] + [(k, k + 1) for k in range(1000, 1060)], "a long, b long")
+    jobs = lambda: spark.sparkContext._jsc.sc().dagScheduler().nextJobId()
+    begun, found, took = jobs(), [], []
+    for few in (components.FEW, 0, 100):  # at once, in rounds, and in rounds until they are few
+        found.append(sorted(components.components(links, Scratch(spark, "t"), few=few).collect()))
+        took.append(jobs() - begun)
+        begun = jobs()
+    assert found[0] == found[1] == found[2] and took[0] < 8 < took[1]
+
+
 @pytest.mark.parametrize("how", ["inner", "left"])
 def test_hot_keys_are_spread_and_lose_nothing(spark, how):
     rows = spark.createDataFrame([(1, k) for k in range(50)] + [(2, 7), (3, 8), (None, 9)], "k long, x long")

@@ -66,6 +66,19 @@ def test_native_linking_equals_the_scan(spark):
     assert sorted(map(tuple, got.collect())) == sorted(map(tuple, want.collect())) != []
 
 
+def test_native_linking_exchanges_stretches_of_texts_not_pieces(spark, monkeypatch):
+    monkeypatch.setattr(linking, "STRETCH", 3)
+    aliases = [("C1", "en", "a b c d"), ("C2", "en", "b c"), ("C3", "en", "(x)"), ("C4", "en", "(x) a"), ("C5", "en", "d"), ("C6", "en", "b c"), ("C7", "en", "e-")]
+    docs = [("1", "en", "a b c d " * 5), ("2", "en", "(x) a b c (x)a d-e- e-f z(x)"), ("3", "en", "b c " * 9 + "d (x"), ("4", "en", ""), ("5", "en", None), ("6", "xx", "b c")]
+    d = spark.createDataFrame(docs, "id string, language string, text string")
+    keys = spark.createDataFrame([(x, k, c, n) for n, (c, x, k) in enumerate(aliases)], "lang string, key string, chebi_id string, reg_order int")
+    want = linking.flat(linking.link_exact(d.withColumn("publication_number", F.lit("p")), keys)).select("id", "surface", "start", "end", "chebi_id")
+    got = linking.link_native(d, keys)
+    assert sorted(map(tuple, got.collect())) == sorted(map(tuple, want.collect())) != []
+    plan = got._jdf.queryExecution().optimizedPlan().toString()
+    assert "collect_list(w" not in plan and "posexplode(regexp_extract_all" not in plan
+
+
 @settings(deadline=None, max_examples=2)
 @given(st.integers(0, 10**6))
 def test_links_do_not_depend_on_how_the_dictionary_is_packed(spark, seed):

@@ -1,10 +1,12 @@
 """Counts and pairs from memberships against the pairs themselves."""
 
+import hashlib
 import random
 
+import numpy as np
 from pyspark.sql import functions as F
 
-from polylex.operators import memberships, ontology
+from polylex.operators import instances, memberships, negative_cells, ontology
 from polylex.plans import stages
 from polylex.schema import Config
 
@@ -85,3 +87,29 @@ def test_pairs_come_once_and_are_not_exchanged(spark, monkeypatch):
         assert sorted(map(tuple, ontology.all_pairs(nodes, edges).collect())) == sorted(map(tuple, ontology.all_neighbors(near).collect()))
     top = ontology.siblings_isa(edges)._jdf.queryExecution().executedPlan().toString().split("Join")[0]
     assert "Exchange" not in top and "HashAggregate" not in top
+
+
+def test_negatives_by_cells_are_those_of_the_pool(spark, monkeypatch):
+    """No pairs are made; groups are cut into cells and vectors that hold little, some messages are longer than a block."""
+    for name, small in (("LEFT", 3), ("RIGHT", 7), ("LIST", 2), ("LANES", 64), ("WORK", 5000)):
+        monkeypatch.setattr(negative_cells, name, small)
+    for seed, most in ((1, 2), (2, 3), (3, 20)):
+        nodes, edges, some = graph(spark, seed)
+        rng = random.Random(seed)
+        docs = {f"{'x' * rng.choice([1, 28])}{k}": rng.choice(["en", "de", "fr"]) for k in range(50)}
+        index = spark.createDataFrame([(c, d, docs[d]) for c in some for d in rng.sample(sorted(docs), rng.randint(1, 14))], "chebi_id string, id string, language string")
+        cfg, gold = Config(max_negatives=most), instances.gold_documents(index)
+        want = instances.hard_negatives(instances.negative_pool(gold, ontology.neighbors(nodes, edges), index, cfg), cfg)
+        member, direct = memberships.memberships(nodes, edges), memberships.links(edges)
+        with monkeypatch.context() as m:
+            m.setattr(memberships, "neighbors_of", None)
+            m.setattr(instances, "negative_pool", None)
+            got = negative_cells.hard_negatives(gold, member, direct, index, cfg)
+            assert sorted(map(tuple, got.select(want.columns).collect())) == sorted(map(tuple, want.collect())) != []
+
+
+def test_vectors_of_md5():
+    texts = [b"42|neg|" + b"x" * k for k in range(49)]
+    blocks = [t + b"\x80" + bytes(55 - len(t)) + (8 * len(t)).to_bytes(8, "little") for t in texts if len(t) < 56]
+    high, low = negative_cells.md5_vectors(np.ascontiguousarray(np.frombuffer(b"".join(blocks), "<u4").reshape(-1, 16).T))
+    assert [f"{h:016x}{x:016x}" for h, x in zip(high.tolist(), low.tolist(), strict=True)] == [hashlib.md5(t).hexdigest() for t in texts if len(t) < 56]

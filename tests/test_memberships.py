@@ -113,3 +113,20 @@ def test_vectors_of_md5():
     blocks = [t + b"\x80" + bytes(55 - len(t)) + (8 * len(t)).to_bytes(8, "little") for t in texts if len(t) < 56]
     high, low = negative_cells.md5_vectors(np.ascontiguousarray(np.frombuffer(b"".join(blocks), "<u4").reshape(-1, 16).T))
     assert [f"{h:016x}{x:016x}" for h, x in zip(high.tolist(), low.tolist(), strict=True)] == [hashlib.md5(t).hexdigest() for t in texts if len(t) < 56]
+
+
+def test_lists_of_siblings_and_their_number(spark, monkeypatch):
+    """Lists are formed beside a group's members, without pairs."""
+    monkeypatch.setattr(ontology, "CELL", 4)
+    nodes, edges, some = graph(spark, 5)
+    of = spark.createDataFrame([(c,) for c in [*some, "none"]], "chebi_id string")
+    want = {}
+    for r in ontology.neighbors(nodes, edges, of).collect():
+        want.setdefault(r.chebi_id, {}).setdefault(r.relation, set()).add(r.neighbor)
+    monkeypatch.setattr(ontology, "_siblings", None)
+    aliases = spark.createDataFrame([], "chebi_id string, lang string, pos long, alias string")
+    every = nodes.selectExpr("chebi_id", "'x' AS name", "3 AS star", "inchikey", "'' AS inchi", "'' AS smiles", "'' AS formula")
+    found = ontology.concept_slice(every, edges, aliases, aliases, of).collect()
+    assert len(found) == len(some) + 1 and all(list(r[n]) == sorted(want.get(r.chebi_id, {}).get(n, ())) for r in found for n in ontology.RELATIONS)
+    totals = dict(map(tuple, memberships.link_totals(memberships.memberships(nodes, edges), memberships.links(edges)).collect()))
+    assert all(totals.get(c, 0) == sum(map(len, want.get(c, {}).values())) for c in some)

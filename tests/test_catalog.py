@@ -26,3 +26,9 @@ def test_parts_stay_few():
     assert key_index.part_count(12, 6) == 3
     assert key_index.part_count(400_000, 6) == 257
     assert key_index.part_count(1 << 30, 1 << 20) == 1025
+
+
+def test_the_pool_forms_no_lists_of_neighbors(spark, monkeypatch):
+    monkeypatch.setattr(ontology, "concept_slice", None)
+    fixtures.Linked.forget(spark)
+    assert "chebi_id" in catalog.queries()["hard_negative_pool"](spark, SMALL).columns
